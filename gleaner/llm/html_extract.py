@@ -133,12 +133,12 @@ def digest(node: Node) -> bytes:
 
 
 def template_candidates(root: Node) -> Iterator[Node]:
-    """Subtrees that may be template: elements of the body that aren't excluded anyway, nor prose of an article."""
+    """Subtrees that may be template: block elements that aren't excluded anyway, nor prose of an article."""
     left = [root]
     while left:
         for x in left.pop().parts:
             if isinstance(x, Node) and not x.out:
-                if x.name not in ("html", "body", "article", "main", "#root") and not (x.inside and (x.name in PROSE or x.name not in BLOCKS)):
+                if x.name in BLOCKS and x.name not in ("html", "body", "article", "main") and not (x.inside and x.name in PROSE):
                     yield x
                 left.append(x)
 

@@ -33,17 +33,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import blake2b
-from math import ceil, exp, log, sqrt
+from math import erfc, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import by_bytes, components, mixed, small_or_shuffled, staged, texts
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 SEEDS = 4
+#: For the cost of an allocation: the share of tokens that unrelated sets hold in common, and what such a pair costs in keys.
+COMMON, PAIR_COST = 0.3, 80
 BLOCK = 512
 
 
@@ -80,7 +82,7 @@ def shingle_sets(many: list[str], k: int) -> list[np.ndarray]:
             out.append(own)
             continue
         n = len(own) - width + 1
-        total = np.full(n, np.uint64(width) * GOLDEN)
+        total = np.full(n, width, np.uint64) * GOLDEN
         for i in range(width):
             total = total + own[i : i + n] * factors[i]
         out.append(np.unique(mixed(total)))
@@ -95,24 +97,20 @@ class Band:
         self.limit = (high - 1) * 100 // per_cent  # largest size that can take part
         self.differ = (high - 1) * (100 - per_cent) // per_cent
         best = None
+        spares = {1, 2, 3, 4, 6, 8, *(int(self.differ * f) for f in (0.02, 0.04, 0.06, 0.1, 0.15, 0.25))} - {0}
         for share in (0.0, 0.25, 0.5, 1.0):
-            spare = 2
-            for _ in range(20):  # as many spare units as the smallest sets of the band are likely to lose
+            for spare in sorted(spares):
                 units = self.differ + 1 + spare
                 pairs = int(units // 2 * share)
                 segments = units - pairs
-                odds = exp(-low / segments)
+                odds, size = exp(-low / segments), sqrt(low * high) / segments
                 lost = (segments - pairs) * odds + pairs * (2 * odds + low / segments * odds)
-                need = 2 + ceil(lost + 2 * sqrt(lost))
-                if need <= spare:
-                    break
-                spare = need
-            size = sqrt(low * high) / segments
-            keys = segments + pairs * size
-            chance = (segments - pairs) * 0.3**size + pairs * (0.3**size + size * 0.3 ** max(size - 1, 0))
-            cost = keys + 20 * chance
-            if best is None or cost < best[0]:
-                best = (cost, spare, pairs, segments)
+                over = 0.5 * erfc((spare - 1.5 - lost) / sqrt(2 * lost + 0.2))  # how many sets lose more than is spare
+                keys = (segments - pairs + pairs * (1 + size)) * (1 + 3 * over)
+                chance = (segments - pairs) * COMMON**size + pairs * (COMMON**size + size * COMMON ** max(size - 1, 0))
+                cost = keys + PAIR_COST * chance
+                if best is None or cost < best[0]:
+                    best = (cost, spare, pairs, segments)
         _, self.spare, self.pairs, self.segments = best
 
 
@@ -194,8 +192,6 @@ def key_table(documents: DataFrame, k: int, per_cent: int) -> DataFrame:
 
 def shared_keys(keys: DataFrame) -> DataFrame:
     """(key, id, tag, n) of the keys that two documents or more have; staged."""
-    from pyspark.sql import Window
-
     return staged(keys.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1"))
 
 

@@ -214,7 +214,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = 10_000, leas
 
     found = rows.where("fold <> 1").mapInArrow(measure, "fold int, toxic int, x array<double>").toPandas()  # bounded by sample_rows
     found = found.assign(key=found["x"].map(tuple)).sort_values(["fold", "key", "toxic"])
-    x, y, part = np.array(found["x"].tolist(), float).reshape(len(found), -1), found["toxic"].to_numpy(float), found["fold"].to_numpy()
+    x, y, part = np.array(found["x"].tolist(), float).reshape(len(found), len(FEATURES)), found["toxic"].to_numpy(float), found["fold"].to_numpy()
     share = float(y.mean()) if len(y) else 0.0
     train, check = part == 3, part == 4
     if len(set(y[train])) < 2:
