@@ -199,7 +199,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         return urls.bound(rules.product_signals(fields, homepage, readme), with_signals)
 
     texts = rules.product_fields(F.col("name"), F.col("description"), F.col("topic_list"), homepage, readme)
-    rows = rows.withColumn("p", urls.bound(F.struct(*[v.alias(k) for k, v in texts.items()]), classified)).select("*", "p.*").drop("p")
+    # inline() keeps the optimizer from copying the expression to each place that uses one of its fields
+    rows = rows.select("*", F.inline(F.array(urls.bound(F.struct(*[v.alias(k) for k, v in texts.items()]), classified))))
     return rows.withColumn("candidate_status", rules.narrowed_status(F.col("gate"), F.col("kind"), F.col("template")))
 
 
@@ -248,7 +249,7 @@ def discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, text = F.regexp_replace("name", "[-_.]", " "), F.coalesce("description", none)
     topics, readme = F.regexp_replace(F.coalesce("topics", none), "[-_]", " "), F.substring(F.coalesce("readme", none), 1, WINDOW)
     texts = F.struct(name.alias("name"), text.alias("text"), topics.alias("topics"), readme.alias("readme"), F.concat_ws("\n", name, text, topics, readme).alias("combined"))
-    rows = rows.withColumn("d", urls.bound(texts, found)).select("*", "d.*", F.get("d.ranked", F.lit(0)).alias("top")).drop("d")
+    rows = rows.select("*", F.inline(F.array(urls.bound(texts, found)))).withColumn("top", F.get("ranked", F.lit(0)))
     weak = (F.col("top.metadata") == 0) & ((-F.col("top.minus") < 6) | (F.col("standalone") < 30) | F.col("developer"))
     rows = rows.where(F.col("top").isNotNull() & (F.col("standalone") >= 15) & ~weak)
     strong = F.transform(F.slice(F.filter("ranked", lambda s: s["minus"] <= -4), 1, 5), lambda s: s["category"])
