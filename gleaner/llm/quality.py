@@ -5,9 +5,9 @@ and counted over distinct documents of each host (the column `source`); lines ab
 boilerplate, and a document that has too little left without them is rejected.
 
 Documents are told apart by the smallest hash of their lines, so that copies of one document, with or
-without small edits, count about once; and a line whose documents are mostly told apart neither by that
-nor otherwise than by small edits isn't boilerplate. Removing copies is the work of the near-duplicate
-join, and a good text isn't rejected for having been copied.
+without small edits, count about once, and a line is boilerplate only if at least half of the texts
+that hold it are told apart: it recurs among otherwise different texts. Removing copies is the work of
+the near-duplicate join, and a good text isn't rejected for having been copied.
 
 Null texts have no words and fail the base rules. Null hosts are one host. Repeated rows get the same
 verdict. Columns of the input stay as they are; those of the rules are made in a struct of their own.
@@ -83,11 +83,11 @@ def line_hashes(documents: DataFrame) -> DataFrame:
     return documents.where(F.col("text").isNotNull()).select(*keys, hashed.alias("lines"))
 
 
-def frequent_lines(documents: DataFrame, max_documents: int, least_apart: float = 0.7) -> DataFrame:
+def frequent_lines(documents: DataFrame, max_documents: int, least_apart: float = 0.5) -> DataFrame:
     """(h, n_documents) of the lines that more than `max_documents` distinct documents of their host hold.
 
     `least_apart` is the share of a line's different texts that must be told apart by their sketches:
-    near it for boilerplate in all sorts of texts, far below for lines of one text and its edited copies.
+    most are for boilerplate in all sorts of texts, few for lines of one text and its edited copies.
     """
     sketched = line_hashes(documents).select("lines", "k1", F.array_min(F.transform("lines", lambda x: x["h"])).alias("sketch"))
     each = sketched.select(F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"), "sketch", "k1")

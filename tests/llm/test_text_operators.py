@@ -212,14 +212,16 @@ def test_quality(spark):
 
 def test_quality_lines_across_documents(spark):
     rnd = random.Random(2)
-    own = lambda i: " ".join(f"w{i}x{rnd.randint(0, 10**6)}" for _ in range(60))
-    boiler = [" ".join(f"b{k}y{j}" for j in range(80)) for k in range(8)]
-    rows = [(i, "\n".join([*boiler, f"only {i} this"]), "h") for i in range(90)] + [(100 + i, own(i) + "\n" + boiler[0], "h") for i in range(20)] + [(300 + i, own(0) if i == 0 else own(i), "h") for i in range(5)]
-    copy = own(7)
-    rows += [(400 + i, f"{copy}\nand a tail", "h") for i in range(200)]
+    own = lambda n=60: " ".join(f"w{rnd.randint(0, 10**9)}" for _ in range(n))
+    boiler = [" ".join(f"b{k}y{j}" for j in range(20)) for k in range(4)]
+    rows = [(i, "\n".join([*boiler, f"only {i} this"]), "h") for i in range(20)]
+    rows += [(100 + i, "\n".join([*(own(12) for _ in range(6)), boiler[i % 4]]), "h") for i in range(200)]
+    rows += [(1000 + i, "\n".join([*boiler, own()]), "other host") for i in range(5)]
+    copy = [own(15) for _ in range(8)]
+    rows += [(2000 + i, "\n".join([*copy[:-1], copy[-1] if i % 2 else own(15)]), "h") for i in range(200)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     verdict = {r["doc_id"]: r["quality"]["kept"] for r in quality.quality_rules(df, max_documents=10).collect()}
-    assert not any(verdict[i] for i in range(90)) and all(v for k, v in verdict.items() if k >= 100)
+    assert not any(verdict[i] for i in range(20)) and all(v for k, v in verdict.items() if k >= 100)
 
 
 def test_fingerprints(spark):
