@@ -81,11 +81,9 @@ def with_next(documents: DataFrame) -> DataFrame:
     rows = rows.withColumn("bucket", bucket)
     order = Window.partitionBy("bucket").orderBy("doc_id", F.xxhash64("text"))
     firsts = staged(rows.groupBy("bucket").agg(F.min_by("text", F.struct("doc_id", F.xxhash64("text"))).alias("first_text")))
-    turn = Window.orderBy("bucket")
-    ahead = firsts.select("bucket").withColumn("to", F.lead("bucket").over(turn))
-    lowest = firsts.agg(F.min("bucket").alias("lowest"))
-    # Only numbers of ranges go through the one-row table and the window.
-    ahead = ahead.join(F.broadcast(lowest)).select("bucket", F.coalesce("to", "lowest").alias("to"))
+    turn = Window.orderBy("bucket")  # only numbers of ranges go through this window
+    lowest = F.min("bucket").over(turn.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ahead = firsts.select("bucket", F.coalesce(F.lead("bucket").over(turn), lowest).alias("to"))
     after = ahead.join(firsts.select(F.col("bucket").alias("to"), F.col("first_text")), "to").select("bucket", "first_text")
     found = rows.withColumn("within", F.lead("text").over(order)).withColumn("is_last", F.lead("doc_id", 1).over(order).isNull() & F.col("within").isNull())
     ends = found.where("is_last").drop("within", "is_last").join(small_or_shuffled(after, parts), "bucket")
