@@ -62,8 +62,8 @@ def run_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations")
     each = rows.groupBy("role", "conv_id").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("c"))
     by_status = each.groupBy(F.col("role").alias("status")).agg(F.sum("n").alias("requests"), F.sum("c").alias("characters"), F.count("*").alias("runs"))
-    total = by_status.agg(F.sum("requests").alias("all"))
-    return by_status.join(F.broadcast(total)).select("status", "requests", "characters", "runs", (F.col("requests") == F.col("all")).alias("complete"))  # one row
+    total = by_status.agg(F.sum("requests")).scalar()
+    return by_status.select("status", "requests", "characters", "runs", (F.col("requests") == total).alias("complete"))
 
 
 @query(view.SQL + f""", s AS (SELECT *, {SQL_GROUP} AS grp, {SQL_TIER} AS tier FROM repo) SELECT grp, tier, count(*) AS n, count_if(repository_id % 50 = 0) AS corrected, count_if(bundle >= 80 AND repository_id % 50 <> 0) AS passed FROM s GROUP BY grp, tier""")

@@ -118,8 +118,8 @@ def extraction_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     each = rows.where(is_repo).select("doc_id", "repo.canonical_url").distinct().groupBy("canonical_url").agg(F.count("*").alias("n"))
     totals = each.agg(F.count("*").alias("unique_repositories"), F.count_if(F.col("n") > 1).alias("repeated"))
-    both = flags.join(F.broadcast(totals))  # one row each
-    return both.withColumn("duplicates", F.col("repository_links") - F.col("unique_repositories"))
+    rows = flags.withColumn("t", totals.select(F.struct("unique_repositories", "repeated")).scalar())
+    return rows.select(*flags.columns, "t.*", (F.col("repository_links") - F.col("t.unique_repositories")).alias("duplicates"))
 
 
 VIEWS = choose(7, ["4.03K", "1,2K", "2M", "unknown", " 12 ", "3.5B", "4,030"])
