@@ -39,10 +39,11 @@ def forms(word: str) -> tuple[str, str]:
 
 
 class WordFacts(dict):
-    """Numbers words, and keeps one row of facts for each; emptied when it grows beyond `limit`."""
+    """Numbers words, and keeps one row of facts for each in a flat array; emptied beyond `limit` words."""
 
-    def __init__(self, typical: dict[str, float], limit: int = 400_000):
-        self.typical, self.limit, self.rows = typical, limit, []
+    def __init__(self, typical: dict[str, float], limit: int = 200_000):
+        self.typical, self.limit, self.new = typical, limit, []
+        self.table = np.zeros((1 << 14, len(SHARES)), np.float32)
 
     def __missing__(self, word: str) -> int:
         low, read = forms(word)
@@ -51,22 +52,31 @@ class WordFacts(dict):
         begins = max((self.typical.get(f"{read[:n]}-", 0.0) for n in PREFIXES if len(read) >= n), default=0.0)
         letters = sum(c.isalpha() for c in word)
         caps = sum(c.isupper() for c in word)
-        self.rows.append((float(low in LEXICON or read in LEXICON), float(known > 0), float(begins > 0), max(known, begins), float(read in SECOND), float(caps > 1 and caps == letters), float(len(word) - letters), float(word.count("!")), float(odd), float(bool(re.search(r"(\w)\1\1", low)))))
-        self[word] = n = len(self.rows) - 1
+        self.new.append((float(low in LEXICON or read in LEXICON), float(known > 0), float(begins > 0), max(known, begins), float(read in SECOND), float(caps > 1 and caps == letters), float(len(word) - letters), float(word.count("!")), float(odd), float(bool(re.search(r"(\w)\1\1", low)))))
+        self[word] = n = len(self)
         return n
 
+    def gather(self) -> None:
+        """Moves the rows of new words to the array."""
+        used = len(self) - len(self.new)
+        if len(self) > len(self.table):
+            self.table = np.concatenate([self.table[:used], np.zeros((max(used, len(self.new)), len(SHARES)), np.float32)])
+        if self.new:
+            self.table[used : len(self)] = self.new
+            self.new = []
+
     def features(self, many: list[str]) -> np.ndarray:
         """A row of FEATURES for each text."""
         if len(self) > self.limit:
             self.clear()
-            self.rows = []
         split = [x.split() for x in many]
         counts = np.array([len(x) for x in split], np.int64)
         codes = np.fromiter((self[w] for x in split for w in x), np.int64, int(counts.sum()))
         out = np.zeros((len(many), len(FEATURES)))
         if not len(codes):
             return out
-        facts = np.array(self.rows, np.float32)[codes]
+        self.gather()
+        facts = self.table[codes]
         full = np.flatnonzero(counts)
         starts = (np.cumsum(counts) - counts)[full]
         out[full, : len(SHARES)] = np.add.reduceat(facts, starts, axis=0, dtype=np.float64) / counts[full, None]
@@ -184,12 +194,20 @@ def typical_words(rows: DataFrame, least: int, most: int, log_odds: float) -> di
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, list[int]] = {}
-        for batch in by_bytes(batches, "text"):
+
+        def counts() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array([x[0] for x in found.values()], pa.int64()), pa.array([x[1] for x in found.values()], pa.int64())], ["word", "clean", "toxic"])
+            found.clear()
+            return out
+
+        for batch in by_bytes(batches, "text", 1 << 18):
             for toxic, text in zip(batch.column("toxic").to_pylist(), texts(batch), strict=True):
                 words = {read for w in set(text.split()) for read in forms(w) if read}
                 for w in words | {f"{w[:n]}-" for w in words for n in PREFIXES if len(w) >= n} | {""}:
                     found.setdefault(w, [0, 0])[toxic > 0] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array([x[0] for x in found.values()], pa.int64()), pa.array([x[1] for x in found.values()], pa.int64())], ["word", "clean", "toxic"])
+            if len(found) > 100_000:  # partial counts, so that memory stays bounded
+                yield counts()
+        yield counts()
 
     counted = rows.select("toxic", "text").mapInArrow(count, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     counted = staged(counted.where((F.col("toxic") >= least) | (F.col("word") == "")))
@@ -208,7 +226,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = 10_000, leas
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         facts = WordFacts(typical)
-        for batch in by_bytes(batches, "text"):
+        for batch in by_bytes(batches, "text", 1 << 20):
             x = facts.features(texts(batch))
             yield pa.RecordBatch.from_arrays([batch.column("fold"), pa.array([int(t > 0) for t in batch.column("toxic").to_pylist()], pa.int32()), pa.array(x.tolist(), pa.list_(pa.float64()))], ["fold", "toxic", "x"])
 
@@ -226,7 +244,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = 10_000, leas
 
 def score_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     facts = WordFacts(model.typical)
-    for batch in by_bytes(batches, "text"):
+    for batch in by_bytes(batches, "text", 1 << 20):
         yield batch, model.scores(facts.features(texts(batch)))
 
 
