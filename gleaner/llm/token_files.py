@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import WordCache, encoded_pieces, vocabulary_path
-from .common import by_bytes, order_buckets, running_total, staged, texts
+from .common import by_bytes, order_buckets, running_total, small_or_shuffled, staged, texts
 
 MAGIC, HEADER, BLOCK = b"FWB1", struct.Struct("<4sBIQQ"), 4096
 FILE_SCHEMA = "bucket int, seq int, n_tokens long, doc_ids array<long>, sizes array<long>, data binary"
@@ -187,5 +187,6 @@ def _read(files: DataFrame, schema: str, columns, names: list[str]) -> DataFrame
                 parts = [ids[a:b] for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(begins + row["at"], pa.int64()), *columns(parts)], ["doc_id", "start", *names])
 
-    rows = files.join(starts, ["bucket", "seq"]).select("doc_ids", "sizes", "data", "at")
+    # One row of numbers a file: broadcast while they are few, so that the files themselves aren't shuffled.
+    rows = files.join(small_or_shuffled(starts, files.count()), ["bucket", "seq"]).select("doc_ids", "sizes", "data", "at")
     return rows.mapInArrow(read, f"doc_id long, start long, {schema}")
