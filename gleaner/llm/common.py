@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Rows up to which a table of a few longs may be broadcast (about 16 MB); larger ones are shuffled.
 BROADCAST_ROWS = 1_000_000
+#: Bytes of an Arrow batch, about; a longer row stands alone.
+BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,6 +34,13 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by BATCH_BYTES where the session has Spark's own bound, so that long texts don't gather in one."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) in (None, "67108864b"):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def small_or_shuffled(table: DataFrame, rows: int | None = None) -> DataFrame:
     """Hints a broadcast if the staged table has at most BROADCAST_ROWS rows; else Spark shuffles both sides."""
     return F.broadcast(table) if (table.count() if rows is None else rows) <= BROADCAST_ROWS else table

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bytes, small_or_shuffled, staged, texts
+from .common import by_bytes, small_batches, small_or_shuffled, staged, texts
 
 # Plain insults, second-person words, and signs that stand for letters.
 LEXICON = frozenset("idiot idiots moron morons stupid loser losers pathetic worthless scum trash garbage disgusting clown dumb fool jerk filth filthy vermin hate kill die ugly retard bastard creep".split())
@@ -221,6 +221,7 @@ def typical_words(rows: DataFrame, least: int, most: int, log_odds: float) -> di
 
 def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = 10_000, least: int = 4, most_words: int = 4000, log_odds: float = 2.3) -> Model:
     """Learns typical words, trees and calibration from three disjoint folds of labelled rows."""
+    small_batches(documents.sparkSession)
     rows = training_rows(documents, labels, sample_rows)
     typical = typical_words(rows.where("fold = 1"), least, most_words, log_odds)
 

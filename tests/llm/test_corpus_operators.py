@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("gleaner.llm.queries")
@@ -184,6 +185,22 @@ def test_toxicity(spark):
     assert toxicity.without_toxic(odd, none).schema == odd.schema
 
 
+def test_small_batches(spark):
+    """Batches of long texts stay near the bound, and every row arrives; a bound of the session's own stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        common.small_batches(spark)
+        rows = spark.range(0, 120, 1, 1).selectExpr("id", "repeat('word ', 40000) AS text")
+        sizes = rows.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64()), pa.array([b.nbytes], pa.int64())], ["n", "size"]) for b in batches), "n long, size long").collect()
+        assert sum(r["n"] for r in sizes) == 120 and max(r["size"] for r in sizes) <= 2 * common.BATCH_BYTES
+        spark.conf.set(key, "1000000")
+        common.small_batches(spark)
+        assert spark.conf.get(key).startswith("1000000")
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_isotonic_rises():
     rnd = np.random.default_rng(1)
     x = rnd.normal(size=400)
