@@ -33,6 +33,12 @@ RULES = [
     ("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", False, 1, None),
 ]
 BASE = ("assign", "access", "hex")
+#: What belongs to a match but isn't needed to find it; only the extent of a match is read with it. A private key goes on
+#: to its END line; where that is missing, over header fields and base64 runs of 16 or more, and the shorter line after them.
+TAILS = {
+    "private_key": "((-?[A-Za-z0-9+/=:;,.\\\"'#>*|<()&_@ \t\r\n])*-----END [A-Z ]*PRIVATE KEY-----"
+    "|([ \t\r\n]*[A-Za-z0-9-]+: [A-Za-z0-9,-]+)*([\\\"'+>#*|, \t\r\n]*[A-Za-z0-9+/=]{16,})+([\\\"' \t]*[\r\n\\]+[\"' \t]*[A-Za-z0-9+/=]+)?)?",
+}
 
 
 class Nfa:
@@ -205,15 +211,16 @@ class SecretScanner:
     """All rules in one automaton, and each rule's own for the extent of a match."""
 
     def __init__(self, rules: list[tuple] = RULES):
-        self.rules, nfa, begins, ends = rules, Nfa(), [], {}
-        for i, (_, pattern, either, _, _) in enumerate(rules):
+        self.rules, nfa, begins, ends, whole = rules, Nfa(), [], {}, []
+        for i, (name, pattern, either, _, _) in enumerate(rules):
             a, b = nfa.add(pattern, either)
             begins.append(a)
             ends[b] = i
+            whole.append(nfa.add(pattern + TAILS[name], either) if name in TAILS else (a, b))
         self.all = Dfa(nfa, begins, ends, True)
         back = nfa.reversed()
         finals = {i: b for b, i in ends.items()}
-        self.ahead = [Dfa(nfa, [begins[i]], {finals[i]: 0}, False) for i in range(len(rules))]
+        self.ahead = [Dfa(nfa, [a], {b: 0}, False) for a, b in whole]
         self.alone = [Dfa(nfa, [begins[i]], {finals[i]: 0}, True) for i in range(len(rules))]
         self.behind = [Dfa(back, [finals[i]], {begins[i]: 0}, False) for i in range(len(rules))]
 
