@@ -4,10 +4,10 @@ Each document gets word, symbol, line and repetition counts. Beside these, norma
 and counted over distinct documents of each host (the column `source`); lines above the limit are
 boilerplate, and a document that has too little left without them is rejected.
 
-Documents are told apart by the smallest hash of their lines, so that copies of one document, with or
-without small edits, count about once, and a line is boilerplate only if at least half of the texts
-that hold it are told apart: it recurs among otherwise different texts. Removing copies is the work of
-the near-duplicate join, and a good text isn't rejected for having been copied.
+Distinct texts of a line are counted exactly. Those that have next to nothing beside lines of many
+texts are copies of one document with small edits, and count once for each set of such lines: a line is
+boilerplate if it recurs among otherwise different texts. Removing copies is the work of the
+near-duplicate join, and a good text isn't rejected for having been copied.
 
 Null texts have no words and fail the base rules. Null hosts are one host. Repeated rows get the same
 verdict. Columns of the input stay as they are; those of the rules are made in a struct of their own.
@@ -83,18 +83,28 @@ def line_hashes(documents: DataFrame) -> DataFrame:
     return documents.where(F.col("text").isNotNull()).select(*keys, hashed.alias("lines"))
 
 
-def frequent_lines(documents: DataFrame, max_documents: int, least_apart: float = 0.5) -> DataFrame:
+def frequent_lines(documents: DataFrame, max_documents: int, least_apart: float = 1 / 7) -> DataFrame:
     """(h, n_documents) of the lines that more than `max_documents` distinct documents of their host hold.
 
-    `least_apart` is the share of a line's different texts that must be told apart by their sketches:
-    most are for boilerplate in all sorts of texts, few for lines of one text and its edited copies.
+    Distinct texts are counted exactly. Lines of too few texts fall away first; what a text has beside
+    the others is its own part. A text counts as a document if its own part is `least_apart` or more of
+    its different lines or of their characters; otherwise it is a near copy (two such texts with one
+    rest have a Jaccard similarity above (1 - least_apart) / (1 + least_apart), or 0.75), and all with
+    the same rest count once.
     """
-    sketched = line_hashes(documents).select("lines", "k1", F.array_min(F.transform("lines", lambda x: x["h"])).alias("sketch"))
-    each = sketched.select(F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"), "sketch", "k1")
-    by_sketch = each.distinct().groupBy("h", "sketch").agg(F.count("*").alias("texts"))
-    counted = by_sketch.groupBy("h").agg(F.count("*").alias("n_documents"), F.sum("texts").alias("n_texts"))
-    frequent = (F.col("n_documents") > max_documents) & (F.col("n_documents") >= least_apart * F.col("n_texts"))
-    return staged(counted.where(frequent).select("h", "n_documents"))
+    hashed = line_hashes(documents).select("k1", F.array_distinct("lines").alias("lines"))
+    each = hashed.select("k1", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
+    held = staged(each.distinct().groupBy("h").agg(F.count("*").alias("n_texts")).where(F.col("n_texts") > max_documents).select("h"))
+    size = F.aggregate("lines", F.lit(0), lambda a, x: a + x["n"])
+    part = hashed.select("k1", F.size(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("n_lines"), size.alias("n_chars"), F.explode("lines").alias("line"))
+    part = part.select("k1", "n_lines", "n_chars", F.col("line.h").alias("h"), F.col("line.n").alias("n")).join(small_or_shuffled(held), "h")
+    texts = part.groupBy("k1").agg(F.first("n_lines").alias("n_lines"), F.first("n_chars").alias("n_chars"), F.collect_set(F.struct("h", "n")).alias("rest"))
+    lines = F.array_distinct(F.transform("rest", lambda x: x["h"]))
+    chars = F.aggregate("rest", F.lit(0), lambda a, x: a + x["n"])
+    apart = (F.col("n_lines") - F.size(lines) >= least_apart * F.col("n_lines")) | (F.col("n_chars") - chars >= least_apart * F.col("n_chars"))
+    counted = texts.select(F.when(apart, F.col("k1")).otherwise(F.xxhash64(F.array_sort(lines))).alias("document"), F.explode(lines).alias("h"))
+    counted = counted.distinct().groupBy("h").agg(F.count("*").alias("n_documents"))
+    return staged(counted.where(F.col("n_documents") > max_documents))
 
 
 def depleted_documents(documents: DataFrame, max_documents: int = 50, least_left: float = 0.2) -> DataFrame:

@@ -241,6 +241,22 @@ def test_quality_lines_across_documents(spark):
     assert not any(verdict[i] for i in range(20)) and all(v for k, v in verdict.items() if k >= 100)
 
 
+def test_quality_depleted_documents_by_themselves(spark):
+    """Documents that share most of their lines with each other and with no others are depleted, at any number."""
+    rnd = random.Random(4)
+    rows = []
+    for b, u in [(4, 1), (6, 2), (8, 2), (1, 1)]:
+        shared = [" ".join(f"h{b}b{k}y{j}" for j in range(60)) for k in range(b)]
+        rows += [(10_000 * b + i, "\n".join([*shared, *(f"own {rnd.randint(0, 10**9)}" for _ in range(u))]), f"h{b}") for i in range(1000 if b == 4 else 60)]
+    edited = [" ".join(f"e{k}y{j}" for j in range(15)) for k in range(8)]
+    for i in range(200):
+        at = rnd.randrange(8)
+        rows.append((i, "\n".join([*edited[:at], " ".join(f"w{rnd.randint(0, 10**9)}" for _ in range(15)), *edited[at + 1 :]]), "copies"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for r in quality.quality_rules(df).select("doc_id", "quality.kept").collect():
+        assert r["kept"] == (r["doc_id"] < 1000), r["doc_id"]
+
+
 def test_fingerprints(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = sorted(map(tuple, docs.select("doc_id", "text").collect()))
