@@ -10,8 +10,8 @@ from gleaner.llm.common import staged
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the quality rules reject."""
-    return quality.quality_rules(docs).where("quality.kept").select(docs.columns)
+    """Drops the documents that the quality rules reject, and the frequent lines of the others; n_chars follows the new text."""
+    return quality.without_boilerplate(docs)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Each document gets word, symbol, line and repetition counts. Beside these, normalised lines are hashed
 and counted over distinct documents of each host (the column `source`); lines above the limit are
-boilerplate, and a document that has too little left without them is rejected.
+boilerplate and go, and a document that has too little left without them is rejected.
 
 Distinct texts of a line are counted exactly. Those that have next to nothing beside lines of many
 texts are copies of one document with small edits, and count once for each set of such lines: a line is
@@ -107,24 +107,56 @@ def frequent_lines(documents: DataFrame, max_documents: int, least_apart: float
     return staged(counted.where(F.col("n_documents") > max_documents))
 
 
-def depleted_documents(documents: DataFrame, max_documents: int = 50, least_left: float = 0.2) -> DataFrame:
-    """(k1, k2) of the documents of whose characters less than `least_left` stand outside frequent lines."""
+def documents_with_frequent_lines(documents: DataFrame, max_documents: int = 50, least_left: float = 0.2) -> DataFrame:
+    """(k1, k2, frequent, depleted) of the documents that hold frequent lines: their hashes, and whether less than `least_left` of all characters stand outside them."""
     frequent = small_or_shuffled(frequent_lines(documents, max_documents).select("h"))
     hashed = line_hashes(documents)
     total = F.aggregate("lines", F.lit(0), lambda a, x: a + x["n"])
-    each = hashed.select("k1", "k2", total.alias("total"), F.explode(F.array_distinct("lines")).alias("line")).select("k1", "k2", "total", "line.h", "line.n")
-    lost = each.join(frequent, "h").groupBy("k1", "k2").agg(F.sum("n").alias("lost"), F.max("total").alias("total"))
-    return staged(lost.where(F.col("total") - F.col("lost") < least_left * F.col("total")).select("k1", "k2"))
+    each = hashed.select("k1", "k2", total.alias("total"), F.posexplode("lines").alias("at", "line")).select("k1", "k2", "total", "at", "line.h", "line.n")
+    found = each.join(frequent, "h").groupBy("k1", "k2").agg(F.first("total").alias("total"), F.collect_set(F.struct("at", "h", "n")).alias("found"))  # a set, as rows repeat
+    left = F.col("total") - F.aggregate("found", F.lit(0), lambda a, x: a + x["n"])
+    return staged(found.select("k1", "k2", F.array_distinct(F.transform("found", lambda x: x["h"])).alias("frequent"), (left < least_left * F.col("total")).alias("depleted")))
 
 
-def quality_rules(documents: DataFrame, min_words: int = 50, max_repeated: float = 0.5, max_documents: int = 50, least_left: float = 0.2) -> DataFrame:
-    """The documents with a struct column `quality`: counts, base_failed and kept."""
-    rejected = small_or_shuffled(depleted_documents(documents, max_documents, least_left)).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.lit(True).alias("_depleted"))
+def joined(documents: DataFrame, found: DataFrame, columns: list[Column], rows: int | None = None) -> DataFrame:
+    """All documents, with columns of those that hold frequent lines."""
+    named = small_or_shuffled(found, rows).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), *columns)
     keys = [F.xxhash64("source", "text"), F.xxhash64("text", F.lit(7), "source")]
+    return documents.join(named, (keys[0] == F.col("_k1")) & (keys[1] == F.col("_k2")), "left")
+
+
+def quality_rules(documents: DataFrame, min_words: int = 50, max_repeated: float = 0.5, max_documents: int = 50, least_left: float = 0.2, found: DataFrame | None = None) -> DataFrame:
+    """The documents with a struct column `quality`: counts, base_failed and kept.
+
+    `found` is the result of `documents_with_frequent_lines`, where it is there already.
+    """
+    found = documents_with_frequent_lines(documents, max_documents, least_left) if found is None else found
     marked = documents.withColumn("_rules", document_rules(F.col("text")))
-    marked = marked.join(rejected, (keys[0] == F.col("_k1")) & (keys[1] == F.col("_k2")), "left")
+    marked = joined(marked, found.where("depleted"), [F.lit(True).alias("_depleted")])
     words, repeated = F.col("_rules.words.n_words"), F.col("_rules.words.n_repeat_words")
     failed = (words < min_words) | (repeated > max_repeated * words)
     fields = [words.alias("n_words"), F.col("_rules.word_chars"), F.col("_rules.n_symbols"), F.col("_rules.n_dup_lines"), repeated.alias("n_repeat_words")]
     verdict = F.struct(*fields, failed.alias("base_failed"), (~failed & F.col("_depleted").isNull()).alias("kept"))
     return marked.select(*[F.col(f"`{c}`") for c in documents.columns], verdict.alias("quality"))
+
+
+def without_boilerplate(documents: DataFrame, max_documents: int = 50, least_left: float = 0.2) -> DataFrame:
+    """The documents that the rules keep, their frequent lines removed; the other lines stay as they are, in order.
+
+    The counts of the verdict are those of the whole text. `n_chars` follows a text that has changed.
+    """
+    found = documents_with_frequent_lines(documents, max_documents, least_left)
+    kept = quality_rules(documents, max_documents=max_documents, least_left=least_left, found=found).where("quality.kept").drop("quality")
+    clean = found.where("not depleted")
+    size = clean.agg(F.sum(F.size("frequent") + 1)).first()[0] or 0
+    rows = joined(kept, clean, [F.col("frequent").alias("_frequent")], size)
+
+    def stays(line: Column) -> Column:
+        plain = F.lower(F.regexp_replace(line, r"[\x20\x09\x0B-\x0D]+", " "))  # as in line_hashes
+        return ~F.array_contains("_frequent", F.xxhash64("source", F.btrim(plain, F.lit(SPACE))))
+
+    text = F.when(F.col("_frequent").isNull(), F.col("text")).otherwise(F.array_join(F.filter(F.split("text", "\n"), stays), "\n"))
+    rows = rows.withColumn("text", text)
+    if "n_chars" in documents.columns:
+        rows = rows.withColumn("n_chars", F.when(F.col("_frequent").isNull() | F.col("n_chars").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+    return rows.select(*[F.col(f"`{c}`") for c in documents.columns])

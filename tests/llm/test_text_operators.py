@@ -257,6 +257,29 @@ def test_quality_depleted_documents_by_themselves(spark):
         assert r["kept"] == (r["doc_id"] < 1000), r["doc_id"]
 
 
+def test_quality_stage_removes_frequent_lines(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(6)
+    own = lambda: "  ".join(f"w{rnd.randint(0, 10**9)}" for _ in range(40))
+    rows, expected = [], {}
+    for i in range(60):
+        a, b = own(), own()
+        rows.append((i, f"\n{a}\n\tSign  UP now \n\n{b}\nsign up now\n", "h", 5 if i else None))
+        expected[i] = (f"\n{a}\n\n{b}\n", len(f"\n{a}\n\n{b}\n") if i else None)
+    rows.append((100, f"{a}\nsign up now", "other", 5))
+    expected[100] = None
+    rows.append((101, f"{a} {b}\nsign up now", "other", 5))
+    expected[101] = (f"{a} {b}\nsign up now", 5)
+    same = f"{own()} {own()}\nsign up now"  # copies lose their line once each, and aren't depleted by their number
+    for i in range(200, 300):
+        rows.append((i, same, "h", 5))
+        expected[i] = (same.split("\n")[0], len(same.split("\n")[0]))
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.quality_stage(spark, df, SF).collect()}
+    assert got == {k: v for k, v in expected.items() if v}
+
+
 def test_fingerprints(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = sorted(map(tuple, docs.select("doc_id", "text").collect()))
