@@ -1,9 +1,12 @@
 """License scans: exact phrases and an exact containment join of text blocks with license templates.
 
-Words are lower-cased runs of letters, digits and code points beyond ASCII. A block is a line of the
-text. The join finds each block B and template T with |B ∩ T| >= threshold * |T| (sets of words),
-through filters that lose none: tokens in ascending order of their document frequency over the whole
-table, template prefixes, the length of the block, and the place of the first common token.
+Words are lower-cased runs of letters, digits and code points beyond ASCII. Notices may be wrapped: a
+block is a line, or a line with those after it in its paragraph (up to a line without words) that
+REACH times as many words as the template has can touch. The join finds each block B and template T
+with |B ∩ T| >= threshold * |T| (sets of words), through filters that lose none: tokens in ascending
+order of their document frequency over the whole table, template prefixes, the length of the block,
+and the place of the first common token. They are applied to whole paragraphs, which hold all their
+blocks, and blocks are compared with the templates that their paragraph meets.
 
 Null and empty texts have no words, labels or places, and score 0. Repeated rows are scanned alike;
 further columns are not read. Only the words of the templates, a fixed list, are counted and broadcast.
@@ -42,6 +45,8 @@ TEMPLATES = [
 ]
 #: Bytes of words stay, lower-cased; all others become spaces.
 TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 10 if b == 10 else 32 for b in range(256))
+#: Words after the first line of a block, for each word of the template; more than 1, as comment marks such as "rem" may stand between.
+REACH = 1.5
 SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels array<string>, labels array<string>, score double, blocks array<struct<template:int,line:int,containment:double>>"
 
 
@@ -69,6 +74,7 @@ class TemplateIndex:
         self.order = {w.encode(): i for i, w in enumerate(words)}
         self.sets = [sorted({self.order[w.encode()] for w in t.split()}) for _, t in templates]
         self.labels = [label for label, _ in templates]
+        self.reach = [ceil(REACH * len(t.split())) for _, t in templates]
         self.need = [max(1, ceil(threshold * len(s) - 1e-9)) for s in self.sets]
         self.prefixes: dict[int, list[tuple[int, int]]] = {}
         for t, (tokens, need) in enumerate(zip(self.sets, self.need, strict=True)):
@@ -94,6 +100,27 @@ class TemplateIndex:
                     if both >= self.need[t]:
                         yield t, both / len(self.sets[t])
 
+    def notices(self, paragraph: list[list[bytes]]) -> Iterator[tuple[int, int, float]]:
+        """(template, first line, containment) of the blocks of a paragraph that meet a template.
+
+        A block that meets it is left out where it begins with a line that doesn't meet it alone and
+        holds no more of it than the block that begins a line later.
+        """
+        for t, most in self.search([w for line in paragraph for w in line]):
+            if len(paragraph) == 1:
+                yield t, 0, most
+                continue
+            wanted, size, need = frozenset(self.sets[t]), len(self.sets[t]), self.need[t]
+            held = [wanted.intersection(map(self.order.get, line)) for line in paragraph]
+            later = 0
+            for i in range(len(paragraph) - 1, -1, -1):
+                both, words, j = held[i], 0, i + 1
+                while j < len(paragraph) and words < self.reach[t] and len(both) < size:
+                    both, words, j = both | held[j], words + len(paragraph[j]), j + 1
+                if len(both) >= need and (len(held[i]) >= need or len(both) > later):
+                    yield t, i, len(both) / size
+                later = len(both)
+
 
 def phrase_places(flat: bytes, phrases: dict[bytes, str]) -> dict[str, list[int]]:
     """Starts, in words, of each phrase in words joined by spaces with a space at both ends."""
@@ -106,6 +133,21 @@ def phrase_places(flat: bytes, phrases: dict[bytes, str]) -> dict[str, list[int]
     return found
 
 
+def paragraphs(plain: bytes) -> Iterator[tuple[int, list[list[bytes]]]]:
+    """(number of the first line, words of each line) of the runs of lines that have words."""
+    first, held = 0, []
+    for number, line in enumerate(plain.split(b"\n")):
+        if words := line.split():
+            if not held:
+                first = number
+            held.append(words)
+        elif held:
+            yield first, held
+            held = []
+    if held:
+        yield first, held
+
+
 def scan(documents: DataFrame, threshold: float = 0.8, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """One row a document (SCHEMA): base phrases, labels, and each block that meets a template.
 
@@ -126,9 +168,10 @@ def scan(documents: DataFrame, threshold: float = 0.8, templates: list[tuple[str
                 places = phrase_places(b" " + b" ".join(words) + b" ", phrases)
                 blocks = []
                 if not known.rare.isdisjoint(words):
-                    for line, block in enumerate(plain.split(b"\n")):
-                        if not known.rare.isdisjoint(block := block.split()):
-                            blocks += [{"template": t, "line": line, "containment": c} for t, c in known.search(block)]
+                    for first, paragraph in paragraphs(plain):
+                        if not all(map(known.rare.isdisjoint, paragraph)):
+                            blocks += [{"template": t, "line": first + line, "containment": c} for t, line, c in known.notices(paragraph)]
+                    blocks.sort(key=lambda b: (b["line"], b["template"]))
                 all_places = [p for x in places.values() for p in x]
                 labels = sorted(places.keys() | {known.labels[b["template"]] for b in blocks})
                 score = 1.0 if places else max((b["containment"] for b in blocks), default=0.0)

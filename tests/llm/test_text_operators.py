@@ -134,6 +134,28 @@ def test_licenses(spark):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_licenses_in_wrapped_text(spark):
+    import textwrap
+
+    cases = []
+    for t, (_, template) in enumerate(licenses.TEMPLATES):
+        for width in (20, 40, 72):
+            for mark in ("", " * ", "rem "):
+                lines = textwrap.wrap(f"copyright 2020 somebody else. {template} and so on.", width)
+                cases.append((t, "first line\n\n" + "\n".join(mark + x for x in lines) + "\n\nlast line"))
+    half = "permission to use copy modify and or distribute this software"
+    cases.append((None, half + "\n\n" + "for any purpose with or without fee is hereby granted"))  # two paragraphs
+    cases.append((None, "\n".join([half, *["another line of words"] * 20, "for any purpose with or without fee is hereby granted"])))
+    docs = spark.createDataFrame([(i, x) for i, (_, x) in enumerate(cases)], "doc_id long, text string")
+    for r in licenses.scan(docs).collect():
+        t = cases[r["doc_id"]][0]
+        found = [b["containment"] for b in r["blocks"] if b["template"] == t]
+        if t is None:
+            assert not r["blocks"]
+        else:
+            assert max(found) == 1 and licenses.TEMPLATES[t][0] in r["labels"] and r["score"] == 1
+
+
 BASE = [("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), lambda m: len(m[2]) >= 12), ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18), ("hex", re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 16)]
 
 
