@@ -5,9 +5,12 @@ many distinct pages a subtree recurs; those that recur on many are the site's te
 elements whose name, class, id or role says that they aren't the article. The blocks that remain in
 the article element (or, without one, in the body) are the main text.
 
-Copies of one page count once (pages are told apart by a hash of their longest text), and headings and
-paragraphs inside an article element are never taken for template, so that a text that is published
-twice keeps its passages. Null html is empty and gives an empty text; a null url is one host. Broken
+Pages are told apart by their whole remaining text, and copies count once. What a page has beside texts
+that recur on the host is its own part; pages of which less than OWN is their own are near copies, and
+count once for each set of recurring texts. For elements inside an article, the own part of the article
+counts, and for its headings and paragraphs it must be most of it, so that a text that is published
+twice keeps its passages. The pages that make a template grow with the host's up to 100 pages, and with
+their square root from there. Null html is empty and gives an empty text; a null url is one host. Broken
 markup is read as far as it goes: what isn't closed ends with its parent or the page. Repeated rows
 give repeated results; further columns are not read.
 """
@@ -32,6 +35,8 @@ NOT_ARTICLE = frozenset("nav header footer aside form button select dialog menu
 BLOCKS = frozenset("address article aside blockquote body br dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section table tbody td tfoot th thead tr ul summary caption".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th".split())
 HEAD = frozenset("title meta link base script style noscript template".split())
+#: Share of the texts of a page, or of their characters, that is its own, from which on it isn't a near copy.
+OWN = 1 / 7
 #: A new one of these ends an open one of the same group.
 ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("article section div ul ol table body main aside nav blockquote td dl".split())
@@ -132,28 +137,50 @@ def digest(node: Node) -> bytes:
     return node.digest
 
 
-def template_candidates(root: Node) -> Iterator[Node]:
-    """Subtrees that may be template: block elements that aren't excluded anyway, nor prose of an article."""
+def template_candidates(root: Node) -> Iterator[tuple[Node, int]]:
+    """Subtrees that may be template, which are block elements that aren't excluded anyway: 1 outside an article, 2 inside, 3 for its prose."""
     left = [root]
     while left:
         for x in left.pop().parts:
             if isinstance(x, Node) and not x.out:
                 if x.name in BLOCKS and x.name not in ("html", "body", "article", "main") and not (x.inside and x.name in PROSE):
-                    yield x
+                    yield x, 2 if x.inside else 1
                 left.append(x)
 
 
-def signature(root: Node) -> bytes:
-    """A hash of the longest text, which tells pages apart."""
-    longest, left = "", [root]
+def pieces(top: Node, template: set[bytes]) -> Iterator[tuple[str, bool]]:
+    """The texts between block elements, white space made single, and whether each is inside an article."""
+    held, inside, left = [], False, [top]
     while left:
-        for x in left.pop().parts:
-            if isinstance(x, Node):
-                if not x.out:
-                    left.append(x)
-            elif len(x) > len(longest):
-                longest = x
-    return blake2b(longest.encode("utf-8", "replace"), digest_size=8).digest()
+        now = left.pop()
+        if isinstance(now, tuple):
+            text, inside = now
+            held.append(entities.unescape(text) if "&" in text else text)
+            continue
+        out = now is not None and (now.out and now is not top or now.digest in template)
+        if now is None or now.name in BLOCKS:
+            if words := " ".join("".join(held).split()):
+                yield words, inside
+            held.clear()
+        if now is not None and not out:
+            if now.name in BLOCKS:
+                left.append(None)
+            left += [x if isinstance(x, Node) else (x, now.inside) for x in reversed(now.parts)]
+    if words := " ".join("".join(held).split()):
+        yield words, inside
+
+
+def number(*parts: bytes) -> int:
+    return int.from_bytes(blake2b(b"\x00".join(parts), digest_size=8).digest(), "big", signed=True)
+
+
+def page_rows(root: Node) -> tuple[int, dict[tuple[int, int], int]]:
+    """A hash of the whole remaining text, and (kind, hash): length of the page (kind 0), its subtrees (1 to 3) and its texts (4, inside an article 5)."""
+    own = [(words.encode("utf-8", "replace"), inside) for words, inside in pieces(root, set())]
+    found = {(0, 0): 0}
+    found |= {(kind, int.from_bytes(x.digest, "big", signed=True)): 0 for x, kind in template_candidates(root)}
+    found |= {(5 if inside else 4, number(words)): len(words) for words, inside in own}
+    return number(*(words for words, _ in own)), found
 
 
 def main_text(root: Node, template: set[bytes]) -> list[str]:
@@ -172,31 +199,7 @@ def main_text(root: Node, template: set[bytes]) -> list[str]:
                 return found
         return [root]
 
-    blocks, held = [], []
-
-    def close() -> None:
-        if words := " ".join("".join(held).split()):
-            blocks.append(words)
-        held.clear()
-
-    for top in roots():
-        left: list = [top]
-        while left:
-            now = left.pop()
-            if isinstance(now, str):
-                held.append(entities.unescape(now) if "&" in now else now)
-            elif now is None:
-                close()
-            elif now.out and now is not top or now.digest in template:
-                if now.name in BLOCKS:
-                    close()
-            else:
-                if now.name in BLOCKS:
-                    close()
-                    left.append(None)
-                left += reversed(now.parts)
-        close()
-    return blocks
+    return [words for top in roots() for words, _ in pieces(top, template)]
 
 
 def host_column() -> Column:
@@ -205,26 +208,45 @@ def host_column() -> Column:
 
 
 def site_templates(pages: DataFrame, min_pages: int = 5, min_share: float = 0.05) -> DataFrame:
-    """(host, subtree) of the subtrees that recur on `min_pages` distinct pages and that share of the host's pages, at least."""
+    """(host, subtree) of the subtrees that recur on `min_pages` distinct pages, at least, and on that share of the host's pages.
+
+    Beyond 100 pages of a host, the share is of 10 times the square root of their number.
+    """
+    names, kinds = ["host", "page", "kind", "key", "n"], [pa.string(), *[pa.int64()] * 4]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "html"):
-            hosts, marks, found = [], [], []
+            columns: list[list] = [[] for _ in names]
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 root = parsed(page or "")
                 digest(root)
-                mark = int.from_bytes(signature(root), "big", signed=True)
-                own = {x.digest for x in template_candidates(root)}
-                for x in [b"\x00" * 8, *own]:  # the first stands for the page itself
-                    hosts.append(host)
-                    marks.append(mark)
-                    found.append(int.from_bytes(x, "big", signed=True))
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(found, pa.int64()), pa.array(marks, pa.int64())], ["host", "subtree", "page"])
-
-    each = pages.select(host_column().alias("host"), "html").mapInArrow(run, "host string, subtree long, page long")
-    counted = staged(each.distinct().groupBy("host", "subtree").agg(F.count("*").alias("n_pages")).where(F.col("n_pages") >= min_pages))
-    of_host = counted.where("subtree = 0").select("host", F.col("n_pages").alias("of"))
-    return counted.where("subtree <> 0").join(of_host, "host").where(F.col("n_pages") >= min_share * F.col("of")).select("host", "subtree")
+                mark, found = page_rows(root)
+                for (kind, key), n in found.items():
+                    for column, value in zip(columns, (host, mark, kind, key, n), strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    each = pages.select(host_column().alias("host"), "html").mapInArrow(run, "host string, page long, kind long, key long, n long")
+    each = staged(each.groupBy("host", "page", "kind", "key").agg(F.max("n").alias("n"))).withColumn("text", F.col("kind") > 3)
+    often = staged(each.where("kind > 0").groupBy("host", "text", "key").agg(F.count_distinct("page").alias("n_pages")).where(F.col("n_pages") >= min_pages).select("host", "text", "key"))
+    texts, subtrees = (small_or_shuffled(staged(often.where(x).select("host", "key"))) for x in ("text", "not text"))
+
+    own, inside = F.col("often").isNull(), F.col("kind") == 5
+    sums = {"own": own, "all": F.lit(True), "own_in": own & inside, "all_in": inside}
+    counts = [F.count_if(c).alias(f"n_{x}") for x, c in sums.items()] + [F.sum(F.when(c, F.col("n")).otherwise(0)).alias(f"c_{x}") for x, c in sums.items()]
+    rest = [F.xxhash64(F.array_sort(F.collect_set(F.when(c, F.col("key"))))).alias(x) for x, c in (("rest", ~own), ("rest_in", ~own & inside))]
+    rows = each.where("text").join(texts.withColumn("often", F.lit(True)), ["host", "key"], "left")
+    apart = {x: (F.col(f"n_own{x}") >= OWN * F.col(f"n_all{x}")) | (F.col(f"c_own{x}") >= OWN * F.col(f"c_all{x}")) for x in ("", "_in")}
+    most = (2 * F.col("n_own_in") > F.col("n_all_in") - 1) | (2 * F.col("c_own_in") > F.col("c_all_in"))
+    named = rows.groupBy("host", "page").agg(*counts, *rest)
+    document = F.when(apart[""], F.col("page")).otherwise(F.col("rest"))
+    named = staged(named.select("host", "page", document.alias("d1"), F.when(apart["_in"], F.col("page")).otherwise(F.col("rest_in")).alias("d2"), F.when(most, document).alias("d3")))
+
+    of_host = staged(named.groupBy("host").agg(F.count_distinct("d1").alias("of")))
+    held = each.where("kind between 1 and 3").join(subtrees, ["host", "key"]).join(named, ["host", "page"])
+    counted = held.groupBy("host", "key").agg(F.count_distinct(F.when(F.col("kind") == 1, F.col("d1")).when(F.col("kind") == 2, F.col("d2")).otherwise(F.col("d3"))).alias("n_pages"))
+    least = F.greatest(F.lit(float(min_pages)), min_share * F.col("of"))
+    return counted.join(small_or_shuffled(of_host), "host").where(F.col("n_pages") >= least).select("host", F.col("key").alias("subtree"))
 
 
 def extract(pages: DataFrame, min_pages: int = 5, min_share: float = 0.05) -> DataFrame:
