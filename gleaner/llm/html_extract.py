@@ -143,8 +143,8 @@ def template_candidates(root: Node) -> Iterator[tuple[Node, int]]:
     while left:
         for x in left.pop().parts:
             if isinstance(x, Node) and not x.out:
-                if x.name in BLOCKS and x.name not in ("html", "body", "article", "main") and not (x.inside and x.name in PROSE):
-                    yield x, 2 if x.inside else 1
+                if x.name in BLOCKS and x.name not in ("html", "body", "article", "main"):
+                    yield x, 1 if not x.inside else 3 if x.name in PROSE else 2
                 left.append(x)
 
 
@@ -245,7 +245,7 @@ def site_templates(pages: DataFrame, min_pages: int = 5, min_share: float = 0.05
     of_host = staged(named.groupBy("host").agg(F.count_distinct("d1").alias("of")))
     held = each.where("kind between 1 and 3").join(subtrees, ["host", "key"]).join(named, ["host", "page"])
     counted = held.groupBy("host", "key").agg(F.count_distinct(F.when(F.col("kind") == 1, F.col("d1")).when(F.col("kind") == 2, F.col("d2")).otherwise(F.col("d3"))).alias("n_pages"))
-    least = F.greatest(F.lit(float(min_pages)), min_share * F.col("of"))
+    least = F.greatest(F.lit(float(min_pages)), min_share * F.least(F.col("of").cast("double"), 10 * F.sqrt("of")))
     return counted.join(small_or_shuffled(of_host), "host").where(F.col("n_pages") >= least).select("host", F.col("key").alias("subtree"))
 
 

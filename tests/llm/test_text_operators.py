@@ -228,13 +228,17 @@ def test_html_long_shared_block_and_article_prose(spark):
     long = "We use your data as our terms say and you agree to that by reading on. " * 8
     pages = [(i, f"http://a.example/{i}", f"<body><article><h1>Head {i}</h1><p>short {i}</p><div>{long}</div></article>") for i in range(12)]
     pages += [(100 + i, f"http://b.example/{i}", f"<body><p>{long}</p><div><p>short one {i}</p><p>short two {i}</p></div>") for i in range(12)]
+    pages += [(200 + i, f"http://c.example/{i}", f"<article><h1>Head {i}</h1><p>one {i}</p><p>Subscribe to our newsletter</p><ul><li>Buy this</li><li>own {i}</li></ul><p>two {i}</p></article>") for i in range(12)]
     copy = "".join(f"<p>the same passage {k}</p>" for k in range(9))
     pages += [(300 + i, f"http://d.example/{i}", f"<div><p>links {i}</p><p>more {i}</p><p>others {i}</p></div><article><h1>T</h1>{copy}<p>seen {i} times</p></article>") for i in range(12)]
+    pages += [(1000 + i, f"http://hot.example/{i}", f"<article><h1>Head {i}</h1><p>one {i}</p>{'<p>Subscribe</p>' if i < 80 else ''}<p>two {i}</p></article>") for i in range(2000)]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
     got = {r["page_id"]: " ".join(r["blocks"]) for r in html_extract.extract(df).collect()}
     for i in range(12):
         assert got[i] == f"Head {i} short {i}" and got[100 + i] == f"short one {i} short two {i}"
+        assert got[200 + i] == f"Head {i} one {i} own {i} two {i}"
         assert got[300 + i] == "T " + " ".join(f"the same passage {k}" for k in range(9)) + f" seen {i} times"
+    assert all(got[1000 + i] == f"Head {i} one {i} two {i}" for i in range(2000))
 
 
 def quality_base(text):
