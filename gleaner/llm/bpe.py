@@ -5,7 +5,8 @@ normalised, cut into pieces, and merged together: the symbols of all pieces stan
 and each round finds the pair of lowest rank of every piece by binary search over sorted pair keys.
 
 Null and empty texts have no ids. Repeated rows are encoded alike; further columns are not looked at.
-The strings of special tokens in a text become their ids, as the vocabulary's own library does.
+The strings of special tokens in a text become their ids, as the vocabulary's own library does. Words
+with code points on which versions of Unicode differ are normalised and cut by that library.
 """
 
 from __future__ import annotations
@@ -68,6 +69,7 @@ class Vocabulary:
         made = np.full(self.size, -1, np.int64)
         np.maximum.at(made, into, np.arange(len(into)))
         self.at_once = bool((np.maximum(made[left], made[right]) < np.arange(len(into))).all())
+        self.odd = OddWords(path)
 
     def merged(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces, one after another, and how many each has."""
@@ -108,14 +110,48 @@ class Vocabulary:
 
     def encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words without white space, one after another, and how many each has."""
-        return encoded_pieces(words, self.merged)
+        return encoded_pieces(words, self.merged, self.odd)
 
 
-def encoded_pieces(words: list[str], encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(1)
+def odd_letters() -> re.Pattern:
+    """Code points that versions of Unicode class or order differently: unassigned ones, and marks beyond the common ones."""
+    odd = [c for c in range(0x370, 0x110000) if unicodedata.category(chr(c)) in ("Cn", "Mn")]
+    starts = [c for c, before in zip(odd, [-1, *odd], strict=False) if c != before + 1]
+    ends = [c for c, after in zip(odd, [*odd[1:], -1], strict=True) if after != c + 1]
+    return re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends, strict=True)) + "]")
+
+
+class OddWords:
+    """Normalises and cuts the few words with such code points by the vocabulary's own library."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(path)
+        self.normalizer, self.cutter = library.normalizer, library.pre_tokenizer
+        self.bytes = {x: b for b, x in enumerate(byte_letters())}
+
+    def __call__(self, word: str) -> list[bytes]:
+        return [bytes(map(self.bytes.__getitem__, piece)) for piece, _ in self.cutter.pre_tokenize_str(self.normalizer.normalize_str(word))]
+
+
+def encoded_pieces(words: list[str], encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], odd_pieces: Callable[[str], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Normalises words, cuts them into pieces, and encodes each different piece once."""
     bulk = "\n".join(words)
     latin = bulk.isascii() or max(bulk) <= "\xff"
     if not latin:
+        odd = np.array([bool(odd_letters().search(w)) for w in words]) if odd_letters().search(bulk) else np.zeros(0, bool)
+        if odd.any():
+            flat, sizes = encoded_pieces([w for w, o in zip(words, odd.tolist(), strict=True) if not o], encode, odd_pieces)
+            cut = [odd_pieces(w) for w, o in zip(words, odd.tolist(), strict=True) if o]
+            own, lengths = encode([x for pieces in cut for x in pieces])
+            parts = np.array([len(x) for x in cut], np.int64)
+            own_sizes = np.diff(np.append(0, np.append(0, np.cumsum(lengths))[np.cumsum(parts)]))
+            sizes = np.concatenate([sizes, own_sizes])
+            order = np.empty(len(words), np.int64)
+            order[np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)])] = np.arange(len(words))
+            return gathered(np.concatenate([flat, own]), np.cumsum(sizes) - sizes, sizes, order)
         bulk = unicodedata.normalize("NFC", bulk).replace("Σ", "σ")
     bulk = bulk.lower()
     latin = latin or bulk.isascii()
@@ -154,19 +190,49 @@ class Numbers(dict):
 
 
 class WordCache:
-    """Ids of words seen before; emptied beyond `limit` words, so that memory stays bounded."""
+    """Ids of words seen before.
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], special: dict[str, int], limit: int = 500_000):
-        self.encode, self.special, self.limit = encode, special, limit
+    Beyond `limit` words, or `most_chars` code points of them, only words that came again stay, the
+    most frequent half at most, so that memory is bounded by bytes and frequent words are encoded once.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], special: dict[str, int], limit: int = 500_000, most_chars: int = 16 << 20):
+        self.encode, self.special, self.limit, self.most_chars = encode, special, limit, most_chars
         self.cut = re.compile("|".join(map(re.escape, special))) if special else None
         self.clear()
 
     def clear(self) -> None:
         self.index = Numbers((x, i) for i, x in enumerate(self.special))
-        self.flat, self.used = np.zeros(1 << 16, np.int32), len(self.special)
+        self.flat, self.used, self.chars = np.zeros(1 << 16, np.int32), len(self.special), 0
         self.flat[: self.used] = list(self.special.values())
         self.starts = np.arange(self.used, dtype=np.int64)
         self.sizes = np.ones(self.used, np.int64)
+        self.seen = np.zeros(self.used, np.int64)
+
+    def trim(self) -> None:
+        """Forgets words that came once, and of the others all but the most frequent."""
+        first = len(self.special)
+        stay = first + np.flatnonzero(self.seen[first:] > 1)
+        stay = np.sort(stay[np.argsort(-self.seen[stay], kind="stable")][: self.limit // 2])
+        words = list(self.index)
+        kept, flat, starts, sizes = [words[i] for i in stay.tolist()], self.flat, self.starts, self.sizes
+        self.clear()
+        if sum(map(len, kept)) > self.most_chars // 2:
+            return
+        for word in kept:
+            self.index[word]
+        self.add(kept, *gathered(flat, starts, sizes, stay))
+
+    def add(self, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
+        """Stores the ids of words that have got their numbers."""
+        if self.used + len(flat) > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.used], np.zeros(max(len(flat), self.used), np.int32)])
+        self.flat[self.used : self.used + len(flat)] = flat
+        self.starts = np.concatenate([self.starts, self.used + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.seen = np.concatenate([self.seen, np.zeros(len(words), np.int64)])
+        self.used += len(flat)
+        self.chars += sum(map(len, words))
 
     def words(self, text: str) -> list[str]:
         if self.cut and "<" in text:
@@ -177,8 +243,8 @@ class WordCache:
 
     def ids(self, many: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and how many each has."""
-        if len(self.index) > self.limit:
-            self.clear()
+        if len(self.index) > self.limit or self.chars > self.most_chars:
+            self.trim()
         known, codes, counts = len(self.index), [], []
         for text in many:
             found = self.words(text)
@@ -186,14 +252,9 @@ class WordCache:
             codes.append(np.fromiter(map(self.index.__getitem__, found), np.int64, len(found)))
         if len(self.index) > known:
             new = list(islice(reversed(self.index), len(self.index) - known))[::-1]
-            flat, sizes = self.encode(new)
-            if self.used + len(flat) > len(self.flat):
-                self.flat = np.concatenate([self.flat[: self.used], np.zeros(max(len(flat), self.used), np.int32)])
-            self.flat[self.used : self.used + len(flat)] = flat
-            self.starts = np.concatenate([self.starts, self.used + np.cumsum(sizes) - sizes])
-            self.sizes = np.concatenate([self.sizes, sizes])
-            self.used += len(flat)
+            self.add(new, *self.encode(new))
         codes = np.concatenate(codes) if codes else np.zeros(0, np.int64)
+        self.seen += np.bincount(codes, minlength=len(self.seen))
         flat, lengths = gathered(self.flat, self.starts, self.sizes, codes)
         ends = np.append(0, np.cumsum(lengths))[np.append(0, np.cumsum(counts)).astype(np.int64)]
         return flat, np.diff(ends)

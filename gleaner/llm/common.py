@@ -19,14 +19,29 @@ BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares; a temporary one only where none is set, as in tests."""
+    """The folder that the cluster shares; where none is set, a temporary one if Spark runs in one process, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+def columns(df: DataFrame) -> list[Column]:
+    """The columns of a table, whatever their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A name that no column of `df` has, in any letter case."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted = "_" + wanted
+    return wanted
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Writes a table in the shared folder and reads it again: short lineage, and nothing kept on one executor."""
     path = f"{shared_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
@@ -46,6 +61,20 @@ def small_or_shuffled(table: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(table) if (table.count() if rows is None else rows) <= BROADCAST_ROWS else table
 
 
+def join_hot(left: DataFrame, right: DataFrame, key: str, rows: str, rows_of_left: int, how: str = "left") -> DataFrame:
+    """Left or inner join with a staged table of unique keys that states how many `rows` of `left` each has.
+
+    Keys with so many rows that no more than BROADCAST_ROWS such keys can exist (at least 1,000) are
+    broadcast, so that no task gets all rows of one key; the others are shuffled.
+    """
+    if (n := right.count()) <= BROADCAST_ROWS:
+        return left.join(small_or_shuffled(right, n), key, how)
+    least = max(1000, rows_of_left // BROADCAST_ROWS)
+    hot = F.broadcast(right.where(F.col(rows) > least))  # at most BROADCAST_ROWS, by the choice of `least`
+    cold = left.join(hot.select(key), key, "left_anti").join(right.where(F.col(rows) <= least), key, how)
+    return left.join(hot, key).unionByName(cold)
+
+
 def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that the texts of each have about `limit` bytes; one longer text stands alone."""
     for batch in batches:
@@ -75,10 +104,11 @@ def order_buckets(df: DataFrame, key: str, rows_each: int = 2000) -> tuple[DataF
     """Cuts ascending values of `key` into ranges of about `rows_each` rows.
 
     Returns the input, a column with the number of the range (0 first; nulls in 0), and how many
-    ranges there are. The cuts are literals, so that each evaluation agrees; there are at most 4,096.
+    ranges there are. The cuts are literals, so that each evaluation agrees; there are at most 65,536,
+    looked up in two steps of 256.
     """
     n = df.count()
-    parts = max(1, min(4096, n // rows_each))
+    parts = max(1, min(1 << 16, n // rows_each))
     cuts: list = []
     if parts > 1:
         share = [i / parts for i in range(1, parts)]
@@ -92,46 +122,52 @@ def order_buckets(df: DataFrame, key: str, rows_each: int = 2000) -> tuple[DataF
         mid = (low + high) // 2
         return F.when(F.col(key) <= F.lit(cuts[mid]), search(low, mid)).otherwise(search(mid + 1, high))
 
+    def below(values: Column) -> Column:
+        return F.size(F.filter(values, lambda c: c < F.col(key)))
+
     if len(cuts) <= 64:
         found = search(0, len(cuts))
-    else:  # two steps, as one nested expression would be too large to compile
-        found = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(key)))
+    elif len(cuts) <= 256:  # one nested expression would be too large to compile
+        found = below(F.array(*map(F.lit, cuts)))
+    else:
+        lots = [cuts[i : i + 256] for i in range(0, len(cuts), 256)]
+        lot = F.least(below(F.array(*[F.lit(x[-1]) for x in lots])), F.lit(len(lots) - 1))
+        found = F.get(F.transform(F.array(lot), lambda i: i * 256 + below(F.get(F.array(*[F.array(*map(F.lit, x)) for x in lots]), i))), F.lit(0))
     return df, F.when(F.col(key).isNull(), F.lit(0)).otherwise(found).cast("int"), len(cuts) + 1
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Smallest id reachable from each id: (id, component), for edges (a, b) of longs.
 
-    Alternates large-star and small-star steps, each one groupBy, over staged tables until nothing
-    changes. Hot ids cost nothing special: only minima are aggregated, and joins are split by AQE.
+    Alternates large-star and small-star steps over staged tables until nothing changes. Of a hot id only
+    the minimum is aggregated, and what joins it is dealt by `join_hot`.
     """
     spark = edges.sparkSession
     now = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
-    for _ in range(rounds):
-        if now.isEmpty():
+    while True:  # each turn that changes something brings ids nearer to their smallest
+        n = now.count()
+        if not n:
             return spark.createDataFrame([], "id long, component long")
         both = now.union(now.select("b", "a"))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        low = staged(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("n")))
+        large = join_hot(both, low, "a", "n", 2 * n, "inner").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = staged(large.where("a <> b").union(low.where("m < a").select("a", F.col("m").alias("b"))).distinct())
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
+        low = staged(down.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")))
+        small = join_hot(down, low, "a", "n", 2 * n, "inner").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
         now = staged(small.where("a <> b").distinct())
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break
         before = state
-    else:
-        raise RuntimeError("components did not settle")
     named = now.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "id")
     roots = now.select(F.col("b").alias("id")).distinct().join(named.select("id"), "id", "left_anti")
     return named.union(roots.select("id", F.col("id").alias("component")))
 
 
 def running_total(df: DataFrame, part: str, value: str) -> DataFrame:
-    """Sums `value` over all earlier parts; one row for each part, of which there are few thousands at most."""
+    """Sums `value` over all earlier parts; one row for each part, of which there are 65,536 at most."""
     totals = df.groupBy(part).agg(F.sum(value).alias("total"))
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(part, F.coalesce(F.sum("total").over(before), F.lit(0)).alias("before"))

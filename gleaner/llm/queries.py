@@ -75,7 +75,7 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files.token_checksums(token_files.write_token_files(table(spark, sf_dir, "documents")))
+    return token_files.token_checksums(spark, token_files.write_token_files(table(spark, sf_dir, "documents")))
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_ngram_join, op3_html, op4_licenses, op5_toxicity, op6_quality, op7_secrets, op8_packing, op9_fingerprints, op10_token_files)}

@@ -52,13 +52,35 @@ def test_bpe_matches_library(spark, library):
 
 
 def test_bpe_random_unicode(library):
-    own = bpe.vocabulary(public_tokenizers.path("word_bpe_49k.json"))
-    cache = bpe.WordCache(own.encoded, own.special, limit=50)
+    """The numpy encoder and the cached library, both with caches that forget, on random code points of many kinds."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, other = bpe.vocabulary(path), token_files.LibraryVocabulary(path)
+    caches = [bpe.WordCache(own.encoded, own.special, limit=50), bpe.WordCache(other.encoded, other.special, most_chars=400)]
     rnd = random.Random(7)
     pool = ["a", "B", "É", "Σ", "ΟΔΟΣ", "İ", "ß", "<|endoftext|>", "'s", "'LL", "1", "²", "½", "́", "中", "🙂", " ", "\n", "\x1c", "\x85", "\xa0", "_", "aaaa", "the", "Ⅷ", "ǅ"]
-    for _ in range(1500):
-        text = "".join(rnd.choice(pool) for _ in range(rnd.randint(0, 14)))
-        assert cache.ids([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    for n in range(2500):
+        if n % 5 == 4:  # any code points but surrogates
+            text = "".join(chr(rnd.choice([rnd.randint(0, 0x2FF), rnd.randint(0x300, 0x36F), rnd.randint(0x1100, 0x11FF), rnd.randint(0x370, 0xD7FF), rnd.randint(0xE000, 0x10FFFF)])) for _ in range(rnd.randint(0, 12)))
+        else:
+            text = "".join(rnd.choice(pool) for _ in range(rnd.randint(0, 14)))
+        want = library.encode(text, add_special_tokens=False).ids
+        for cache in caches:
+            assert cache.ids([text])[0].tolist() == want, repr(text)
+
+
+def test_word_cache_keeps_frequent_words():
+    calls = []
+
+    def encode(words):
+        calls.extend(words)
+        return np.array([i for w in words for i in (len(w), ord(w[0]))], np.int64), np.full(len(words), 2)
+
+    cache = bpe.WordCache(encode, {"<s>": 7}, limit=20)
+    for n in range(60):
+        flat, sizes = cache.ids([f"the w{n} <s> the", f"x{n}"])
+        assert flat.tolist() == [3, ord("t"), 1 + len(str(n)), ord("w"), 7, 3, ord("t"), 1 + len(str(n)), ord("x")] and sizes.tolist() == [7, 2]
+        assert len(cache.index) <= 23
+    assert calls.count("the") == 1
 
 
 @pytest.mark.parametrize("bits", [1, 3, 7, 13, 16, 17, 31])
@@ -66,9 +88,14 @@ def test_packed_ids_round_trip(bits):
     rnd = np.random.default_rng(bits)
     for n in (0, 1, 5, 4095, 4096, 4097, 10_000):
         ids = rnd.integers(0, 1 << bits, n)
-        packed = token_files.PackedIds(token_files.pack(ids, bits))
-        assert packed.read().tolist() == ids.tolist()
+        cuts = [0, 0, n // 3, n // 2, n]
+        data = token_files.pack(ids, bits, docs=[None, None, -5, 1 << 60], sizes=np.diff(cuts).tolist(), place=(3, 4))
+        packed = token_files.PackedIds(data + b"\n")
+        plain = "".join(f"{i:0{bits}b}"[::-1] for i in ids.tolist())  # the lowest bit of each id and byte first
+        assert data[-(-(-n * bits // 8)) or len(data) :] == bytes(int(plain[i : i + 8][::-1], 2) for i in range(0, len(plain), 8))
+        assert packed.read().tolist() == ids.tolist() and packed.docs == [None, None, -5, 1 << 60] and packed.place == (3, 4)
         assert packed.read(n // 3, n // 2 + 1).tolist() == ids[n // 3 : n // 2 + 1].tolist()
+        assert [packed.document(i).tolist() for i in range(4)] == [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:], strict=False)]
     with pytest.raises(ValueError):
         token_files.pack(np.array([1 << bits]), bits)
 
@@ -87,17 +114,23 @@ def test_token_files(spark, library):
     assert rows_of(queries.op10_token_files(spark, SF), "doc_id", "start", "n_tokens", "ids_crc32") == want
     odd = odd_rows(spark).where("doc_id is not null").dropDuplicates(["doc_id"])
     small = token_files.write_token_files(odd, file_ids=500)
-    assert small.count() >= 3
-    assert rows_of(token_files.token_checksums(small), "doc_id", "start", "n_tokens", "ids_crc32") == expected(sorted(map(tuple, odd.select("doc_id", "text").collect())))
-    assert token_files.token_checksums(token_files.write_token_files(odd_rows(spark))).count() == len(ODD) + 2
-    assert token_files.token_checksums(token_files.write_token_files(odd.limit(0))).count() == 0
+    files = spark.read.format("binaryFile").load(small).where("length > 0").collect()
+    assert len(files) >= 3 and all(bytes(f["content"][:4]) == token_files.MAGIC for f in files)
+    held = [token_files.PackedIds(f["content"]) for f in files]
+    assert sorted(d for h in held for d in h.docs) == sorted(r["doc_id"] for r in odd.collect())
+    assert rows_of(token_files.token_checksums(spark, small), "doc_id", "start", "n_tokens", "ids_crc32") == expected(sorted(map(tuple, odd.select("doc_id", "text").collect())))
+    read = {r["doc_id"]: r["ids"] for r in token_files.read_token_files(spark, small).collect()}
+    assert read == {r["doc_id"]: library.encode(r["text"] or "", add_special_tokens=False).ids + [1] for r in odd.collect()}
+    assert token_files.token_checksums(spark, token_files.write_token_files(odd_rows(spark))).count() == len(ODD) + 2
+    assert token_files.token_checksums(spark, token_files.write_token_files(odd.limit(0))).count() == 0
 
 
 def test_order_over_many_buckets(spark, monkeypatch):
     plain = token_files.order_buckets
-    monkeypatch.setattr(token_files, "order_buckets", lambda df, key, n=1: plain(df, key, 7))
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    got = sorted(map(tuple, token_files.token_checksums(token_files.write_token_files(docs)).select("doc_id", "start", "n_tokens").collect()))
+    monkeypatch.setattr(token_files, "order_buckets", lambda df, key, n=1: plain(df, key, 2))
+    docs = spark.range(700).selectExpr("id * id as doc_id", "repeat('word ', cast(id % 5 as int)) as text")  # more than 256 ranges
+    got = sorted(map(tuple, token_files.token_checksums(spark, token_files.write_token_files(docs)).select("doc_id", "start", "n_tokens").collect()))
+    assert len(got) == 700
     at = 0
     for _, start, n in got:
         assert start == at
