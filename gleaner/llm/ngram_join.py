@@ -17,15 +17,17 @@ lost more are compared with each other only (both of a pair must have lost them)
 keys, and sets that have too many empty segments are cut again under another seed. A cost model
 chooses R and how many segments get neighbourhoods in each band: keys to store against chance pairs.
 
-Keys of few documents give candidate pairs, at most heavy * (heavy - 1) / 2 a key. Documents that keep
-heavy keys are gathered to clusters, cut into blocks, and blocks compared by matrix products, so that
-no pair is written there either. Each candidate is verified on the sets themselves, which are made anew
-from the texts (64-bit hashes of shingles, which for one pair agree wrongly with odds near 1e-13).
+Keys of few documents give candidate pairs, at most heavy * (heavy - 1) / 2 a key. A set with s spare
+units left can lose no more than the others, so that a pair that links shares keys of s + 1 units at
+least (s of either set); pairs that share fewer go before any text is sent. Documents that keep heavy keys are gathered to clusters, cut into blocks, and blocks
+compared by matrix products, so that no pair is written there either. Each candidate is verified on the
+sets themselves, which are made anew from the texts (64-bit hashes of shingles, which for one pair agree
+wrongly with odds near 1e-13).
 
 Null texts count as empty; empty sets link with nothing. Documents with equal sets are one class, of
-which the smallest id takes part; rows with one id and different texts are compared as their union of
-links, by id; rows with null ids take no part in links and come back with null component. Other columns
-aren't read. An empty table gives an empty result.
+which the smallest id takes part. Rows of one id and different texts are one node, with the links of all
+its texts; repeated rows count once and each comes back. Rows with null ids take no part in links and
+come back with null component. Other columns aren't read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -40,13 +42,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_bytes, components, mixed, small_or_shuffled, staged, texts
+from .common import by_bytes, columns, components, join_hot, mixed, small_batches, small_or_shuffled, staged, texts
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 SEEDS = 4
 #: For the cost of an allocation: the share of tokens that unrelated sets hold in common, and what such a pair costs in keys.
 COMMON, PAIR_COST = 0.3, 80
-BLOCK = 512
+#: Documents of a block of a cluster, and shingles, about.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 
 
 @lru_cache(1)
@@ -161,15 +164,16 @@ def set_keys(tokens: np.ndarray, per_cent: int) -> list[tuple[int, int, np.ndarr
 
 
 def set_table(documents: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n_shingles, print): the size of each set and a 128-bit fingerprint, null for empty sets; staged."""
+    """(doc_id, n_shingles, print, row): the size of each set, a 128-bit fingerprint, null for empty sets, and a hash of the text; staged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "text"):
             sets = shingle_sets(texts(batch), k)
             prints = [blake2b(s, digest_size=16).digest() if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary())], ["doc_id", "n_shingles", "print"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary()), batch.column("row")], ["doc_id", "n_shingles", "print", "row"])
 
-    return staged(documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, print binary"))
+    rows = documents.select("doc_id", "text", F.xxhash64("text").alias("row"))
+    return staged(rows.mapInArrow(run, "doc_id long, n_shingles long, print binary, row long"))
 
 
 def key_table(documents: DataFrame, k: int, per_cent: int) -> DataFrame:
@@ -195,13 +199,29 @@ def shared_keys(keys: DataFrame) -> DataFrame:
     return staged(keys.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1"))
 
 
+def candidate_pairs(few: DataFrame) -> DataFrame:
+    """(a, b) with a < b of the sets (key, id, group, spare, lost, units) that share keys enough in one group.
+
+    Of a pair that links, the keys in common carry more units than either set has to spare, less those of
+    heavy keys in common. Such keys count for `lost` units of each set at most; and where both sets have
+    lost more than they can spare, heavy keys in common would put both into one cluster, in which they are
+    compared anyway. A segment that is equal in both counts once for each of its keys, which lets pairs
+    through and holds none back.
+    """
+    left = few.select("key", "group", F.col("id").alias("a"), "spare", "lost", "units")
+    right = few.select("key", F.col("id").alias("b"), F.col("spare").alias("spare_b"), F.col("lost").alias("lost_b"))
+    left_over = F.greatest(F.col("spare") - F.col("lost"), F.col("spare_b") - F.col("lost_b"))
+    need = F.when(left_over >= 0, left_over).otherwise(F.greatest("spare", "spare_b")) + 1
+    both = left.join(right, "key").where("a < b").groupBy("a", "b", "group").agg(F.sum("units").alias("shared"), F.max(need).alias("need"))
+    return both.where("shared >= need").select("a", "b").distinct()
+
+
 def verified(documents: DataFrame, pairs: DataFrame, k: int, per_cent: int) -> DataFrame:
-    """The pairs (a, b) that link. Each text goes to the pairs of it; one with many pairs is dealt out by salt."""
-    pairs = staged(pairs)
+    """The staged pairs (a, b) that link. Each text goes to the pairs of it; one with many pairs is dealt out by salt."""
     ids = staged(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
     rows = staged_texts(documents, ids)
-    fans = pairs.groupBy("a").agg(F.count("*").alias("fan"))
-    dealt = pairs.join(fans, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("fan") / 64)).cast("int"))
+    fans = staged(pairs.groupBy("a").agg(F.count("*").alias("fan")))
+    dealt = join_hot(pairs, fans, "a", "fan", pairs.count(), "inner").withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("fan") / 64)).cast("int"))
     centres = fans.select("a", F.explode(F.sequence(F.lit(0), F.ceil(F.col("fan") / 64).cast("int") - 1)).alias("salt"))
     ones = centres.join(rows, centres.a == rows.doc_id).select("a", "salt", F.lit(0).alias("other"), F.lit(None).cast("long").alias("b"), "text")
     others = dealt.join(rows, dealt.b == rows.doc_id).select("a", "salt", F.lit(1).alias("other"), "b", "text")
@@ -241,13 +261,15 @@ def staged_texts(documents: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def block_links(documents: DataFrame, clusters: DataFrame, k: int, per_cent: int) -> tuple[DataFrame, DataFrame]:
-    """Links within clusters (id, component): edges (a, b) that span the links, and (id, n) links of each id.
+    """Links within clusters (id, component, n_shingles): edges (a, b) that span the links, and (id, n) links of each id.
 
-    A cluster of n documents is cut into n / BLOCK blocks by a hash of the id. Each pair of blocks is one
-    task's row group, of two blocks at most; products of token matrices give all intersections there.
+    A cluster is cut into blocks of about BLOCK documents and BLOCK_SHINGLES shingles by a hash of the id.
+    Each pair of blocks is one task's row group, of two blocks at most; products of token matrices give
+    all intersections there.
     """
-    sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    member = clusters.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int"))
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
+    sizes = staged(clusters.groupBy("component").agg(F.count("*").alias("members"), F.least(blocks, F.count("*").cast("int")).alias("blocks")))
+    member = join_hot(clusters, sizes, "component", "members", clusters.count(), "inner").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int"))
     member = member.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     member = member.select("id", "component", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
     rows = staged_texts(documents, staged(clusters.select(F.col("id").alias("doc_id"))))
@@ -330,41 +352,59 @@ def jaccard_components(documents: DataFrame, k: int = 5, per_cent: int = 80, hea
     component_id is the smallest doc_id that links lead to; n_links counts the different texts (classes
     of equal sets) that the document's set links with.
     """
+    small_batches(documents.sparkSession)
     sizes = set_table(documents, k)
+    n_rows = sizes.count()
     classes = sizes.where("doc_id is not null and print is not null")
-    heads = classes.groupBy("print").agg(F.min("doc_id").alias("head"))
-    copies = classes.join(heads, "print").where("doc_id <> head").select("doc_id", "head").distinct()
-    copies = staged(copies)
-    heads_only = staged(copies.select("doc_id").distinct())
-    known = documents.select("doc_id", "text").where("doc_id is not null and text is not null")
-    rows = known.join(small_or_shuffled(heads_only), "doc_id", "left_anti")
+    # An id of several texts is one node: it is joined with the head of each.
+    several = staged(classes.groupBy("doc_id").agg((F.min("print") != F.max("print")).alias("several")).where("several").select("doc_id"))
+    heads = staged(classes.groupBy("print").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("head <> last").drop("last"))
+    members = join_hot(classes, heads, "print", "n", n_rows, "inner")
+    copies = staged(members.where("doc_id <> head").select("doc_id", "row").distinct())
+    ties = members.join(small_or_shuffled(several), "doc_id", "left_semi").where("doc_id <> head").select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
+    known = documents.select("doc_id", "text", F.xxhash64("text").alias("row")).where("doc_id is not null and text is not null")
+    rows = known.join(small_or_shuffled(copies), ["doc_id", "row"], "left_anti").select("doc_id", "text")
 
     keys = shared_keys(key_table(rows, k, per_cent))
-    lean = F.col("n") <= heavy
     group, spare, units = F.shiftright("tag", 18), F.pmod(F.shiftright("tag", 2), F.lit(65536)) - 32768, F.col("tag").bitwiseAND(3)
-    lost = keys.where(~lean).groupBy("id", group.alias("group")).agg(F.sum(units).alias("lost"), F.max(spare).alias("spare"))
+    keys = keys.select("key", "id", group.cast("int").alias("group"), spare.cast("int").alias("spare"), units.cast("int").alias("units"), "n")
+    lean = F.col("n") <= heavy
+    lost = staged(keys.where(~lean).groupBy("id", "group").agg(F.sum("units").alias("lost"), F.max("spare").alias("spare")))
     over = lost.where("lost > spare").select("id", "group")
-    kept = staged(keys.where(~lean).withColumn("group", group).join(over, ["id", "group"], "left_semi").select("key", "id"))
-    stars = kept.join(kept.groupBy("key").agg(F.min("id").alias("star"), F.count("*").alias("m")).where("m > 1"), "key").select(F.col("id").alias("a"), F.col("star").alias("b")).distinct()
-    clusters = staged(components(stars))
-
-    few = keys.where(lean).select("key", "id")
-    pairs = few.join(few.withColumnRenamed("id", "b"), "key").where("id < b").select(F.col("id").alias("a"), "b").distinct()
-    names = small_or_shuffled(clusters)
+    kept = staged(keys.where(~lean).join(small_or_shuffled(staged(over)), ["id", "group"], "left_semi").select("key", "id"))
+    held = staged(kept.groupBy("key").agg(F.min("id").alias("star"), F.count("*").alias("m")).where("m > 1"))
+    stars = join_hot(kept, held, "key", "m", kept.count(), "inner").select(F.col("id").alias("a"), F.col("star").alias("b")).distinct()
+    clusters = components(stars)
+    length = classes.groupBy(F.col("doc_id").alias("id")).agg(F.max("n_shingles").alias("n_shingles"))
+    clusters = staged(clusters.join(length, "id"))
+
+    few = keys.where(lean).join(small_or_shuffled(lost.select("id", "group", "lost")), ["id", "group"], "left")
+    few = few.select("key", "id", "group", "spare", F.coalesce("lost", F.lit(0)).alias("lost"), "units")
+    pairs = staged(candidate_pairs(few))
+    names = small_or_shuffled(clusters.select("id", "component"))
     pairs = pairs.join(names.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left").join(names.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
-    pairs = pairs.where("ca is null or cb is null or ca <> cb").select("a", "b")  # others are compared in their cluster
+    pairs = staged(pairs.where("ca is null or cb is null or ca <> cb").select("a", "b"))  # others are compared in their cluster
 
     links = verified(rows, pairs, k, per_cent)
     edges, degrees = block_links(rows, clusters, k, per_cent)
-    found = components(links.union(edges).union(copies.select(F.col("doc_id").alias("a"), F.col("head").alias("b"))))
+    found = components(links.union(edges).union(ties))
     counted = links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").agg(F.count("*").alias("n")).union(degrees).groupBy("id").agg(F.sum("n").alias("n_links"))
-    named = sizes.select("doc_id", "n_shingles", "print").join(heads, "print", "left")
-    named = named.join(small_or_shuffled(staged(found)).select(F.col("id").alias("doc_id"), "component"), "doc_id", "left")
-    named = named.join(small_or_shuffled(staged(counted)).withColumnRenamed("id", "head"), "head", "left")
-    return named.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    facts = staged(found.join(counted, "id", "full_outer").withColumn("lone", F.lit(True)))
+    named = heads.join(facts.drop("lone"), heads["head"] == facts["id"], "left").select("print", "head", "n", F.coalesce("component", "head").alias("of_class"), F.col("n_links").alias("links_of_class"))
+    named = join_hot(sizes.drop("row"), staged(named), "print", "n", n_rows)
+    # Rows of a class of one look for their own id; the flag keeps the others, which don't, from one key.
+    named = named.withColumn("id", F.col("doc_id")).withColumn("lone", F.col("head").isNull()).join(small_or_shuffled(facts), ["id", "lone"], "left")
+    known = F.col("doc_id").isNotNull()
+    component, n_links = F.coalesce("of_class", "component", "doc_id"), F.coalesce("links_of_class", "n_links", F.lit(0))
+    return named.select("doc_id", "n_shingles", F.when(known, component).alias("component_id"), F.when(known, n_links).otherwise(0).alias("n_links"))
 
 
 def without_near_duplicates(documents: DataFrame, k: int = 5, per_cent: int = 80) -> DataFrame:
     """One row of each component, that of its smallest id (of rows with one id, any one); rows with null ids stay."""
-    dropped = staged(jaccard_components(documents, k, per_cent).where("component_id <> doc_id").select("doc_id").distinct())
-    return documents.join(small_or_shuffled(dropped), "doc_id", "left_anti").select(documents.columns)
+    found = staged(jaccard_components(documents, k, per_cent).where("doc_id is not null").select("doc_id", (F.col("component_id") != F.col("doc_id")).alias("drop")))
+    touched = staged(found.groupBy("doc_id").agg(F.bool_or("drop").alias("drop"), F.count("*").alias("n")).where("drop or n > 1"))
+    again = staged(touched.where("not drop").select("doc_id"))
+    rows = documents.join(small_or_shuffled(touched.select("doc_id")), "doc_id", "left_anti").select(columns(documents))
+    if again.isEmpty():
+        return rows
+    return rows.union(documents.join(small_or_shuffled(again), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(columns(documents)))
