@@ -2,13 +2,17 @@
 
 Features are rates of one text: hits of a short fixed lexicon and of words and word beginnings that the
 labelled rows show to be typical, their nearness to second-person words, capitals, punctuation and
-obfuscated spelling. The typical words, the trees and the calibration are learned from three disjoint
-folds, each of at most about `sample_rows` labelled rows, chosen by a hash of their id (the bound is a
-parameter); rows of the held-out fold never take part. Every row of the input is scored over its whole
-text, and neither id, language, source nor label enters a score.
+obfuscated spelling. The typical words are learned from two folds, of at most about `sample_rows`
+labelled rows each, the trees from two others, all chosen by a hash of the id (the bound is a parameter);
+rows of the held-out fold never take part. The calibration is fitted across: trees of all parts but one
+give the margins of that part, and isotonic steps over all these margins, at any number of rows, turn
+the margin of the final trees into the score. Every row of the input is scored over its whole text, and
+neither id, language, source nor label enters a score.
 
 Null and empty texts have features of 0 and a score. A document with several labels counts as toxic if
-one says so. Without labels of both kinds, the score is the share of toxic labels (0 if none).
+one says so, and its rows are learned from as often as it is repeated. Without labels of both kinds, or
+without documents, the score is the share of toxic labels (0 if none); an empty table gives no rows.
+`fit` bounds Arrow batches for the rest of the session, unless it has a bound of its own.
 """
 
 from __future__ import annotations
@@ -39,10 +43,10 @@ def forms(word: str) -> tuple[str, str]:
 
 
 class WordFacts(dict):
-    """Numbers words, and keeps one row of facts for each in a flat array; emptied beyond `limit` words."""
+    """Numbers words, and keeps one row of facts for each in a flat array; emptied beyond `limit` words or `most_chars` of them."""
 
-    def __init__(self, typical: dict[str, float], limit: int = 200_000):
-        self.typical, self.limit, self.new = typical, limit, []
+    def __init__(self, typical: dict[str, float], limit: int = 200_000, most_chars: int = 8 << 20):
+        self.typical, self.limit, self.most_chars, self.chars, self.new = typical, limit, most_chars, 0, []
         self.table = np.zeros((1 << 14, len(SHARES)), np.float32)
 
     def __missing__(self, word: str) -> int:
@@ -54,6 +58,7 @@ class WordFacts(dict):
         caps = sum(c.isupper() for c in word)
         self.new.append((float(low in LEXICON or read in LEXICON), float(known > 0), float(begins > 0), max(known, begins), float(read in SECOND), float(caps > 1 and caps == letters), float(len(word) - letters), float(word.count("!")), float(odd), float(bool(re.search(r"(\w)\1\1", low)))))
         self[word] = n = len(self)
+        self.chars += len(word)
         return n
 
     def gather(self) -> None:
@@ -67,8 +72,9 @@ class WordFacts(dict):
 
     def features(self, many: list[str]) -> np.ndarray:
         """A row of FEATURES for each text."""
-        if len(self) > self.limit:
+        if len(self) > self.limit or self.chars > self.most_chars:
             self.clear()
+            self.chars = 0
         split = [x.split() for x in many]
         counts = np.array([len(x) for x in split], np.int64)
         codes = np.fromiter((self[w] for x in split for w in x), np.int64, int(counts.sum()))
@@ -164,16 +170,17 @@ class Isotonic:
 
 
 class Model:
-    def __init__(self, typical: dict[str, float], trees: Boosted | None, steps: Isotonic | None, share: float):
+    def __init__(self, typical: dict[str, float], trees: Boosted | None, steps: Isotonic | None, share: float):  # trees and steps are both there or not
         self.typical, self.trees, self.steps, self.share = typical, trees, steps, share
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         if self.trees is None:
             return np.full(len(x), self.share)
         margin = self.trees.margin(x)
-        plain = 1 / (1 + np.exp(-margin))
-        # A little of the plain score keeps the order within a step without moving it over one half.
-        return plain if self.steps is None else np.clip(0.98 * self.steps(margin) + 0.02 * plain, 0, 1)
+        steps = self.steps(margin)
+        # A little of the plain score keeps the order within a step, but never moves a score over one half.
+        mixed = np.clip(0.998 * steps + 0.002 / (1 + np.exp(-margin)), 0, 1)
+        return np.where((mixed >= 0.5) == (steps >= 0.5), mixed, steps)
 
 
 def fold(doc_id: Column) -> Column:
@@ -220,7 +227,7 @@ def typical_words(rows: DataFrame, least: int, most: int, log_odds: float) -> di
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = 10_000, least: int = 4, most_words: int = 4000, log_odds: float = 2.3) -> Model:
-    """Learns typical words, trees and calibration from three disjoint folds of labelled rows."""
+    """Learns typical words from some folds of labelled rows, trees and calibration from the others."""
     small_batches(documents.sparkSession)
     rows = training_rows(documents, labels, sample_rows)
     typical = typical_words(rows.where("fold = 1"), least, most_words, log_odds)
@@ -233,14 +240,23 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = 10_000, leas
 
     found = rows.where("fold <> 1").mapInArrow(measure, "fold int, toxic int, x array<double>").toPandas()  # bounded by sample_rows
     found = found.assign(key=found["x"].map(tuple)).sort_values(["fold", "key", "toxic"])
-    x, y, part = np.array(found["x"].tolist(), float).reshape(len(found), len(FEATURES)), found["toxic"].to_numpy(float), found["fold"].to_numpy()
+    x, y = np.array(found["x"].tolist(), float).reshape(len(found), len(FEATURES)), found["toxic"].to_numpy(float)
     share = float(y.mean()) if len(y) else 0.0
-    train, check = part == 3, part == 4
-    if len(set(y[train])) < 2:
+    if len(set(y)) < 2:
         return Model(typical, None, None, share)
-    trees = Boosted(x[train], y[train])
-    steps = Isotonic(trees.margin(x[check]), y[check]) if len(set(y[check])) == 2 and check.sum() >= 200 else None
-    return Model(typical, trees, steps, share)
+    return Model(typical, Boosted(x, y), Isotonic(crossed_margins(x, y), y), share)
+
+
+def crossed_margins(x: np.ndarray, y: np.ndarray, parts: int = 3) -> np.ndarray:
+    """The margin of each row by trees that didn't learn from its part; rows of equal features and label share one."""
+    part = np.empty(len(y), np.int64)
+    for label in (0, 1):
+        own = np.flatnonzero(y == label)
+        part[own] = np.unique(x[own], axis=0, return_inverse=True)[1].ravel() % parts
+    out = np.empty(len(y))
+    for p in range(parts):
+        out[part == p] = Boosted(x[part != p], y[part != p]).margin(x[part == p])
+    return out
 
 
 def score_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:

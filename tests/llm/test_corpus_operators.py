@@ -88,6 +88,13 @@ def test_jaccard_join_tables(spark):
     assert len(got) == 7 and {(r["doc_id"], r["component_id"]) for r in got} == {(1, 1), (2, 2), (3, 3), (4, 3), (None, None), (5, 5)}
     assert ngram_join.jaccard_components(odd.limit(0)).count() == 0
     assert ngram_join.without_near_duplicates(odd).count() == 5
+    # One id with two texts: one is a copy of a smaller id's, the other has a near copy of its own; and a row twice.
+    near = [f"n{i}" for i in range(40)]
+    rows = [(1, "p q r s t u"), (2, "p q r s t u"), (2, " ".join(near)), (3, " ".join([*near, "more"])), (4, "w x y z"), (4, "w x y z")]
+    twice = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as `a.b`", "2 as row", "3 as `drop`")
+    assert {(r["doc_id"], r["component_id"]) for r in ngram_join.jaccard_components(twice, 4, 85).collect()} == {(1, 1), (2, 1), (3, 1), (4, 4)}
+    left = ngram_join.without_near_duplicates(twice, 4, 85)
+    assert left.schema == twice.schema and sorted(r["doc_id"] for r in left.collect()) == [1, 4]
 
 
 @pytest.mark.parametrize("per_cent", [80, 85])
@@ -160,6 +167,15 @@ def test_best_fit_is_tightest(spark):
         assert len(clusters) == len(set(clusters)) and max([s for _, s, _ in m].count(s) for s in range(4)) <= 3
 
 
+def test_packing_spreads_repeated_rows(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(0, 3000, 1, 8).selectExpr("7 as doc_id", "'s' as source", "10 as size")
+    packed = packing.best_fit(rows, F.col("size"), F.lit(None).cast("long"), capacity=100, max_per_source=20, shard_rows=200)
+    sizes = [r["count"] for r in packed.groupBy("shard").count().collect()]
+    assert sum(sizes) == 3000 and len(sizes) >= 14 and max(sizes) < 300
+
+
 def test_packing_tables(spark):
     got = queries.op8_packing(spark, SF)
     words = {r["doc_id"]: len((r["text"] or "").split()) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
@@ -179,12 +195,82 @@ def test_toxicity(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) and r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
     held = [(labels[r["doc_id"]], r["predicted"]) for r in rows if r["held_out"] and r["doc_id"] in labels]
     assert np.mean([a == b for a, b in held]) >= 0.95
+    model = toxicity.fit(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    assert model.steps is not None and len(model.steps.x) >= 2  # calibrated on small tables too
     odd = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (None, "you idiot", "x"), (3, "w " * 50000, "x"), (3, "w", "x")], "doc_id long, text string, score string")
     none = toxicity.fit(odd, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
     assert toxicity.score(odd, none).count() == 5 and toxicity.without_toxic(odd, none).count() == 5
     assert toxicity.without_toxic(odd, none).schema == odd.schema
 
 
+def plain_features(text, typical):
+    """Features of one text, word by word."""
+    words = text.split()
+    if not words:
+        return [0.0] * len(toxicity.FEATURES)
+    rows = []
+    for w in words:
+        low, read = toxicity.forms(w)
+        odd = low != read and any(c.isalpha() for c in low)
+        known = typical.get(low) or typical.get(read) or 0.0
+        begins = max([typical.get(read[:n] + "-", 0.0) for n in toxicity.PREFIXES if len(read) >= n], default=0.0)
+        letters = sum(map(str.isalpha, w))
+        rows.append({
+            "fixed": low in toxicity.LEXICON or read in toxicity.LEXICON, "typical": known > 0, "begins": begins > 0, "weight": max(known, begins), "second": read in toxicity.SECOND,
+            "capitals": letters > 1 and letters == sum(map(str.isupper, w)), "signs": len(w) - letters, "exclaim": w.count("!"), "spelled": odd, "repeats": any(a == b == c and (a.isalnum() or a == "_") for a, b, c in zip(low, low[1:], low[2:], strict=False)),
+        })
+    n = len(words)
+    hits = [r["fixed"] or r["typical"] or r["begins"] for r in rows]
+    near = [h and any(r["second"] for r in rows[max(0, i - 5) : i + 6]) for i, h in enumerate(hits)]
+    return [float(sum(r[f] for r in rows)) / n for f in toxicity.SHARES] + [sum(near) / n, max(r["weight"] for r in rows), min(sum(hits), 20), np.log1p(n)]
+
+
+def test_toxicity_features_and_trees():
+    rnd, typical = random.Random(8), {"foo": 2.5, "idio-": 3.0, "bar": 4.0}
+    pool = ["you", "IDIOT", "1d10t", "idiotic", "foo", "Foo!", "bar,", "sooo", "b@r", "word", "UND", "du", "!!!", "a.b", "héé", "Sie", "x_y_z"]
+    many = [" ".join(rnd.choice(pool) for _ in range(rnd.choice([0, 1, 3, 30, 80]))) for _ in range(120)]
+    facts = toxicity.WordFacts(typical, limit=9)
+    got = np.concatenate([facts.features(many[i : i + 7]) for i in range(0, len(many), 7)])
+    assert np.allclose(got, [plain_features(t, typical) for t in many], atol=1e-6)
+
+    x = np.array([[rnd.randint(0, 6), rnd.random(), 0.0] for _ in range(150)])
+    y = np.array([float(a > 3 and b > 0.4 or rnd.random() < 0.1) for a, b, _ in x])
+    trees = toxicity.Boosted(x, y, rounds=1, depth=1)
+    p = y.mean()
+    g, h = p - y, np.full(len(y), p * (1 - p))
+
+    def leaf(own):
+        return -g[own].sum() / (h[own].sum() + 1)
+
+    def gain(own):
+        return g[own].sum() ** 2 / (h[own].sum() + 1)
+
+    splits = []
+    for j in range(3):  # every cut between bins, tried one by one
+        for cut in trees.cuts[j]:
+            left = x[:, j] <= cut
+            if h[left].sum() >= 1 and h[~left].sum() >= 1:
+                splits.append((gain(left) + gain(~left), j, cut))
+    _, j, cut = max(splits)
+    left = x[:, j] <= cut
+    want = np.log(p / (1 - p)) + 0.2 * np.where(left, leaf(left), leaf(~left))
+    assert np.allclose(trees.margin(x), want)
+
+
+@pytest.mark.parametrize("n", [8, 60, 600])
+def test_toxicity_is_calibrated_at_any_size(n):
+    rnd = np.random.default_rng(n)
+    x = rnd.random((n, len(toxicity.FEATURES)))
+    y = (rnd.random(n) < x[:, 0]).astype(float)
+    y[:2] = 0, 1
+    model = toxicity.Model({}, toxicity.Boosted(x, y), toxicity.Isotonic(toxicity.crossed_margins(x, y), y), 0.5)
+    margin, scores = model.trees.margin(x), model.scores(x)
+    order = np.argsort(margin, kind="stable")
+    assert (np.diff(scores[order]) >= -1e-12).all() and ((scores >= 0.5) == (model.steps(margin) >= 0.5)).all() and abs(scores - model.steps(margin)).max() <= 0.002
+    flip = toxicity.Model({}, model.trees, lambda m: np.full(len(m), 0.505), 0.5)
+    assert (flip.scores(x) >= 0.5).all()
+
+
 def test_small_batches(spark):
     """Batches of long texts stay near the bound, and every row arrives; a bound of the session's own stays."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
