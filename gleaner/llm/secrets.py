@@ -16,6 +16,7 @@ import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -251,7 +252,8 @@ class SecretScanner:
         data = text.encode()
         found = self.spans(data)
         if found and len(data) != len(text):
-            found = [(r, len(data[:a].decode()), len(data[:b].decode())) for r, a, b in found]
+            begins = np.append(0, np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80))  # code points before each byte
+            found = [(r, int(begins[a]), int(begins[b])) for r, a, b in found]
         return found
 
 
