@@ -6,10 +6,12 @@ bitmap of duplicate clusters that it has, and the search goes on to the next lar
 a compatible bin, or opens one. A document longer than the capacity fills bins of its own and its rest
 is packed like any other.
 
-Rows are dealt by a hash of their id over shards of about `shard_rows` rows, which are packed one by
-one; only ids, lengths, sources and clusters go there. Null or negative lengths count as 0 and such
-documents still get a place; null sources are one source; a null cluster conflicts with nothing.
-Repeated rows are each packed (and, sharing a cluster, never together). An empty table gives no rows.
+Rows are dealt by a hash over shards of about `shard_rows` rows, which are packed one by one; only ids,
+lengths, sources and clusters go there. The hash takes in the place of the row in the table, so that
+repeated rows are spread like any others. Null or negative lengths count as 0 and such documents still
+get a place; null sources are one source; a null cluster conflicts with nothing. Repeated rows are each
+packed (and, sharing a cluster, never together). Of bins with equal room, the one that got there first
+is taken; of documents of equal length, the smallest id goes first. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -85,11 +87,11 @@ def pack_rows(rows: list[tuple], capacity: int, max_per_source: int) -> list[tup
     return out + [(i, k, full + n, 0, size) for n, (i, k, size) in enumerate(solid)]
 
 
-def best_fit(documents: DataFrame, length: Column, cluster: Column, capacity: int = 4096, max_per_source: int = 4, shard_rows: int = 8192) -> DataFrame:
+def best_fit(documents: DataFrame, length: Column, cluster: Column, capacity: int = 4096, max_per_source: int = 4, shard_rows: int = 4096) -> DataFrame:
     """(doc_id, piece, shard, bin, start, n_tokens) of every piece of every document."""
     rows = documents.select("doc_id", F.greatest(F.coalesce(length.cast("long"), F.lit(0)), F.lit(0)).alias("size"), F.coalesce("source", F.lit("")).alias("source"), cluster.cast("long").alias("cluster"))
     shards = max(1, -(-documents.select("doc_id").count() // shard_rows))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "size"), F.lit(shards)).cast("int"))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "size", F.monotonically_increasing_id()), F.lit(shards)).cast("int"))
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["size", "doc_id", "source", "cluster"], ascending=[False, True, True, True], kind="stable", na_position="first").reset_index(drop=True)
