@@ -9,7 +9,8 @@ test equality, sections that differ lead to the paragraphs that were edited, and
 
 Null texts count as empty; an empty text has a root and nothing below. Likeness is 1 for equal roots,
 else twice the common paragraphs over all paragraphs of both. Of rows with one doc_id, the order of
-their texts' hashes decides. No row drops out; further columns are not read.
+their texts' hashes decides; null ids stand first. No row drops out, repeated rows come back as often as
+they are there, and an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import order_buckets, small_or_shuffled, staged
+from .common import order_buckets, staged
 
 PARAGRAPH, FAN_OUT = r"[^\n.!?]{1,200}[\n.!?]*|[\n.!?]{1,200}", 8
 
@@ -73,21 +74,20 @@ def edited_places(a: Column, b: Column) -> Column:
 def with_next(documents: DataFrame) -> DataFrame:
     """(doc_id, text, next_text): the text of the next document by doc_id, after the last that of the first.
 
-    The order is cut into ranges, and a window finds the next within each; what follows the last row
-    of a range is the first of the next range, of which there are at most 4,096.
+    The order is cut into ranges; the first row of each range is also sent to the end of the range before
+    it (that of the first range to the last), and a window finds the next text within each range.
     """
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows, bucket, parts = order_buckets(rows, "doc_id")
+    rows, bucket, _ = order_buckets(rows, "doc_id")
     rows = rows.withColumn("bucket", bucket)
-    order = Window.partitionBy("bucket").orderBy("doc_id", F.xxhash64("text"))
-    firsts = staged(rows.groupBy("bucket").agg(F.min_by("text", F.struct("doc_id", F.xxhash64("text"))).alias("first_text")))
-    turn = Window.orderBy("bucket")  # only numbers of ranges go through this window
-    lowest = F.min("bucket").over(turn.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ahead = firsts.select("bucket", F.coalesce(F.lead("bucket").over(turn), lowest).alias("to"))
-    after = ahead.join(firsts.select(F.col("bucket").alias("to"), F.col("first_text")), "to").select("bucket", "first_text")
-    found = rows.withColumn("within", F.lead("text").over(order)).withColumn("is_last", F.lead("doc_id", 1).over(order).isNull() & F.col("within").isNull())
-    ends = found.where("is_last").drop("within", "is_last").join(small_or_shuffled(after, parts), "bucket")
-    return found.where(~F.col("is_last")).select("doc_id", "text", F.col("within").alias("next_text")).union(ends.select("doc_id", "text", F.col("first_text").alias("next_text")))
+    firsts = staged(rows.groupBy("bucket").agg(F.min_by("text", F.struct("doc_id", F.xxhash64("text"))).alias("text")))
+    turn = Window.orderBy("bucket")  # only numbers of ranges go through this window, 65,536 at most
+    highest = F.max("bucket").over(turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ahead = firsts.select("bucket", F.coalesce(F.lag("bucket").over(turn), highest).alias("to"))
+    guests = firsts.join(ahead, "bucket").select(F.lit(None).cast("long").alias("doc_id"), "text", F.col("to").alias("bucket"), F.lit(True).alias("guest"))
+    order = Window.partitionBy("bucket").orderBy("guest", "doc_id", F.xxhash64("text"))
+    both = rows.withColumn("guest", F.lit(False)).union(guests).withColumn("next_text", F.lead("text").over(order))
+    return both.where("not guest").select("doc_id", "text", "next_text")
 
 
 def half_replaced(text: Column, other: Column) -> Column:

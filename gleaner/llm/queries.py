@@ -71,7 +71,8 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     near_edited = fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint"))
     near_next = fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint"))
-    return prints.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", near_edited.alias("near_edited"), near_next.alias("near_next"))
+    places = fingerprints.edited_places(F.col("fingerprint"), F.col("edited_fingerprint"))
+    return prints.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", near_edited.alias("near_edited"), near_next.alias("near_next"), F.get(places, F.lit(0)).alias("first_edited_section"), F.size(places).alias("n_edited_sections"))
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
