@@ -1,18 +1,20 @@
 """Main text of web pages by removal of site templates.
 
-Pages are cut into tags and texts, and element subtrees hashed. Spark counts, for each host, on how
-many distinct pages a subtree recurs; those that recur on many are the site's template and go, as do
-elements whose name, class, id or role says that they aren't the article. The blocks that remain in
-the article element (or, without one, in the body) are the main text.
+Pages are cut into tags and texts, and subtrees of block elements hashed. Spark counts, for each host,
+on how many distinct pages a subtree recurs; those that recur on `min_pages` or more, at any size of the
+host, are the site's template and are deleted first. What counting can't know, as it is on few pages,
+goes next: elements whose name, class, id or role says that they aren't the article. The blocks that
+remain in the article element (or, without one, in the body) are the main text.
 
 Pages are told apart by their whole remaining text, and copies count once. What a page has beside texts
 that recur on the host is its own part; pages of which less than OWN is their own are near copies, and
 count once for each set of recurring texts. For elements inside an article, the own part of the article
-counts, and for its headings and paragraphs it must be most of it, so that a text that is published
-twice keeps its passages. The pages that make a template grow with the host's up to 100 pages, and with
-their square root from there. Null html is empty and gives an empty text; a null url is one host. Broken
-markup is read as far as it goes: what isn't closed ends with its parent or the page. Repeated rows
-give repeated results; further columns are not read.
+counts. Headings and paragraphs of an article (or of a page without one) are template only where they
+stand on `prose_share` of the distinct pages of the host, half, and on pages most of which is their own:
+a passage that some texts share is part of these texts. Null html is empty and gives an empty text; a null url is one host. Broken
+markup is read as far as it goes: what isn't closed ends with its parent or the page. An element that
+recurs often in one page counts once for it. Very long pages are read whole. Repeated rows give repeated
+results; an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
@@ -22,15 +24,17 @@ import re
 from collections.abc import Iterator
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bytes, small_or_shuffled, staged
+from . import common
+from .common import by_bytes, mixed, small_batches, small_or_shuffled, staged
 
 # Names of HTML elements by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object".split())
+RAW = frozenset("script style noscript template textarea title iframe svg".split())
 NOT_ARTICLE = frozenset("nav header footer aside form button select dialog menu head".split()) | RAW
 BLOCKS = frozenset("address article aside blockquote body br dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section table tbody td tfoot th thead tr ul summary caption".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th".split())
@@ -138,18 +142,28 @@ def digest(node: Node) -> bytes:
 
 
 def template_candidates(root: Node) -> Iterator[tuple[Node, int]]:
-    """Subtrees that may be template, which are block elements that aren't excluded anyway: 1 outside an article, 2 inside, 3 for its prose."""
-    left = [root]
+    """Subtrees that may be template, which are block elements, whatever their marks say: 1 outside an article, 2 inside, 3 for its prose.
+
+    A page without an article is one; in what its marks exclude, everything is outside.
+    """
+    found, left, has_article = [], [(root, False)], False
     while left:
-        for x in left.pop().parts:
-            if isinstance(x, Node) and not x.out:
+        top, out = left.pop()
+        for x in top.parts:
+            if isinstance(x, Node):
+                has_article = has_article or x.name in ("article", "main")
                 if x.name in BLOCKS and x.name not in ("html", "body", "article", "main"):
-                    yield x, 1 if not x.inside else 3 if x.name in PROSE else 2
-                left.append(x)
+                    found.append((x, out or x.out))
+                left.append((x, out or x.out))
+    for x, out in found:
+        yield x, 1 if out or has_article and not x.inside else 3 if x.name in PROSE else 2 if x.inside else 1
 
 
-def pieces(top: Node, template: set[bytes]) -> Iterator[tuple[str, bool]]:
-    """The texts between block elements, white space made single, and whether each is inside an article."""
+def pieces(top: Node, template: set[bytes], removed: list[int] | None = None) -> Iterator[tuple[str, bool]]:
+    """The texts between block elements, white space made single, and whether each is inside an article.
+
+    `removed` counts the elements left out as template and by their marks.
+    """
     held, inside, left = [], False, [top]
     while left:
         now = left.pop()
@@ -157,7 +171,9 @@ def pieces(top: Node, template: set[bytes]) -> Iterator[tuple[str, bool]]:
             text, inside = now
             held.append(entities.unescape(text) if "&" in text else text)
             continue
-        out = now is not None and (now.out and now is not top or now.digest in template)
+        out = now is not None and (now.digest in template or now.out and now is not top)
+        if out and removed is not None:
+            removed[now.digest not in template] += 1
         if now is None or now.name in BLOCKS:
             if words := " ".join("".join(held).split()):
                 yield words, inside
@@ -183,8 +199,8 @@ def page_rows(root: Node) -> tuple[int, dict[tuple[int, int], int]]:
     return number(*(words for words, _ in own)), found
 
 
-def main_text(root: Node, template: set[bytes]) -> list[str]:
-    """The blocks of the main text, white space made single."""
+def main_text(root: Node, template: set[bytes]) -> tuple[list[str], list[int]]:
+    """The blocks of the main text, white space made single, and how many elements were left out as template and by their marks."""
 
     def roots() -> list[Node]:
         for wanted in ("article", "main"):
@@ -194,12 +210,18 @@ def main_text(root: Node, template: set[bytes]) -> list[str]:
                 if now.name == wanted:
                     found.append(now)
                     continue
-                left += [x for x in reversed(now.parts) if isinstance(x, Node) and not x.out]
+                left += [x for x in reversed(now.parts) if isinstance(x, Node) and not x.out and x.digest not in template]
             if found:
                 return found
         return [root]
 
-    return [words for top in roots() for words, _ in pieces(top, template)]
+    removed, outside = [0, 0], [0, 0]
+    tops = roots()
+    blocks = [words for top in tops for words, _ in pieces(top, template, removed)]
+    if tops != [root]:  # what stands outside the article falls away; it is counted all the same
+        for _ in pieces(root, template, outside):
+            pass
+    return blocks, outside if tops != [root] else removed
 
 
 def host_column() -> Column:
@@ -207,11 +229,8 @@ def host_column() -> Column:
     return F.coalesce(F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1)), F.lit(""))
 
 
-def site_templates(pages: DataFrame, min_pages: int = 5, min_share: float = 0.05) -> DataFrame:
-    """(host, subtree) of the subtrees that recur on `min_pages` distinct pages, at least, and on that share of the host's pages.
-
-    Beyond 100 pages of a host, the share is of 10 times the square root of their number.
-    """
+def site_templates(pages: DataFrame, min_pages: int = 5, prose_share: float = 0.5) -> DataFrame:
+    """(host, subtree, n_pages) of the subtrees that recur on `min_pages` distinct pages of the host, at least, and for prose on that share of them."""
     names, kinds = ["host", "page", "kind", "key", "n"], [pa.string(), *[pa.int64()] * 4]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,28 +263,68 @@ def site_templates(pages: DataFrame, min_pages: int = 5, min_share: float = 0.05
 
     of_host = staged(named.groupBy("host").agg(F.count_distinct("d1").alias("of")))
     held = each.where("kind between 1 and 3").join(subtrees, ["host", "key"]).join(named, ["host", "page"])
-    counted = held.groupBy("host", "key").agg(F.count_distinct(F.when(F.col("kind") == 1, F.col("d1")).when(F.col("kind") == 2, F.col("d2")).otherwise(F.col("d3"))).alias("n_pages"))
-    least = F.greatest(F.lit(float(min_pages)), min_share * F.least(F.col("of").cast("double"), 10 * F.sqrt("of")))
-    return counted.join(small_or_shuffled(of_host), "host").where(F.col("n_pages") >= least).select("host", F.col("key").alias("subtree"))
+    counts = [F.count_distinct(F.when(F.col("kind") == k, F.col(f"d{k}"))).alias(f"n{k}") for k in (1, 2, 3)]
+    counted = held.groupBy("host", "key").agg(*counts).join(small_or_shuffled(of_host), "host")
+    enough = (F.col("n1") + F.col("n2") >= min_pages) | (F.col("n3") >= F.greatest(F.lit(min_pages), prose_share * F.col("of")))
+    return counted.where(enough).select("host", F.col("key").alias("subtree"), (F.col("n1") + F.col("n2") + F.col("n3")).alias("n_pages"))
+
 
+def subtree_keys(host: str, root: Node) -> tuple[list[bytes], np.ndarray]:
+    """Digests of the subtrees that may be template, and numbers for them on this host."""
+    found = list({x.digest for x, _ in template_candidates(root)})
+    own = np.frombuffer(b"".join(found), ">i8").astype(np.int64).view(np.uint64)
+    return found, mixed(own ^ mixed(np.array([number(host.encode("utf-8", "replace"))], np.int64).view(np.uint64)))
 
-def extract(pages: DataFrame, min_pages: int = 5, min_share: float = 0.05) -> DataFrame:
-    """(page_id, url, blocks) with the blocks of the main text of every page."""
-    template = staged(site_templates(pages, min_pages, min_share).groupBy("host").agg(F.collect_set("subtree").alias("template")))
-    rows = pages.select("page_id", "url", "html", host_column().alias("host")).join(small_or_shuffled(template), "host", "left").select("page_id", "url", "html", "template")
+
+def templates_of_pages(pages: DataFrame, template: DataFrame) -> DataFrame:
+    """(page, template): a hash of the html and the subtrees of the page itself that are template, for templates of any number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[tuple, set[bytes]] = {}
         for batch in by_bytes(batches, "html"):
-            out = []
-            for page, template in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist(), strict=True):
-                key = tuple(template or ())
-                if key not in known:
-                    known.clear()
-                    known[key] = {x.to_bytes(8, "big", signed=True) for x in key}
-                root = parsed(page or "")
+            columns: list[list] = [[], [], []]
+            for page, host, text in zip(*(batch.column(c).to_pylist() for c in ("page", "host", "html")), strict=True):
+                root = parsed(text or "")
                 digest(root)
-                out.append(main_text(root, known[key]))
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.list_(pa.string()))], ["page_id", "url", "blocks"])
+                for x in {x.digest for x, _ in template_candidates(root)}:
+                    for column, value in zip(columns, (page, host, int.from_bytes(x, "big", signed=True)), strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.int64()), strict=True)], ["page", "host", "subtree"])
+
+    each = pages.select("page", "host", "html").mapInArrow(run, "page long, host string, subtree long").distinct()
+    return each.join(template, ["host", "subtree"]).groupBy("page", "host").agg(F.collect_set("subtree").alias("template"))
+
+
+def extract(pages: DataFrame, min_pages: int = 5, prose_share: float = 0.5) -> DataFrame:
+    """(page_id, url, blocks, n_template, n_marked) of every page: the blocks of the main text, and how many elements went as template and by their marks."""
+    small_batches(pages.sparkSession)
+    template = staged(site_templates(pages, min_pages, prose_share).select("host", "subtree"))
+    rows = pages.select("page_id", "url", "html", host_column().alias("host"))
+    few = template.count() <= common.BROADCAST_ROWS
+    if few:  # a sorted array of numbers, 8 bytes each
+        hashed = template.groupBy("host").agg(F.collect_list("subtree").alias("subtrees")).toPandas()
+        numbers = [mixed(np.array(x, np.int64).view(np.uint64) ^ mixed(np.array([number(h.encode("utf-8", "replace"))], np.int64).view(np.uint64))) for h, x in zip(hashed["host"], hashed["subtrees"], strict=True)]
+        held = pages.sparkSession.sparkContext.broadcast(np.sort(np.concatenate(numbers)) if numbers else np.zeros(0, np.uint64))
+        rows = rows.withColumn("template", F.lit(None).cast("array<long>"))
+    else:
+        keyed = pages.select(F.xxhash64("html").alias("page"), host_column().alias("host"), "html")
+        rows = rows.withColumn("page", F.xxhash64("html")).join(templates_of_pages(keyed, template), ["page", "host"], "left").select("page_id", "url", "html", "host", "template")
 
-    return rows.mapInArrow(run, "page_id long, url string, blocks array<string>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = held.value if few else np.zeros(0, np.uint64)
+        for batch in by_bytes(batches, "html"):
+            out, counts = [], []
+            for host, page, own in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "template")), strict=True):
+                root = parsed(page or "")
+                digest(root)
+                found = {x.to_bytes(8, "big", signed=True) for x in own or ()}
+                if len(known):
+                    digests, keys = subtree_keys(host, root)
+                    place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                    found = {digests[i] for i in np.flatnonzero(known[place] == keys).tolist()}
+                blocks, removed = main_text(root, found)
+                out.append(blocks)
+                counts.append(removed)
+            numbers = [pa.array([c[i] for c in counts], pa.int64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.list_(pa.string())), *numbers], ["page_id", "url", "blocks", "n_template", "n_marked"])
+
+    return rows.mapInArrow(run, "page_id long, url string, blocks array<string>, n_template long, n_marked long")

@@ -22,7 +22,7 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.array_join("blocks", " ")
-    return html_extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
+    return html_extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"), "n_template", "n_marked")
 
 
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -263,8 +263,10 @@ def test_html(spark):
     assert got[3] == "Head 3 Text & more 3 bold next unclosed 3"
     assert got[20] == "A one two three" and got[21] == "" and got[22] == "plain <text>" and got[23] == "x y"
     assert html_extract.extract(df).count() == len(pages) and html_extract.extract(df.limit(0)).count() == 0
-    deep = spark.createDataFrame([(1, "u", "<div>" * 5000 + "x")], "page_id long, url string, html string")
-    assert html_extract.extract(deep).first()["blocks"] == ["x"]
+    long = "<article>" + "<p>word</p>" * 30_000 + "<math><mi>x</mi></math> formula</article>"
+    deep = spark.createDataFrame([(1, "u", "<div>" * 5000 + "x"), (2, "u", long)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["blocks"] for r in html_extract.extract(deep).collect()}
+    assert got == {1: ["x"], 2: ["word"] * 30_000 + ["x formula"]}
 
 
 def test_html_keeps_copied_articles(spark):
@@ -281,14 +283,47 @@ def test_html_long_shared_block_and_article_prose(spark):
     pages += [(200 + i, f"http://c.example/{i}", f"<article><h1>Head {i}</h1><p>one {i}</p><p>Subscribe to our newsletter</p><ul><li>Buy this</li><li>own {i}</li></ul><p>two {i}</p></article>") for i in range(12)]
     copy = "".join(f"<p>the same passage {k}</p>" for k in range(9))
     pages += [(300 + i, f"http://d.example/{i}", f"<div><p>links {i}</p><p>more {i}</p><p>others {i}</p></div><article><h1>T</h1>{copy}<p>seen {i} times</p></article>") for i in range(12)]
-    pages += [(1000 + i, f"http://hot.example/{i}", f"<article><h1>Head {i}</h1><p>one {i}</p>{'<p>Subscribe</p>' if i < 80 else ''}<p>two {i}</p></article>") for i in range(2000)]
+    pages += [(1000 + i, f"http://hot.example/{i}", f"<article><h1>Head {i}</h1><p>one {i}</p>{'<p>Subscribe</p>' if i < 1200 else ''}{'<p>shared passage</p>' if i % 20 == 0 else ''}<p>two {i}</p></article>") for i in range(2000)]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
     got = {r["page_id"]: " ".join(r["blocks"]) for r in html_extract.extract(df).collect()}
     for i in range(12):
         assert got[i] == f"Head {i} short {i}" and got[100 + i] == f"short one {i} short two {i}"
         assert got[200 + i] == f"Head {i} one {i} own {i} two {i}"
         assert got[300 + i] == "T " + " ".join(f"the same passage {k}" for k in range(9)) + f" seen {i} times"
-    assert all(got[1000 + i] == f"Head {i} one {i} two {i}" for i in range(2000))
+    assert all(got[1000 + i] == f"Head {i} one {i}{' shared passage' if i % 20 == 0 else ''} two {i}" for i in range(2000))
+
+
+def test_html_templates_against_brute_force(spark, monkeypatch):
+    """Counts of made-up menus, boxes and prose, one by one; the same result when templates are too many for a broadcast."""
+    rnd = random.Random(12)
+    menus = [f"<nav><ul><li>m{k}</li></ul></nav>" for k in range(6)]
+    boxes = [f"<div><span>box {k}</span> of the site</div>" for k in range(6)]
+    prose = [f"<p>passage {k} that texts share</p>" for k in range(4)]
+    pages, held = [], collections.defaultdict(set)
+    for i in range(240):
+        host = f"{'abc'[i % 3]}.example"
+        parts = [rnd.choice(menus), rnd.choice(boxes)]
+        inner = [prose[0], rnd.choice(prose[1:])] if i % 3 == 0 else [rnd.choice(prose)] if rnd.random() < 0.3 else []
+        own = "".join(f"<p>own {i} {k} {rnd.random()}</p>" for k in range(5))
+        article = f"<article><h1>Head {i}</h1>{own}{''.join(inner)}<div>card</div></article>"
+        copies = 9 if i == 0 else 1  # copies of a page count once
+        pages += [(len(pages) + k, f"http://{host}/{i}", f"<body>{''.join(parts)}{article}<footer>f {i % 50}</footer></body>") for k in range(copies)]
+        for x in [*parts, *inner, f"<footer>f {i % 50}</footer>", "<ul><li>m</li></ul>".replace("m", parts[0][13:15])]:
+            held[host, x].add(i)
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+
+    def digest(x):
+        node = html_extract.parsed(x).parts[0]
+        return int.from_bytes(html_extract.digest(node), "big", signed=True)
+
+    got = {(r["host"], r["subtree"]): r["n_pages"] for r in html_extract.site_templates(df, min_pages=8).collect()}
+    for (host, x), on in held.items():
+        least = max(8, 40) if x.startswith("<p>") else 8
+        assert (got.get((host, digest(x))) == len(on)) if len(on) >= least else (host, digest(x)) not in got, (host, x, len(on))
+    assert got["a.example", digest(prose[0])] == 80 and ("b.example", digest(prose[0])) not in got and ("a.example", digest("<div>card</div>")) in got
+    few = rows_of(html_extract.extract(df, 8), "page_id", "blocks", "n_template", "n_marked")
+    monkeypatch.setattr(html_extract.common, "BROADCAST_ROWS", 0)
+    assert rows_of(html_extract.extract(df, 8), "page_id", "blocks", "n_template", "n_marked") == few and any(r[2] for r in few)
 
 
 def quality_base(text):
