@@ -10,7 +10,8 @@ boilerplate if it recurs among otherwise different texts. Removing copies is the
 near-duplicate join, and a good text isn't rejected for having been copied.
 
 Null texts have no words and fail the base rules. Null hosts are one host. Repeated rows get the same
-verdict. Columns of the input stay as they are; those of the rules are made in a struct of their own.
+verdict and count once. Very long texts are read whole. An empty table gives no rows. Columns of the
+input stay as they are, but for one that has the name asked for the verdict, a struct, which it replaces.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_or_shuffled, staged
+from .common import columns, free_name, small_or_shuffled, staged
 
 # White space of the word rule, and the symbols that are counted.
 SPACE, SYMBOLS = " \t\n\x0b\f\r", "#*$%&|<>"
@@ -120,24 +121,26 @@ def documents_with_frequent_lines(documents: DataFrame, max_documents: int = 50,
 
 def joined(documents: DataFrame, found: DataFrame, columns: list[Column], rows: int | None = None) -> DataFrame:
     """All documents, with columns of those that hold frequent lines."""
-    named = small_or_shuffled(found, rows).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), *columns)
+    k1, k2 = free_name(documents, "_k1"), free_name(documents, "_k2")
+    named = small_or_shuffled(found, rows).select(F.col("k1").alias(k1), F.col("k2").alias(k2), *columns)
     keys = [F.xxhash64("source", "text"), F.xxhash64("text", F.lit(7), "source")]
-    return documents.join(named, (keys[0] == F.col("_k1")) & (keys[1] == F.col("_k2")), "left")
+    return documents.join(named, (keys[0] == F.col(k1)) & (keys[1] == F.col(k2)), "left").drop(k1, k2)
 
 
-def quality_rules(documents: DataFrame, min_words: int = 50, max_repeated: float = 0.5, max_documents: int = 50, least_left: float = 0.2, found: DataFrame | None = None) -> DataFrame:
-    """The documents with a struct column `quality`: counts, base_failed and kept.
+def quality_rules(documents: DataFrame, min_words: int = 50, max_repeated: float = 0.5, max_documents: int = 50, least_left: float = 0.2, found: DataFrame | None = None, name: str = "quality") -> DataFrame:
+    """The documents with a struct column `name`: counts, base_failed and kept.
 
     `found` is the result of `documents_with_frequent_lines`, where it is there already.
     """
     found = documents_with_frequent_lines(documents, max_documents, least_left) if found is None else found
-    marked = documents.withColumn("_rules", document_rules(F.col("text")))
-    marked = joined(marked, found.where("depleted"), [F.lit(True).alias("_depleted")])
-    words, repeated = F.col("_rules.words.n_words"), F.col("_rules.words.n_repeat_words")
+    counts, depleted = free_name(documents, "_rules"), free_name(documents, "_depleted")
+    marked = documents.withColumn(counts, document_rules(F.col("text")))
+    marked = joined(marked, found.where("depleted"), [F.lit(True).alias(depleted)])
+    words, repeated = F.col(f"{counts}.words.n_words"), F.col(f"{counts}.words.n_repeat_words")
     failed = (words < min_words) | (repeated > max_repeated * words)
-    fields = [words.alias("n_words"), F.col("_rules.word_chars"), F.col("_rules.n_symbols"), F.col("_rules.n_dup_lines"), repeated.alias("n_repeat_words")]
-    verdict = F.struct(*fields, failed.alias("base_failed"), (~failed & F.col("_depleted").isNull()).alias("kept"))
-    return marked.select(*[F.col(f"`{c}`") for c in documents.columns], verdict.alias("quality"))
+    fields = [words.alias("n_words"), *(F.col(f"{counts}.{c}").alias(c) for c in ("word_chars", "n_symbols", "n_dup_lines")), repeated.alias("n_repeat_words")]
+    verdict = F.struct(*fields, failed.alias("base_failed"), (~failed & F.col(depleted).isNull()).alias("kept"))
+    return marked.select(*[x for x, c in zip(columns(documents), documents.columns, strict=True) if c.lower() != name.lower()], verdict.alias(name))
 
 
 def without_boilerplate(documents: DataFrame, max_documents: int = 50, least_left: float = 0.2) -> DataFrame:
@@ -146,17 +149,18 @@ def without_boilerplate(documents: DataFrame, max_documents: int = 50, least_lef
     The counts of the verdict are those of the whole text. `n_chars` follows a text that has changed.
     """
     found = documents_with_frequent_lines(documents, max_documents, least_left)
-    kept = quality_rules(documents, max_documents=max_documents, least_left=least_left, found=found).where("quality.kept").drop("quality")
+    verdict, held = free_name(documents, "_quality"), free_name(documents, "_frequent")
+    kept = quality_rules(documents, max_documents=max_documents, least_left=least_left, found=found, name=verdict).where(F.col(f"{verdict}.kept")).drop(verdict)
     clean = found.where("not depleted")
     size = clean.agg(F.sum(F.size("frequent") + 1)).first()[0] or 0
-    rows = joined(kept, clean, [F.col("frequent").alias("_frequent")], size)
+    rows = joined(kept, clean, [F.col("frequent").alias(held)], size)
 
     def stays(line: Column) -> Column:
         plain = F.lower(F.regexp_replace(line, r"[\x20\x09\x0B-\x0D]+", " "))  # as in line_hashes
-        return ~F.array_contains("_frequent", F.xxhash64("source", F.btrim(plain, F.lit(SPACE))))
+        return ~F.array_contains(held, F.xxhash64("source", F.btrim(plain, F.lit(SPACE))))
 
-    text = F.when(F.col("_frequent").isNull(), F.col("text")).otherwise(F.array_join(F.filter(F.split("text", "\n"), stays), "\n"))
-    rows = rows.withColumn("text", text)
+    changed = F.col(held).isNotNull()
+    rows = rows.withColumn("text", F.when(changed, F.array_join(F.filter(F.split("text", "\n"), stays), "\n")).otherwise(F.col("text")))
     if "n_chars" in documents.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_frequent").isNull() | F.col("n_chars").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return rows.select(*[F.col(f"`{c}`") for c in documents.columns])
+        rows = rows.withColumn("n_chars", F.when(changed & F.col("n_chars").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return rows.select(columns(documents))

@@ -382,6 +382,65 @@ def test_quality_depleted_documents_by_themselves(spark):
         assert r["kept"] == (r["doc_id"] < 1000), r["doc_id"]
 
 
+def plain_verdicts(rows, most, least_left=0.2, own=1 / 7):
+    """doc_id to (frequent lines of its host that it holds, whether it is depleted), by plain counting."""
+
+    def cut(text):
+        low = re.sub(r"[\x20\x09\x0B-\x0D]+", " ", (text or "").strip(" \t\n\x0b\f\r")).lower()
+        return [(x.strip(" "), len(x)) for x in low.split("\n") if x.strip(" ")]
+
+    hosts, out = collections.defaultdict(set), {}
+    for _, text, host in rows:
+        if text is not None:
+            hosts[host].add(text)
+    for host, texts in hosts.items():
+        lines = {t: cut(t) for t in texts}
+        held = collections.Counter(x for t in texts for x in {x for x, _ in lines[t]})
+        often = {x for x, n in held.items() if n > most}
+        documents = collections.defaultdict(set)
+        for t in texts:
+            different = set(lines[t])
+            every, rest = {x for x, _ in different}, {x for x, _ in different if x in often}
+            chars, lost = sum(n for _, n in different), sum(n for x, n in different if x in often)
+            apart = len(every) - len(rest) >= own * len(every) or chars - lost >= own * chars
+            for x in rest:
+                documents[x].add(t if apart else frozenset(rest))
+        hosts[host] = {x for x, d in documents.items() if len(d) > most}
+    for doc, text, host in rows:
+        lines = cut(text)
+        total, lost = sum(n for _, n in lines), sum(n for x, n in lines if x in hosts[host])
+        out[doc] = {x for x, _ in lines if x in hosts[host]}, total - lost < least_left * total if lost else False
+    return out
+
+
+@pytest.mark.parametrize("most", [5, 50])
+def test_quality_verdicts_against_plain_counting(spark, most):
+    """All documents of a table: the lines that count as frequent, and what is kept."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    shared = [f"Shared line {k} of a page that many have" for k in range(4)]
+    more = [(100_000 + i, "\n".join([*shared, f"its own {i}", *(f"w{i}x{j}" if i % 2 else "same" for j in range(60 * (i % 2)))]), "en", "h", 1) for i in range(400)]
+    more += [(200_000 + i, "\n".join(["a frequent line of ten"] * 10 + [f"three own words {i}"]), "en", "h", 1) for i in range(80)]
+    docs = docs.union(spark.createDataFrame(more, docs.schema))
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "source").collect()]
+    want = plain_verdicts(rows, most)
+    assert sum(bool(x) for x, _ in want.values()) > 400 and sum(d for _, d in want.values()) > 200
+    base = {i: quality_base(t) for i, t, _ in rows}
+    for r in quality.quality_rules(docs, max_documents=most).select("doc_id", "quality.kept", "quality.base_failed").collect():
+        n = base[r["doc_id"]]
+        failed = n[0] < 50 or 100 * n[4] > 50 * n[0]
+        assert (r["base_failed"], r["kept"]) == (failed, not failed and not want[r["doc_id"]][1]), r["doc_id"]
+
+
+def test_quality_clashing_names(spark):
+    rows = [(i, f"own {i} " * 3 + "\nthe same line", "h", 1) for i in range(20)] + [(50, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, quality int").selectExpr("*", "1 as _k1", "2 as _k2", "3 as _depleted", "4 as _rules", "5 as _frequent", "6 as _quality", "7 as `a.b`", "8 as k1", "9 as h")
+    got = quality.quality_rules(df, max_documents=5)
+    assert got.columns == [c for c in df.columns if c != "quality"] + ["quality"] and got.count() == 21
+    assert got.select("_k1", "_rules", "`a.b`").distinct().collect() == [(1, 4, 7)]
+    assert quality.without_boilerplate(df).schema == df.schema
+    assert quality.quality_rules(df, name="verdict").columns == [*df.columns, "verdict"]
+
+
 def test_quality_stage_removes_frequent_lines(spark):
     import corpus_pipeline
 
