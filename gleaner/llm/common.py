@@ -61,6 +61,13 @@ def small_or_shuffled(table: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(table) if (table.count() if rows is None else rows) <= BROADCAST_ROWS else table
 
 
+def mapped_rows(df: DataFrame, run) -> DataFrame:
+    """`mapInArrow` with the columns that came, also where their names have dots, which it can't take."""
+    names = [c if c.isidentifier() else free_name(df, f"_column{i}") for i, c in enumerate(df.columns)]
+    plain = df.toDF(*names)
+    return plain.mapInArrow(run, plain.schema).toDF(*df.columns)
+
+
 def join_hot(left: DataFrame, right: DataFrame, key: str, rows: str, rows_of_left: int, how: str = "left") -> DataFrame:
     """Left or inner join with a staged table of unique keys that states how many `rows` of `left` each has.
 

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import by_bytes, texts
+from .common import by_bytes, mapped_rows, texts
 
 KEY, VALUE = "(password|passwd|secret|token|api_?key)[\"']? *[:=] *[\"']?", "[A-Za-z0-9+/_.=-]+"
 #: name, pattern, whether its letters match in either case, shortest value that counts, and what stands before the value.
@@ -300,4 +300,4 @@ def masked(documents: DataFrame, mask: Callable[[str], str] = lambda kind: f"[{k
             columns = [pa.array(out, batch.schema.field(at).type) if k == at else batch.column(k) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return documents.mapInArrow(run, documents.schema)
+    return mapped_rows(documents, run)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bytes, small_batches, small_or_shuffled, staged, texts
+from .common import by_bytes, mapped_rows, small_batches, small_or_shuffled, staged, texts
 
 # Plain insults, second-person words, and signs that stand for letters.
 LEXICON = frozenset("idiot idiots moron morons stupid loser losers pathetic worthless scum trash garbage disgusting clown dumb fool jerk filth filthy vermin hate kill die ugly retard bastard creep".split())
@@ -284,4 +284,4 @@ def without_toxic(documents: DataFrame, model: Model, limit: float = 0.5) -> Dat
         for batch, scores in score_batches(batches, held.value):
             yield batch.filter(pa.array(scores < limit))
 
-    return documents.mapInArrow(run, documents.schema)
+    return mapped_rows(documents, run)

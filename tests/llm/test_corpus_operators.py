@@ -295,6 +295,40 @@ def test_isotonic_rises():
     assert (np.diff(steps.y) > 0).all() and abs(steps(x).mean() - y.mean()) < 0.05
 
 
+def test_pipeline_stages_on_odd_rows(spark):
+    """Nulls, empty and very long texts, repeated rows, clashing names, and an empty table through every stage."""
+    import corpus_pipeline
+
+    words = " ".join(f"word{i}" for i in range(60))
+    key = "password = abcdefghijkl1234"
+    rows = [(1, words, "en", "s", len(words)), (1, words, "en", "s", len(words)), (2, words + " more", None, None, None), (3, None, "en", "s", None), (4, "", "en", "s", 0), (None, words + " other words", "en", "s", 5), (5, " ".join(f"long{i}" for i in range(40_000)), "en", "s", 9), (6, f"é {key} end", "en", "s", 7), (7, f"é {key} end", "en", "s", None)]
+    extra = "'q' as quality, 1 as kept, 2 as _k1, 3 as id, 4 as component, 5 as `a.b`, 6 as row, 7 as size, 8 as shard, 9 as score, 10 as spans"
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", *extra.split(", "))
+    kept = {"quality rules": [None, 1, 1, 2, 5], "toxicity": None, "n-gram Jaccard join": [None, 1, 3, 4, 5, 6], "secret scans": None}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, df, SF)
+        assert out.schema == df.schema and stage(spark, df.limit(0), SF).count() == 0
+        ids = sorted((r["doc_id"] for r in out.select("doc_id").collect()), key=lambda x: (x is not None, x))
+        assert ids == (kept[name] or sorted((r[0] for r in rows), key=lambda x: (x is not None, x))), name
+        if name == "secret scans":
+            got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in out.collect()}
+            assert got[6] == ("é [assign] end", 14) and got[7] == ("é [assign] end", None) and got[1] == (words, len(words)) and got[3] == (None, None)
+    packed = corpus_pipeline.packing_stage(spark, df, SF)
+    assert {r["doc_id"] for r in packed.collect()} == {r[0] for r in rows} and corpus_pipeline.packing_stage(spark, df.limit(0), SF).count() == 0
+    sums = packed.groupBy("doc_id").sum("n_tokens").collect()
+    assert {r["doc_id"]: r[1] for r in sums} == {None: 62, 1: 120, 2: 61, 3: 0, 4: 0, 5: 40_000, 6: 5, 7: 5}
+
+
+def test_toxicity_stage_drops_what_scores_high(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    left = [r["doc_id"] for r in corpus_pipeline.toxicity_stage(spark, docs, SF).select("doc_id").collect()]
+    assert sorted(left) == sorted(i for i, s in scores.items() if s < 0.5) and len(left) < len(scores)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
@@ -306,5 +340,16 @@ def test_pipeline(spark):
         kept = after
     rows = sorted(map(tuple, kept.select("doc_id", "text").collect()))
     assert all(i == c for i, _, c, _ in brute(rows, 5, 80))
-    packed = corpus_pipeline.run(spark, SF)
-    assert {r["doc_id"] for r in packed.collect()} == {i for i, _ in rows}
+    packed = corpus_pipeline.run(spark, SF).collect()
+    assert {r["doc_id"] for r in packed} == {i for i, _ in rows}
+    room, bins = {}, {}
+    for r in sorted(packed, key=lambda r: (r["shard"], r["bin"], r["start"])):
+        at = (r["shard"], r["bin"])
+        assert r["start"] == room.get(at, 0) and r["start"] + r["n_tokens"] <= 4096
+        room[at] = r["start"] + r["n_tokens"]
+        bins.setdefault(at, []).append(r["doc_id"])
+    sources = {r["doc_id"]: r["source"] for r in kept.collect()}
+    plain = {i: " ".join((t or "").lower().split()) for i, t in rows}
+    for members in bins.values():
+        texts = [plain[i] for i in members]
+        assert len(set(texts)) == len(texts) and max([sources[i] for i in members].count(sources[j]) for j in members) <= 4

@@ -221,6 +221,28 @@ def test_secrets_random():
         assert [x for x in own.text_spans(text) if x[0] < 3] == base_spans(text), repr(text)
 
 
+OWN = [("github", re.compile("gh[pousr]_[A-Za-z0-9]+"), 40), ("slack", re.compile("xox[abprs]-[A-Za-z0-9-]+"), 15), ("private_key", re.compile("-----BEGIN [A-Z ]*PRIVATE KEY-----"), 1)]
+
+
+def test_secrets_of_own_kinds_random():
+    """Spans of the method's own rules begin where plain patterns begin, and end there too but for bodies of keys."""
+    own, rnd = secrets.scanner(), random.Random(15)
+    pool = ["ghp_", "gho_", "ghx_", "a1B2" * 9, "zz", "xoxb-", "xoxz-", "12345-abcde", "-", "-----BEGIN ", "RSA ", "PRIVATE KEY-----", "é", " ", "\n", "_", "g", "x"]
+    for _ in range(4000):
+        text = "".join(rnd.choice(pool) for _ in range(rnd.randint(0, 14)))
+        got = [(secrets.RULES[r][0], a, b) for r, a, b in own.text_spans(text) if r > 2]
+        for kind, pattern, least in OWN:
+            want = [(m.start(), m.end()) for m in pattern.finditer(text) if len(m[0]) >= least]
+            found = [(a, b) for k, a, b in got if k == kind]
+            if kind == "private_key":  # a body may follow and hold another header
+                assert {a for a, _ in found} <= {a for a, _ in want} and len(found) >= bool(want)
+                assert all(any(x <= a and b <= y for x, y in found) for a, b in want)
+            else:
+                assert found == want, repr(text)
+    long = "é" + "ghp_" + "Z9" * 20 + " "
+    assert [(a, b) for _, a, b in own.text_spans(long * 3000)] == [(46 * i + 1, 46 * i + 45) for i in range(3000)]
+
+
 def test_secrets_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     texts = dict(map(tuple, docs.select("doc_id", "text").collect()))
