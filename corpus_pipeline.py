@@ -1,4 +1,12 @@
-"""A corpus pipeline: quality rules, toxicity, near-duplicate removal, secret masking, packing."""
+"""A corpus pipeline: quality rules, toxicity, near-duplicate removal, secret masking, packing.
+
+Each stage takes rows as they come. Null texts count as empty: they fail the quality rules, and where a
+stage gets some nevertheless, they are scored, never near copies, without secrets, and packed at length
+0. Rows with null ids are scored, masked and packed like any others and never near copies. Repeated rows
+get one verdict from quality and toxicity; of those of one id, the near-duplicate stage keeps one. Very
+long texts are read whole. Ties are broken by the smallest id. Empty tables give empty tables. All but
+the last stage return the columns they got, whatever their names.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.llm import ngram_join, packing, quality, secrets, toxicity
-from gleaner.llm.common import staged
+from gleaner.llm.common import columns, staged
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +36,9 @@ def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets in texts by a mark of their kind; n_chars follows the new text."""
     masked = secrets.masked(docs)
-    return masked.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length(F.coalesce("text", F.lit(""))).cast("long"))).select(docs.columns)
+    if "n_chars" not in docs.columns:
+        return masked
+    return masked.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length(F.coalesce("text", F.lit(""))).cast("long"))).select(columns(docs))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
