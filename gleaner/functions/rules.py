@@ -1,13 +1,15 @@
 """Columns for licences, screening, product kinds, business categories and composite scores.
 
-Word bounds in patterns are written \\b here and turned into look-arounds over ASCII letters, digits and
-the underscore for Spark (`java`), as its own \\b would also take letters beyond ASCII for words.
+Patterns are in lower case and hold for any. Word bounds are written \\b here and turned into look-arounds
+over ASCII letters, digits and the underscore for Spark (`java`), as its own \\b would also take letters
+beyond ASCII for words.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
-from operator import add
+from operator import add, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,6 +43,10 @@ SIGNALS = [
     ("everything", r"web application|web app|frontend|react app|next\.js app|mobile app", 10, "application frontend", True),
     ("everything", BUSINESS_USE, 13, "business use case", True),
 ]
+# What speaks for a template.
+PREVIEW = PICTURE + "|preview|live demo"
+SETUP = "docker-compose|installation|getting started|quick start"
+CUSTOMISING = "theme|customiz|plugin|extension|self-hosted|white label"
 # Kinds by the first pattern that matches.
 KINDS = [
     ("AWESOME_LIST", "title", r"awesome[- ]|curated list"),
@@ -104,6 +110,7 @@ CATEGORIES: dict[str, list[str]] = {
     "ANALYTICS": ["analytics platform", "web analytics", "business intelligence", "data analytics"],
     "DASHBOARD": ["admin dashboard", "business dashboard", "analytics dashboard"],
 }
+# What speaks for and against an application that stands alone, and targets of gaps.
 STANDALONE = ["self[ -]?hosted", "docker[ -]?compose", "docker compose", "installation", "getting started", "deploy(?:ment)?", "live demo", "screenshots?", "authentication", "sign[ -]?in", "dashboard", "web application", "frontend.{0,30}backend", "database", "production"]
 NEGATIVE = ["curated list", "awesome list", "collection of (?:links|resources|libraries)", "tutorial collection", "sdk for", "client library", "component library", "icon (?:set|collection)", "interview questions"]
 DEVELOPER_ONLY = r"\b(?:llm|agents?|claude|inference|model weights?|sdk|client library|framework|database|protocol|kernel|runtime|developer tool)\b"
@@ -142,21 +149,86 @@ GROUPS = {
     "DEVELOPER_PRODUCT": (["DEVELOPER_PRODUCT", "SECURITY"], 0, 20),
 }
 # Categories of the first model mapped to those of the second; others become OTHER.
-SAME_CATEGORY = "CRM SALES BOOKING HR ATS INVOICING ACCOUNTING FINANCE PAYROLL ERP POS INVENTORY ECOMMERCE CUSTOMER_SUPPORT PROJECT_MANAGEMENT PROPERTY_MANAGEMENT REAL_ESTATE RESTAURANT HOTEL LMS CLIENT_PORTAL MARKETING EMAIL_MARKETING SOCIAL_MEDIA TIME_TRACKING DOCUMENT_MANAGEMENT CMS ANALYTICS DASHBOARD AUTOMATION PRODUCTIVITY".split()
+SAME_CATEGORY = [
+    "CRM", "SALES", "BOOKING", "HR", "ATS", "INVOICING", "ACCOUNTING", "FINANCE", "PAYROLL", "ERP", "POS", "INVENTORY", "ECOMMERCE",
+    "CUSTOMER_SUPPORT", "PROJECT_MANAGEMENT", "PROPERTY_MANAGEMENT", "REAL_ESTATE", "RESTAURANT", "HOTEL", "LMS", "CLIENT_PORTAL", "MARKETING",
+    "EMAIL_MARKETING", "SOCIAL_MEDIA", "TIME_TRACKING", "DOCUMENT_MANAGEMENT", "CMS", "ANALYTICS", "DASHBOARD", "AUTOMATION", "PRODUCTIVITY",
+]
 OTHER_CATEGORY = {"LEAD_MANAGEMENT": "SALES", "APPOINTMENTS": "BOOKING", "CALENDAR_BUSINESS": "BOOKING", "HRM": "HR", "EXPENSES": "FINANCE", "HELPDESK": "CUSTOMER_SUPPORT", "LIVE_CHAT": "CUSTOMER_SUPPORT", "COURSE_PLATFORM": "LMS", "FORM_BUILDER": "FORMS", "SURVEY": "SURVEYS"}
 SCORE_WEIGHTS = {"business_usefulness_score": 0.12, "ease_of_deployment_score": 0.08, "ease_of_customization_score": 0.08, "visual_value_score": 0.07, "client_project_potential_score": 0.08, "end_user_clarity_score": 0.05}
-STOP_WORDS = "open source self hosted application system platform ready management готовая система управления".split()
+STOP_WORDS = ["open", "source", "self", "hosted", "application", "system", "platform", "ready", "management", "готовая", "система", "управления"]
 
 
 def java(pattern: str, either_case: bool = True) -> str:
-    """A pattern for Spark: a word bound is a place between ASCII word characters and anything else."""
+    """A pattern for Spark: a word bound is a place where ASCII word characters begin or end.
+
+    A bound at the beginning of an alternative stands before a word character, any other after one.
+    """
     word = "[A-Za-z0-9_]"
-    plain = pattern.replace(r"\b", f"(?:(?<={word})(?!{word})|(?<!{word})(?={word}))")
+    plain = re.sub(r"(^|[|(:])\\b", rf"\1(?<!{word})", pattern).replace(r"\b", f"(?!{word})")
     return ("(?i)" if either_case else "") + plain
 
 
-def has(text: Column, pattern: str) -> Column:
-    return F.coalesce(text.rlike(java(pattern)), F.lit(False))
+def alternatives(pattern: str) -> list[str]:
+    """The parts between the bars that stand outside groups and classes."""
+    out, depth, in_class, escaped = [""], 0, False, False
+    for c in pattern:
+        if not escaped and not in_class:
+            depth += (c == "(") - (c == ")")
+            if c == "|" and not depth:
+                out.append("")
+                continue
+        if not escaped:
+            in_class = c == "[" or in_class and c != "]"
+        escaped = c == "\\" and not escaped
+        out[-1] += c
+    return out
+
+
+def pieces_of(part: str) -> list[tuple[str, str]]:
+    """(piece, repeat) of one alternative: characters, escapes, classes and groups, each with what repeats it."""
+    return re.findall(r"(\\.|\[(?:\\.|[^\]])*\]|\((?:\?[:!=<]+)?(?:\\.|\[(?:\\.|[^\]])*\]|\([^()]*\)|[^()\[\\])*\)|[^\\\[(])([?*+]|\{\d*,?\d*\})?", part)
+
+
+def needed(part: str) -> list[str]:
+    """Texts of which an alternative needs at least one; none if it isn't known."""
+    runs, groups, run = [], [], ""
+    for piece, repeat in pieces_of(part):
+        letter = piece[1:] if re.fullmatch(r"\\[^A-Za-z0-9]", piece) else piece if len(piece) == 1 and piece not in ".^$" else ""
+        if letter and not repeat:
+            run += letter
+            continue
+        runs.append(run + (letter if repeat == "+" else ""))
+        run = ""
+        if piece.startswith("(?:") and not repeat:
+            inner = [needed(x) for x in alternatives(piece[3:-1])]
+            groups += [[x for xs in inner for x in xs]] if all(inner) else []
+    best = max([*runs, run], key=len)
+    return [best] if len(best) > 2 or best and not groups else max(groups, key=lambda g: min(map(len, g)), default=[])
+
+
+def lowered(text: Column) -> Column:
+    """Lower case as patterns without regard to case see it: the long s is an s."""
+    return F.translate(F.lower(text), "\u017f", "s")
+
+
+def has(text: Column, pattern: str, low: bool = False) -> Column:
+    """Whether the text has the pattern, in any letter case; `low` says that the text is in lower case already.
+
+    Alternatives of plain text are looked up as such, and a pattern is tried only where a text that it
+    needs is there.
+    """
+    text = text if low else lowered(text)
+    found = []
+    for part in alternatives(pattern):
+        texts = needed(part)
+        if len(texts) == 1 and re.sub(r"\\([^A-Za-z0-9])", r"\1", part) == texts[0]:
+            found.append(text.contains(texts[0]))
+        elif texts:
+            found.append(reduce(or_, [text.contains(x) for x in texts]) & text.rlike(java(part, False)))
+        else:
+            found.append(text.rlike(java(part, False)))
+    return F.coalesce(reduce(or_, found), F.lit(False))
 
 
 def total(columns: list[Column]) -> Column:
@@ -184,15 +256,15 @@ def licence_class(spdx: Column) -> Column:
     return F.struct(category.alias("category"), category.isin("NO_LICENSE", "COPYLEFT", "UNKNOWN").alias("review_required"), (category == "PERMISSIVE").alias("bundle_candidate"))
 
 
-def first_label(text: Column, rules: list[tuple[str, str]]) -> Column:
+def first_label(text: Column, rules: list[tuple[str, str]], low: bool = False) -> Column:
     found = F.lit(None).cast("string")
     for pattern, label in reversed(rules):
-        found = F.when(has(text, pattern), label).otherwise(found)
+        found = F.when(has(text, pattern, low), label).otherwise(found)
     return found
 
 
-def licence_in_text(text: Column) -> Column:
-    return first_label(text, LICENCE_TEXTS)
+def licence_in_text(text: Column, low: bool = False) -> Column:
+    return first_label(text, LICENCE_TEXTS, low)
 
 
 def licence_family(id_: Column) -> Column:
@@ -233,12 +305,12 @@ def product_fields(name: Column, description: Column, topics: Column, homepage:
     title = F.concat_ws(" ", F.coalesce(name, none), F.coalesce(description, none))
     identity = F.concat_ws(" ", title, F.array_join(F.coalesce(topics, F.array().cast("array<string>")), " "))
     everything = F.concat_ws(" ", identity, F.coalesce(homepage, none), F.coalesce(readme, none))
-    return {k: F.lower(v) for k, v in {"title": title, "identity": identity, "readme": F.coalesce(readme, none), "everything": everything}.items()}
+    return {k: lowered(v) for k, v in {"title": title, "identity": identity, "readme": F.coalesce(readme, none), "everything": everything}.items()}
 
 
 def product_signals(fields: dict[str, Column], homepage: Column, readme: Column) -> Column:
     """struct(score, app_signals, reasons) of the weighted signals."""
-    found = [(has(fields[f], p), n, reason, app) for f, p, n, reason, app in SIGNALS]
+    found = [(has(fields[f], p, True), n, reason, app) for f, p, n, reason, app in SIGNALS]
     found.append((F.coalesce(homepage, F.lit("")) != "", 4, "project homepage", False))
     score = points(F.coalesce(readme, F.lit("")) != "", 4) + total([points(c, n) for c, n, _, _ in found])
     apps = total([points(c, 1) for c, _, _, app in found if app])
@@ -248,7 +320,7 @@ def product_signals(fields: dict[str, Column], homepage: Column, readme: Column)
 def product_kind(fields: dict[str, Column], score: Column, app_signals: Column) -> Column:
     found = F.when((app_signals >= 3) | ((app_signals >= 2) & (score >= 45)), "APPLICATION").otherwise("UNKNOWN")
     for kind, field, pattern in reversed(KINDS):
-        found = F.when(has(fields[field], pattern), kind).otherwise(found)
+        found = F.when(has(fields[field], pattern, True), kind).otherwise(found)
     return found
 
 
@@ -260,10 +332,10 @@ def template_potential(fields: dict[str, Column], kind: Column, homepage: Column
     stars = F.coalesce(stars, F.lit(0))
     parts = [
         F.when(kind == "APPLICATION", 28).when(kind.isin("BOILERPLATE", "STARTER"), 16).otherwise(0),
-        points(has(fields["readme"], PICTURE + "|preview|live demo") | (F.coalesce(homepage, F.lit("")) != ""), 10),
-        points(has(fields["readme"], "docker-compose|installation|getting started|quick start"), 12),
-        points(has(fields["everything"], BUSINESS_USE), 14),
-        points(has(fields["everything"], "theme|customiz|plugin|extension|self-hosted|white label"), 10),
+        points(has(fields["readme"], PREVIEW, True) | (F.coalesce(homepage, F.lit("")) != ""), 10),
+        points(has(fields["readme"], SETUP, True), 12),
+        points(has(fields["everything"], BUSINESS_USE, True), 14),
+        points(has(fields["everything"], CUSTOMISING, True), 10),
         F.when(days.isNull(), 0).when(days <= 30, 10).when(days <= 90, 8).when(days <= 365, 5).otherwise(1),
         F.when(stars >= 1000, 3).when(stars >= 100, 2).when(stars > 0, 1).otherwise(0),
     ]
@@ -298,13 +370,13 @@ def complexity(score: Column) -> Column:
 
 
 def matches(patterns: list[str], text: Column) -> Column:
-    """How many of the patterns the text has."""
-    return total([points(has(text, p), 1) for p in patterns])
+    """How many of the patterns the text, in lower case, has."""
+    return total([points(has(text, p, True), 1) for p in patterns])
 
 
 def occurrences(patterns: list[str], text: Column, most: int = 3) -> Column:
-    """Places of all patterns, `most` a pattern at most."""
-    return total([F.least(F.coalesce(F.regexp_count(text, F.lit(java(p))), F.lit(0)), F.lit(most)) for p in patterns])
+    """Places of all patterns in a text in lower case, `most` a pattern at most; only patterns that the text has are counted."""
+    return total([F.when(has(text, p, True), F.least(F.regexp_count(text, F.lit(java(p, False))), F.lit(most))).otherwise(0) for p in patterns])
 
 
 def normalized_category(category: Column) -> Column:

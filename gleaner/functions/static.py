@@ -24,7 +24,10 @@ ROLES = {
 # Labels by what a text mentions.
 FRONTEND = [(r"next(?:\.js)?", "Next.js"), (r"\breact\b", "React"), (r"vue(?:\.js)?", "Vue"), ("svelte", "Svelte"), ("angular", "Angular"), ("tailwind", "Tailwind CSS")]
 BACKEND = [("laravel", "Laravel"), ("django", "Django"), ("fastapi", "FastAPI"), ("nestjs", "NestJS"), ("express", "Express"), ("rails", "Rails"), ("spring boot", "Spring Boot"), ("phoenix", "Phoenix")]
-STACK = [*FRONTEND[:5], *BACKEND[:3], ("flask", "Flask"), *BACKEND[3:], (r"golang|go\.mod", "Go"), (r"rust|cargo\.toml", "Rust")]
+STACK = [
+    (r"next(?:\.js)?", "Next.js"), (r"\breact\b", "React"), (r"vue(?:\.js)?", "Vue"), ("svelte", "Svelte"), ("angular", "Angular"), ("laravel", "Laravel"), ("django", "Django"), ("fastapi", "FastAPI"), ("flask", "Flask"),
+    ("nestjs", "NestJS"), ("express", "Express"), ("rails", "Rails"), ("spring boot", "Spring Boot"), ("phoenix", "Phoenix"), (r"golang|go\.mod", "Go"), (r"rust|cargo\.toml", "Rust"),
+]
 STACK_FILES = {"go.mod": "Go", "cargo.toml": "Rust", "composer.json": "PHP/Composer", "requirements.txt": "Python", "pyproject.toml": "Python"}
 DATABASES = [("postgres(?:ql)?", "PostgreSQL"), ("mysql|mariadb", "MySQL/MariaDB"), ("sqlite", "SQLite"), ("mongodb|mongoose", "MongoDB"), ("redis", "Redis")]
 SERVICES = [("stripe", "Stripe"), ("openai", "OpenAI"), ("anthropic|claude", "Anthropic"), ("twilio", "Twilio"), ("sendgrid", "SendGrid"), ("resend", "Resend"), ("aws|s3", "AWS/S3"), ("supabase", "Supabase"), ("firebase", "Firebase"), ("google oauth|google cloud", "Google"), ("sentry", "Sentry")]
@@ -32,7 +35,7 @@ PAID = ["Stripe", "OpenAI", "Anthropic", "Twilio", "SendGrid", "Resend", "AWS/S3
 DEPRECATED = [('"node-sass"', "node-sass"), ('"request"', "request"), ('"bower"', "bower"), (r'"react"\s*:\s*"\^?(?:15|16)\.', "React <=16"), (r'"next"\s*:\s*"\^?(?:9|10|11|12)\.', "Next.js <=12"), (r'"angular"\s*:\s*"\^?[0-9]\.', "AngularJS/old Angular")]
 LOCKS = [("pnpm-lock.yaml", "pnpm"), ("yarn.lock", "yarn"), ("bun.lockb", "bun"), ("bun.lock", "bun"), ("package.json", "npm"), ("composer.lock", "composer"), ("poetry.lock", "poetry"), ("cargo.lock", "cargo")]
 INSTALL = {"npm": "npm install", "pnpm": "pnpm install", "yarn": "yarn", "bun": "bun install", "composer": "composer install", "poetry": "poetry install", "cargo": "cargo build"}
-NOT_VARIABLES = "README MIT GPL API URL HTTP HTTPS JSON SQL CSS HTML CI CD UI ID JWT UUID POSTGRES".split()
+NOT_VARIABLES = ["README", "MIT", "GPL", "API", "URL", "HTTP", "HTTPS", "JSON", "SQL", "CSS", "HTML", "CI", "CD", "UI", "ID", "JWT", "UUID", "POSTGRES"]
 COMMANDS = r"(?im)^\s*(?:npm|pnpm|yarn|bun|composer|poetry|pip|cargo)\s+(?:install|ci|run\s+(?:dev|start|build|test)|dev|start|build)\b[^\n]*"
 RUNTIME_SCRIPT, TEST_SCRIPT = ":(?:dev|start|build|serve|preview|test|test:|e2e|lint)=", ":(?:test|test:|e2e|vitest|jest|pytest)="
 SUSPICIOUS = r":(?:preinstall|install|postinstall|prepare|prepack|postpack)=|curl|wget|powershell|chmod \+x|\./scripts/|node scripts/"

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 # What a link in a text may consist of, and the roots of the code host that aren't owners.
 URL_IN_TEXT = r"(?:https?://|(?:www\.)?github\.com/)[A-Za-z\d._~:/?#\[\]@!$&'()*+,;=%-]+"
 TRAILING = r"[),.;:!?\]}]+$"
-RESERVED_ROOTS = (
-    "about account actions apps collections contact customer-stories dashboard dependabot discussions enterprise events guides join explore "
-    "features login marketplace mobile new notifications orgs plans pricing readme search security sessions settings signup skills solutions "
-    "site sponsors stars support team topics trending users"
-).split()
+RESERVED_ROOTS = [
+    "about", "account", "actions", "apps", "collections", "contact", "customer-stories", "dashboard", "dependabot", "discussions", "enterprise",
+    "events", "guides", "join", "explore", "features", "login", "marketplace", "mobile", "new", "notifications", "orgs", "plans", "pricing",
+    "readme", "search", "security", "sessions", "settings", "signup", "skills", "solutions", "site", "sponsors", "stars", "support", "team",
+    "topics", "trending", "users",
+]
 PARTS = r"^([a-zA-Z][a-zA-Z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?"
 
 

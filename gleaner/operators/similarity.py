@@ -17,33 +17,42 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_or_shuffled(table: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """Hints a broadcast of a staged table of a few longs a row if it has at most `most` rows."""
+    return F.broadcast(table) if table.count() <= most else table
+
+
 def similar_pairs(df: DataFrame, id_: str, group: str, tokens: str, per_cent: int = 62) -> DataFrame:
     """(group, a, b, similarity) of the pairs a < b of one group whose Jaccard similarity is at least per_cent / 100.
 
-    Tokens are ordered by how many rows have them, rare ones first. Two sets that are similar enough
-    share one of their first n - ceil(per_cent * n / 100) + 1 tokens; where that token stands bounds
-    what they can still share. Equal sets count as one class, expanded at the end by its members only.
+    Tokens are 64-bit hashes, ordered by how many rows have them, rare ones first. Two sets that are
+    similar enough share one of their first n - ceil(per_cent * n / 100) + 1 tokens; where that token
+    stands bounds what they can still share. Tokens that one set alone has stand first and find nothing,
+    so that only their number is kept. Equal sets count as one class, expanded at the end by its members
+    only. Sets are sent once to the sizes and tokens, and again only for pairs that are left.
     """
-    rows = df.select(F.col(id_).alias("id"), F.col(group).alias("grp"), F.array_sort(F.array_distinct(tokens)).alias("set")).where(F.size("set") > 0)
-    rows = rows.withColumn("class", F.xxhash64("grp", "set"))
-    heads = rows.groupBy("grp", "set", "class").agg(F.min("id").alias("head"))
-    exploded = heads.select("grp", "head", "set", F.explode("set").alias("token"))
-    seen = exploded.groupBy("grp", "token").agg(F.count("*").alias("n"))
-    ordered = exploded.drop("set").join(seen, ["grp", "token"]).groupBy("grp", "head").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("ordered"))
-    size = F.size("ordered")
-    prefix = size - F.ceil(F.lit(per_cent) * size / 100).cast("int") + 1
-    indexed = staged(ordered.select("grp", "head", size.alias("size"), F.posexplode(F.slice("ordered", F.lit(1), prefix)).alias("at", "entry")).select("grp", "head", "size", "at", "entry.token"))
+    hashed = F.array_sort(F.array_distinct(F.transform(tokens, lambda t: F.xxhash64(t))))
+    rows = staged(df.select(F.col(id_).alias("id"), F.col(group).alias("grp"), hashed.alias("set")).where(F.size("set") > 0))
+    heads = staged(rows.groupBy("grp", "set").agg(F.min("id").alias("head"), F.count("*").alias("members")))
+    exploded = heads.select("grp", "head", F.size("set").alias("size"), F.explode("set").alias("token"))
+    seen = exploded.groupBy("grp", "token").agg(F.count("*").alias("n")).where("n > 1")
+    shared = exploded.join(seen, ["grp", "token"]).groupBy("grp", "head", "size").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("shared"))
+    alone = F.col("size") - F.size("shared")
+    prefix = F.col("size") - F.ceil(F.lit(per_cent) * F.col("size") / 100).cast("int") + 1 - alone
+    indexed = shared.where(prefix > 0).select("grp", "head", "size", alone.alias("alone"), F.posexplode(F.slice("shared", F.lit(1), F.greatest(prefix, F.lit(0)))).alias("place", "entry"))
+    indexed = staged(indexed.select("grp", "head", "size", (F.col("place") + F.col("alone")).alias("at"), "entry.token"))
     a, b = indexed.alias("a"), indexed.alias("b")
-    joined = a.join(b, (F.col("a.grp") == F.col("b.grp")) & (F.col("a.token") == F.col("b.token")) & (F.col("a.head") < F.col("b.head")))
     need = F.ceil(F.lit(per_cent) * (F.col("a.size") + F.col("b.size")) / (100 + per_cent))
     within = (100 * F.least("a.size", "b.size") >= per_cent * F.greatest("a.size", "b.size")) & (F.least(F.col("a.size") - F.col("a.at"), F.col("b.size") - F.col("b.at")) >= need)
-    pairs = joined.where(within).select(F.col("a.grp").alias("grp"), F.col("a.head").alias("x"), F.col("b.head").alias("y")).distinct()
-    sets = heads.select("grp", "head", "set")
+    joined = a.join(b, (F.col("a.grp") == F.col("b.grp")) & (F.col("a.token") == F.col("b.token")) & (F.col("a.head") < F.col("b.head")) & within)
+    pairs = staged(joined.select(F.col("a.grp").alias("grp"), F.col("a.head").alias("x"), F.col("b.head").alias("y")).distinct())
+    wanted = small_or_shuffled(staged(pairs.select(F.xxhash64("grp", "x").alias("k")).union(pairs.select(F.xxhash64("grp", "y"))).distinct()))
+    sets = staged(heads.withColumn("k", F.xxhash64("grp", "head")).join(wanted, "k", "left_semi").select("grp", "head", "set"))
     checked = pairs.join(sets.select("grp", F.col("head").alias("x"), F.col("set").alias("sx")), ["grp", "x"]).join(sets.select("grp", F.col("head").alias("y"), F.col("set").alias("sy")), ["grp", "y"])
     both = F.size(F.array_intersect("sx", "sy"))
     checked = checked.withColumn("similarity", both / (F.size("sx") + F.size("sy") - both)).where(F.col("similarity") >= per_cent / 100)
-    members = rows.join(heads.select("grp", "class", "set", "head"), ["grp", "class", "set"]).select("grp", "id", "head")
-    same = members.where("id <> head").select("grp", F.col("head").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"))
+    several = heads.where("members > 1").select("grp", "head", "set")
+    same = rows.join(several, ["grp", "set"]).where("id <> head").select("grp", F.col("head").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"))
     other = checked.select("grp", F.col("x").alias("a"), F.col("y").alias("b"), "similarity")
     return other.union(same).withColumnRenamed("grp", "group")
 

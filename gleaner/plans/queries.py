@@ -145,8 +145,10 @@ SQL_GATE = f"""CASE WHEN coalesce(status = 'UNAVAILABLE', false) OR coalesce(arc
 @query(view.SQL + f""", t AS (SELECT repository_id, {sql_first("text", rules.LICENCE_TEXTS)} AS detected, CASE WHEN coalesce(spdx, '') <> '' THEN coalesce({sql_first("spdx", rules.LICENCE_IDS)}, upper(spdx)) ELSE NULL END AS family, {SQL_CLASS} AS category FROM repo)
  SELECT repository_id, detected, family, category, CASE WHEN detected IS NOT NULL AND family IS NOT NULL THEN detected = family ELSE NULL END AS matches FROM t""")
 def licence_text_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    detected, family = rules.licence_in_text(F.col("text")), rules.licence_family(F.col("spdx"))
-    return repos(spark, sf_dir).select("repository_id", detected.alias("detected"), family.alias("family"), rules.licence_class(F.col("spdx"))["category"].alias("category"), rules.licence_matches(detected, family).alias("matches"))
+    rows = once(repos(spark, sf_dir), {"low": rules.lowered(F.col("text"))})
+    rows = once(rows, {"detected": rules.licence_in_text(F.col("low"), True), "family": rules.licence_family(F.col("spdx"))})
+    detected, family = F.col("detected"), F.col("family")
+    return rows.select("repository_id", detected.alias("detected"), family.alias("family"), rules.licence_class(F.col("spdx"))["category"].alias("category"), rules.licence_matches(detected, family).alias("matches"))
 
 
 def gated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,35 +175,29 @@ PRODUCTS = (
  {" + ".join(sql_points(c, 1) for c, _, _, _ in SQL_SIGNALS)} AS n_reasons FROM f),
  k AS (SELECT *, CASE {" ".join(f"WHEN {sql_has(SQL_FIELD[f], p)} THEN {q(kind)}" for kind, f, p in rules.KINDS)} WHEN app_signals >= 3 OR (app_signals >= 2 AND raw_score >= 45) THEN 'APPLICATION' ELSE 'UNKNOWN' END AS kind FROM s),
  p AS (SELECT *, least(100, greatest(0, raw_score - CASE WHEN kind IN {sql_in(rules.EXCLUDED_KINDS)} THEN 45 WHEN kind IN ('LIBRARY', 'FRAMEWORK') THEN 22 WHEN kind IN ('CLI_TOOL', 'DEV_TOOL') THEN 12 ELSE 0 END)) AS product,
- least(100, CASE WHEN kind = 'APPLICATION' THEN 28 WHEN kind IN ('BOILERPLATE', 'STARTER') THEN 16 ELSE 0 END + {sql_points(sql_has("low_readme", rules.PICTURE + "|preview|live demo") + " OR coalesce(homepage, '') <> ''", 10)}
- + {sql_points(sql_has("low_readme", "docker-compose|installation|getting started|quick start"), 12)} + {sql_points(sql_has("everything", rules.BUSINESS_USE), 14)} + {sql_points(sql_has("everything", "theme|customiz|plugin|extension|self-hosted|white label"), 10)}
+ least(100, CASE WHEN kind = 'APPLICATION' THEN 28 WHEN kind IN ('BOILERPLATE', 'STARTER') THEN 16 ELSE 0 END + {sql_points(sql_has("low_readme", rules.PREVIEW) + " OR coalesce(homepage, '') <> ''", 10)}
+ + {sql_points(sql_has("low_readme", rules.SETUP), 12)} + {sql_points(sql_has("everything", rules.BUSINESS_USE), 14)} + {sql_points(sql_has("everything", rules.CUSTOMISING), 10)}
  + CASE WHEN days IS NULL THEN 0 WHEN days <= 30 THEN 10 WHEN days <= 90 THEN 8 WHEN days <= 365 THEN 5 ELSE 1 END + CASE WHEN coalesce(stars, 0) >= 1000 THEN 3 WHEN coalesce(stars, 0) >= 100 THEN 2 WHEN coalesce(stars, 0) > 0 THEN 1 ELSE 0 END) AS template, {SQL_GATE} AS gate FROM k),
  products AS (SELECT *, CASE WHEN gate = 'EXCLUDED' OR kind IN {sql_in(rules.EXCLUDED_KINDS)} THEN 'EXCLUDED' WHEN gate = 'CANDIDATE' AND (kind = 'APPLICATION' OR (kind IN ('STARTER', 'BOILERPLATE') AND template >= 50)) THEN 'CANDIDATE' ELSE 'REVIEW' END AS candidate_status FROM p)"""
 )
 
 
+def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Adds columns that are computed once a row: inline() keeps the optimizer from copying them to each place that uses one."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repositories with product signals, kind, scores and status; each text is prepared once a row."""
     rows = view.topics_array(gated(spark, sf_dir))
     homepage, readme = F.col("homepage"), F.col("readme")
-
-    def classified(t: Column) -> Column:
-        fields = {k: t[k] for k in ("title", "identity", "readme", "everything")}
-
-        def with_signals(s: Column) -> Column:
-            def with_kind(kind: Column) -> Column:
-                product = rules.clamp(s["score"] - rules.kind_penalty(kind))
-                template = rules.template_potential(fields, kind, homepage, F.col("days"), F.col("stars"))
-                return F.struct(s.alias("signals"), kind.alias("kind"), product.alias("product"), template.alias("template"))
-
-            return urls.bound(rules.product_kind(fields, s["score"], s["app_signals"]), with_kind)
-
-        return urls.bound(rules.product_signals(fields, homepage, readme), with_signals)
-
-    texts = rules.product_fields(F.col("name"), F.col("description"), F.col("topic_list"), homepage, readme)
-    # inline() keeps the optimizer from copying the expression to each place that uses one of its fields
-    rows = rows.select("*", F.inline(F.array(urls.bound(F.struct(*[v.alias(k) for k, v in texts.items()]), classified))))
-    return rows.withColumn("candidate_status", rules.narrowed_status(F.col("gate"), F.col("kind"), F.col("template")))
+    rows = once(rows, {f"low_{k}": v for k, v in rules.product_fields(F.col("name"), F.col("description"), F.col("topic_list"), homepage, readme).items()})
+    fields = {k: F.col(f"low_{k}") for k in ("title", "identity", "readme", "everything")}
+    rows = once(rows, {"signals": rules.product_signals(fields, homepage, readme)})
+    rows = once(rows, {"kind": rules.product_kind(fields, F.col("signals.score"), F.col("signals.app_signals"))})
+    product = rules.clamp(F.col("signals.score") - rules.kind_penalty(F.col("kind")))
+    rows = once(rows, {"product": product, "template": rules.template_potential(fields, F.col("kind"), homepage, F.col("days"), F.col("stars"))})
+    return rows.drop("low_title", "low_identity", "low_everything").withColumn("candidate_status", rules.narrowed_status(F.col("gate"), F.col("kind"), F.col("template")))
 
 
 @query(PRODUCTS + " SELECT repository_id, kind, product, template, CAST(app_signals AS INT) AS app_signals, CAST(n_reasons AS INT) AS n_reasons, candidate_status FROM products")
@@ -233,23 +229,27 @@ def discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repositories with ranked categories, discovery and standalone scores; rejected ones left out."""
     rows = products(spark, sf_dir)
     kind, none = F.col("kind"), F.lit("")
-    bonus = F.when(kind == "APPLICATION", 25).when(kind.isin("STARTER", "BOILERPLATE"), 12).when(kind == "UNKNOWN", 5).otherwise(0)
-
-    def found(t: Column) -> Column:
-        def one(ordinal: int, category: str, patterns: list[str]) -> Column:
-            metadata = rules.matches(patterns, t["name"]) * 10 + rules.matches(patterns, t["text"]) * 8 + rules.matches(patterns, t["topics"]) * 7
-            places = rules.occurrences(patterns, t["readme"]) * 2
-            return urls.bound(metadata, lambda m: F.struct((-(m + places)).alias("minus"), F.lit(ordinal).alias("ordinal"), F.lit(category).alias("category"), m.alias("metadata")))
-
-        ranked = F.array_sort(F.filter(F.array(*[one(i, c, p) for i, (c, p) in enumerate(rules.CATEGORIES.items())]), lambda s: s["minus"] < 0))
-        standalone = rules.matches(rules.STANDALONE, t["combined"]) * 5 + rules.points(F.coalesce("homepage", none) != "", 8) + bonus - rules.matches(rules.NEGATIVE, t["combined"]) * 20
-        developer = rules.has(F.concat_ws(" ", t["name"], t["text"], t["topics"]), rules.DEVELOPER_ONLY)
-        return F.struct(ranked.alias("ranked"), F.least(F.lit(100), F.greatest(F.lit(0), standalone)).alias("standalone"), developer.alias("developer"))
-
     name, text = F.regexp_replace("name", "[-_.]", " "), F.coalesce("description", none)
     topics, readme = F.regexp_replace(F.coalesce("topics", none), "[-_]", " "), F.substring(F.coalesce("readme", none), 1, WINDOW)
-    texts = F.struct(name.alias("name"), text.alias("text"), topics.alias("topics"), readme.alias("readme"), F.concat_ws("\n", name, text, topics, readme).alias("combined"))
-    rows = rows.select("*", F.inline(F.array(urls.bound(texts, found)))).withColumn("top", F.get("ranked", F.lit(0)))
+    parts = {"name": name, "text": text, "topics": topics, "readme": readme}
+    rows = once(rows, {f"d_{k}": rules.lowered(v) for k, v in parts.items()} | {"d_combined": rules.lowered(F.concat_ws("\n", *parts.values()))})
+    t = {k: F.col(f"d_{k}") for k in (*parts, "combined")}
+
+    everyone = list(rules.CATEGORIES.values())
+    metadata = [rules.matches(p, t["name"]) * 10 + rules.matches(p, t["text"]) * 8 + rules.matches(p, t["topics"]) * 7 for p in everyone]
+    places = [rules.occurrences(p, t["readme"]) * 2 for p in everyone]
+    bonus = F.when(kind == "APPLICATION", 25).when(kind.isin("STARTER", "BOILERPLATE"), 12).when(kind == "UNKNOWN", 5).otherwise(0)
+    standalone = rules.matches(rules.STANDALONE, t["combined"]) * 5 + rules.points(F.coalesce("homepage", none) != "", 8) + bonus - rules.matches(rules.NEGATIVE, t["combined"]) * 20
+    developer = rules.has(F.concat_ws(" ", t["name"], t["text"], t["topics"]), rules.DEVELOPER_ONLY, True)
+    rows = once(rows, {"standalone": F.least(F.lit(100), F.greatest(F.lit(0), standalone)), "developer": developer})
+    parts = range(0, len(everyone), 4)  # a few at a time, as methods of compiled code are bounded
+    for i in parts:
+        rows = once(rows, {f"metadata{i}": F.array(*metadata[i : i + 4]), f"places{i}": F.array(*places[i : i + 4])})
+    rows = rows.withColumns({x: F.concat(*[F.col(f"{x}{i}") for i in parts]) for x in ("metadata", "places")})
+
+    names = F.array(*map(F.lit, rules.CATEGORIES))
+    scored = F.transform("metadata", lambda m, i: F.struct((-(m + F.get("places", i))).alias("minus"), i.alias("ordinal"), F.get(names, i).alias("category"), m.alias("metadata")))
+    rows = once(rows, {"ranked": F.array_sort(F.filter(scored, lambda s: s["minus"] < 0))}).withColumn("top", F.get("ranked", F.lit(0)))
     weak = (F.col("top.metadata") == 0) & ((-F.col("top.minus") < 6) | (F.col("standalone") < 30) | F.col("developer"))
     rows = rows.where(F.col("top").isNotNull() & (F.col("standalone") >= 15) & ~weak)
     strong = F.transform(F.slice(F.filter("ranked", lambda s: s["minus"] <= -4), 1, 5), lambda s: s["category"])
@@ -306,6 +306,7 @@ def gap_quota_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shortlist.quota_selection(pool, [F.desc("discovery"), F.desc("standalone"), F.asc("id")], limit=150)
 
 
+# Evidence of an application that stands alone.
 EVIDENCE = r"self[ -]?hosted|docker[ -]?compose|screenshots?|live demo|web application|frontend.{0,40}backend|authentication|deploy"
 
 

@@ -26,6 +26,7 @@ FILES = {
 }
 FILES = {k: v.replace("doc_id", "page_id") for k, v in FILES.items()}
 STATED = choose(5, ["MIT", "GPL-3.0", "Apache-2.0", None, "MIT"]).replace("doc_id", "repository_id")
+# Words in READMEs and manifests that speak for a user interface, a way to run, an application, a library.
 UI_WORDS, RUNTIME_WORDS = "screenshots?|demo|dashboard|admin panel|web app|web application", "installation|quick start|getting started|deploy"
 APP_WORDS, LIBRARY_WORDS = "crm|booking|inventory|dashboard|management|platform|application|system|self.host", r"\b(?:sdk|library|framework|plugin|wrapper)\b"
 
