@@ -299,6 +299,11 @@ def needs_readme(candidate: Column, readme_status: Column, updated: Column, now:
     return (candidate == "CANDIDATE") & (readme_status.isin("PENDING", "FAILED") | ((readme_status == "FETCHED") & (updated < now - F.make_dt_interval(F.lit(stale_days)))))
 
 
+def needs_search(status: Column, refresh: bool = False) -> Column:
+    """Whether a search query is asked: not one that is completed, unless all are asked again, nor one in work."""
+    return F.coalesce(status, F.lit("PENDING")) != ("PROCESSING" if refresh else "COMPLETED")
+
+
 def product_fields(name: Column, description: Column, topics: Column, homepage: Column, readme: Column) -> dict[str, Column]:
     """The lower-cased texts that product rules look at."""
     none = F.lit("")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .similarity import staged
+
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row a key, the first in `order`, which should end in something unique."""
@@ -68,6 +70,34 @@ def changed(old: DataFrame, new: DataFrame, keys: list[str], print_: str = "fing
     return new.join(stored, keys, "left").withColumn("state", state).drop("_stored", "_known")
 
 
+def reset_changed(stored: DataFrame, new: DataFrame, keys: list[str], print_: str = "fingerprint") -> DataFrame:
+    """New rows with the stored status and error; a changed fingerprint sets the status to PENDING and clears the error; null for rows not stored."""
+    held = stored.select(*keys, F.col(print_).alias("_stored"), F.col("status").alias("_status"), F.col("error").alias("_error"), F.lit(True).alias("_known"))
+    rows = new.join(held, keys, "left")
+    other = F.col("_known") & ~F.equal_null(F.col("_stored"), F.col(print_))
+    rows = rows.withColumn("status", F.when(other, "PENDING").otherwise(F.col("_status"))).withColumn("error", F.when(~other, F.col("_error")))
+    return rows.drop("_stored", "_status", "_error", "_known")
+
+
+def numbered(df: DataFrame, key: str, name: str = "number") -> DataFrame:
+    """Numbers rows from 0 in ascending order of a key: sorted in ranges, which are counted, so that no task gets all rows."""
+    rows = staged(df.repartitionByRange(F.col(key)).sortWithinPartitions(key).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()))
+    parts = rows.groupBy("_part").agg(F.count("*").alias("n"), F.min("_at").alias("_first"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a range
+    parts = parts.select("_part", "_first", before.alias("_before"))
+    return rows.join(F.broadcast(parts), "_part").withColumn(name, F.col("_before") + F.col("_at") - F.col("_first")).drop("_part", "_at", "_first", "_before")
+
+
+def write_report(sections: DataFrame, path: str) -> None:
+    """Sections of a report as lines of JSON, nulls kept."""
+    sections.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A report that an earlier stage has written."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
 def fingerprint(*columns: Column) -> Column:
     return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
 

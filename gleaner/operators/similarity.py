@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared(spark: SparkSession) -> str:
+    """The folder that the cluster names as spark.checkpoint.dir, or the warehouse."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
 def staged(df: DataFrame) -> DataFrame:
-    """Writes a table in the folder that the cluster names as spark.checkpoint.dir, or the warehouse, and reads it again."""
+    """Writes a table in the shared folder and reads it again."""
     spark = df.sparkSession
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{shared.rstrip('/')}/staged/{uuid.uuid4().hex}"
+    path = f"{shared(spark)}/staged/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
