@@ -21,6 +21,11 @@ ROLES = {
     "is_manifest": r"package\.json$",
     "is_workspace": r"(?:^|/)(?:pnpm-workspace\.yaml|turbo\.json|nx\.json)$|^(?:apps|packages|services)/",
 }
+# Names of files that an inspection lists, folders that it lists too, and names whose content it reads.
+INSPECTED_NAMES = r"^(readme(?:\.[^.]+)?|license(?:\.[^.]+)?|copying(?:\.[^.]+)?|package\.json|composer\.json|pyproject\.toml|requirements\.txt|cargo\.toml|go\.mod|gemfile|dockerfile(?:\..+)?|docker-compose(?:\..+)?\.ya?ml|compose\.ya?ml|\.env(?:\..+)?|vercel\.json|netlify\.toml|fly\.toml|render\.yaml|railway\.json|pnpm-workspace\.yaml|turbo\.json|nx\.json)$"
+INSPECTED_FOLDERS = r"(?:^|/)(?:migrations?|prisma/schema\.prisma|seed|fixtures?|demo)(?:/|\.|$)"
+#: Most files listed and read of one repository, manifests and environment files read in an inspection, and variables reported.
+MOST_LISTED, MOST_READ, MOST_MANIFESTS, MOST_ENVS, MOST_VARIABLES = 240, 24, 30, 20, 150
 # Labels by what a text mentions.
 FRONTEND = [(r"next(?:\.js)?", "Next.js"), (r"\breact\b", "React"), (r"vue(?:\.js)?", "Vue"), ("svelte", "Svelte"), ("angular", "Angular"), ("tailwind", "Tailwind CSS")]
 BACKEND = [("laravel", "Laravel"), ("django", "Django"), ("fastapi", "FastAPI"), ("nestjs", "NestJS"), ("express", "Express"), ("rails", "Rails"), ("spring boot", "Spring Boot"), ("phoenix", "Phoenix")]
@@ -41,10 +46,24 @@ RUNTIME_SCRIPT, TEST_SCRIPT = ":(?:dev|start|build|serve|preview|test|test:|e2e|
 SUSPICIOUS = r":(?:preinstall|install|postinstall|prepare|prepack|postpack)=|curl|wget|powershell|chmod \+x|\./scripts/|node scripts/"
 
 
+def safe_path(path: Column) -> Column:
+    """Relative and without steps upwards."""
+    return ~path.startswith("/") & ~F.array_contains(F.split(path, "/"), "..")
+
+
+def listed_path(path: Column) -> Column:
+    """Whether a static inspection lists a file of a tree: by its name, or by a folder on its way."""
+    return safe_path(path) & (has(file_name(path), INSPECTED_NAMES, True) | has(path, INSPECTED_FOLDERS))
+
+
+def read_path(path: Column) -> Column:
+    """Whether it reads the content too."""
+    return has(file_name(path), INSPECTED_NAMES, True)
+
+
 def wanted_path(path: Column) -> Column:
     """Not in a skipped folder, relative, and without steps upwards."""
-    folders = F.split(path, "/")
-    return ~F.arrays_overlap(folders, F.array(*map(F.lit, SKIPPED))) & ~path.startswith("/") & ~F.array_contains(folders, "..")
+    return ~F.arrays_overlap(F.split(path, "/"), F.array(*map(F.lit, SKIPPED))) & safe_path(path)
 
 
 def file_name(path: Column) -> Column:
@@ -67,6 +86,19 @@ def package_manager(names: Column) -> Column:
     return found
 
 
+def manifest_object(manifest: Column) -> Column:
+    """The text of a manifest that is a JSON object, {} for another value, null for what isn't JSON."""
+    value = F.try_parse_json(manifest)
+    return F.when(value.isNotNull(), F.when(F.schema_of_variant(value).startswith("OBJECT"), manifest).otherwise("{}"))
+
+
+def has_workspaces(manifest: Column) -> Column:
+    """Whether a manifest states workspaces; null, false, 0 and the empty text don't count."""
+    value = F.try_variant_get(F.try_parse_json(manifest), "$.workspaces", "variant")
+    kind, plain = F.schema_of_variant(value), F.try_variant_get(value, "$", "string")
+    return F.coalesce((kind != "VOID") & (kind.startswith("ARRAY") | kind.startswith("OBJECT") | ~plain.isin("false", "0", "")), F.lit(False))
+
+
 def scripts(path: Column, manifest: Column) -> Column:
     """`path:name=command` of each script of a package manifest; none if it can't be read."""
     held = F.map_entries(F.from_json(F.get_json_object(manifest, "$.scripts"), "map<string,string>"))
@@ -82,7 +114,7 @@ def install_commands(readme: Column, manager: Column) -> Column:
 
 def environment_variables(text: Column) -> Column:
     found = F.regexp_extract_all(text, F.lit(java(r"\b[A-Z][A-Z0-9_]{2,}\b", either_case=False)), F.lit(0))
-    return F.slice(F.array_sort(F.array_except(found, F.array(*map(F.lit, NOT_VARIABLES)))), 1, 150)
+    return F.slice(F.array_sort(F.array_except(found, F.array(*map(F.lit, NOT_VARIABLES)))), 1, MOST_VARIABLES)
 
 
 def decision_score(f: dict[str, Column]) -> Column:
@@ -99,9 +131,21 @@ def setup_complexity(score: Column, databases: Column, paid: Column) -> Column:
     return F.when((score >= 78) & (databases <= 1) & ~paid, "LOW").when(score >= 55, "MEDIUM").otherwise("HIGH")
 
 
+# Why an inspection ends as it does.
+REASONS = {
+    "conflict": "License file appears GPL while stored metadata is not GPL; legal mismatch requires exclusion.",
+    "library": "Library/SDK/framework wording is present without enough static UI evidence; retain for human review rather than auto-drop.",
+    "nothing": "No documented or detectable runtime path, package manifest, or container configuration in inspected files; retain for review.",
+    "ready": "Documented runtime path, standalone product evidence and self-hosting signals are present.",
+    "other": "Static evidence is insufficient for an automated sandbox-ready decision; review setup and runtime behavior without executing code.",
+}
+
+
 def static_decision(f: dict[str, Column], score: Column) -> Column:
-    """DROP for a copyleft text under another licence, READY for good evidence, else REVIEW."""
+    """struct(decision, reason): DROP for a copyleft text under another licence, READY for good evidence, else REVIEW."""
     conflict = F.coalesce(~f["licence_matches"] & (f["licence_detected"] == "GPL"), F.lit(False))
     nothing = ~f["runtime"] & ~f["docker"] & ~f["manifest"]
     ready = (score >= 75) & f["standalone"] & F.coalesce(f["licence_matches"], F.lit(True))
-    return F.when(conflict, "DROP").when(f["library"] | nothing, "REVIEW").when(ready, "READY_FOR_SANDBOX").otherwise("REVIEW")
+    case = F.when(conflict, "conflict").when(f["library"], "library").when(nothing, "nothing").when(ready, "ready").otherwise("other")
+    decision = F.when(case == "conflict", "DROP").when(case == "ready", "READY_FOR_SANDBOX").otherwise("REVIEW")
+    return F.struct(decision.alias("decision"), F.create_map(*[F.lit(x) for kv in REASONS.items() for x in kv])[case].alias("reason"))

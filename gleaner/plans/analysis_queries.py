@@ -12,7 +12,7 @@ from ..operators import keyed, similarity
 from ..sources import scans
 from . import view
 from .queries import DISCOVERED, EVIDENCE, NOW, PRODUCTS, SQL_TIER, discovered, once, products, q, query, read, sql_has, sql_in, sql_matches, sql_points
-from .static_queries import SQL_FACTS, tree_facts
+from .static_queries import FILES, SQL_FACTS, tree_facts
 from .view import choose, repos
 
 # --- Responses -------------------------------------------------------------------------------------
@@ -261,13 +261,13 @@ def report_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
-SQL_SHORT = "short AS (SELECT DISTINCT page_id % 83 AS repository_id, CASE page_id % 83 % 4 WHEN 0 THEN 'CRM' WHEN 1 THEN 'BOOKING' WHEN 2 THEN 'LMS' END AS category FROM pages WHERE page_id % 83 % 5 <> 4)"
+SQL_SHORT = f"short AS (SELECT repository_id, CASE repository_id % 4 WHEN 0 THEN 'CRM' WHEN 1 THEN 'BOOKING' WHEN 2 THEN 'LMS' END AS category FROM (SELECT DISTINCT {FILES['repository_id']} AS repository_id FROM pages) WHERE repository_id % 5 <> 4)"
 
 
 @query(SQL_FACTS + ", " + SQL_SHORT + """ SELECT coalesce(short.category, 'UNKNOWN') AS category, count_if(decision = 'READY_FOR_SANDBOX') AS ready, count_if(decision = 'REVIEW') AS review, count_if(decision = 'DROP') AS dropped FROM facts LEFT JOIN short USING (repository_id) GROUP BY 1""")
 def shortlist_static(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Static decisions by the category that the shortlist gives a repository; those not on it are unknown."""
-    short = read(spark, sf_dir, "pages").selectExpr("page_id % 83 AS repository_id").distinct().where("repository_id % 5 <> 4")
+    short = read(spark, sf_dir, "pages").selectExpr(f"{FILES['repository_id']} AS repository_id").distinct().where("repository_id % 5 <> 4")
     short = short.withColumn("category", F.when(F.col("repository_id") % 4 == 0, "CRM").when(F.col("repository_id") % 4 == 1, "BOOKING").when(F.col("repository_id") % 4 == 2, "LMS"))
     rows = tree_facts(spark, sf_dir).select("repository_id", "decision").join(short, "repository_id", "left").withColumn("category", F.coalesce("category", F.lit("UNKNOWN")))
     wide = rows.groupBy("category").pivot("decision", ["READY_FOR_SANDBOX", "REVIEW", "DROP"]).agg(F.count(F.lit(1))).fillna(0)

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules, urls
@@ -92,14 +92,28 @@ def mapped_metadata(records: DataFrame, now: Column) -> DataFrame:
 
 
 def repository_files(files: DataFrame, most: int = 8000) -> DataFrame:
-    """Wanted files of each repository (repository_id, path, size, content), the first `most` by depth and path.
+    """(repository_id, path, size, depth, file_rank) of the wanted files of each repository, the first `most` by depth and path.
 
-    The cut is the feature of the inspection; it is made before the shuffle as far as possible.
+    The cut is the feature of the inspection. It is made in parts of each repository first, so that no
+    task sorts all files of a large one, and contents don't take part.
     """
     from ..operators.keyed import top_per_key
 
-    rows = files.where(wanted_path(F.col("path"))).withColumn("depth", F.size(F.split("path", "/")))
-    return top_per_key(rows, ["repository_id"], [F.col("depth"), F.col("path")], most, "file_rank")
+    rows = files.where(wanted_path(F.col("path"))).select("repository_id", "path", "size", F.size(F.split("path", "/")).alias("depth"))
+    order = [F.col("depth"), F.col("path")]
+    parts = top_per_key(rows.withColumn("part", F.pmod(F.xxhash64("path"), F.lit(64))), ["repository_id", "part"], order, most, "part_rank")
+    return top_per_key(parts.drop("part", "part_rank"), ["repository_id"], order, most, "file_rank")
+
+
+def selected_tree(tree: DataFrame) -> DataFrame:
+    """(repository_id, path, size, position, with_content) of landed trees: safe paths that an inspection lists, the first of each in tree order, and which of them it reads, those least deep first."""
+    from ..functions import static
+    from ..operators.keyed import top_per_key
+
+    listed = top_per_key(tree.where(static.listed_path(F.col("path"))), ["repository_id"], [F.col("position")], static.MOST_LISTED, "_place").drop("_place")
+    order = [F.desc("_wanted"), F.size(F.split("path", "/")), F.collate("path", "UNICODE"), F.col("position")]
+    ranked = listed.withColumn("_wanted", static.read_path(F.col("path"))).withColumn("_place", F.row_number().over(Window.partitionBy("repository_id").orderBy(*order)))  # rows are bounded by the cut above
+    return ranked.withColumn("with_content", F.col("_wanted") & (F.col("_place") <= static.MOST_READ)).drop("_wanted", "_place")
 
 
 class Messages(HTMLParser):
