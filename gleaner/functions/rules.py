@@ -295,8 +295,19 @@ def needs_metadata(status: Column, updated: Column, now: Column, refresh_days: i
     return open_ | ((status == "ENRICHED") & (updated.isNull() | (updated < now - F.make_dt_interval(F.lit(refresh_days)))))
 
 
-def needs_readme(candidate: Column, readme_status: Column, updated: Column, now: Column, stale_days: int = 30) -> Column:
-    return (candidate == "CANDIDATE") & (readme_status.isin("PENDING", "FAILED") | ((readme_status == "FETCHED") & (updated < now - F.make_dt_interval(F.lit(stale_days)))))
+def needs_readme(candidate: Column, readme_status: Column, updated: Column, now: Column, stale_days: int | None = 30) -> Column:
+    """Candidates without a README, or (unless `stale_days` is None) with an old one."""
+    return (candidate == "CANDIDATE") & readme_due(readme_status, updated, now, stale_days)
+
+
+def readme_due(readme_status: Column, updated: Column, now: Column, stale_days: int | None = 30) -> Column:
+    missing = readme_status.isin("PENDING", "FAILED")
+    return missing if stale_days is None else missing | ((readme_status == "FETCHED") & (updated < now - F.make_dt_interval(F.lit(stale_days))))
+
+
+def readme_prefilter(status: Column, licence: Column, archived: Column, disabled: Column, fork: Column, days_since_push: Column, kind: Column) -> Column:
+    """What a repository found by search must be, in place of a candidate, for its README to be read."""
+    return active_permissive(licence, archived, disabled, days_since_push, status == "ENRICHED", ~fork, kind.isin("APPLICATION", "STARTER", "BOILERPLATE", "UNKNOWN"))
 
 
 def needs_search(status: Column, refresh: bool = False) -> Column:

@@ -32,6 +32,20 @@ def percent_encoded(text: Column) -> Column:
     return F.when(text.rlike(r'[^!#-;=?-_a-z|~]'), F.array_join(F.transform(F.split(text, ""), one), "")).otherwise(text)
 
 
+def without_dots(path: Column) -> Column:
+    """A path whose segments . and .. (also written %2e) are resolved; steps above the root stay there."""
+    up, here = r"(?i)^(?:\.|%2e){2}$", r"(?i)^(?:\.|%2e)$"
+
+    def step(done: Column, segment: Column) -> Column:
+        return F.when(segment.rlike(up), F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))).when(segment.rlike(here), done).otherwise(F.concat(done, F.array(segment)))
+
+    def walked(segments: Column) -> Column:
+        folder = F.when(F.element_at(segments, -1).rlike(r"(?i)^(?:\.|%2e){1,2}$"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+        return F.array_join(F.concat(F.aggregate(segments, F.array().cast("array<string>"), step), folder), "/")
+
+    return F.when(path.rlike(r"(?i)/(?:\.|%2e){1,2}(?:/|$)"), bound(F.split(path, "/"), walked)).otherwise(path)
+
+
 def resolved(link: Column, base: Column) -> Column:
     """A link made absolute by the page it stands on."""
     scheme, origin = F.regexp_extract(base, PARTS, 1), F.regexp_extract(base, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*", 0)
@@ -56,7 +70,7 @@ def normalize_url(link: Column, base: Column | None = None) -> Column:
         scheme, host = F.lower(F.regexp_extract(url, PARTS, 1)), F.lower(F.regexp_extract(url, PARTS, 2))
         host = F.when(scheme == "http", F.regexp_replace(host, ":80$", "")).otherwise(F.regexp_replace(host, ":443$", ""))
         path, query = F.regexp_extract(url, PARTS, 3), F.regexp_extract(url, PARTS, 4)
-        path = F.when(path == "", F.lit("/")).otherwise(F.regexp_replace(path, r"/\.(?=/|$)", ""))
+        path = F.when(path == "", F.lit("/")).otherwise(without_dots(path))
         whole = F.concat(scheme, F.lit("://"), host, percent_encoded(path), percent_encoded(query))
         return F.when(scheme.isin("http", "https") & host.rlike(r"^[^\s<>^|%]+$"), whole)
 

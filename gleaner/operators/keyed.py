@@ -79,9 +79,9 @@ def reset_changed(stored: DataFrame, new: DataFrame, keys: list[str], print_: st
     return rows.drop("_stored", "_status", "_error", "_known")
 
 
-def numbered(df: DataFrame, key: str, name: str = "number") -> DataFrame:
-    """Numbers rows from 0 in ascending order of a key: sorted in ranges, which are counted, so that no task gets all rows."""
-    rows = staged(df.repartitionByRange(F.col(key)).sortWithinPartitions(key).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()))
+def numbered(df: DataFrame, *keys: str, name: str = "number") -> DataFrame:
+    """Numbers rows from 0 in ascending order of keys: sorted in ranges, which are counted, so that no task gets all rows."""
+    rows = staged(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()))
     parts = rows.groupBy("_part").agg(F.count("*").alias("n"), F.min("_at").alias("_first"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a range
     parts = parts.select("_part", "_first", before.alias("_before"))
@@ -118,6 +118,13 @@ def require_empty(violations: DataFrame, what: str) -> None:
         raise ValueError(f"{what}: {[r.asDict() for r in found]}")
 
 
+def require_leaders(ranked: DataFrame, keys: list[str], n: int, what: str) -> DataFrame:
+    """The rows of a ranking; fails the job if a key has fewer than `n`."""
+    few = ranked.groupBy(*keys).agg(F.count("*").alias("found")).where(F.col("found") < n)
+    require_empty(few, f"{what} requires {n} results")
+    return ranked
+
+
 def match_by_either_key(rows: DataFrame, known: DataFrame, first: list[str], second: list[str], id_: str) -> DataFrame:
     """Rows with the id of the known row that shares the `first` keys, else the `second`; null where neither matches.
 

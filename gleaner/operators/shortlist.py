@@ -102,5 +102,5 @@ def pool_fill(candidates: DataFrame, reviews: DataFrame, size: int) -> DataFrame
 
 
 def hash_sample(df: DataFrame, key: str, seed: int, n: int) -> DataFrame:
-    """A sample of n rows that is the same each time."""
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+    """A sample of n rows that is the same each time, and in any engine: the first by the MD5 of key and seed."""
+    return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), key).limit(n)

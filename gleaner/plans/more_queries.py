@@ -10,7 +10,7 @@ from ..operators import keyed, shortlist
 from ..sources import scans
 from ..streaming import ingest
 from . import view
-from .queries import LINK, SQL_DOC_LINKS, SQL_GROUP, SQL_TIER, document_links, query, read, repos, scored
+from .queries import PRODUCTS, SQL_CLASS, SQL_DOC_LINKS, SQL_GROUP, SQL_TIER, document_links, products, query, read, repos, scored
 from .static_queries import landed_pages
 
 DUE = {"updated_days": "CASE WHEN repository_id % 5 = 0 THEN NULL ELSE CAST(repository_id % 60 AS INT) END", "readme_status": "CASE repository_id % 4 WHEN 0 THEN 'FETCHED' WHEN 1 THEN 'PENDING' WHEN 2 THEN 'FAILED' ELSE 'MISSING' END"}
@@ -38,13 +38,44 @@ def link_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "stored", ((F.col("repo.owner") == F.col("owner")) & (F.col("repo.repo") == F.col("name"))).alias("agrees"))
 
 
-@query("""WITH q AS (SELECT conv_id, turn, text FROM conversations WHERE role = 'user' ORDER BY conv_id, turn LIMIT 300), n AS (SELECT *, row_number() OVER (ORDER BY conv_id, turn) - 1 AS i FROM q)
+@query("""WITH q AS (SELECT conv_id, turn, text FROM conversations WHERE role = 'user'), n AS (SELECT *, row_number() OVER (ORDER BY conv_id, turn) - 1 AS i FROM q)
  SELECT conv_id, turn, CAST(floor(i / 12) AS INT) AS batch, substring(trim(regexp_replace(text, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')), 1, 220) AS excerpt FROM n""")
 def request_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 300 requests in order (the pool's size), in batches of twelve, each with an excerpt."""
-    rows = read(spark, sf_dir, "conversations").where("role = 'user'").orderBy("conv_id", "turn").limit(300)
-    number = F.row_number().over(Window.orderBy("conv_id", "turn")) - 1
-    return rows.select("conv_id", "turn", F.floor(number / 12).cast("int").alias("batch"), F.substring(F.trim(F.regexp_replace("text", r"\s+", " ")), 1, 220).alias("excerpt"))
+    """All requests in order, in batches of twelve, each with an excerpt."""
+    rows = keyed.numbered(read(spark, sf_dir, "conversations").where("role = 'user'"), "conv_id", "turn")
+    return rows.select("conv_id", "turn", F.floor(F.col("number") / 12).cast("int").alias("batch"), F.substring(F.trim(F.regexp_replace("text", r"\s+", " ")), 1, 220).alias("excerpt"))
+
+
+SQL_SEARCHED = "repository_id % 3 <> 0"
+
+
+@query(PRODUCTS + f""", d AS (SELECT *, {DUE["updated_days"]} AS updated_days, {DUE["readme_status"]} AS readme_status FROM products) SELECT repository_id FROM d WHERE {SQL_SEARCHED} AND {SQL_CLASS} = 'PERMISSIVE' AND status = 'ENRICHED' AND NOT archived AND NOT disabled AND repository_id % 7 <> 0 AND days <= 365
+ AND kind IN ('APPLICATION', 'STARTER', 'BOILERPLATE', 'UNKNOWN') AND (readme_status IN ('PENDING', 'FAILED') OR (readme_status = 'FETCHED' AND updated_days > 30))""")
+def readmes_of_searched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repositories that a search has found (there is a hit of them), whose README is to be read."""
+    now = F.lit("2026-08-24").cast("timestamp")
+    rows = products(spark, sf_dir).selectExpr("*", *[f"{e} AS {c}" for c, e in DUE.items()]).withColumn("updated", now - F.make_dt_interval("updated_days")).withColumn("fork", F.col("repository_id") % 7 == 0)
+    hits = read(spark, sf_dir, "documents").where("doc_id % 3 <> 0").select(F.col("doc_id").alias("repository_id"))
+    wanted = rules.readme_prefilter(F.col("status"), F.col("licence"), F.col("archived"), F.col("disabled"), F.col("fork"), F.col("days"), F.col("kind")) & rules.readme_due(F.col("readme_status"), F.col("updated"), now)
+    return keyed.pruned(rows.where(wanted).select("repository_id"), hits, ["repository_id"])
+
+
+SQL_POOLS = view.SQL + f""", v1 AS (SELECT repository_id, bundle, category FROM repo WHERE bundle >= 65 AND repository_id % 2 = 0), v2 AS (SELECT repository_id, CAST((repository_id * 13) % 101 AS INT) AS bundle, category, repository_id % 5 < 2 AS seen FROM repo WHERE (repository_id * 13) % 101 >= 65 AND repository_id % 3 = 0),
+ p2 AS (SELECT repository_id, coalesce(v2.bundle, v1.bundle) AS bundle, CASE WHEN v2.repository_id IS NULL THEN 'existing_v1' WHEN seen THEN 'rescued_false_negative' ELSE 'new_gap_fill' END AS origin FROM v1 FULL JOIN v2 USING (repository_id)),
+ b AS (SELECT repository_id, CAST((repository_id * 17) % 101 AS INT) AS bundle, repository_id % 4 = 0 AS reused FROM repo WHERE (repository_id * 17) % 101 >= 65 AND repository_id % 7 < 3)"""
+
+
+@query(SQL_POOLS + """ SELECT repository_id, p2.origin AS origin_v2, CASE WHEN b.repository_id IS NULL THEN 'github_radar_v2' WHEN reused THEN 'reused_existing_analysis' ELSE 'github_search_business' END AS origin_v3, coalesce(b.bundle, p2.bundle) AS bundle, b.repository_id IS NOT NULL AND p2.repository_id IS NOT NULL AS replaced FROM p2 FULL JOIN b USING (repository_id)""")
+def pool_origins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two merges of pools, later tables winning, with where each row came from."""
+    rows = repos(spark, sf_dir)
+    v1 = rows.where("bundle >= 65 and repository_id % 2 = 0").select("repository_id", "bundle", F.lit("existing_v1").alias("origin_v2"))
+    v2 = rows.where("(repository_id * 13) % 101 >= 65 and repository_id % 3 = 0").select("repository_id", ((F.col("repository_id") * 13) % 101).cast("int").alias("bundle"), F.when(F.col("repository_id") % 5 < 2, "rescued_false_negative").otherwise("new_gap_fill").alias("origin_v2"))
+    pool = keyed.later_wins(v1, v2, keys=["repository_id"])
+    business = rows.where("(repository_id * 17) % 101 >= 65 and repository_id % 7 < 3").select("repository_id", ((F.col("repository_id") * 17) % 101).cast("int").alias("bundle"), F.when(F.col("repository_id") % 4 == 0, "reused_existing_analysis").otherwise("github_search_business").alias("origin_v3"))
+    third = keyed.later_wins(pool.select("repository_id", "bundle", F.lit("github_radar_v2").alias("origin_v3")), business, keys=["repository_id"])
+    both = third.join(pool.select("repository_id", "origin_v2"), "repository_id", "left")
+    return both.select("repository_id", "origin_v2", "origin_v3", "bundle", (F.col("origin_v2").isNotNull() & (F.col("origin_v3") != "github_radar_v2")).alias("replaced"))
 
 
 @query(view.SQL + """, r AS (SELECT repository_id, category, bundle, row_number() OVER (PARTITION BY category ORDER BY bundle DESC NULLS FIRST, repository_id) AS rank, count(*) OVER (PARTITION BY category) AS n FROM repo WHERE category IN ('CRM', 'BOOKING', 'INVOICING', 'POS') AND bundle >= 65)
@@ -78,7 +109,7 @@ def selection_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flags.agg(F.count_if("a").alias("first"), F.count_if("b").alias("second"), F.count_if(F.col("a") & F.col("b")).alias("overlap"), F.count_if(F.col("a") | F.col("b")).alias("everything"))
 
 
-@query(f"""WITH l AS (SELECT doc_id, {LINK} AS link FROM documents), known AS (SELECT DISTINCT o_custkey AS id FROM orders) SELECT doc_id, doc_id IN (SELECT id FROM known) AS has_publication FROM l""")
+@query("""SELECT doc_id, doc_id IN (SELECT o_custkey FROM orders) AS has_publication FROM documents""")
 def known_and_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose id has an order, and those without: new against known."""
     documents = read(spark, sf_dir, "documents").select("doc_id")

@@ -34,6 +34,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Adds columns that are computed once a row: inline() keeps the optimizer from copying them to each place that uses one."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -122,6 +127,47 @@ def extraction_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*flags.columns, "t.*", (F.col("repository_links") - F.col("t.unique_repositories")).alias("duplicates"))
 
 
+# Four links of a document, the second into the repository of the first, and the last like the first.
+LINK_AT = f"concat(CASE WHEN (doc_id + pos // 2) % 4 = 0 THEN 'https://GitHub.com/' WHEN (doc_id + pos // 2) % 4 = 1 THEN 'github.com/' WHEN (doc_id + pos // 2) % 4 = 2 THEN 'http://www.github.com:80/' ELSE 'https://example.org/' END, CASE WHEN (doc_id + pos // 2) % 9 = 0 THEN 'topics' ELSE upper(source) END, '/Repo', CAST((doc_id + pos // 2) % 50 AS STRING), {choose(8, ['', '.git', '/issues/1', '/tree/main', '/blob/x', '/releases).', '/wiki', '#top']).replace('doc_id', '(doc_id + pos)')})"
+SQL_LINK_ARRAYS = f"""WITH x AS (SELECT doc_id, source, pos FROM documents CROSS JOIN (VALUES (0), (1), (2), (3)) v(pos)), l AS (SELECT doc_id, pos, {LINK_AT} AS link, source, (doc_id + pos // 2) AS d, (doc_id + pos) % 8 AS form FROM x),
+ k AS (SELECT doc_id, pos, link, d % 4 <> 3 AS on_host, d % 4 <> 3 AND d % 9 <> 0 AS is_repo, concat('https://github.com/', lower(source), '/repo', CAST(d % 50 AS STRING)) AS canonical, form FROM l),
+ f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, canonical ORDER BY pos) AS nth FROM k WHERE is_repo) WHERE nth = 1)"""
+
+
+def placed_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each link of each document with its place, kind and repository."""
+    rows = read(spark, sf_dir, "documents").select("doc_id", "source", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("pos"))
+    rows = rows.selectExpr("doc_id", "pos", LINK_AT.replace("pos // 2", "pos div 2") + " AS link")
+    return once(rows, {"kind": urls.link_kind(F.col("link")), "repo": urls.repository_link(F.col("link"))})
+
+
+@query(SQL_LINK_ARRAYS + " SELECT doc_id, canonical AS repository, link AS first_link, CAST(pos AS INT) AS place FROM f")
+def first_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first link of a document to each repository; later ones to the same are ignored."""
+    rows = placed_links(spark, sf_dir).where("repo is not null").select("doc_id", "pos", "link", F.col("repo.canonical_url").alias("repository"))
+    first = rows.groupBy("doc_id", "repository").agg(F.min(F.struct("pos", "link")).alias("first"))
+    return first.select("doc_id", "repository", F.col("first.link").alias("first_link"), F.col("first.pos").alias("place"))
+
+
+@query(SQL_LINK_ARRAYS + """, e AS (SELECT canonical, count(*) AS n FROM f GROUP BY canonical) SELECT (SELECT count(*) FROM documents) AS messages, count_if(on_host) AS host_links, count_if(is_repo) AS repository_links, (SELECT count(*) FROM f) AS occurrences, count_if(on_host AND NOT is_repo) AS invalid_links,
+ count_if(is_repo AND form = 2) AS issues, count_if(is_repo AND form = 3) AS tree, count_if(is_repo AND form = 4) AS blob, count_if(is_repo AND form = 5) AS releases, count_if(on_host AND form = 1) AS dot_git, count_if(is_repo AND form = 6) AS other_paths,
+ (SELECT count(*) FROM e) AS unique_repositories, (SELECT count(*) FROM f) - (SELECT count(*) FROM e) AS duplicates, (SELECT count(*) FROM e WHERE n > 1) AS repeated FROM k""")
+def extraction_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All counters of an extraction: links by kind, occurrences (a repository once a message), and repositories seen once or more."""
+    rows = placed_links(spark, sf_dir)
+    is_repo = F.col("repo").isNotNull()
+    kinds = {"issues": "issues", "tree": "tree", "blob": "blob", "releases": "releases", "other_paths": "other"}
+    each = rows.groupBy("doc_id").agg(
+        F.count("kind").alias("host_links"), F.count("repo").alias("repository_links"), F.count_if(F.col("kind").isNotNull() & ~is_repo).alias("invalid_links"), F.count_if(F.col("kind.has_dot_git")).alias("dot_git"),
+        *[F.count_if(is_repo & (F.col("kind.path_kind") == k)).alias(n) for n, k in kinds.items()],
+    )
+    sums = each.agg(F.count("*").alias("messages"), *[F.sum(c).alias(c) for c in each.columns if c != "doc_id"])
+    by_repository = first_links(spark, sf_dir).groupBy("repository").agg(F.count("*").alias("n"))
+    totals = by_repository.agg(F.sum("n").alias("occurrences"), F.count("*").alias("unique_repositories"), F.count_if(F.col("n") > 1).alias("repeated"))
+    rows = sums.withColumn("t", totals.select(F.struct("*")).scalar())
+    return rows.select(*sums.columns, "t.*", (F.col("t.occurrences") - F.col("t.unique_repositories")).alias("duplicates"))
+
+
 VIEWS = choose(7, ["4.03K", "1,2K", "2M", "unknown", " 12 ", "3.5B", "4,030"])
 DATES = choose(4, ["2025-01-02T04:00:00+00:00", "not a date", "2024-02-29T23:30:00+02:00", "2023-12-31T00:00:00Z"])
 CHANNELS = choose(5, ["@some_channel", "https://t.me/s/Other_Channel/", "t.me/third", "x", "bad name"])
@@ -182,11 +228,6 @@ PRODUCTS = (
 )
 
 
-def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Adds columns that are computed once a row: inline() keeps the optimizer from copying them to each place that uses one."""
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
-
-
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repositories with product signals, kind, scores and status; each text is prepared once a row."""
     rows = view.topics_array(gated(spark, sf_dir))
@@ -443,7 +484,7 @@ def target_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select("grp", "pool", (F.col("pool") < F.least(F.lit(5), F.col("minimum"))).alias("short"))
 
 
-@query()
+@query("SELECT doc_id, source FROM documents ORDER BY md5(concat(CAST(doc_id AS VARCHAR), ':7')), doc_id LIMIT 100")
 def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """100 documents drawn by a hash; the sample is the feature."""
     return shortlist.hash_sample(read(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id", 7, 100)
@@ -545,16 +586,21 @@ def response_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "violations", F.when(F.col("violations") == "", rules.tier(F.col("r.score"))).alias("tier"))
 
 
-@query(view.SQL + f""", c AS (SELECT repository_id, CAST(repository_id % 101 AS INT) AS new_score FROM repo WHERE repository_id % 50 = 0 AND quality IS NOT NULL), a AS (SELECT r.repository_id, coalesce(c.new_score, r.bundle) AS bundle, c.new_score - r.bundle AS delta, CASE WHEN c.new_score IS NOT NULL THEN 'CORRECTED' WHEN r.bundle >= 80 THEN 'PASS' ELSE NULL END AS audit FROM repo r LEFT JOIN c USING (repository_id) WHERE r.quality IS NOT NULL)
- SELECT repository_id, bundle, delta, delta IS NOT NULL AND delta <> 0 AS changed, audit, {SQL_TIER} AS tier FROM a""")
+@query(view.SQL + f""", c AS (SELECT repository_id, CAST(repository_id % 101 AS INT) AS new_score FROM repo WHERE repository_id % 50 = 0 AND quality IS NOT NULL), a AS (SELECT r.repository_id, coalesce(c.new_score, r.bundle) AS bundle, c.new_score - r.bundle AS delta, CASE WHEN c.new_score IS NOT NULL THEN 'CORRECTED' WHEN r.bundle >= 80 THEN 'PASS' ELSE NULL END AS audit, concat_ws('; ', 'kept', r.category, CASE WHEN c.new_score IS NOT NULL THEN concat('Quality audit correction: worth ', CAST(c.new_score AS VARCHAR)) END) AS reasons, CASE WHEN c.new_score IS NOT NULL THEN concat('worth ', CAST(c.new_score AS VARCHAR)) WHEN r.bundle >= 80 THEN 'README reviewed' END AS note FROM repo r LEFT JOIN c USING (repository_id) WHERE r.quality IS NOT NULL)
+ SELECT repository_id, bundle, delta, delta IS NOT NULL AND delta <> 0 AS changed, audit, reasons, note, CASE WHEN audit IS NOT NULL THEN '2026-08-24' END AS audited_on, {SQL_TIER} AS tier FROM a""")
 def correction_override(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = repos(spark, sf_dir).where("quality is not null").select("repository_id", F.col("bundle").alias("old"))
+    """Scores set right by a table of corrections, with the reason appended; those audited without one pass, with a note and the time."""
+    rows = repos(spark, sf_dir).where("quality is not null").select("repository_id", F.col("bundle").alias("old"), F.array(F.lit("kept"), F.col("category")).alias("reasons"))
     fixes = rows.where("repository_id % 50 = 0").select("repository_id", (F.col("repository_id") % 101).cast("int").alias("new"))
+    fixes = fixes.withColumn("said", F.concat(F.lit("worth "), F.col("new").cast("string")))
     audited = rows.where("old >= 80").select("repository_id")
     merged = keyed.flagged(rows, audited, "repository_id", "audited").join(fixes, "repository_id", "left")
     merged = merged.withColumn("bundle", F.coalesce("new", "old")).withColumn("delta", F.col("new") - F.col("old"))
     audit = F.when(F.col("new").isNotNull(), "CORRECTED").when(F.col("audited"), "PASS")
-    return merged.select("repository_id", "bundle", "delta", F.coalesce(F.col("delta") != 0, F.lit(False)).alias("changed"), audit.alias("audit"), rules.tier(F.col("bundle")).alias("tier"))
+    return merged.select(
+        "repository_id", "bundle", "delta", F.coalesce(F.col("delta") != 0, F.lit(False)).alias("changed"), audit.alias("audit"), F.array_join(F.array_compact(F.concat("reasons", F.array(F.concat(F.lit("Quality audit correction: "), F.col("said"))))), "; ").alias("reasons"),
+        F.coalesce("said", F.when(F.col("audited"), "README reviewed")).alias("note"), F.when(audit.isNotNull(), NOW).alias("audited_on"), rules.tier(F.col("bundle")).alias("tier"),
+    )
 
 
 @query(view.SQL + f""", u AS (SELECT repository_id AS id, 0 AS section FROM repo WHERE bundle >= 95 UNION ALL (SELECT repository_id, 1 FROM repo WHERE bundle BETWEEN 65 AND 79 ORDER BY bundle DESC, repository_id LIMIT 20) UNION ALL (SELECT repository_id, 2 FROM repo WHERE is_complete AND bundle >= 65 ORDER BY bundle DESC, repository_id LIMIT 20))
