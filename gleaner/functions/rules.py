@@ -451,6 +451,15 @@ def all_strings(json_array: Column) -> Column:
     return F.when(F.size(kept) == F.coalesce(F.json_array_length(json_array), F.lit(-1)), kept).otherwise(F.array().cast("array<string>"))
 
 
+# Reasons where an earlier analysis has fewer than two.
+DEFAULT_REASONS = ["Reused current structured AI analysis.", "Commercial score preserved from the existing analysis."]
+
+
+def reasons_or_default(json_array: Column) -> Column:
+    kept = only_strings(json_array)
+    return F.when(F.size(kept) >= 2, kept).otherwise(F.array(*map(F.lit, DEFAULT_REASONS)))
+
+
 def has_demo(homepage: Column, readme: Column) -> Column:
     return (F.coalesce(homepage, F.lit("")) != "") | has(readme, r"!\[[^\]]*\]\([^)]*\)|screenshot")
 

@@ -654,25 +654,32 @@ SQL_TERMS = "(VALUES " + ", ".join(f"({i}, {q(c)}, {q(t)})" for i, (c, ts) in en
 
 
 @query(f"""WITH h AS (SELECT DISTINCT d.doc_id, s.category, s.term FROM documents d JOIN {SQL_TERMS} ON d.doc_id % 27 = s.ordinal AND (d.doc_id % 2 = 0 OR length(s.term) > 15))
- SELECT d.doc_id AS repository_id, count(h.term) AS n_queries, count(h.term) > 0 AS from_search, max(h.category) AS category, array_to_string(list_sort(list(h.term) FILTER (h.term IS NOT NULL)), ',') AS terms FROM documents d LEFT JOIN h USING (doc_id) GROUP BY d.doc_id""")
+ SELECT d.doc_id AS repository_id, count(h.term) AS n_queries, count(h.term) > 0 AS from_search, max(h.category) AS category, array_to_string(list_sort(list(h.term) FILTER (h.term IS NOT NULL)), ',') AS terms, min(concat('"', h.term, '" in:name,description,readme archived:false fork:false stars:>=5 pushed:>=2025-08-24')) FILTER (h.term IS NOT NULL) AS first_query FROM documents d LEFT JOIN h USING (doc_id) GROUP BY d.doc_id""")
 def search_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All search hits of a repository as arrays; the catalogue is a fixed list, hits are derived from the ids."""
     catalogue = F.broadcast(scans.search_catalogue(spark, NOW).select("ordinal", "category", "term", "query_text"))
     documents = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("repository_id"), (F.col("doc_id") % 27).cast("int").alias("ordinal"))
     hits = documents.join(catalogue, "ordinal").where("repository_id % 2 = 0 or length(term) > 15")
-    each = hits.groupBy("repository_id").agg(F.collect_set("term").alias("terms"), F.collect_set("category").alias("categories"))
+    each = hits.groupBy("repository_id").agg(F.collect_set("term").alias("terms"), F.collect_set("category").alias("categories"), F.min("query_text").alias("first_query"))
     wide = documents.select("repository_id").join(each, "repository_id", "left")
     n = F.when(F.col("terms").isNull(), 0).otherwise(F.size("terms")).cast("long")
-    return wide.select("repository_id", n.alias("n_queries"), (n > 0).alias("from_search"), F.array_max("categories").alias("category"), F.array_join(F.array_sort("terms"), ",").alias("terms"))
+    return wide.select("repository_id", n.alias("n_queries"), (n > 0).alias("from_search"), F.array_max("categories").alias("category"), F.array_join(F.array_sort("terms"), ",").alias("terms"), "first_query")
 
 
 @query(view.SQL + f""" SELECT repository_id, {SQL_NORMAL} AS category, coalesce(usefulness, bundle, 0) AS usefulness, coalesce(deployment, 50) AS deployment, coalesce(client_use, 40) AS client_use, CAST(floor((coalesce(clarity, bundle, 0) + coalesce(usefulness, bundle, 0)) / 2.0 + 0.5) AS INT) AS clarity,
- coalesce(description, name) AS description, {sql_has("readme", r"!\[[^\]]*\]\([^)]*\)|screenshot")} OR coalesce(homepage, '') <> '' AS has_demo, CASE WHEN deployment IS NULL THEN 'UNKNOWN' WHEN deployment >= 75 THEN 'LOW' WHEN deployment >= 50 THEN 'MEDIUM' ELSE 'HIGH' END AS setup FROM repo WHERE bundle >= 50""")
+ coalesce(description, name) AS description, {sql_has("readme", r"!\[[^\]]*\]\([^)]*\)|screenshot")} OR coalesce(homepage, '') <> '' AS has_demo, CASE WHEN deployment IS NULL THEN 'UNKNOWN' WHEN deployment >= 75 THEN 'LOW' WHEN deployment >= 50 THEN 'MEDIUM' ELSE 'HIGH' END AS setup, coalesce(is_complete, false) AS complete, CASE WHEN repository_id % 4 = 3 THEN 'r0; r1; r2' ELSE 'Reused current structured AI analysis.; Commercial score preserved from the existing analysis.' END AS reasons,
+ CASE repository_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'e0' WHEN 2 THEN 'e0; e1' ELSE 'e0; e1; e2' END AS examples, repository_id % 3 <> 0 OR coalesce(visual, 0) > 50 AS complex, coalesce(description, name) AS proposition FROM repo WHERE bundle >= 50""")
 def reuse_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Earlier analyses in the terms of the later model: missing scores fall back on the bundle score or on defaults."""
     rows = repos(spark, sf_dir).where("bundle >= 50")
+    # What an earlier response held: reasons (a number of them strings), examples, and a flag that may be missing.
+    held = F.transform(F.sequence(F.lit(0), (F.col("repository_id") % 4).cast("int")), lambda i: F.when(i == F.lit(3), F.lit("5")).otherwise(F.concat(F.lit('"r'), i.cast("string"), F.lit('"'))))
+    rows = rows.withColumn("reasons", F.when(F.col("repository_id") % 4 == 0, "5").otherwise(F.concat(F.lit("["), F.array_join(F.when(F.col("repository_id") % 4 == 3, held).otherwise(F.array(F.lit('"r0"'))), ","), F.lit("]"))))
+    rows = rows.withColumn("examples", F.concat(F.lit("["), F.array_join(F.filter(F.transform(F.sequence(F.lit(0), (F.col("repository_id") % 5).cast("int")), lambda i: F.when(i > 0, F.concat(F.lit('"e'), (i - 1).cast("string"), F.lit('"')))), lambda x: x.isNotNull()), ","), F.lit("]")))
+    rows = rows.withColumn("infrastructure", F.when(F.col("repository_id") % 3 == 0, F.coalesce("visual", F.lit(0)) > 50))
     useful, complete = F.coalesce("usefulness", "bundle", F.lit(0)), F.coalesce("clarity", "bundle", F.lit(0))
     return rows.select(
         "repository_id", rules.normalized_category(F.col("category")).alias("category"), useful.alias("usefulness"), F.coalesce("deployment", F.lit(50)).alias("deployment"), F.coalesce("client_use", F.lit(40)).alias("client_use"),
         rules.half_up((complete + useful) / 2).alias("clarity"), F.coalesce("description", "name").alias("description"), rules.has_demo(F.col("homepage"), F.col("readme")).alias("has_demo"), rules.complexity(F.col("deployment")).alias("setup"),
+        F.coalesce("is_complete", F.lit(False)).alias("complete"), F.array_join(rules.reasons_or_default(F.col("reasons")), "; ").alias("reasons"), F.array_join(F.slice(rules.only_strings(F.col("examples")), 1, 3), "; ").alias("examples"), F.coalesce("infrastructure", F.lit(True)).alias("complex"), F.coalesce("description", "name").alias("proposition"),
     )

@@ -197,12 +197,13 @@ class Messages(HTMLParser):
 
 
 def page_messages(pages: DataFrame) -> DataFrame:
-    """(page_url, MESSAGE_SCHEMA) of the messages of each page (page_url, channel, html): own channel, numeric id, the first of an id."""
+    """(page_url, MESSAGE_SCHEMA) of the messages of each page (page_url, channel, html): own channel, numeric id, the first of an id; with the page's crawled_at, if it has one."""
+    timed = "crawled_at" in pages.columns
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for url, channel, html in zip(batch["page_url"], batch["channel"], batch["html"], strict=True):
+            for url, channel, html, *when in zip(*(batch[c] for c in batch.columns), strict=True):
                 parser, seen = Messages(), set()
                 parser.feed(html or "")
                 parser.close()
@@ -213,10 +214,11 @@ def page_messages(pages: DataFrame) -> DataFrame:
                     seen.add(number)
                     has_text = m["done"] or m["depth"]
                     text = "".join(m["text"]).replace("\xa0", " ").strip() if has_text else None
-                    out.append((url, channel, int(number), position, text, "".join(m["html"]) if has_text else None, m["anchors"], m["published"] or None, m["edited"] or None, "".join(m["views"]).strip() or m["data_views"] or None, "".join(m["raw"])))
-            yield pd.DataFrame(out, columns=["page_url", "channel", "message_id", "position", "text", "html", "anchors", "published", "edited", "views_text", "raw_source"])
+                    out.append((url, channel, int(number), position, text, "".join(m["html"]) if has_text else None, m["anchors"], m["published"] or None, m["edited"] or None, "".join(m["views"]).strip() or m["data_views"] or None, "".join(m["raw"]), *when))
+            yield pd.DataFrame(out, columns=["page_url", "channel", "message_id", "position", "text", "html", "anchors", "published", "edited", "views_text", "raw_source", *(["crawled_at"] if timed else [])])
 
-    return pages.select("page_url", "channel", "html").mapInPandas(read, f"page_url string, {MESSAGE_SCHEMA}")
+    time = ["crawled_at"] if timed else []
+    return pages.select("page_url", "channel", "html", *time).mapInPandas(read, f"page_url string, {MESSAGE_SCHEMA}{', crawled_at timestamp' if timed else ''}")
 
 
 def typed_messages(raw: DataFrame) -> DataFrame:
@@ -224,5 +226,5 @@ def typed_messages(raw: DataFrame) -> DataFrame:
     links = urls.link_arrays(F.col("anchors"), F.col("text"), F.col("page_url"))
     return raw.withColumn("links", links).select(
         "page_url", "channel", "message_id", "position", urls.parse_date(F.col("published")).alias("published_at"), urls.parse_date(F.col("edited")).alias("edited_at"),
-        "text", "html", "links.external_links", "links.repository_links", urls.parse_views(F.col("views_text")).alias("views"), "raw_source",
+        "text", "html", "links.external_links", "links.repository_links", urls.parse_views(F.col("views_text")).alias("views"), "raw_source", *(["crawled_at"] if "crawled_at" in raw.columns else []),
     )

@@ -6,8 +6,9 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
-from ..operators.keyed import latest_per_key, upsert
+from ..operators.keyed import latest_per_key, require_empty, upsert
 from ..sources.scans import page_messages, typed_messages
 
 PAGES = "page_url string, channel string, html string, crawled_at timestamp"
@@ -20,41 +21,75 @@ def first_in_batch(messages: DataFrame) -> DataFrame:
 
 
 class MessageTable:
-    """A parquet table of messages in versions; a small pointer file names the current one.
+    """A parquet table of messages in buckets by key and versions; a small pointer file names the version of each bucket.
 
-    A batch is merged and written as the version of its batch id, then the pointer moves. A replayed
-    batch writes the same version again from the version before it, so replays change nothing.
+    A batch is merged into the buckets that it touches, which are written as the version of its batch
+    id; then its pointer is written. A replayed batch writes the same version again from the version
+    before it, so replays change nothing, and readers see a batch wholly or not at all.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
 
-    def _pointer(self) -> list[int]:
+    def _pointers(self) -> dict[int, dict[str, int]]:
+        """version to (bucket to the version that holds it): a line a batch."""
         try:
-            return [json.loads(r.value)["version"] for r in self.spark.read.text(f"{self.path}/pointers/*").collect()]
+            found = [json.loads(r.value) for r in self.spark.read.text(f"{self.path}/pointers/*").collect()]
         except Exception as problem:
             if "PATH_NOT_FOUND" in str(problem):
-                return []
+                return {}
             raise
+        return {p["version"]: p["buckets"] for p in found}
 
     def version(self, below: int | None = None) -> int | None:
-        known = [v for v in self._pointer() if below is None or v < below]
-        return max(known, default=None)
+        return max((v for v in self._pointers() if below is None or v < below), default=None)
+
+    def _parts(self, held: dict[str, int]) -> DataFrame | None:
+        paths = [f"{self.path}/data/{v}/bucket={b}" for b, v in sorted(held.items())]
+        return self.spark.read.parquet(*paths) if paths else None
 
     def read(self, version: int | None = None) -> DataFrame | None:
-        at = self.version() if version is None else version
-        return None if at is None else self.spark.read.parquet(f"{self.path}/data/{at}")
+        pointers = self._pointers()
+        at = max(pointers, default=None) if version is None else version
+        return None if at is None else self._parts(pointers[at])
 
     def merge(self, batch: DataFrame, batch_id: int) -> None:
-        new = first_in_batch(batch)
-        before = self.version(below=batch_id)
-        if before is not None:
-            old = self.read(before)
-            fresh = new.join(old.select(*KEYS, F.col("crawled_at").alias("_seen")), KEYS, "left").where("_seen is null or crawled_at >= _seen").drop("_seen")
-            new = upsert(old, fresh.select(old.columns), KEYS)
-        new.write.mode("overwrite").parquet(f"{self.path}/data/{batch_id}")
-        pointer = self.spark.createDataFrame([(json.dumps({"version": batch_id}),)], "value string").coalesce(1)
-        pointer.write.mode("overwrite").text(f"{self.path}/pointers/{batch_id}")
+        new = first_in_batch(batch).withColumn("bucket", F.pmod(F.xxhash64(*KEYS), F.lit(self.buckets)).cast("int"))
+        before = {v: held for v, held in self._pointers().items() if v < batch_id}
+        held = before[max(before)] if before else {}
+        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # a number for each bucket at most
+        old = self._parts({b: v for b, v in held.items() if int(b) in touched})
+        if old is not None:
+            seen = old.select(*KEYS, F.col("crawled_at").alias("_seen"))
+            fresh = new.join(seen, KEYS, "left").where("_seen is null or crawled_at >= _seen").drop("_seen")
+            old = old.withColumn("bucket", F.pmod(F.xxhash64(*KEYS), F.lit(self.buckets)).cast("int"))
+            new = upsert(old.select(new.columns), fresh, KEYS)
+        new.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/{batch_id}")
+        pointer = {"version": batch_id, "buckets": held | {str(b): batch_id for b in touched}}
+        self.spark.createDataFrame([(json.dumps(pointer),)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/pointers/{batch_id}")
+
+
+class Progress(StreamingQueryListener):
+    """Keeps the last numbers of each query: batches ended, rows read, and the names of those that have ended."""
+
+    def __init__(self) -> None:
+        self.batches: dict[str, int] = {}
+        self.rows: dict[str, int] = {}
+        self.ended: dict[str, str | None] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.batches[str(event.runId)] = self.rows[str(event.runId)] = 0
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        self.batches[run] = max(self.batches.get(run, 0), event.progress.batchId + 1)
+        self.rows[run] = self.rows.get(run, 0) + event.progress.numInputRows
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.runId)] = event.exception
 
 
 def batch_counters(batch: DataFrame, known: DataFrame | None) -> DataFrame:
@@ -73,8 +108,8 @@ def ingest(spark: SparkSession, landing: str, table: str, checkpoint: str, count
     target = MessageTable(spark, table)
 
     def one(batch: DataFrame, batch_id: int) -> None:
-        times = batch.groupBy("page_url", "channel").agg(F.max("crawled_at").alias("crawled_at"))
-        joined = typed_messages(page_messages(batch)).join(times, ["page_url", "channel"])
+        typed_messages(page_messages(batch)).write.mode("overwrite").parquet(f"{table.rstrip('/')}/incoming/{batch_id}")  # pages are read once
+        joined = spark.read.parquet(f"{table.rstrip('/')}/incoming/{batch_id}")
         if counters is not None:
             before = target.version(below=batch_id)
             known = target.read(before) if before is not None else None
@@ -85,9 +120,12 @@ def ingest(spark: SparkSession, landing: str, table: str, checkpoint: str, count
     source.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def reparsed(messages: DataFrame) -> DataFrame:
-    """Messages read again from their raw source; those not found there again have a null text."""
+def reparsed(messages: DataFrame, strict: bool = True) -> DataFrame:
+    """Messages with links read again from their raw source; fails the job if one isn't found there again, or, if not `strict`, marks it."""
     pages = messages.select(F.concat(F.lit("https://t.me/s/"), "channel").alias("page_url"), "channel", F.col("raw_source").alias("html"), F.col("message_id").alias("wanted"))
     again = typed_messages(page_messages(pages)).select("channel", "message_id", F.col("external_links").alias("new_external"), F.col("repository_links").alias("new_repository"))
     again = again.dropDuplicates(KEYS).withColumn("found", F.lit(True))
-    return messages.join(again, KEYS, "left").withColumn("external_links", F.coalesce("new_external", "external_links")).withColumn("repository_links", F.coalesce("new_repository", "repository_links")).withColumn("found", F.coalesce("found", F.lit(False))).drop("new_external", "new_repository")
+    if strict:
+        require_empty(messages.select(*KEYS).join(again, KEYS, "left_anti"), "messages not found again in their source")
+    joined = messages.join(again, KEYS, "left").withColumn("external_links", F.coalesce("new_external", "external_links")).withColumn("repository_links", F.coalesce("new_repository", "repository_links"))
+    return joined.withColumn("found", F.coalesce("found", F.lit(False))).drop("new_external", "new_repository")

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from gleaner.functions import rules, static, urls
+from gleaner.functions import responses, rules, static, urls
 
 
 def one(spark, column, **values):
@@ -132,3 +132,68 @@ def test_static_columns(spark):
     assert one(spark, static.environment_variables(F.lit("set API_KEY and URL, DB2_HOST API_KEY"))) == ["API_KEY", "DB2_HOST"]
     assert one(spark, static.package_manager(F.array(F.lit("yarn.lock"), F.lit("package.json")))) == "yarn"
     assert not one(spark, static.wanted_path(F.lit("a/node_modules/x"))) and not one(spark, static.wanted_path(F.lit("../x"))) and one(spark, static.wanted_path(F.lit("src/x.ts")))
+
+
+def test_patterns_against_plain_search(spark):
+    """Texts looked up before patterns leave the answer as it is, for every pattern of the rules."""
+    import random
+    import re
+
+    rnd = random.Random(3)
+    patterns = [p for _, p, *_ in rules.SIGNALS] + [p for _, _, p in rules.KINDS] + [p for c in rules.CATEGORIES.values() for p in c] + rules.STANDALONE + rules.NEGATIVE + [rules.DEVELOPER_ONLY, rules.PREVIEW, rules.SETUP]
+    patterns += [p for p, _ in rules.LICENCE_TEXTS + rules.LICENCE_IDS + static.STACK + static.DEPRECATED + static.SERVICES] + [*static.ROLES.values(), static.INSPECTED_NAMES, static.INSPECTED_FOLDERS, static.TEST_SCRIPT, static.RUNTIME_SCRIPT, static.SUSPICIOUS]
+    words = sorted({w for p in patterns for w in re.findall(r"[a-z0-9]{2,}", re.sub(r"\\\\.", " ", p))})
+    texts = ["", "CRM", "pre-crm_x", "éapp"] + ["".join(rnd.choice([*words, *words, ".", "/", "-", "_", " ", " ", " ", "[", "](", ")", "![", "3", "é", "\n"]) for _ in range(rnd.randint(1, 12))) for _ in range(400)]
+    texts = [t.upper() if i % 5 == 0 else t for i, t in enumerate(texts)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").cache()
+    found = 0
+    for at in range(0, len(patterns), 40):
+        part = patterns[at : at + 40]
+        for r in df.select("i", *[rules.has(F.col("t"), p).alias(f"p{k}") for k, p in enumerate(part)]).collect():
+            for k, p in enumerate(part):
+                want = bool(re.search(p.replace(r"\d", "[0-9]"), texts[r["i"]], re.I | re.A))
+                assert r[f"p{k}"] == want, (p, texts[r["i"]])
+                found += want
+    assert found > 500
+
+
+@pytest.mark.parametrize("link,resolved", [("../x", "https://e.org/p/x"), ("../../../x", "https://e.org/x"), ("./y/.", "https://e.org/p/q/y/"), ("/a/b/../c/./d", "https://e.org/a/c/d"), ("/a/..", "https://e.org/a/"), ("/a/../", "https://e.org/"), ("/a/%2e%2E/b", "https://e.org/b"), ("/a/...", "https://e.org/a/"), ("/.a/..b", "https://e.org/.a/..b")])
+def test_dot_segments(spark, link, resolved):
+    assert one(spark, urls.normalize_url(F.lit(link), F.lit("https://e.org/p/q/r"))) == resolved
+
+
+def test_json_members(spark):
+    v = F.try_parse_json(F.lit('{"a": {"types": ["x", 1]}, "n": 5, "s": "t"}'))
+    member = responses.member
+    assert one(spark, member(v, "a.types", "array<variant>").isNotNull()) and one(spark, member(v, "n", "int")) == 5 and one(spark, member(v, "missing", "string")) is None
+    assert one(spark, member(v, "s", "array<variant>")) is None and one(spark, member(F.try_parse_json(F.lit("[1]")), "s", "string")) is None
+
+
+def test_response_rules(spark):
+    import json
+
+    good = {"actualProductName": "n", "productCategory": "CRM", "secondaryCategories": [], "shortProductDescription": "d", "whatUserGets": "w", "targetUsers": [], "businessUseCases": ["u"], "majorDependencies": [], "commercialRisks": [], "buyerValueProposition": "b", "clientProjectExamples": [], "commercialBundleReasons": ["a", "b"], "likelySetupComplexity": "LOW", "likelyCustomizationComplexity": "UNKNOWN"}
+    good |= {n: True for n, f in responses.SELECTION.items() if f == responses.FLAG} | {n: 100 for n, f in responses.SELECTION.items() if f == responses.SCORE}
+    assert set(good) == set(responses.SELECTION)
+
+    def broken(**changes):
+        held = {k: v for k, v in (good | changes).items() if v != "missing"}
+        return one(spark, responses.violations(F.try_parse_json(F.lit(json.dumps(held))), responses.SELECTION))
+
+    assert broken() == [] and broken(further=1) == [] and broken(analysisConfidence=5.0) == []
+    for name, value in [("analysisConfidence", 101), ("analysisConfidence", -1), ("analysisConfidence", 1.5), ("analysisConfidence", "5"), ("analysisConfidence", None), ("isSelfHostable", 1), ("whatUserGets", ""), ("whatUserGets", "x" * 501), ("whatUserGets", "missing"), ("productCategory", "LEAD_MANAGEMENT"), ("secondaryCategories", ["CRM"] * 6), ("secondaryCategories", ["NO"]), ("commercialBundleReasons", ["a"]), ("commercialBundleReasons", ["a", 1]), ("commercialBundleReasons", ["a", ""]), ("clientProjectExamples", ["x"] * 4), ("targetUsers", {"0": "x"})]:
+        assert broken(**{name: value}) == [name], (name, value)
+    assert len(one(spark, responses.violations(F.try_parse_json(F.lit("[]")), responses.SELECTION))) == len(responses.SELECTION)
+
+
+def test_names_and_similarity(spark):
+    assert one(spark, rules.display_name(F.lit(None).cast("string"), F.lit("https://github.com/a/b"))) == "a/b" and one(spark, rules.display_name(F.lit("x/y"), F.lit("u"))) == "x/y"
+    a, b = rules.tokens(F.lit("Alpha beta gamma open")), rules.tokens(F.lit("alpha, BETA delta"))
+    assert abs(one(spark, rules.token_similarity(a, b)) - 0.5) < 1e-9 and one(spark, rules.token_similarity(a, rules.tokens(F.lit("")))) == 0
+
+
+def test_manifests(spark):
+    texts = ['{"workspaces":["a"]}', '{"workspaces":false}', '{"workspaces":""}', '{"workspaces":null}', '{"workspaces":{}}', "[1]", "broken", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [tuple(r) for r in df.orderBy("i").select(static.has_workspaces(F.col("t")), static.manifest_object(F.col("t"))).collect()]
+    assert got == [(True, texts[0]), (False, texts[1]), (False, texts[2]), (False, texts[3]), (True, texts[4]), (False, "{}"), (False, None), (False, None)]

@@ -140,8 +140,99 @@ def test_stream_replay(spark, tmp_path):
     assert got == {1: "edited", 5: "m", 9: "m", 3: "m"} and sum(c["messages"] for c in counters) == 6 and sum(c["known"] for c in counters) == 2
     run()  # nothing new
     assert table.read().count() == 4
-    batch = scans.typed_messages(scans.page_messages(spark.read.parquet(f"{tmp_path}/landing"))).withColumn("crawled_at", F.lit("2025-01-09").cast("timestamp"))
-    last = table.version()
-    before = sorted(map(str, table.read().select("message_id", "text").collect()))
-    table.merge(batch.where("text = 'edited' or message_id = 9"), last)  # the last batch again
-    assert set(before) >= set(map(str, table.read().select("message_id", "text").collect())) - {"x"}
+    before = sorted(map(str, table.read().select("message_id", "text", "crawled_at").collect()))
+    page = spark.read.parquet(f"{tmp_path}/landing").where("html like '%older page%'")
+    batch = scans.typed_messages(scans.page_messages(page)).withColumn("crawled_at", F.lit("2025-01-03").cast("timestamp"))
+    table.merge(batch, table.version())  # the last batch again
+    assert sorted(map(str, table.read().select("message_id", "text", "crawled_at").collect())) == before
+
+
+def test_message_table_rewrites_touched_buckets_only(spark, tmp_path):
+    def batch(ids, text, day):
+        rows = [("chan", i, 0, text, "raw", day) for i in ids]
+        df = spark.createDataFrame(rows, "channel string, message_id long, position int, text string, raw_source string, d string")
+        return df.withColumn("crawled_at", F.col("d").cast("timestamp")).drop("d")
+
+    table, want = ingest.MessageTable(spark, str(tmp_path), buckets=8), {}
+    for n, ids in enumerate([range(100), [5], [], [5, 200], range(90, 120)]):
+        table.merge(batch(ids, f"v{n}", f"2025-01-{n + 1:02d}"), n)
+        want |= {i: f"v{n}" for i in ids}
+        assert {r["message_id"]: r["text"] for r in table.read().collect()} == want
+    held = {len(list((tmp_path / "data" / str(v)).glob("bucket=*"))) for v in (1, 2)}
+    assert held == {0, 1} and table.read(0).count() == 100
+    table.merge(batch([5], "late", "2024-01-01"), 5)  # an older crawl changes nothing
+    assert {r["message_id"]: r["text"] for r in table.read().collect()} == want
+
+
+def test_progress_listener(spark, tmp_path):
+    import time
+
+    spark.range(10).selectExpr("cast(id as string) as page_url", "'chan' as channel", "'<p>' as html", "timestamp'2025-01-01' as crawled_at").repartition(3).write.parquet(f"{tmp_path}/landing")
+    progress = ingest.Progress()
+    spark.streams.addListener(progress)
+    try:
+        ingest.ingest(spark, f"{tmp_path}/landing", f"{tmp_path}/table", f"{tmp_path}/check", files_per_trigger=1)
+        for _ in range(50):
+            if progress.ended:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(progress)
+    assert list(progress.batches.values()) == [3] and list(progress.rows.values()) == [10] and list(progress.ended.values()) == [None]
+
+
+def test_reparse_fails_for_lost_messages(spark):
+    rows = spark.createDataFrame([("chan", 1, '<div data-post="chan/1"></div>', [], []), ("chan", 2, "<p>", ["old"], [])], "channel string, message_id long, raw_source string, external_links array<string>, repository_links array<string>")
+    with pytest.raises(ValueError, match="not found again"):
+        ingest.reparsed(rows)
+    assert {r["message_id"]: (r["found"], r["external_links"]) for r in ingest.reparsed(rows, strict=False).collect()} == {1: (True, []), 2: (False, ["old"])}
+
+
+def test_numbers_tables_and_leaders(spark, tmp_path):
+    rnd = random.Random(4)
+    keys = [(rnd.randint(0, 50), i) for i in range(500)]
+    rnd.shuffle(keys)
+    df = spark.createDataFrame(keys, "a int, b int").repartition(7)
+    got = {(r["a"], r["b"]): r["number"] for r in keyed.numbered(df, "a", "b").collect()}
+    assert got == {k: n for n, k in enumerate(sorted(keys))} and keyed.numbered(df.limit(0), "a").count() == 0
+    keyed.replace_table(df, str(tmp_path / "t"))
+    keyed.replace_table(df.limit(3), str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 3
+    top = keyed.top_per_key(df, ["a"], [F.col("b")], 2)
+    assert keyed.require_leaders(top, ["a"], 1, "audit") is top
+    with pytest.raises(ValueError, match="requires 900"):
+        keyed.require_leaders(top, ["a"], 900, "audit")
+
+
+def test_reset_of_changed_rows(spark):
+    stored = spark.createDataFrame([(1, "x", "COMPLETED", None), (2, "y", "FAILED", "e"), (3, None, "FAILED", "f")], "k int, fingerprint string, status string, error string")
+    new = spark.createDataFrame([(1, "x"), (2, "other"), (3, None), (4, "z")], "k int, fingerprint string")
+    assert sorted((r["k"], r["status"], r["error"]) for r in keyed.reset_changed(stored, new, ["k"]).collect()) == [(1, "COMPLETED", None), (2, "PENDING", None), (3, "FAILED", "f"), (4, None, None)]
+
+
+def test_landed_records(spark, tmp_path):
+    good = '{"id":1,"name":"a","owner":{"login":"o"},"created_at":"2024-01-01T00:00:00Z","updated_at":"2024-01-01T00:00:00Z","further":1}'
+    spark.createDataFrame([(good,), ('{"id":2,"na',)], "value string").coalesce(1).write.text(str(tmp_path / "r"))
+    rows = scans.repository_records(spark, str(tmp_path / "r"))
+    assert sorted((r["id"] or 0, r["_corrupt"]) for r in rows.collect() if r["_corrupt"] is None) == [(1, None)] and [r["_corrupt"] for r in rows.collect() if r["_corrupt"]] == ['{"id":2,"na']
+    now = F.lit("2024-01-11").cast("timestamp")
+    assert scans.mapped_metadata(rows.where("_corrupt is null"), now).first()["repository_age_days"] == 10
+    bad = rows.where("_corrupt is null").withColumn("created_at", F.lit("no date"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|CANNOT_PARSE"):
+        scans.mapped_metadata(bad, now).collect()
+    answers = spark.createDataFrame([("CRM", "q", '{"total_count":2,"items":[{"id":1,"name":"a"},{"id":2}]}'), ("POS", "p", "broken"), ("LMS", "l", None)], "category string, query_text string, response string")
+    assert sorted((r["category"], r["id"]) for r in scans.search_hits(answers).collect()) == [("CRM", 1), ("CRM", 2)]
+
+
+def test_selected_tree(spark):
+    paths = ["README.md", "/etc/passwd", "a/../README.md", "src/x.ts", "db/migrations/1.sql", "deep/a/package.json", ".env.local", "seed.ts", "demo/x.bin"] + [f"p{i}/package.json" for i in range(300)]
+    tree = spark.createDataFrame([(1, p, 1, i) for i, p in enumerate(paths)], "repository_id int, path string, size int, position int")
+    got = {r["path"]: r["with_content"] for r in scans.selected_tree(tree).collect()}
+    assert len(got) == 240 and sum(got.values()) == 24 and got["README.md"] and got[".env.local"] and not got["deep/a/package.json"] and got["db/migrations/1.sql"] is False
+    assert not {"/etc/passwd", "a/../README.md", "src/x.ts"} & set(got) and "seed.ts" in got and "demo/x.bin" in got
+
+
+def test_files_are_cut_by_depth_and_path(spark):
+    files = spark.range(3000).selectExpr("1 as repository_id", "concat(repeat('d/', cast(id % 3 as int)), 'f', lpad(id, 5, '0')) as path", "1 as size", "'c' as content")
+    got = [r["path"] for r in scans.repository_files(files, 50).orderBy("file_rank").collect()]
+    assert got == sorted((r["path"] for r in files.collect()), key=lambda p: (p.count("/"), p))[:50]
