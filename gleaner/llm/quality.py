@@ -84,8 +84,8 @@ def line_hashes(documents: DataFrame) -> DataFrame:
     return documents.where(F.col("text").isNotNull()).select(*keys, hashed.alias("lines"))
 
 
-def frequent_lines(documents: DataFrame, max_documents: int, least_apart: float = 1 / 7) -> DataFrame:
-    """(h, n_documents) of the lines that more than `max_documents` distinct documents of their host hold.
+def frequent_lines(hashes: DataFrame, max_documents: int, least_apart: float = 1 / 7) -> DataFrame:
+    """(h, n_documents) of the lines that more than `max_documents` distinct documents of their host hold, from a staged table of line_hashes.
 
     Distinct texts are counted exactly. Lines of too few texts fall away first; what a text has beside
     the others is its own part. A text counts as a document if its own part is `least_apart` or more of
@@ -93,7 +93,7 @@ def frequent_lines(documents: DataFrame, max_documents: int, least_apart: float
     rest have a Jaccard similarity above (1 - least_apart) / (1 + least_apart), or 0.75), and all with
     the same rest count once.
     """
-    hashed = line_hashes(documents).select("k1", F.array_distinct("lines").alias("lines"))
+    hashed = hashes.select("k1", F.array_distinct("lines").alias("lines"))
     each = hashed.select("k1", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
     held = staged(each.distinct().groupBy("h").agg(F.count("*").alias("n_texts")).where(F.col("n_texts") > max_documents).select("h"))
     size = F.aggregate("lines", F.lit(0), lambda a, x: a + x["n"])
@@ -110,8 +110,8 @@ def frequent_lines(documents: DataFrame, max_documents: int, least_apart: float
 
 def documents_with_frequent_lines(documents: DataFrame, max_documents: int = 50, least_left: float = 0.2) -> DataFrame:
     """(k1, k2, frequent, depleted) of the documents that hold frequent lines: their hashes, and whether less than `least_left` of all characters stand outside them."""
-    frequent = small_or_shuffled(frequent_lines(documents, max_documents).select("h"))
-    hashed = line_hashes(documents)
+    hashed = staged(line_hashes(documents))  # texts are cut and hashed once, though lines are read three times
+    frequent = small_or_shuffled(frequent_lines(hashed, max_documents).select("h"))
     total = F.aggregate("lines", F.lit(0), lambda a, x: a + x["n"])
     each = hashed.select("k1", "k2", total.alias("total"), F.posexplode("lines").alias("at", "line")).select("k1", "k2", "total", "at", "line.h", "line.n")
     found = each.join(frequent, "h").groupBy("k1", "k2").agg(F.first("total").alias("total"), F.collect_set(F.struct("at", "h", "n")).alias("found"))  # a set, as rows repeat
