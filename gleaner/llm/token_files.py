@@ -42,35 +42,45 @@ from .bpe import OddWords, WordCache, byte_letters, encoded_pieces, vocabulary_p
 from .common import by_bytes, order_buckets, running_total, shared_dir, small_batches, small_or_shuffled, staged, texts
 
 MAGIC, HEADER, BLOCK = b"FWB2", struct.Struct("<4sBIQQQQQQ"), 4096
+#: Ids packed or unpacked at once, a multiple of 8.
+CHUNK = 1 << 17
 
 
 def bits_for(vocabulary_size: int) -> int:
     return max(1, int(vocabulary_size - 1).bit_length())
 
 
-def packed_bits(ids: np.ndarray, bits: int) -> np.ndarray:
-    """Eight ids at a time fill `bits` bytes; each byte takes its bits from the ids that reach into it."""
-    groups = np.zeros(-(-len(ids) // 8) * 8, np.uint64)
-    groups[: len(ids)] = ids
-    groups, out = groups.reshape(-1, 8), np.zeros((len(groups) // 8, bits), np.uint8)
-    for i in range(8):
-        first, last = i * bits // 8, ((i + 1) * bits - 1) // 8
-        for byte in range(first, last + 1):
-            shift = byte * 8 - i * bits
-            part = groups[:, i] >> np.uint64(shift) if shift >= 0 else groups[:, i] << np.uint64(-shift)
-            out[:, byte] |= (part & np.uint64(255)).astype(np.uint8)
-    return out.ravel()
+def packed_bits(ids: np.ndarray, bits: int) -> bytes:
+    """Eight ids at a time fill `bits` bytes; each byte takes its bits from the ids that reach into it. CHUNK ids are in work at once."""
+    done = []
+    for at in range(0, len(ids), CHUNK):
+        part = ids[at : at + CHUNK]
+        groups = np.zeros(-(-len(part) // 8) * 8, np.uint64)
+        groups[: len(part)] = part
+        groups, out = groups.reshape(-1, 8), np.zeros((len(groups) // 8, bits), np.uint8)
+        for i in range(8):
+            for byte in range(i * bits // 8, ((i + 1) * bits - 1) // 8 + 1):
+                shift = byte * 8 - i * bits
+                moved = groups[:, i] >> np.uint64(shift) if shift >= 0 else groups[:, i] << np.uint64(-shift)
+                out[:, byte] |= (moved & np.uint64(255)).astype(np.uint8)
+        done.append(out.tobytes())
+    return b"".join(done)
 
 
 def unpacked_bits(raw: np.ndarray, bits: int, count: int) -> np.ndarray:
-    padded = np.zeros(-(-count // 8) * bits, np.uint8)
-    padded[: min(len(raw), len(padded))] = raw[: len(padded)]
-    cells, out = padded.reshape(-1, bits).astype(np.uint64), np.zeros((len(padded) // bits, 8), np.uint64)
-    for i in range(8):
-        for byte in range(i * bits // 8, ((i + 1) * bits - 1) // 8 + 1):
-            shift = byte * 8 - i * bits
-            out[:, i] |= cells[:, byte] << np.uint64(shift) if shift >= 0 else cells[:, byte] >> np.uint64(-shift)
-    return (out.ravel()[:count] & np.uint64((1 << bits) - 1)).astype("<u4")
+    found = np.empty(count, "<u4")
+    for at in range(0, count, CHUNK):
+        n = min(CHUNK, count - at)
+        part = raw[at * bits // 8 : (at + CHUNK) * bits // 8]
+        padded = np.zeros(-(-n // 8) * bits, np.uint8)
+        padded[: min(len(part), len(padded))] = part[: len(padded)]
+        cells, out = padded.reshape(-1, bits), np.zeros((len(padded) // bits, 8), np.uint64)
+        for i in range(8):
+            for byte in range(i * bits // 8, ((i + 1) * bits - 1) // 8 + 1):
+                shift, cell = byte * 8 - i * bits, cells[:, byte].astype(np.uint64)
+                out[:, i] |= cell << np.uint64(shift) if shift >= 0 else cell >> np.uint64(-shift)
+        found[at : at + n] = out.ravel()[:n] & np.uint64((1 << bits) - 1)
+    return found
 
 
 def pack(ids: np.ndarray, bits: int, block: int = BLOCK, docs: list[int | None] = (), sizes: list[int] = (), place: tuple[int, int] = (0, 0)) -> bytes:
@@ -79,7 +89,7 @@ def pack(ids: np.ndarray, bits: int, block: int = BLOCK, docs: list[int | None]
     if len(ids) and int(ids.max()) >> bits:
         raise ValueError(f"an id needs more than {bits} bits")
     whole, each = -(-len(ids) // block), block * bits // 8
-    body = packed_bits(ids, bits).tobytes()[: -(-len(ids) * bits // 8)]
+    body = packed_bits(ids, bits)[: -(-len(ids) * bits // 8)]
     offsets = np.minimum(np.arange(whole + 1, dtype="<u8") * np.uint64(each), np.uint64(len(body)))
     nulls = sum(d is None for d in docs)
     index = np.array([d or 0 for d in docs], "<i8").tobytes() + np.array(sizes, "<u8").tobytes()
@@ -168,7 +178,7 @@ def library_cache(path: str) -> tuple[WordCache, int]:
     return WordCache(found.encoded, found.special), found.size
 
 
-def write_token_files(documents: DataFrame, path: str | None = None, end_id: int = 1, file_ids: int = 1 << 22, folder: str | None = None) -> str:
+def write_token_files(documents: DataFrame, path: str | None = None, end_id: int = 1, file_ids: int = 1 << 21, folder: str | None = None) -> str:
     """Encodes documents, appends `end_id` to each, and writes files in ascending order of doc_id.
 
     Returns the folder, a new one in the shared folder unless it is given. A file is closed once it

@@ -84,7 +84,8 @@ def test_word_cache_keeps_frequent_words():
 
 
 @pytest.mark.parametrize("bits", [1, 3, 7, 13, 16, 17, 31])
-def test_packed_ids_round_trip(bits):
+def test_packed_ids_round_trip(bits, monkeypatch):
+    monkeypatch.setattr(token_files, "CHUNK", 1024)
     rnd = np.random.default_rng(bits)
     for n in (0, 1, 5, 4095, 4096, 4097, 10_000):
         ids = rnd.integers(0, 1 << bits, n)
