@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, html_extract, licenses, ngram_join, packing, quality, secrets, token_files, toxicity
+from . import bpe, fingerprints, html_extract, licenses, ngram_join, oracle_sql, packing, quality, secrets, token_files, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,4 +80,4 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_ngram_join, op3_html, op4_licenses, op5_toxicity, op6_quality, op7_secrets, op8_packing, op9_fingerprints, op10_token_files)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = dict(oracle_sql.ORACLE_SQL)
