@@ -97,6 +97,16 @@ def run_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_status.select("status", "requests", "characters", "runs", (F.col("requests") == total).alias("complete"))
 
 
+@query("""WITH r AS (SELECT conv_id % 5 AS version, conv_id, turn, role, length(text) AS n FROM conversations), u AS (SELECT * FROM r WHERE role = 'user'), a AS (SELECT conv_id, turn - 1 AS turn, n FROM r WHERE role <> 'user')
+ SELECT version, count(*) AS pool, count(a.n) AS completed, count(*) - count(a.n) AS failed, CAST(sum(u.n) AS BIGINT) AS input_size, CAST(coalesce(sum(a.n), 0) AS BIGINT) AS output_size, CASE WHEN count(a.n) = count(*) THEN 'COMPLETED' ELSE 'FAILED' END AS status FROM u LEFT JOIN a ON a.conv_id = u.conv_id AND a.turn = u.turn GROUP BY version""")
+def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs by version: requests, answers, sizes of both, and complete only if every row of the pool has its answer."""
+    rows = read(spark, sf_dir, "conversations").select((F.col("conv_id") % 5).alias("version"), "conv_id", "turn", "role", F.length("text").alias("n"))
+    answers = rows.where("role <> 'user'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("n").alias("out"))
+    sums = rows.where("role = 'user'").join(answers, ["conv_id", "turn"], "left").groupBy("version").agg(F.count("*").alias("pool"), F.count("out").alias("completed"), F.sum("n").alias("input_size"), F.coalesce(F.sum("out"), F.lit(0)).alias("output_size"))
+    return sums.select("version", "pool", "completed", (F.col("pool") - F.col("completed")).alias("failed"), "input_size", "output_size", F.when(F.col("completed") == F.col("pool"), "COMPLETED").otherwise("FAILED").alias("status"))
+
+
 @query(view.SQL + f""", s AS (SELECT *, {SQL_GROUP} AS grp, {SQL_TIER} AS tier FROM repo) SELECT grp, tier, count(*) AS n, count_if(repository_id % 50 = 0) AS corrected, count_if(bundle >= 80 AND repository_id % 50 <> 0) AS passed FROM s GROUP BY grp, tier""")
 def audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixed = F.col("repository_id") % 50 == 0

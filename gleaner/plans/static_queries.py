@@ -15,7 +15,7 @@ from .queries import q, query, read, sql_has, sql_points
 from .view import choose
 
 PATHS = ["readme.txt", "package.json", "docker-compose.yml", "src/index.ts", "tests/a.test.ts", ".env.example", "prisma/migrations/1.sql", "db/seed.ts", "LICENSE", "node_modules/x/index.js", "vercel.json", "pnpm-lock.yaml", "docs/README.md", "packages.d/package.json"]
-READMES = ["A dashboard application with React and postgres. Installation: npm install. Screenshots below. Stripe billing.", "A client library and sdk wrapper.", "Booking platform. Quick start with docker. Uses redis, mysql and OpenAI. Set API_KEY and SECRET_TOKEN.", "Notes.", "CRM system, Next.js and Django, sqlite, admin panel, getting started, deploy."]
+READMES = ["A dashboard application with React and postgres. Installation: npm install. Screenshots below. Stripe billing.", "A client library and sdk wrapper.", "Booking platform. Quick start with docker. Uses redis, mysql and OpenAI. Set API_KEY and SECRET_TOKEN.\n\n  pnpm install --frozen\nnpm run build\nnpm ci", "Notes.", "CRM system, Next.js and Django, sqlite, admin panel, getting started, deploy."]
 MANIFESTS = ['{"name":"a","scripts":{"dev":"next dev","test":"vitest","postinstall":"node scripts/x"},"dependencies":{"react":"^16.1","express":"4"}}', '{"scripts":{"build":"tsc"},"workspaces":["packages/*"],"dependencies":{"node-sass":"1"}}', '{"name":"c","workspaces":false,"dependencies":{"twilio":"1","mongoose":"2"}}', '{"name":"broken","dependencies":{"firebase":']
 LICENCE_FILES = ["MIT License\n\nPermission is hereby granted, free of charge", "GNU General Public License version 3", "Apache License Version 2.0", "All rights reserved"]
 ENVS = ["DB_HOST=x\nAPP_SECRET=1", "API=1\nMAIL_PORT=25", ""]
@@ -109,13 +109,14 @@ SQL_FACTS = (
  facts AS (SELECT *, CASE WHEN score >= 78 AND len(databases) <= 1 AND len(paid) = 0 THEN 'LOW' WHEN score >= 55 THEN 'MEDIUM' ELSE 'HIGH' END AS setup, CASE WHEN coalesce(NOT matches AND detected = 'GPL', false) THEN 'DROP' WHEN library OR (NOT runtime AND NOT has_docker AND NOT has_manifest) THEN 'REVIEW'
  WHEN score >= 75 AND standalone AND coalesce(matches, true) THEN 'READY_FOR_SANDBOX' ELSE 'REVIEW' END AS decision, CASE WHEN coalesce(NOT matches AND detected = 'GPL', false) THEN {q(static.REASONS["conflict"])} WHEN library THEN {q(static.REASONS["library"])}
  WHEN NOT runtime AND NOT has_docker AND NOT has_manifest THEN {q(static.REASONS["nothing"])} WHEN score >= 75 AND standalone AND coalesce(matches, true) THEN {q(static.REASONS["ready"])} ELSE {q(static.REASONS["other"])} END AS reason,
+ list_sort(list_distinct(list_filter(list_concat(list_filter(list_transform(regexp_extract_all(readme, {q(static.COMMANDS)}), lambda c: trim(c, concat(' ', chr(10), chr(9)))), lambda c: {sql_has("c", r"install|\bci\b")}), [CASE manager {" ".join(f"WHEN {q(m)} THEN {q(c)}" for m, c in static.INSTALL.items())} END]), lambda c: c IS NOT NULL))) AS install,
  list_sort(list_filter(list_distinct(regexp_extract_all(concat(evidence, chr(10), env_text), '\\b[A-Z][A-Z0-9_]{{2,}}\\b')), lambda x: x NOT IN ({", ".join(map(q, static.NOT_VARIABLES))}))) AS variables FROM h)"""
 )
 
 
-@query(SQL_FACTS + " SELECT repository_id, CAST(n_files AS BIGINT) AS n_files, CAST(total_size AS BIGINT) AS total_size, detected, matches, manager, monorepo, tests, array_to_string(databases, ',') AS databases, array_to_string(paid, ',') AS paid, CAST(n_suspicious AS INT) AS n_suspicious, CAST(score AS INT) AS score, setup, decision, reason, array_to_string(variables, ',') AS variables FROM facts")
+@query(SQL_FACTS + " SELECT repository_id, CAST(n_files AS BIGINT) AS n_files, CAST(total_size AS BIGINT) AS total_size, detected, matches, manager, monorepo, tests, array_to_string(databases, ',') AS databases, array_to_string(paid, ',') AS paid, CAST(n_suspicious AS INT) AS n_suspicious, CAST(score AS INT) AS score, setup, decision, reason, array_to_string(variables, ',') AS variables, array_to_string(install, ';') AS install FROM facts")
 def tree_facts_and_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tree_facts(spark, sf_dir).select("repository_id", "n_files", "total_size", "detected", "matches", "manager", "monorepo", "tests", F.array_join("databases", ",").alias("databases"), F.array_join("paid", ",").alias("paid"), F.size("suspicious").alias("n_suspicious"), "score", "setup", "decision", "reason", F.array_join("variables", ",").alias("variables"))
+    return tree_facts(spark, sf_dir).select("repository_id", "n_files", "total_size", "detected", "matches", "manager", "monorepo", "tests", F.array_join("databases", ",").alias("databases"), F.array_join("paid", ",").alias("paid"), F.size("suspicious").alias("n_suspicious"), "score", "setup", "decision", "reason", F.array_join("variables", ",").alias("variables"), F.array_join("install", ";").alias("install"))
 
 
 @query(SQL_FACTS + " SELECT decision, count(*) AS n, count_if(list_contains(databases, 'PostgreSQL')) AS postgres, count_if(len(databases) > 0) AS with_database, count_if(has_docker) AS docker, count_if(len(paid) > 0) AS paid, count_if(len(paid) = 0 AND NOT list_has_any(services, ['Supabase', 'Firebase', 'AWS/S3'])) AS local_only, count_if(has_seed) AS seed, count_if(has_env) AS env FROM facts GROUP BY decision")
