@@ -74,9 +74,9 @@ def role_flags(path: Column) -> list[Column]:
     return [has(path, p).alias(name) for name, p in ROLES.items()]
 
 
-def labels(text: Column, rules: list[tuple[str, str]]) -> Column:
+def labels(text: Column, rules: list[tuple[str, str]], low: bool = False) -> Column:
     """The labels of the patterns that the text has, in order."""
-    return F.array_compact(F.array(*[F.when(has(text, p), label) for p, label in rules]))
+    return F.array_compact(F.array(*[F.when(has(text, p, low), label) for p, label in rules]))
 
 
 def package_manager(names: Column) -> Column:

@@ -11,7 +11,7 @@ from ..functions import rules, static
 from ..operators import keyed, similarity
 from ..sources import scans
 from ..streaming import ingest
-from .queries import q, query, read, sql_has, sql_points
+from .queries import once, q, query, read, sql_has, sql_points
 from .view import choose
 
 PATHS = ["readme.txt", "package.json", "docker-compose.yml", "src/index.ts", "tests/a.test.ts", ".env.example", "prisma/migrations/1.sql", "db/seed.ts", "LICENSE", "node_modules/x/index.js", "vercel.json", "pnpm-lock.yaml", "docs/README.md", "packages.d/package.json"]
@@ -45,10 +45,11 @@ def tree_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row of facts a repository, from its wanted files; contents are read of a few files by role."""
     files = read(spark, sf_dir, "pages").selectExpr(*[f"{e} AS {c}" for c, e in FILES.items()])
     known = scans.repository_files(files).select("repository_id", "path", "size", static.file_name(F.col("path")).alias("name"), *static.role_flags(F.col("path")))
+    known = similarity.staged(known)  # numbers and paths, read for the facts and for what is wanted
     held = known.groupBy("repository_id").agg(*[F.bool_or(r).alias(r.replace("is_", "has_")) for r in static.ROLES], F.count("*").alias("n_files"), F.sum("size").alias("total_size"), F.collect_set("name").alias("names"))  # 8,000 names at most
     roles = ["is_readme", "is_manifest", "is_env", "is_licence"]
     wanted = known.select("repository_id", "path", *roles).where(" or ".join(roles))
-    read_ = files.select("repository_id", "path", "content").join(wanted, ["repository_id", "path"])
+    read_ = similarity.staged(files.select("repository_id", "path", "content").join(wanted, ["repository_id", "path"]))
     path = [F.col("path")]
     manifests = keyed.top_per_key(read_.where("is_manifest"), ["repository_id"], path, static.MOST_MANIFESTS, "place").withColumn("object", static.manifest_object(F.col("content"))).where("object is not null")
     ordered = F.array_sort(F.collect_list(F.struct("place", "object")))
@@ -57,28 +58,28 @@ def tree_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in (packages, first_texts(read_, "is_readme", root_first, 1, "readme"), first_texts(read_, "is_licence", path, 1, "licence_text"), first_texts(read_, "is_env", path, static.MOST_ENVS, "env_text")):
         held = held.join(part, "repository_id", "left")
     held = held.fillna("", ["packages", "readme", "licence_text", "env_text"]).fillna(False, ["workspaces"]).withColumn("scripts", F.coalesce("scripts", F.array().cast("array<string>")))
-    evidence = F.concat_ws("\n", "packages", "readme")
-    held = held.withColumn("evidence", evidence).withColumn("stated", rules.licence_family(F.expr(STATED)))
-    detected = F.when(F.col("has_licence"), rules.licence_in_text(F.col("licence_text"))).otherwise(rules.licence_in_text(F.col("readme")))
-    held = held.withColumn("detected", detected).withColumn("matches", rules.licence_matches(F.col("detected"), F.col("stated")))
-    for name, labels, field in (("stack", static.STACK, "evidence"), ("frontend", static.FRONTEND, "evidence"), ("backend", static.BACKEND, "evidence"), ("databases", static.DATABASES, "evidence"), ("services", static.SERVICES, "evidence"), ("deprecated", static.DEPRECATED, "packages")):
-        held = held.withColumn(name, static.labels(F.col(field), labels))
-    held = held.withColumn("stack", F.array_sort(F.array_distinct(F.concat("stack", F.array_compact(F.array(*[F.when(F.array_contains("names", f), label) for f, label in static.STACK_FILES.items()]))))))
-    held = held.withColumn("paid", F.array_intersect("services", F.array(*map(F.lit, static.PAID)))).withColumn("manager", static.package_manager(F.col("names")))
-    held = held.withColumn("install", static.install_commands(F.col("readme"), F.col("manager"))).withColumn("variables", static.environment_variables(F.concat_ws("\n", "evidence", "env_text")))
-    held = held.withColumn("monorepo", F.col("has_workspace") | F.col("workspaces"))
-    held = held.withColumn("tests", F.col("has_test") | F.exists("scripts", lambda s: rules.has(s, static.TEST_SCRIPT)))
-    held = held.withColumn("suspicious", F.filter("scripts", lambda s: rules.has(s, static.SUSPICIOUS)))
-    held = held.withColumn("ui", (F.size("frontend") > 0) | rules.has(F.col("readme"), UI_WORDS))
-    held = held.withColumn("runtime", F.exists("scripts", lambda s: rules.has(s, static.RUNTIME_SCRIPT)) | F.col("has_docker") | rules.has(F.col("readme"), RUNTIME_WORDS))
-    held = held.withColumn("library", rules.has(F.concat_ws("\n", F.substring("readme", 1, 5000), "packages"), LIBRARY_WORDS) & ~F.col("ui"))
-    held = held.withColumn("standalone", rules.has(F.concat_ws("\n", "readme", "packages"), APP_WORDS) & F.col("runtime") & (F.col("ui") | F.col("has_docker")))
+    low = rules.lowered
+    texts = {"evidence": F.concat_ws("\n", "packages", "readme"), "low_packages": low(F.col("packages")), "low_readme": low(F.col("readme")), "low_licence": low(F.col("licence_text"))}
+    held = once(held, texts | {"low_evidence": low(texts["evidence"]), "stated": rules.licence_family(F.expr(STATED)), "manager": static.package_manager(F.col("names"))})
+    in_evidence = {n: static.labels(F.col("low_evidence"), found, True) for n, found in (("stack", static.STACK), ("frontend", static.FRONTEND), ("backend", static.BACKEND), ("databases", static.DATABASES), ("services", static.SERVICES))}
+    held = once(held, in_evidence | {"deprecated": static.labels(F.col("low_packages"), static.DEPRECATED, True)})
+    detected = F.when(F.col("has_licence"), rules.licence_in_text(F.col("low_licence"), True)).otherwise(rules.licence_in_text(F.col("low_readme"), True))
+    by_file = F.array_compact(F.array(*[F.when(F.array_contains("names", f), label) for f, label in static.STACK_FILES.items()]))
+    some = {"detected": detected, "stack_found": F.array_sort(F.array_distinct(F.concat("stack", by_file))), "paid": F.array_intersect("services", F.array(*map(F.lit, static.PAID)))}
+    some |= {"install": static.install_commands(F.col("readme"), F.col("manager")), "variables": static.environment_variables(F.concat_ws("\n", "evidence", "env_text")), "monorepo": F.col("has_workspace") | F.col("workspaces")}
+    some |= {"tests": F.col("has_test") | F.exists("scripts", lambda s: rules.has(s, static.TEST_SCRIPT)), "suspicious": F.filter("scripts", lambda s: rules.has(s, static.SUSPICIOUS))}
+    some |= {"ui": (F.size("frontend") > 0) | rules.has(F.col("low_readme"), UI_WORDS, True), "runtime": F.exists("scripts", lambda s: rules.has(s, static.RUNTIME_SCRIPT)) | F.col("has_docker") | rules.has(F.col("low_readme"), RUNTIME_WORDS, True)}
+    held = once(held, some).drop("stack").withColumnRenamed("stack_found", "stack")
+    held = once(held, {
+        "matches": rules.licence_matches(F.col("detected"), F.col("stated")), "library": rules.has(F.concat_ws("\n", F.substring("low_readme", 1, 5000), "low_packages"), LIBRARY_WORDS, True) & ~F.col("ui"),
+        "standalone": rules.has(F.concat_ws("\n", "low_readme", "low_packages"), APP_WORDS, True) & F.col("runtime") & (F.col("ui") | F.col("has_docker")),
+    })
     facts = {
         "standalone": F.col("standalone"), "ui": F.col("ui"), "runtime": F.col("runtime"), "docker": F.col("has_docker"), "env": F.col("has_env"), "tests": F.col("tests"), "migrations": F.col("has_migration"),
         "seed": F.col("has_seed"), "deployment": F.col("has_deployment"), "licence_matches": F.col("matches"), "licence_detected": F.col("detected"), "deprecated": F.size("deprecated") > 0, "paid": F.size("paid") > 0,
         "databases": F.size("databases"), "monorepo": F.col("monorepo"), "manifest": F.col("has_manifest"), "library": F.col("library"),
     }
-    held = held.withColumn("score", static.decision_score(facts))
+    held = once(held, {"score": static.decision_score(facts)})
     return held.withColumn("setup", static.setup_complexity(F.col("score"), facts["databases"], facts["paid"])).select("*", F.inline(F.array(static.static_decision(facts, F.col("score")))))
 
 
