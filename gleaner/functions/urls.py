@@ -77,33 +77,45 @@ def normalize_url(link: Column, base: Column | None = None) -> Column:
     return bound(resolved(trimmed, base if base is not None else F.lit("https://t.me/")), canonical)
 
 
-def repository_link(url: Column) -> Column:
-    """struct(owner, repo, canonical_url) of a link to a repository of the code host, or null."""
+def on_code_host(canonical: Column) -> Column:
+    return F.coalesce(F.regexp_extract(canonical, PARTS, 2).isin("github.com", "www.github.com"), F.lit(False))
 
-    def read(canonical: Column) -> Column:
-        segments = F.filter(F.split(F.regexp_extract(canonical, PARTS, 3), "/"), lambda s: s != "")
+
+def segments_of(canonical: Column) -> Column:
+    return F.filter(F.split(F.regexp_extract(canonical, PARTS, 3), "/"), lambda s: s != "")
+
+
+def repository_of(canonical: Column) -> Column:
+    """struct(owner, repo, canonical_url) of a canonical URL, or null."""
+
+    def read(segments: Column) -> Column:
         owner = F.lower(F.get(segments, F.lit(0)))
         repo = F.lower(F.regexp_replace(F.get(segments, F.lit(1)), r"(?i)\.git$", ""))
-        good = F.regexp_extract(canonical, PARTS, 2).isin("github.com", "www.github.com") & ~owner.isin(RESERVED_ROOTS)
+        good = on_code_host(canonical) & ~owner.isin(RESERVED_ROOTS)
         good = good & owner.rlike(r"^[a-z\d](?:[a-z\d-]{0,37}[a-z\d])?$") & repo.rlike(r"^[a-z\d._-]{1,100}$")
         return F.when(good, F.struct(owner.alias("owner"), repo.alias("repo"), F.concat(F.lit("https://github.com/"), owner, F.lit("/"), repo).alias("canonical_url")))
 
-    return bound(normalize_url(url), read)
+    return bound(segments_of(canonical), read)
+
+
+def repository_link(url: Column) -> Column:
+    """struct(owner, repo, canonical_url) of a link to a repository of the code host, or null."""
+    return bound(normalize_url(url), repository_of)
 
 
 def is_code_host(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(normalize_url(url), PARTS, 2).isin("github.com", "www.github.com"), F.lit(False))
+    return on_code_host(normalize_url(url))
 
 
 def link_kind(url: Column) -> Column:
     """struct(path_kind, has_dot_git) of a link to the code host: where in a repository it leads; null elsewhere."""
 
     def read(canonical: Column) -> Column:
-        segments = F.filter(F.split(F.regexp_extract(canonical, PARTS, 3), "/"), lambda s: s != "")
+        segments = segments_of(canonical)
         third = F.lower(F.get(segments, F.lit(2)))
-        kind = F.when(repository_link(canonical).isNull(), F.lit(None).cast("string")).when(third.isin("issues", "tree", "blob", "releases"), third)
+        kind = F.when(repository_of(canonical).isNull(), F.lit(None).cast("string")).when(third.isin("issues", "tree", "blob", "releases"), third)
         kind = kind.when(F.size(segments) > 2, "other").otherwise("root")
-        return F.when(is_code_host(canonical), F.struct(kind.alias("path_kind"), F.coalesce(F.get(segments, F.lit(1)).rlike(r"(?i)\.git$"), F.lit(False)).alias("has_dot_git")))
+        return F.when(on_code_host(canonical), F.struct(kind.alias("path_kind"), F.coalesce(F.get(segments, F.lit(1)).rlike(r"(?i)\.git$"), F.lit(False)).alias("has_dot_git")))
 
     return bound(normalize_url(url), read)
 
