@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, html_extract, licenses, ngram_join, oracle_sql, packing, quality, secrets, token_files, toxicity
+from . import alignment, bpe, fingerprints, html_extract, licenses, ngram_join, oracle_sql, packing, quality, secrets, token_files, toxicity
+from .common import staged
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,5 +80,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_checksums(spark, token_files.write_token_files(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_ngram_join, op3_html, op4_licenses, op5_toxicity, op6_quality, op7_secrets, op8_packing, op9_fingerprints, op10_token_files)}
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("byte_bpe_50k.json", "piece_bpe_32k.model")
+    sizes = [alignment.tokenizer(name).size for name in names]
+    pairs = alignment.token_pairs(table(spark, sf_dir, "documents"), *names)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    pairs = staged(pairs.select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest.alias("groups_sha256"), "codes", "times"))
+    return alignment.with_pair_counts(pairs, alignment.pair_counts(pairs, *sizes), *sizes)
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_ngram_join, op3_html, op4_licenses, op5_toxicity, op6_quality, op7_secrets, op8_packing, op9_fingerprints, op10_token_files, op11_alignment)}
 ORACLE_SQL: dict[str, str] = dict(oracle_sql.ORACLE_SQL)
