@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, bpe, fingerprints, html_extract, licenses, ngram_join, oracle_sql, packing, quality, secrets, token_files, toxicity
+from . import alignment, bpe, fingerprints, html_extract, licenses, ngram_join, oracle_sql, packing, quality, secrets, token_files, toxicity, whitening
 from .common import staged
 
 
@@ -89,5 +89,9 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.with_pair_counts(pairs, alignment.pair_counts(pairs, *sizes), *sizes)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_ngram_join, op3_html, op4_licenses, op5_toxicity, op6_quality, op7_secrets, op8_packing, op9_fingerprints, op10_token_files, op11_alignment)}
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), components=4)
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_ngram_join, op3_html, op4_licenses, op5_toxicity, op6_quality, op7_secrets, op8_packing, op9_fingerprints, op10_token_files, op11_alignment, op13_whitening)}
 ORACLE_SQL: dict[str, str] = dict(oracle_sql.ORACLE_SQL)
