@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, bpe, fingerprints, html_extract, licenses, ngram_join, oracle_sql, packing, quality, secrets, token_files, toxicity, whitening
+from . import alignment, bpe, fingerprints, html_extract, licenses, ngram_join, oracle_sql, packing, quality, ranking, secrets, token_files, toxicity, whitening
 from .common import staged
 
 
@@ -89,9 +89,15 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.with_pair_counts(pairs, alignment.pair_counts(pairs, *sizes), *sizes)
 
 
+def op12_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    scored = ranking.score(documents, ranking.fit(documents, table(spark, sf_dir, "labels"), at=0.7))
+    return scored.select("doc_id", (ranking.fold(F.col("doc_id")) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"), components=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_ngram_join, op3_html, op4_licenses, op5_toxicity, op6_quality, op7_secrets, op8_packing, op9_fingerprints, op10_token_files, op11_alignment, op13_whitening)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_ngram_join, op3_html, op4_licenses, op5_toxicity, op6_quality, op7_secrets, op8_packing, op9_fingerprints, op10_token_files, op11_alignment, op12_quality_ranking, op13_whitening)}
 ORACLE_SQL: dict[str, str] = dict(oracle_sql.ORACLE_SQL)
