@@ -2,71 +2,15 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from ..operators.keyed import latest_per_key, require_empty, upsert
+from ..operators.keyed import require_empty
 from ..sources.scans import page_messages, typed_messages
+from .message_table import KEYS, MessageTable
 
 PAGES = "page_url string, channel string, html string, crawled_at timestamp"
-KEYS = ["channel", "message_id"]
-
-
-def first_in_batch(messages: DataFrame) -> DataFrame:
-    """One row a message: the newest crawl's, and there the first on the page."""
-    return latest_per_key(messages, KEYS, [F.desc("crawled_at"), F.asc("position"), F.asc("raw_source")])
-
-
-class MessageTable:
-    """A parquet table of messages in buckets by key and versions; a small pointer file names the version of each bucket.
-
-    A batch is merged into the buckets that it touches, which are written as the version of its batch
-    id; then its pointer is written. A replayed batch writes the same version again from the version
-    before it, so replays change nothing, and readers see a batch wholly or not at all.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
-        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
-
-    def _pointers(self) -> dict[int, dict[str, int]]:
-        """version to (bucket to the version that holds it): a line a batch."""
-        try:
-            found = [json.loads(r.value) for r in self.spark.read.text(f"{self.path}/pointers/*").collect()]
-        except Exception as problem:
-            if "PATH_NOT_FOUND" in str(problem):
-                return {}
-            raise
-        return {p["version"]: p["buckets"] for p in found}
-
-    def version(self, below: int | None = None) -> int | None:
-        return max((v for v in self._pointers() if below is None or v < below), default=None)
-
-    def _parts(self, held: dict[str, int]) -> DataFrame | None:
-        paths = [f"{self.path}/data/{v}/bucket={b}" for b, v in sorted(held.items())]
-        return self.spark.read.parquet(*paths) if paths else None
-
-    def read(self, version: int | None = None) -> DataFrame | None:
-        pointers = self._pointers()
-        at = max(pointers, default=None) if version is None else version
-        return None if at is None else self._parts(pointers[at])
-
-    def merge(self, batch: DataFrame, batch_id: int) -> None:
-        new = first_in_batch(batch).withColumn("bucket", F.pmod(F.xxhash64(*KEYS), F.lit(self.buckets)).cast("int"))
-        before = {v: held for v, held in self._pointers().items() if v < batch_id}
-        held = before[max(before)] if before else {}
-        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # a number for each bucket at most
-        old = self._parts({b: v for b, v in held.items() if int(b) in touched})
-        if old is not None:
-            seen = old.select(*KEYS, F.col("crawled_at").alias("_seen"))
-            fresh = new.join(seen, KEYS, "left").where("_seen is null or crawled_at >= _seen").drop("_seen")
-            old = old.withColumn("bucket", F.pmod(F.xxhash64(*KEYS), F.lit(self.buckets)).cast("int"))
-            new = upsert(old.select(new.columns), fresh, KEYS)
-        new.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/{batch_id}")
-        pointer = {"version": batch_id, "buckets": held | {str(b): batch_id for b in touched}}
-        self.spark.createDataFrame([(json.dumps(pointer),)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/pointers/{batch_id}")
 
 
 class Progress(StreamingQueryListener):
@@ -103,18 +47,15 @@ def batch_counters(batch: DataFrame, known: DataFrame | None) -> DataFrame:
     return each.agg(F.count("*").alias("messages"), F.coalesce(F.sum("n"), F.lit(0)).alias("links"), F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates"), F.count("k").alias("known"))
 
 
-def ingest(spark: SparkSession, landing: str, table: str, checkpoint: str, counters: list | None = None, files_per_trigger: int = 100) -> None:
-    """Reads all pages that have landed, batch by batch, merges them, and ends."""
+def ingest(spark: SparkSession, landing: str, table: str, checkpoint: str, counters: list | None = None, files_per_trigger: int = 100, keep_versions: int = 10) -> None:
+    """Reads all pages that have landed, batch by batch, merges them, and ends; counters of each batch are added to the list."""
     target = MessageTable(spark, table)
 
     def one(batch: DataFrame, batch_id: int) -> None:
-        typed_messages(page_messages(batch)).write.mode("overwrite").parquet(f"{table.rstrip('/')}/incoming/{batch_id}")  # pages are read once
-        joined = spark.read.parquet(f"{table.rstrip('/')}/incoming/{batch_id}")
-        if counters is not None:
-            before = target.version(below=batch_id)
-            known = target.read(before) if before is not None else None
-            counters.append(batch_counters(joined, known).first().asDict() | {"batch": batch_id})
-        target.merge(joined, batch_id)
+        found = target.merge(typed_messages(page_messages(batch)), batch_id)
+        if counters is not None and found is not None:
+            counters.append(found | {"batch": batch_id})
+        target.remove_old(keep_versions)
 
     source = spark.readStream.schema(PAGES).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
     source.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -153,7 +153,7 @@ def test_message_table_rewrites_touched_buckets_only(spark, tmp_path):
         df = spark.createDataFrame(rows, "channel string, message_id long, position int, text string, raw_source string, d string")
         return df.withColumn("crawled_at", F.col("d").cast("timestamp")).drop("d")
 
-    table, want = ingest.MessageTable(spark, str(tmp_path), buckets=8), {}
+    table, want = ingest.MessageTable(spark, str(tmp_path), rows_each=8), {}
     for n, ids in enumerate([range(100), [5], [], [5, 200], range(90, 120)]):
         table.merge(batch(ids, f"v{n}", f"2025-01-{n + 1:02d}"), n)
         want |= {i: f"v{n}" for i in ids}
