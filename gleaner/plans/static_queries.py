@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import rules, static
 from ..operators import keyed, similarity
 from ..sources import scans
-from ..streaming import ingest
+from ..streaming import ingest, stateful
+from ..streaming.message_table import MessageTable
 from .queries import once, q, query, read, sql_has, sql_points
 from .view import choose
 
@@ -143,10 +144,35 @@ def stream_ingest_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed_pages(spark, sf_dir).write.parquet(f"{base}/landing")
     landed_pages(spark, sf_dir).write.mode("append").parquet(f"{base}/landing")
     ingest.ingest(spark, f"{base}/landing", f"{base}/messages", f"{base}/checkpoint")
-    table = ingest.MessageTable(spark, f"{base}/messages").read()
+    table = MessageTable(spark, f"{base}/messages").read()
     return table.select("message_id", F.get("repository_links", F.lit(0)).alias("repository"), "views")
 
 
+@query("SELECT page_id AS message_id, CAST((page_id % 9) * 1000 + 500 AS BIGINT) AS views FROM pages")
+def stream_first_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages land twice and are streamed through a deduplication whose state a watermark bounds."""
+    base = f"{similarity.shared(spark)}/ingest/{uuid.uuid4().hex}"
+    landed_pages(spark, sf_dir).write.parquet(f"{base}/landing")
+    landed_pages(spark, sf_dir).withColumn("crawled_at", F.col("crawled_at") + F.expr("interval 1 hour")).write.mode("append").parquet(f"{base}/landing")
+    stateful.ingest_first_copies(spark, f"{base}/landing", f"{base}/messages", f"{base}/checkpoint", "1 day")
+    return spark.read.parquet(f"{base}/messages").select("message_id", "views")
+
+
+@query("SELECT page_id AS message_id, CAST((page_id % 9) * 1000 + 500 AS BIGINT) AS views, TIMESTAMP '2025-02-01 01:00:00' AS crawled_at FROM pages")
+def stream_late_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two crawls of each page, the newer one read first for every other page: the newer wins, by the state of its key."""
+    base = f"{similarity.shared(spark)}/ingest/{uuid.uuid4().hex}"
+    pages = landed_pages(spark, sf_dir)
+    newer = pages.withColumn("crawled_at", F.col("crawled_at") + F.expr("interval 1 hour"))
+    older = pages.withColumn("html", F.regexp_replace("html", r"\.5K</span>", ".1K</span>"))
+    even = F.regexp_extract("page_url", r"\d+$", 0).cast("long") % 2 == 0
+    newer.where(even).unionByName(older.where(~even)).write.parquet(f"{base}/landing")
+    older.where(even).unionByName(newer.where(~even)).write.mode("append").parquet(f"{base}/landing")
+    stateful.ingest_newest_crawls(spark, f"{base}/landing", f"{base}/messages", f"{base}/checkpoint", "1 day", "2 days")
+    table = MessageTable(spark, f"{base}/messages").read()
+    return table.select("message_id", "views", "crawled_at")
+
+
 @query(SQL_FACTS + " SELECT repository_id, CAST(score AS INT) AS score FROM facts ORDER BY score DESC, repository_id LIMIT 20")
 def top_inspected(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tree_facts(spark, sf_dir).select("repository_id", "score")

@@ -14,20 +14,28 @@ PAGES = "page_url string, channel string, html string, crawled_at timestamp"
 
 
 class Progress(StreamingQueryListener):
-    """Keeps the last numbers of each query: batches ended, rows read, and the names of those that have ended."""
+    """Keeps the last numbers of each query: batches ended, rows read, late and repeated rows that its state has dropped, rows of state, and the names of those that have ended."""
 
     def __init__(self) -> None:
         self.batches: dict[str, int] = {}
         self.rows: dict[str, int] = {}
+        self.late: dict[str, int] = {}
+        self.repeated: dict[str, int] = {}
+        self.state: dict[str, int] = {}
         self.ended: dict[str, str | None] = {}
 
     def onQueryStarted(self, event) -> None:
-        self.batches[str(event.runId)] = self.rows[str(event.runId)] = 0
+        for numbers in (self.batches, self.rows, self.late, self.repeated, self.state):
+            numbers[str(event.runId)] = 0
 
     def onQueryProgress(self, event) -> None:
         run = str(event.progress.runId)
         self.batches[run] = max(self.batches.get(run, 0), event.progress.batchId + 1)
         self.rows[run] = self.rows.get(run, 0) + event.progress.numInputRows
+        operators = event.progress.stateOperators
+        self.late[run] = self.late.get(run, 0) + sum(x.numRowsDroppedByWatermark for x in operators)
+        self.repeated[run] = self.repeated.get(run, 0) + sum(x.customMetrics.get("numDroppedDuplicateRows", 0) for x in operators)
+        self.state[run] = sum(x.numRowsTotal for x in operators)
 
     def onQueryIdle(self, event) -> None:
         pass
