@@ -15,7 +15,7 @@ JACCARD = rf"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(
  SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, coalesce(c.component, n.doc_id) AS component_id, coalesce(d.links, 0) AS n_links FROM n LEFT JOIN heads ON heads.class = n.class AND n.n > 0 LEFT JOIN c ON c.head = heads.head LEFT JOIN d ON d.head = heads.head"""
 
 SPACES = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
-#: Base counts of whole texts; lines of more than 50 distinct documents of a host, copies counted once; what they leave.
+#: Base counts of whole texts; lines of more than 50 distinct documents of a host; what they leave.
 QUALITY = rf"""WITH t AS (SELECT doc_id, source, text, coalesce(text, '') AS whole FROM documents),
  w AS (SELECT *, regexp_extract_all(whole, '[^\x20\x09-\x0D]+') AS words, list_filter(string_split(whole, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS own_lines FROM t),
  g AS (SELECT doc_id, i, array_to_string(words[i:i + 2], ' ') AS three FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
@@ -26,10 +26,7 @@ QUALITY = rf"""WITH t AS (SELECT doc_id, source, text, coalesce(text, '') AS who
  d AS (SELECT DISTINCT source, text FROM t WHERE text IS NOT NULL),
  z AS (SELECT source, text, unnest(list_filter(string_split(lower(regexp_replace(trim(text, {SPACES}), '[\x20\x09\x0B-\x0D]+', ' ', 'g')), chr(10)), lambda x: trim(x, {SPACES}) <> '')) AS line FROM d),
  y AS (SELECT source, text, trim(line, {SPACES}) AS h, length(line) AS n FROM z),
- u AS (SELECT DISTINCT * FROM y), held AS (SELECT source, h FROM u GROUP BY 1, 2 HAVING count(DISTINCT text) > 50),
- each AS (SELECT u.*, held.h IS NOT NULL AS often FROM u LEFT JOIN held ON held.h = u.h AND held.source IS NOT DISTINCT FROM u.source),
- apart AS (SELECT source, text, count(DISTINCT h) - count(DISTINCT CASE WHEN often THEN h END) >= (1 / 7.0) * count(DISTINCT h) OR sum(n) - sum(CASE WHEN often THEN n ELSE 0 END) >= (1 / 7.0) * sum(n) AS is_apart, array_to_string(list_sort(list_distinct(list(h) FILTER (often))), chr(10)) AS rest FROM each GROUP BY 1, 2),
- frequent AS (SELECT source, h FROM (SELECT DISTINCT e.source, e.h, CASE WHEN is_apart THEN concat('a', a.text) ELSE concat('r', rest) END AS document FROM each e JOIN apart a ON a.text = e.text AND a.source IS NOT DISTINCT FROM e.source WHERE often) GROUP BY 1, 2 HAVING count(*) > 50),
+ frequent AS (SELECT source, h FROM y GROUP BY 1, 2 HAVING count(DISTINCT text) > 50),
  lost AS (SELECT y.source, y.text, sum(n) AS total, sum(CASE WHEN f.h IS NOT NULL THEN n ELSE 0 END) AS gone FROM y LEFT JOIN frequent f ON f.h = y.h AND f.source IS NOT DISTINCT FROM y.source GROUP BY 1, 2)
  SELECT base.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT coalesce(gone > 0 AND total - gone < 0.2 * total, false) AS kept FROM base JOIN t USING (doc_id) LEFT JOIN lost ON lost.text = t.text AND lost.source IS NOT DISTINCT FROM t.source"""
 

@@ -4,10 +4,10 @@ Each document gets word, symbol, line and repetition counts. Beside these, norma
 and counted over distinct documents of each host (the column `source`); lines above the limit are
 boilerplate and go, and a document that has too little left without them is rejected.
 
-Distinct texts of a line are counted exactly. Those that have next to nothing beside lines of many
-texts are copies of one document with small edits, and count once for each set of such lines: a line is
-boilerplate if it recurs among otherwise different texts. Removing copies is the work of the
-near-duplicate join, and a good text isn't rejected for having been copied.
+Distinct texts of a host are its documents: a line counts once for each, however often the text recurs,
+and texts that differ at all are two. So pages of one host that are alike but for a line are boilerplate
+of that host, of whatever share of their lines, and go; removing copies of good texts is the work of the
+near-duplicate join, which can come first where copies are to be saved.
 
 Null texts have no words and fail the base rules. Null hosts are one host. Repeated rows get the same
 verdict and count once. Very long texts are read whole. An empty table gives no rows. Columns of the
@@ -84,33 +84,16 @@ def line_hashes(documents: DataFrame) -> DataFrame:
     return documents.where(F.col("text").isNotNull()).select(*keys, hashed.alias("lines"))
 
 
-def frequent_lines(hashes: DataFrame, max_documents: int, least_apart: float = 1 / 7) -> DataFrame:
-    """(h, n_documents) of the lines that more than `max_documents` distinct documents of their host hold, from a staged table of line_hashes.
-
-    Distinct texts are counted exactly. Lines of too few texts fall away first; what a text has beside
-    the others is its own part. A text counts as a document if its own part is `least_apart` or more of
-    its different lines or of their characters; otherwise it is a near copy (two such texts with one
-    rest have a Jaccard similarity above (1 - least_apart) / (1 + least_apart), or 0.75), and all with
-    the same rest count once.
-    """
-    hashed = hashes.select("k1", F.array_distinct("lines").alias("lines"))
-    each = hashed.select("k1", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
-    held = staged(each.distinct().groupBy("h").agg(F.count("*").alias("n_texts")).where(F.col("n_texts") > max_documents).select("h"))
-    size = F.aggregate("lines", F.lit(0), lambda a, x: a + x["n"])
-    part = hashed.select("k1", F.size(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("n_lines"), size.alias("n_chars"), F.explode("lines").alias("line"))
-    part = part.select("k1", "n_lines", "n_chars", F.col("line.h").alias("h"), F.col("line.n").alias("n")).join(small_or_shuffled(held), "h")
-    texts = part.groupBy("k1").agg(F.first("n_lines").alias("n_lines"), F.first("n_chars").alias("n_chars"), F.collect_set(F.struct("h", "n")).alias("rest"))
-    lines = F.array_distinct(F.transform("rest", lambda x: x["h"]))
-    chars = F.aggregate("rest", F.lit(0), lambda a, x: a + x["n"])
-    apart = (F.col("n_lines") - F.size(lines) >= least_apart * F.col("n_lines")) | (F.col("n_chars") - chars >= least_apart * F.col("n_chars"))
-    counted = texts.select(F.when(apart, F.col("k1")).otherwise(F.xxhash64(F.array_sort(lines))).alias("document"), F.explode(lines).alias("h"))
-    counted = counted.distinct().groupBy("h").agg(F.count("*").alias("n_documents"))
+def frequent_lines(hashes: DataFrame, max_documents: int) -> DataFrame:
+    """(h, n_documents) of the lines that more than `max_documents` distinct documents of their host hold, from a staged table of line_hashes."""
+    each = hashes.select("k1", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
+    counted = each.distinct().groupBy("h").agg(F.count("*").alias("n_documents"))
     return staged(counted.where(F.col("n_documents") > max_documents))
 
 
 def documents_with_frequent_lines(documents: DataFrame, max_documents: int = 50, least_left: float = 0.2) -> DataFrame:
     """(k1, k2, frequent, depleted) of the documents that hold frequent lines: their hashes, and whether less than `least_left` of all characters stand outside them."""
-    hashed = staged(line_hashes(documents))  # texts are cut and hashed once, though lines are read three times
+    hashed = staged(line_hashes(documents))  # texts are cut and hashed once, though lines are read twice
     frequent = small_or_shuffled(frequent_lines(hashed, max_documents).select("h"))
     total = F.aggregate("lines", F.lit(0), lambda a, x: a + x["n"])
     each = hashed.select("k1", "k2", total.alias("total"), F.posexplode("lines").alias("at", "line")).select("k1", "k2", "total", "at", "line.h", "line.n")

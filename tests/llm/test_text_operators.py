@@ -382,8 +382,8 @@ def test_quality_lines_across_documents(spark):
     rows = [(i, "\n".join([*boiler, f"only {i} this"]), "h") for i in range(20)]
     rows += [(100 + i, "\n".join([*(own(12) for _ in range(6)), boiler[i % 4]]), "h") for i in range(200)]
     rows += [(1000 + i, "\n".join([*boiler, own()]), "other host") for i in range(5)]
-    copy = [own(15) for _ in range(8)]
-    rows += [(2000 + i, "\n".join([*copy[:-1], copy[-1] if i % 2 else own(15)]), "h") for i in range(200)]
+    copy = "\n".join(own(15) for _ in range(8))
+    rows += [(2000 + i, copy, "h") for i in range(200)]  # one document, however often it recurs
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     verdict = {r["doc_id"]: r["quality"]["kept"] for r in quality.quality_rules(df, max_documents=10).collect()}
     assert not any(verdict[i] for i in range(20)) and all(v for k, v in verdict.items() if k >= 100)
@@ -393,19 +393,20 @@ def test_quality_depleted_documents_by_themselves(spark):
     """Documents that share most of their lines with each other and with no others are depleted, at any number."""
     rnd = random.Random(4)
     rows = []
-    for b, u in [(4, 1), (6, 2), (8, 2), (1, 1)]:
+    for b, u in [(4, 1), (6, 2), (8, 2), (1, 1), (8, 1), (9, 1), (20, 1)]:
         shared = [" ".join(f"h{b}b{k}y{j}" for j in range(60)) for k in range(b)]
-        rows += [(10_000 * b + i, "\n".join([*shared, *(f"own {rnd.randint(0, 10**9)}" for _ in range(u))]), f"h{b}") for i in range(1000 if b == 4 else 60)]
-    edited = [" ".join(f"e{k}y{j}" for j in range(15)) for k in range(8)]
-    for i in range(200):
-        at = rnd.randrange(8)
-        rows.append((i, "\n".join([*edited[:at], " ".join(f"w{rnd.randint(0, 10**9)}" for _ in range(15)), *edited[at + 1 :]]), "copies"))
+        rows += [(10_000 * b + i, "\n".join([*shared, *(f"own {rnd.randint(0, 10**9)}" for _ in range(u))]), f"h{b}-{u}") for i in range(1000 if b == 4 else 400 if b > 8 else 60)]
+    for i in range(200):  # copies of two documents, and 50 of one that differ: not more than the limit
+        rows.append((i, "\n".join(" ".join(f"e{i % 2}y{k}z{j}" for j in range(15)) for k in range(8)), "copies"))
+    edited = [" ".join(f"f{k}y{j}" for j in range(15)) for k in range(8)]
+    for i in range(300, 350):
+        rows.append((i, "\n".join([*edited, f"edit {i}"]), "copies"))
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     for r in quality.quality_rules(df).select("doc_id", "quality.kept").collect():
         assert r["kept"] == (r["doc_id"] < 1000), r["doc_id"]
 
 
-def plain_verdicts(rows, most, least_left=0.2, own=1 / 7):
+def plain_verdicts(rows, most, least_left=0.2):
     """doc_id to (frequent lines of its host that it holds, whether it is depleted), by plain counting."""
 
     def cut(text):
@@ -419,16 +420,7 @@ def plain_verdicts(rows, most, least_left=0.2, own=1 / 7):
     for host, texts in hosts.items():
         lines = {t: cut(t) for t in texts}
         held = collections.Counter(x for t in texts for x in {x for x, _ in lines[t]})
-        often = {x for x, n in held.items() if n > most}
-        documents = collections.defaultdict(set)
-        for t in texts:
-            different = set(lines[t])
-            every, rest = {x for x, _ in different}, {x for x, _ in different if x in often}
-            chars, lost = sum(n for _, n in different), sum(n for x, n in different if x in often)
-            apart = len(every) - len(rest) >= own * len(every) or chars - lost >= own * chars
-            for x in rest:
-                documents[x].add(t if apart else frozenset(rest))
-        hosts[host] = {x for x, d in documents.items() if len(d) > most}
+        hosts[host] = {x for x, n in held.items() if n > most}
     for doc, text, host in rows:
         lines = cut(text)
         total, lost = sum(n for _, n in lines), sum(n for x, n in lines if x in hosts[host])
