@@ -14,6 +14,8 @@ from operator import add, or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .literal_index import Indexed, LiteralIndex
+
 # Licence ids and markers by class.
 PERMISSIVE = ["MIT", "APACHE-2.0", "BSD-2-CLAUSE", "BSD-3-CLAUSE", "ISC", "0BSD"]
 RESTRICTED = ["BUSL", "SSPL", "ELASTIC-2.0", "COMMONS-CLAUSE", "POLYFORM", "LICENSE-REF", "PROPRIETARY", "CC-BY-NC"]
@@ -209,25 +211,34 @@ def needed(part: str) -> list[str]:
 
 def lowered(text: Column) -> Column:
     """Lower case as patterns without regard to case see it: the long s is an s."""
-    return F.translate(F.lower(text), "\u017f", "s")
+    return F.replace(F.lower(text), F.lit("\u017f"), F.lit("s"))
+
+
+def literal_index(patterns: list[str]) -> LiteralIndex:
+    """An index of the texts of which the patterns need some."""
+    return LiteralIndex([x for p in patterns for part in alternatives(p) for x in needed(part)])
 
 
-def has(text: Column, pattern: str, low: bool = False) -> Column:
-    """Whether the text has the pattern, in any letter case; `low` says that the text is in lower case already.
+def has(text: Column | Indexed, pattern: str, low: bool = False) -> Column:
+    """Whether the text has the pattern, in any letter case; `low` says that the text is in lower case already, as an indexed one is.
 
     Alternatives of plain text are looked up as such, and a pattern is tried only where a text that it
     needs is there.
     """
-    text = text if low else lowered(text)
+    if isinstance(text, Indexed):
+        plain, contains, may_have = text.text, text.contains, text.has
+    else:
+        plain = text if low else lowered(text)
+        contains = may_have = plain.contains
     found = []
     for part in alternatives(pattern):
         texts = needed(part)
         if len(texts) == 1 and re.sub(r"\\([^A-Za-z0-9])", r"\1", part) == texts[0]:
-            found.append(text.contains(texts[0]))
+            found.append(contains(texts[0]))
         elif texts:
-            found.append(reduce(or_, [text.contains(x) for x in texts]) & text.rlike(java(part, False)))
+            found.append(reduce(or_, [may_have(x) for x in texts]) & plain.rlike(java(part, False)))
         else:
-            found.append(text.rlike(java(part, False)))
+            found.append(plain.rlike(java(part, False)))
     return F.coalesce(reduce(or_, found), F.lit(False))
 
 
@@ -324,7 +335,12 @@ def product_fields(name: Column, description: Column, topics: Column, homepage:
     return {k: lowered(v) for k, v in {"title": title, "identity": identity, "readme": F.coalesce(readme, none), "everything": everything}.items()}
 
 
-def product_signals(fields: dict[str, Column], homepage: Column, readme: Column) -> Column:
+def product_patterns() -> list[str]:
+    """All patterns that are tried on the fields of a product."""
+    return [p for _, p, *_ in SIGNALS] + [p for _, _, p in KINDS] + [PREVIEW, SETUP, CUSTOMISING, BUSINESS_USE]
+
+
+def product_signals(fields: dict[str, Column | Indexed], homepage: Column, readme: Column) -> Column:
     """struct(score, app_signals, reasons) of the weighted signals."""
     found = [(has(fields[f], p, True), n, reason, app) for f, p, n, reason, app in SIGNALS]
     found.append((F.coalesce(homepage, F.lit("")) != "", 4, "project homepage", False))
@@ -333,7 +349,7 @@ def product_signals(fields: dict[str, Column], homepage: Column, readme: Column)
     return F.struct(score.alias("score"), apps.alias("app_signals"), F.array_compact(F.array(*[F.when(c, reason) for c, _, reason, _ in found])).alias("reasons"))
 
 
-def product_kind(fields: dict[str, Column], score: Column, app_signals: Column) -> Column:
+def product_kind(fields: dict[str, Column | Indexed], score: Column, app_signals: Column) -> Column:
     found = F.when((app_signals >= 3) | ((app_signals >= 2) & (score >= 45)), "APPLICATION").otherwise("UNKNOWN")
     for kind, field, pattern in reversed(KINDS):
         found = F.when(has(fields[field], pattern, True), kind).otherwise(found)
@@ -344,7 +360,7 @@ def kind_penalty(kind: Column) -> Column:
     return F.when(kind.isin(EXCLUDED_KINDS), 45).when(kind.isin("LIBRARY", "FRAMEWORK"), 22).when(kind.isin("CLI_TOOL", "DEV_TOOL"), 12).otherwise(0)
 
 
-def template_potential(fields: dict[str, Column], kind: Column, homepage: Column, days: Column, stars: Column) -> Column:
+def template_potential(fields: dict[str, Column | Indexed], kind: Column, homepage: Column, days: Column, stars: Column) -> Column:
     stars = F.coalesce(stars, F.lit(0))
     parts = [
         F.when(kind == "APPLICATION", 28).when(kind.isin("BOILERPLATE", "STARTER"), 16).otherwise(0),
@@ -385,14 +401,15 @@ def complexity(score: Column) -> Column:
     return F.when(score.isNull(), "UNKNOWN").when(score >= 75, "LOW").when(score >= 50, "MEDIUM").otherwise("HIGH")
 
 
-def matches(patterns: list[str], text: Column) -> Column:
+def matches(patterns: list[str], text: Column | Indexed) -> Column:
     """How many of the patterns the text, in lower case, has."""
     return total([points(has(text, p, True), 1) for p in patterns])
 
 
-def occurrences(patterns: list[str], text: Column, most: int = 3) -> Column:
+def occurrences(patterns: list[str], text: Column | Indexed, most: int = 3) -> Column:
     """Places of all patterns in a text in lower case, `most` a pattern at most; only patterns that the text has are counted."""
-    return total([F.when(has(text, p, True), F.least(F.regexp_count(text, F.lit(java(p, False))), F.lit(most))).otherwise(0) for p in patterns])
+    plain = text.text if isinstance(text, Indexed) else text
+    return total([F.when(has(text, p, True), F.least(F.regexp_count(plain, F.lit(java(p, False))), F.lit(most))).otherwise(0) for p in patterns])
 
 
 def normalized_category(category: Column) -> Column:

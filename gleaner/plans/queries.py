@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules, static, urls
+from ..functions.literal_index import Indexed
 from ..operators import keyed, shortlist, similarity
 from ..sources import scans
 from . import view
@@ -233,12 +234,14 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = view.topics_array(gated(spark, sf_dir))
     homepage, readme = F.col("homepage"), F.col("readme")
     rows = once(rows, {f"low_{k}": v for k, v in rules.product_fields(F.col("name"), F.col("description"), F.col("topic_list"), homepage, readme).items()})
-    fields = {k: F.col(f"low_{k}") for k in ("title", "identity", "readme", "everything")}
+    index = rules.literal_index(rules.product_patterns())
+    rows = rows.withColumn("literals", index.found(F.col("low_everything")))
+    fields = {k: Indexed(F.col(f"low_{k}"), index, F.col("literals"), k == "everything") for k in ("title", "identity", "readme", "everything")}
     rows = once(rows, {"signals": rules.product_signals(fields, homepage, readme)})
     rows = once(rows, {"kind": rules.product_kind(fields, F.col("signals.score"), F.col("signals.app_signals"))})
     product = rules.clamp(F.col("signals.score") - rules.kind_penalty(F.col("kind")))
     rows = once(rows, {"product": product, "template": rules.template_potential(fields, F.col("kind"), homepage, F.col("days"), F.col("stars"))})
-    return rows.drop("low_title", "low_identity", "low_everything").withColumn("candidate_status", rules.narrowed_status(F.col("gate"), F.col("kind"), F.col("template")))
+    return rows.drop("low_title", "low_identity", "low_everything", "literals").withColumn("candidate_status", rules.narrowed_status(F.col("gate"), F.col("kind"), F.col("template")))
 
 
 @query(PRODUCTS + " SELECT repository_id, kind, product, template, CAST(app_signals AS INT) AS app_signals, CAST(n_reasons AS INT) AS n_reasons, candidate_status FROM products")
@@ -273,15 +276,18 @@ def discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, text = F.regexp_replace("name", "[-_.]", " "), F.coalesce("description", none)
     topics, readme = F.regexp_replace(F.coalesce("topics", none), "[-_]", " "), F.substring(F.coalesce("readme", none), 1, WINDOW)
     parts = {"name": name, "text": text, "topics": topics, "readme": readme}
-    rows = once(rows, {f"d_{k}": rules.lowered(v) for k, v in parts.items()} | {"d_combined": rules.lowered(F.concat_ws("\n", *parts.values()))})
-    t = {k: F.col(f"d_{k}") for k in (*parts, "combined")}
-
+    rows = once(rows, {f"d_{k}": rules.lowered(v) for k, v in parts.items()})
+    rows = once(rows, {"d_combined": F.concat_ws("\n", *[f"d_{k}" for k in parts])})
     everyone = list(rules.CATEGORIES.values())
+    index = rules.literal_index([p for patterns in (*everyone, rules.STANDALONE, rules.NEGATIVE) for p in patterns])
+    rows = rows.withColumn("literals", index.found(F.col("d_combined")))
+    t = {k: Indexed(F.col(f"d_{k}"), index, F.col("literals"), k == "combined") for k in (*parts, "combined")}
+
     metadata = [rules.matches(p, t["name"]) * 10 + rules.matches(p, t["text"]) * 8 + rules.matches(p, t["topics"]) * 7 for p in everyone]
     places = [rules.occurrences(p, t["readme"]) * 2 for p in everyone]
     bonus = F.when(kind == "APPLICATION", 25).when(kind.isin("STARTER", "BOILERPLATE"), 12).when(kind == "UNKNOWN", 5).otherwise(0)
     standalone = rules.matches(rules.STANDALONE, t["combined"]) * 5 + rules.points(F.coalesce("homepage", none) != "", 8) + bonus - rules.matches(rules.NEGATIVE, t["combined"]) * 20
-    developer = rules.has(F.concat_ws(" ", t["name"], t["text"], t["topics"]), rules.DEVELOPER_ONLY, True)
+    developer = rules.has(F.concat_ws(" ", "d_name", "d_text", "d_topics"), rules.DEVELOPER_ONLY, True)
     rows = once(rows, {"standalone": F.least(F.lit(100), F.greatest(F.lit(0), standalone)), "developer": developer})
     parts = range(0, len(everyone), 4)  # a few at a time, as methods of compiled code are bounded
     for i in parts:

@@ -197,3 +197,28 @@ def test_manifests(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = [tuple(r) for r in df.orderBy("i").select(static.has_workspaces(F.col("t")), static.manifest_object(F.col("t"))).collect()]
     assert got == [(True, texts[0]), (False, texts[1]), (False, texts[2]), (False, texts[3]), (True, texts[4]), (False, "{}"), (False, None), (False, None)]
+
+
+def test_literal_index_finds_what_patterns_find(spark):
+    """Every pattern of the rules, on texts made of what they need, through the index of a whole text and of its parts."""
+    import random
+
+    from gleaner.functions.literal_index import Indexed, LiteralIndex
+
+    patterns = [p for ps in (*rules.CATEGORIES.values(), rules.STANDALONE, rules.NEGATIVE) for p in ps] + rules.product_patterns()
+    index = rules.literal_index(patterns)
+    rnd = random.Random(12)
+    pool = [*index.literals, *[x[:-1] for x in index.literals if len(x) > 3], "é", "x", " ", "-", "\n", "_", "docker", "compose.yml", "create some forms", "frontend and a backend", "pos system", "crms", "acrm"]
+    texts = [None, "", *("".join(rnd.choice(pool) + rnd.choice(["", " ", " ", "\n", "-"]) for _ in range(rnd.randrange(1, 14))) for _ in range(150)), " ".join(index.literals)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").withColumn("head", F.substring("t", 1, 40)).withColumn("seen", index.found(F.col("t")))
+    rows = df.select("t", "seen").collect()
+    assert all([x in (r["t"] or "") for x in index.literals] == r["seen"] for r in rows)
+    whole, part = Indexed(F.col("t"), index, F.col("seen"), True), Indexed(F.col("head"), index, F.col("seen"), False)
+    for at in range(0, len(patterns), 25):
+        some = patterns[at : at + 25]
+        pairs = [(rules.has(x, p, True), rules.has(c, p, True)) for p in some for x, c in ((whole, F.col("t")), (part, F.col("head")))]
+        assert df.select(*[F.count_if(a != b).alias(f"n{i}") for i, (a, b) in enumerate(pairs)]).first() == tuple([0] * len(pairs))
+    counts = [(rules.occurrences([p], part), rules.occurrences([p], F.col("head"))) for p in rules.STANDALONE]
+    assert df.select(*[F.count_if(a != b).alias(f"n{i}") for i, (a, b) in enumerate(counts)]).first() == tuple([0] * len(counts))
+    assert LiteralIndex(["a", "", "a", "b"]).places == {"a": 0, "b": 1}
+    assert df.limit(0).select(rules.has(whole, "crm", True)).count() == 0
