@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+import math
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Sets of a group that share a token, above which the sets are compared in blocks, and how large these are.
+HOT_SETS, BLOCK_SETS = 4_000, 1_000
+
+
 def shared(spark: SparkSession) -> str:
-    """The folder that the cluster names as spark.checkpoint.dir, or the warehouse."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    """The folder that the cluster names as spark.checkpoint.dir; where none is set, the warehouse of a session of one process."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return (found or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -26,13 +35,58 @@ def small_or_shuffled(table: DataFrame, most: int = 1_000_000) -> DataFrame:
     return F.broadcast(table) if table.count() <= most else table
 
 
-def similar_pairs(df: DataFrame, id_: str, group: str, tokens: str, per_cent: int = 62) -> DataFrame:
+def blocked(indexed: DataFrame, per_cent: int, block_sets: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of (grp, head, size, token), dealt for a join of each side with the other: with a `key` of two blocks.
+
+    Sets of one token are cut into classes of size, of which only neighbours can have similar sets, and
+    a class into blocks. Each pair of blocks that can match is one key, of at most about twice
+    `block_sets` rows; a set is sent to each pair that its block is in, on the left or on the right.
+    """
+    width = math.log(100 / per_cent) * 1.0001  # a little wider, so that rounding never parts similar sizes by two
+    rows = indexed.withColumn("class", F.floor(F.log("size") / width).cast("int"))
+    counts = rows.groupBy("grp", "token", "class").agg(F.ceil(F.count("*") / F.lit(block_sets)).cast("int").alias("blocks"))
+    counts = counts.groupBy("grp", "token").agg(F.map_from_entries(F.collect_list(F.struct("class", "blocks"))).alias("blocks"))  # a few classes a token
+    rows = rows.join(small_or_shuffled(staged(counts)), ["grp", "token"]).withColumn("block", F.pmod(F.xxhash64("head", F.lit(3)), F.col("blocks")[F.col("class")]).cast("int"))
+
+    def upto(n: Column) -> Column:
+        return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+    def keys(first: Column, other: Column, i: Column, j: Column) -> Column:
+        return F.struct(first.alias("c"), i.alias("i"), other.alias("d"), j.alias("j"))
+
+    own, c = F.col("block"), F.col("class")
+    after, before = (F.coalesce(F.try_element_at("blocks", c + n), F.lit(0)) for n in (1, -1))
+    left = F.concat(F.transform(F.sequence(own, F.col("blocks")[c] - 1), lambda j: keys(c, c, own, j)), F.transform(upto(after), lambda j: keys(c, c + 1, own, j)))
+    right = F.concat(F.transform(F.sequence(F.lit(0), own), lambda i: keys(c, c, i, own)), F.transform(upto(before), lambda i: keys(c - 1, c, i, own)))
+    return tuple(rows.select(*indexed.columns, F.explode(k).alias("key")) for k in (left, right))
+
+
+def candidates(indexed: DataFrame, per_cent: int, hot_sets: int, block_sets: int) -> DataFrame:
+    """(grp, x, y), x < y: pairs of heads that share an indexed token and can be similar by their sizes and the token's places."""
+    a, b = F.col("a.size"), F.col("b.size")
+    need = F.ceil(F.lit(per_cent) * (a + b) / (100 + per_cent))
+    within = (100 * F.least(a, b) >= per_cent * F.greatest(a, b)) & (F.least(a - F.col("a.at"), b - F.col("b.at")) >= need)
+    together = (F.col("a.grp") == F.col("b.grp")) & (F.col("a.token") == F.col("b.token")) & within
+    before = F.col("a.head") < F.col("b.head")
+    pair = [F.col("a.grp").alias("grp"), F.least("a.head", "b.head").alias("x"), F.greatest("a.head", "b.head").alias("y")]
+    often = staged(indexed.groupBy("grp", "token").agg(F.count("*").alias("n")).where(F.col("n") > hot_sets).select("grp", "token"))
+    n = often.count()
+    rare = indexed.join(F.broadcast(often) if n <= 1_000_000 else often, ["grp", "token"], "left_anti") if n else indexed
+    found = rare.alias("a").join(rare.alias("b"), together & before).select(*pair)
+    if n:
+        left, right = blocked(indexed.join(F.broadcast(often) if n <= 1_000_000 else often, ["grp", "token"]), per_cent, block_sets)
+        one_block = (F.col("a.key.c") == F.col("a.key.d")) & (F.col("a.key.i") == F.col("a.key.j"))
+        found = found.union(left.alias("a").join(right.alias("b"), together & (F.col("a.key") == F.col("b.key")) & (before | ~one_block)).select(*pair))
+    return found.distinct()
+
+
+def similar_pairs(df: DataFrame, id_: str, group: str, tokens: str, per_cent: int = 62, hot_sets: int = HOT_SETS, block_sets: int = BLOCK_SETS) -> DataFrame:
     """(group, a, b, similarity) of the pairs a < b of one group whose Jaccard similarity is at least per_cent / 100.
 
     Tokens are 64-bit hashes, ordered by how many rows have them, rare ones first. Two sets that are
     similar enough share one of their first n - ceil(per_cent * n / 100) + 1 tokens; where that token
     stands bounds what they can still share. Tokens that one set alone has stand first and find nothing,
-    so that only their number is kept. Equal sets count as one class, expanded at the end by its members
+    so that only their number is kept. Sets of a token that more than `hot_sets` have are compared in blocks. Equal sets count as one class, expanded at the end by its members
     only. Sets are sent once to the sizes and tokens, and again only for pairs that are left.
     """
     hashed = F.array_sort(F.array_distinct(F.transform(tokens, lambda t: F.xxhash64(t))))
@@ -45,11 +99,7 @@ def similar_pairs(df: DataFrame, id_: str, group: str, tokens: str, per_cent: in
     prefix = F.col("size") - F.ceil(F.lit(per_cent) * F.col("size") / 100).cast("int") + 1 - alone
     indexed = shared.where(prefix > 0).select("grp", "head", "size", alone.alias("alone"), F.posexplode(F.slice("shared", F.lit(1), F.greatest(prefix, F.lit(0)))).alias("place", "entry"))
     indexed = staged(indexed.select("grp", "head", "size", (F.col("place") + F.col("alone")).alias("at"), "entry.token"))
-    a, b = indexed.alias("a"), indexed.alias("b")
-    need = F.ceil(F.lit(per_cent) * (F.col("a.size") + F.col("b.size")) / (100 + per_cent))
-    within = (100 * F.least("a.size", "b.size") >= per_cent * F.greatest("a.size", "b.size")) & (F.least(F.col("a.size") - F.col("a.at"), F.col("b.size") - F.col("b.at")) >= need)
-    joined = a.join(b, (F.col("a.grp") == F.col("b.grp")) & (F.col("a.token") == F.col("b.token")) & (F.col("a.head") < F.col("b.head")) & within)
-    pairs = staged(joined.select(F.col("a.grp").alias("grp"), F.col("a.head").alias("x"), F.col("b.head").alias("y")).distinct())
+    pairs = staged(candidates(indexed, per_cent, hot_sets, block_sets))
     wanted = small_or_shuffled(staged(pairs.select(F.xxhash64("grp", "x").alias("k")).union(pairs.select(F.xxhash64("grp", "y"))).distinct()))
     sets = staged(heads.withColumn("k", F.xxhash64("grp", "head")).join(wanted, "k", "left_semi").select("grp", "head", "set"))
     checked = pairs.join(sets.select("grp", F.col("head").alias("x"), F.col("set").alias("sx")), ["grp", "x"]).join(sets.select("grp", F.col("head").alias("y"), F.col("set").alias("sy")), ["grp", "y"])
@@ -64,18 +114,50 @@ def similar_pairs(df: DataFrame, id_: str, group: str, tokens: str, per_cent: in
 def greedy_independent(ranked: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, taken) for rows (id, rank) visited by rank, each taken unless it has an edge (a, b) to one taken before.
 
-    Rounds: an undecided row without an undecided better neighbour is taken, its neighbours are not.
-    The same answer as the one-by-one visit, in few rounds unless neighbours form a long chain.
+    A row is taken if each of its terms holds; at first there is a term for each better neighbour, that it
+    isn't taken. In rounds, terms of decided rows are settled, and rows that have one term left become
+    another name of its row, or of its opposite: chains of them are followed by doubling steps to their
+    root, which then stands in all terms. So a chain of n rows takes log2(n) steps, and a row whose
+    terms say both that a root is taken and that it isn't is decided without it. The same answer as the
+    visit one by one.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     ranks = ranked.select(F.col("id").alias("b"), F.col("rank").alias("brank"))
-    better = staged(both.join(ranked.select(F.col("id").alias("a"), F.col("rank").alias("arank")), "a").join(ranks, "b").where("brank < arank").select("a", "b"))
-    known = staged(ranked.join(better.select(F.col("a").alias("id")).distinct(), "id", "left_anti").select("id", F.lit(True).alias("taken")))
-    left = staged(ranked.select("id").join(known, "id", "left_anti"))
-    while not left.isEmpty():
-        seen = better.join(left.select(F.col("id").alias("a")), "a").join(known.select(F.col("id").alias("b"), "taken"), "b", "left")
-        state = seen.groupBy("a").agg(F.bool_or(F.coalesce("taken", F.lit(False))).alias("blocked"), F.bool_or(F.col("taken").isNull()).alias("waits"))
-        now = staged(state.where("blocked or not waits").select(F.col("a").alias("id"), (~F.col("blocked")).alias("taken")))
-        known = staged(known.union(now))
-        left = staged(left.join(now.select("id"), "id", "left_anti"))
-    return known
+    better = both.join(ranked.select(F.col("id").alias("a"), F.col("rank").alias("arank")), "a").join(ranks, "b").where("brank < arank")
+    terms = staged(better.select("a", "b", F.lit(False).alias("same")))  # the term holds if b is taken (same), or isn't
+    values = terms.select(F.col("b").alias("id")).distinct().join(terms.select(F.col("a").alias("id")).distinct(), "id", "left_anti").select("id", F.lit(True).alias("taken"))
+    decided, names = [staged(values)], []
+    while not terms.isEmpty():
+        settled = staged(terms.join(decided[-1].select(F.col("id").alias("b"), "taken"), "b", "left").withColumn("holds", F.col("taken") == F.col("same")))
+        state = settled.groupBy("a").agg(F.coalesce(F.bool_and("holds"), F.lit(True)).alias("taken"), F.count_if(F.col("holds").isNull()).alias("n"), F.count_if(~F.col("holds")).alias("failed"))
+        now = state.where("failed > 0 or n = 0").select(F.col("a").alias("id"), "taken")
+        one = state.where("failed = 0 and n = 1").select("a")
+        left = settled.where("holds is null").join(now.select(F.col("id").alias("a")), "a", "left_anti").select("a", "b", "same")
+        alias = staged(left.join(one, "a").select(F.col("a").alias("id"), F.col("b").alias("root"), "same"))
+        left = left.join(one, "a", "left_anti")
+        if not alias.isEmpty():
+            alias = followed(alias)
+            names.append(alias)
+            root = alias.select(F.col("id").alias("b"), "root", F.col("same").alias("as_root"))
+            left = left.join(root, "b", "left").select("a", F.coalesce("root", "b").alias("b"), F.coalesce(F.col("same") == F.col("as_root"), F.col("same")).alias("same")).distinct()
+            left = staged(left)
+            torn = left.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select(F.col("a").alias("id")).distinct()
+            now = now.union(torn.withColumn("taken", F.lit(False)))
+            left = left.join(torn.select(F.col("id").alias("a")), "a", "left_anti")
+        decided.append(staged(now))
+        terms = staged(left)
+    for alias in reversed(names):  # a root is decided later than its names, or is a later name itself
+        known = reduce(DataFrame.union, decided)
+        decided.append(staged(alias.join(known.withColumnRenamed("id", "root"), "root").select("id", (F.col("taken") == F.col("same")).alias("taken"))))
+    known = reduce(DataFrame.union, decided)
+    return ranked.select("id").join(known, "id", "left").select("id", F.coalesce("taken", F.lit(True)).alias("taken"))
+
+
+def followed(alias: DataFrame) -> DataFrame:
+    """(id, root, same) with roots that aren't names themselves, by doubling steps."""
+    while True:
+        on = alias.select(F.col("id").alias("root"), F.col("root").alias("further"), F.col("same").alias("then"))
+        step = staged(alias.join(on, "root", "left").select("id", F.coalesce("further", "root").alias("root"), F.coalesce(F.col("same") == F.col("then"), F.col("same")).alias("same"), F.col("further").isNotNull().alias("moved")))
+        alias = step.drop("moved")
+        if step.where("moved").isEmpty():
+            return alias
