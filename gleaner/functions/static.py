@@ -18,7 +18,6 @@ ROLES = {
     "is_seed": r"(?:^|/)(?:seed|fixtures?|demo(?:\.|/|_))|(?:seed|demo)[^/]*$",
     "is_deployment": r"vercel\.json|netlify\.toml|render\.yaml|fly\.toml|railway|helm|kubernetes|k8s|docker-compose|terraform",
     "is_licence": r"(?:^|/)(?:license|copying)(?:\.[^./]+)?$",
-    "is_manifest": r"package\.json$",
     "is_workspace": r"(?:^|/)(?:pnpm-workspace\.yaml|turbo\.json|nx\.json)$|^(?:apps|packages|services)/",
 }
 # Names of files that an inspection lists, folders that it lists too, and names whose content it reads.
@@ -26,6 +25,8 @@ INSPECTED_NAMES = r"^(readme(?:\.[^.]+)?|license(?:\.[^.]+)?|copying(?:\.[^.]+)?
 INSPECTED_FOLDERS = r"(?:^|/)(?:migrations?|prisma/schema\.prisma|seed|fixtures?|demo)(?:/|\.|$)"
 #: Most files listed and read of one repository, manifests and environment files read in an inspection, and variables reported.
 MOST_LISTED, MOST_READ, MOST_MANIFESTS, MOST_ENVS, MOST_VARIABLES = 240, 24, 30, 20, 150
+# Fixed value: how the path of a manifest ends.
+MANIFEST = "package.json"
 # Labels by what a text mentions.
 FRONTEND = [(r"next(?:\.js)?", "Next.js"), (r"\breact\b", "React"), (r"vue(?:\.js)?", "Vue"), ("svelte", "Svelte"), ("angular", "Angular"), ("tailwind", "Tailwind CSS")]
 BACKEND = [("laravel", "Laravel"), ("django", "Django"), ("fastapi", "FastAPI"), ("nestjs", "NestJS"), ("express", "Express"), ("rails", "Rails"), ("spring boot", "Spring Boot"), ("phoenix", "Phoenix")]
@@ -33,14 +34,20 @@ STACK = [
     (r"next(?:\.js)?", "Next.js"), (r"\breact\b", "React"), (r"vue(?:\.js)?", "Vue"), ("svelte", "Svelte"), ("angular", "Angular"), ("laravel", "Laravel"), ("django", "Django"), ("fastapi", "FastAPI"), ("flask", "Flask"),
     ("nestjs", "NestJS"), ("express", "Express"), ("rails", "Rails"), ("spring boot", "Spring Boot"), ("phoenix", "Phoenix"), (r"golang|go\.mod", "Go"), (r"rust|cargo\.toml", "Rust"),
 ]
+# Labels by the file names of a tree.
 STACK_FILES = {"go.mod": "Go", "cargo.toml": "Rust", "composer.json": "PHP/Composer", "requirements.txt": "Python", "pyproject.toml": "Python"}
 DATABASES = [("postgres(?:ql)?", "PostgreSQL"), ("mysql|mariadb", "MySQL/MariaDB"), ("sqlite", "SQLite"), ("mongodb|mongoose", "MongoDB"), ("redis", "Redis")]
 SERVICES = [("stripe", "Stripe"), ("openai", "OpenAI"), ("anthropic|claude", "Anthropic"), ("twilio", "Twilio"), ("sendgrid", "SendGrid"), ("resend", "Resend"), ("aws|s3", "AWS/S3"), ("supabase", "Supabase"), ("firebase", "Firebase"), ("google oauth|google cloud", "Google"), ("sentry", "Sentry")]
+# Services that cost.
 PAID = ["Stripe", "OpenAI", "Anthropic", "Twilio", "SendGrid", "Resend", "AWS/S3", "Google"]
+# Dependencies that are out of date.
 DEPRECATED = [('"node-sass"', "node-sass"), ('"request"', "request"), ('"bower"', "bower"), (r'"react"\s*:\s*"\^?(?:15|16)\.', "React <=16"), (r'"next"\s*:\s*"\^?(?:9|10|11|12)\.', "Next.js <=12"), (r'"angular"\s*:\s*"\^?[0-9]\.', "AngularJS/old Angular")]
+# Package managers by file, and how each installs.
 LOCKS = [("pnpm-lock.yaml", "pnpm"), ("yarn.lock", "yarn"), ("bun.lockb", "bun"), ("bun.lock", "bun"), ("package.json", "npm"), ("composer.lock", "composer"), ("poetry.lock", "poetry"), ("cargo.lock", "cargo")]
 INSTALL = {"npm": "npm install", "pnpm": "pnpm install", "yarn": "yarn", "bun": "bun install", "composer": "composer install", "poetry": "poetry install", "cargo": "cargo build"}
+# Words in capitals that are no environment variables.
 NOT_VARIABLES = ["README", "MIT", "GPL", "API", "URL", "HTTP", "HTTPS", "JSON", "SQL", "CSS", "HTML", "CI", "CD", "UI", "ID", "JWT", "UUID", "POSTGRES"]
+# Commands in READMEs, and scripts that run, test, or deserve a look.
 COMMANDS = r"(?im)^\s*(?:npm|pnpm|yarn|bun|composer|poetry|pip|cargo)\s+(?:install|ci|run\s+(?:dev|start|build|test)|dev|start|build)\b[^\n]*"
 RUNTIME_SCRIPT, TEST_SCRIPT = ":(?:dev|start|build|serve|preview|test|test:|e2e|lint)=", ":(?:test|test:|e2e|vitest|jest|pytest)="
 SUSPICIOUS = r":(?:preinstall|install|postinstall|prepare|prepack|postpack)=|curl|wget|powershell|chmod \+x|\./scripts/|node scripts/"
@@ -70,8 +77,13 @@ def file_name(path: Column) -> Column:
     return F.lower(F.element_at(F.split(path, "/"), -1))
 
 
+def is_manifest(path: Column) -> Column:
+    """In its own letter case, unlike the other roles."""
+    return path.endswith(MANIFEST)
+
+
 def role_flags(path: Column) -> list[Column]:
-    return [has(path, p).alias(name) for name, p in ROLES.items()]
+    return [*(has(path, p).alias(name) for name, p in ROLES.items()), is_manifest(path).alias("is_manifest")]
 
 
 def labels(text: Column, rules: list[tuple[str, str]], low: bool = False) -> Column:
@@ -79,10 +91,12 @@ def labels(text: Column, rules: list[tuple[str, str]], low: bool = False) -> Col
     return F.array_compact(F.array(*[F.when(has(text, p, low), label) for p, label in rules]))
 
 
-def package_manager(names: Column) -> Column:
+def package_manager(names: Column, has_manifest: Column | None = None) -> Column:
+    """By the first lock file, of lower-cased names; a manifest (by `has_manifest`, else by its plain name) without one speaks for the manager that stands in its place."""
     found = F.lit(None).cast("string")
+    has_manifest = F.array_contains(names, MANIFEST) if has_manifest is None else has_manifest
     for lock, manager in reversed(LOCKS):
-        found = F.when(F.array_contains(names, lock), manager).otherwise(found)
+        found = F.when(has_manifest if lock == MANIFEST else F.array_contains(names, lock), manager).otherwise(found)
     return found
 
 

@@ -118,10 +118,17 @@ def require_empty(violations: DataFrame, what: str) -> None:
         raise ValueError(f"{what}: {[r.asDict() for r in found]}")
 
 
-def require_leaders(ranked: DataFrame, keys: list[str], n: int, what: str) -> DataFrame:
-    """The rows of a ranking; fails the job if a key has fewer than `n`."""
-    few = ranked.groupBy(*keys).agg(F.count("*").alias("found")).where(F.col("found") < n)
-    require_empty(few, f"{what} requires {n} results")
+def leaders(ranked: DataFrame, key: str, wanted: list[str], n: int) -> DataFrame:
+    """(key, found, enough) of each wanted value of a key, also of those without a row: how many rows of the ranking it has, and whether they are `n`."""
+    counts = ranked.groupBy(key).agg(F.count("*").alias("found"))
+    every = ranked.sparkSession.createDataFrame([(w,) for w in wanted], f"{key} string")
+    return every.join(counts, key, "left").select(key, F.coalesce("found", F.lit(0)).alias("found"), (F.coalesce("found", F.lit(0)) >= n).alias("enough"))
+
+
+def require_leaders(ranked: DataFrame, keys: list[str], n: int, what: str, wanted: list[str] | None = None) -> DataFrame:
+    """The rows of a ranking; fails the job if a key has fewer than `n`: a key of the ranking, or, of one column, any of the values that are `wanted`."""
+    found = leaders(ranked, keys[0], wanted, n) if wanted is not None else ranked.groupBy(*keys).agg(F.count("*").alias("found"))
+    require_empty(found.where(F.col("found") < n), f"{what} requires {n} results")
     return ranked
 
 

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import responses, rules
+from ..functions import outcomes, responses, rules
 from ..operators import keyed, similarity
 from ..sources import scans
 from . import view
@@ -315,11 +315,40 @@ SQL_CALL = "CASE doc_id % 6 WHEN 0 THEN 200 WHEN 1 THEN 404 WHEN 2 THEN 403 WHEN
 def fetch_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """States of search queries and READMEs from a landed log of calls; completed queries are skipped."""
     log = read(spark, sf_dir, "documents").selectExpr("doc_id", f"{SQL_CALL} AS http_status", "CASE WHEN doc_id % 6 = 2 THEN 0 ELSE 10 END AS remaining", "text AS error", "CASE WHEN doc_id % 4 = 0 THEN 'COMPLETED' ELSE 'PENDING' END AS stored")
-    limited = F.col("http_status").isin(403, 429) & (F.col("remaining") == 0)
-    ok, due = F.col("http_status").between(200, 299), rules.needs_search(F.col("stored"))
-    search = F.when(~due, "SKIPPED").when(ok, "COMPLETED").when(limited, "RATE_LIMITED").otherwise("FAILED")
-    readme = F.when(ok, "FETCHED").when(F.col("http_status") == 404, "MISSING").otherwise("FAILED")
-    return log.select("doc_id", search.alias("search_state"), readme.alias("readme_state"), F.when(due & ~ok, F.length(F.substring(F.coalesce("error", F.lit("")), 1, 2000))).alias("message_length"))
+    call = [F.col("http_status"), F.col("remaining")]
+    rows = once(log, {"search": outcomes.search_outcome(*call, F.coalesce("error", F.lit(""))), "readme": outcomes.readme_outcome(*call), "due": rules.needs_search(F.col("stored"))})
+    return rows.select("doc_id", F.when(F.col("due"), F.col("search.state")).otherwise("SKIPPED").alias("search_state"), F.col("readme.state").alias("readme_state"), F.when(F.col("due"), F.length("search.error_message")).alias("message_length"))
+
+
+SQL_STATUS = "CASE WHEN n_chars IS NULL OR n_chars % 11 = 0 THEN NULL ELSE list_extract([200, 404, 403, 403, 429, 500, 502, 200, 410], CAST(n_chars % 9 + 1 AS INT)) END"
+
+
+@query(f"""WITH c AS (SELECT doc_id, text, {SQL_STATUS} AS status, CAST(length(text) % 3 AS INT) AS remaining FROM documents), f AS (SELECT *, coalesce(status BETWEEN 200 AND 299, false) AS ok, coalesce(status = 429 OR (status = 403 AND remaining = 0), false) AS limited, coalesce(status = 404, false) AS missing FROM c)
+ SELECT doc_id, CASE WHEN ok THEN 'ENRICHED' WHEN missing THEN 'UNAVAILABLE' WHEN limited THEN 'RATE_LIMITED' ELSE 'FAILED' END AS metadata_state, CASE WHEN ok THEN NULL WHEN missing THEN '404' WHEN limited THEN 'rate_limited' ELSE coalesce('http_' || CAST(status AS VARCHAR), 'unknown') END AS metadata_code,
+ md5(CASE WHEN ok THEN NULL WHEN missing OR limited THEN text ELSE substring(text, 1, 2000) END) AS metadata_message, CASE WHEN ok THEN 'FETCHED' WHEN missing THEN 'MISSING' ELSE 'FAILED' END AS readme_state,
+ CASE WHEN ok THEN 'COMPLETED' WHEN limited THEN 'RATE_LIMITED' ELSE 'FAILED' END AS search_state, CASE WHEN ok THEN NULL WHEN limited THEN 'rate_limited' WHEN missing THEN 'not_found' ELSE coalesce('http_' || CAST(status AS VARCHAR), 'unknown') END AS search_code, limited AS stops FROM f""")
+def call_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States, codes and messages of landed calls in three variants, statuses and quotas from the texts' lengths."""
+    statuses = [200, 404, 403, 403, 429, 500, 502, 200, 410]
+    status = F.when(F.col("n_chars") % 11 != 0, F.get(F.array(*map(F.lit, statuses)), (F.col("n_chars") % 9).cast("int")))
+    calls = read(spark, sf_dir, "documents").select("doc_id", "text", status.alias("status"), (F.length("text") % 3).alias("remaining"))
+    call = [F.col("status"), F.col("remaining")]
+    rows = once(calls, {"metadata": outcomes.metadata_outcome(*call, F.col("text")), "readme": outcomes.readme_outcome(*call), "search": outcomes.search_outcome(*call, F.col("text"))})
+    return rows.select(
+        "doc_id", F.col("metadata.state").alias("metadata_state"), F.col("metadata.error_code").alias("metadata_code"), F.md5("metadata.error_message").alias("metadata_message"),
+        F.col("readme.state").alias("readme_state"), F.col("search.state").alias("search_state"), F.col("search.error_code").alias("search_code"), outcomes.stops(*call).alias("stops"),
+    )
+
+
+@query("""WITH r AS (SELECT conv_id, turn, length(text) AS n, length(replace(coalesce(text, ''), ' ', '')) AS plain FROM conversations WHERE role <> 'user')
+ SELECT conv_id % 5 AS version, count(*) AS requests, CAST(sum(CASE WHEN turn % 7 = 0 THEN 0 ELSE coalesce(n, 0) END) AS BIGINT) AS input_tokens, CAST(sum(CASE WHEN turn % 7 = 0 OR turn % 5 = 0 THEN 0 ELSE plain END) AS BIGINT) AS output_tokens FROM r GROUP BY 1""")
+def usage_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests and tokens of landed responses by version of the run; some responses are broken or state no usage."""
+    stated = F.struct(F.coalesce(F.length("text"), F.lit(0)).alias("input_tokens"), F.when(F.col("turn") % 5 != 0, F.length(F.replace(F.coalesce("text", F.lit("")), F.lit(" "), F.lit("")))).alias("output_tokens"))
+    landed = F.to_json(F.struct(F.lit("x").alias("id"), F.struct(F.col("text").alias("output")).alias("answer"), stated.alias("usage")))
+    rows = read(spark, sf_dir, "conversations").where("role <> 'user'").select((F.col("conv_id") % 5).alias("version"), F.when(F.col("turn") % 7 == 0, F.lit("{broken")).otherwise(landed).alias("response"))
+    used = once(rows, {"used": outcomes.usage(F.col("response"))})
+    return used.groupBy("version").agg(F.count("*").alias("requests"), F.sum("used.input_tokens").alias("input_tokens"), F.sum("used.output_tokens").alias("output_tokens"))
 
 
 # --- Reports ---------------------------------------------------------------------------------------

@@ -10,7 +10,7 @@ from ..operators import keyed, shortlist
 from ..sources import scans
 from ..streaming import ingest
 from . import view
-from .queries import PRODUCTS, SQL_CLASS, SQL_DOC_LINKS, SQL_GROUP, SQL_TIER, document_links, products, query, read, repos, scored
+from .queries import PRODUCTS, SQL_CLASS, SQL_DOC_LINKS, SQL_GROUP, SQL_NORMAL, SQL_TIER, document_links, products, query, read, repos, scored
 from .static_queries import landed_pages
 
 DUE = {"updated_days": "CASE WHEN repository_id % 5 = 0 THEN NULL ELSE CAST(repository_id % 60 AS INT) END", "readme_status": "CASE repository_id % 4 WHEN 0 THEN 'FETCHED' WHEN 1 THEN 'PENDING' WHEN 2 THEN 'FAILED' ELSE 'MISSING' END"}
@@ -88,6 +88,19 @@ def critical_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.join(counts, "category").select("repository_id", "category", "rank", "enough")
 
 
+# Categories whose leaders are audited.
+CRITICAL = ["CRM", "BOOKING", "HR", "INVOICING", "CUSTOMER_SUPPORT", "PROJECT_MANAGEMENT", "PROPERTY_MANAGEMENT", "LMS", "POS", "INVENTORY"]
+
+
+@query(view.SQL + f""", m AS (SELECT *, {SQL_NORMAL} AS category_v2 FROM repo WHERE is_complete), c AS (SELECT unnest([{", ".join(f"'{c}'" for c in CRITICAL)}]) AS category)
+ SELECT c.category, least(3, count(m.repository_id)) AS found, count(m.repository_id) >= 3 AS enough FROM c LEFT JOIN m ON m.category_v2 = c.category GROUP BY c.category""")
+def critical_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each of ten critical categories, also those without a row, how many leaders an audit finds, and whether they are three."""
+    rows = repos(spark, sf_dir).where("is_complete").select("repository_id", rules.normalized_category(F.col("category")).alias("category"), "bundle")
+    top = keyed.top_per_key(rows.where(F.col("category").isin(CRITICAL)), ["category"], [F.desc_nulls_first("bundle"), F.asc("repository_id")], 3)
+    return keyed.leaders(top, "category", CRITICAL, 3)
+
+
 @query("""SELECT role AS status, count(*) AS requests, sum(length(text)) AS characters, count(DISTINCT conv_id) AS runs, count(*) = (SELECT count(*) FROM conversations) AS complete FROM conversations GROUP BY role""")
 def run_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations")

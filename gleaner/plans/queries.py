@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import rules, static, urls
+from ..functions import outcomes, rules, static, urls
 from ..functions.literal_index import Indexed
 from ..operators import keyed, shortlist, similarity
 from ..sources import scans
@@ -622,10 +622,9 @@ def audit_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fetch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statuses read from a landed fetch log: an answer, not found, out of quota, or another failure with its message."""
     http = F.when(F.col("status") == "ENRICHED", 200).when(F.col("status") == "UNAVAILABLE", 404).when(F.col("status") == "PENDING", 403).otherwise(500)
-    log = repos(spark, sf_dir).select("repository_id", http.alias("http_status"), F.when(F.col("status") == "PENDING", 0).otherwise(10).alias("remaining"), F.col("text").alias("error"))
-    limited = F.col("http_status").isin(403, 429) & (F.col("remaining") == 0)
-    outcome = F.when(F.col("http_status").between(200, 299), "ENRICHED").when(F.col("http_status").isin(404, 410, 451), "UNAVAILABLE").when(limited, "RATE_LIMITED").otherwise("FAILED")
-    return log.select("repository_id", outcome.alias("outcome"), F.when(outcome == "FAILED", F.length(F.substring(F.coalesce("error", F.lit("")), 1, 2000))).alias("message_length"))
+    log = repos(spark, sf_dir).select("repository_id", http.alias("http_status"), F.when(F.col("status") == "PENDING", 0).otherwise(10).alias("remaining"), F.coalesce("text", F.lit("")).alias("error"))
+    rows = once(log, {"found": outcomes.metadata_outcome(F.col("http_status"), F.col("remaining"), F.col("error"))})
+    return rows.select("repository_id", F.col("found.state").alias("outcome"), F.when(F.col("found.state") == "FAILED", F.length("found.error_message")).alias("message_length"))
 
 
 # --- Landed JSON -----------------------------------------------------------------------------------

@@ -47,7 +47,7 @@ def tree_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = read(spark, sf_dir, "pages").selectExpr(*[f"{e} AS {c}" for c, e in FILES.items()])
     known = scans.repository_files(files).select("repository_id", "path", "size", static.file_name(F.col("path")).alias("name"), *static.role_flags(F.col("path")))
     known = similarity.staged(known)  # numbers and paths, read for the facts and for what is wanted
-    held = known.groupBy("repository_id").agg(*[F.bool_or(r).alias(r.replace("is_", "has_")) for r in static.ROLES], F.count("*").alias("n_files"), F.sum("size").alias("total_size"), F.collect_set("name").alias("names"))  # 8,000 names at most
+    held = known.groupBy("repository_id").agg(*[F.bool_or(r).alias(r.replace("is_", "has_")) for r in (*static.ROLES, "is_manifest")], F.count("*").alias("n_files"), F.sum("size").alias("total_size"), F.collect_set("name").alias("names"))  # 8,000 names at most
     roles = ["is_readme", "is_manifest", "is_env", "is_licence"]
     wanted = known.select("repository_id", "path", *roles).where(" or ".join(roles))
     read_ = similarity.staged(files.select("repository_id", "path", "content").join(wanted, ["repository_id", "path"]))
@@ -61,7 +61,7 @@ def tree_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = held.fillna("", ["packages", "readme", "licence_text", "env_text"]).fillna(False, ["workspaces"]).withColumn("scripts", F.coalesce("scripts", F.array().cast("array<string>")))
     low = rules.lowered
     texts = {"evidence": F.concat_ws("\n", "packages", "readme"), "low_packages": low(F.col("packages")), "low_readme": low(F.col("readme")), "low_licence": low(F.col("licence_text"))}
-    held = once(held, texts | {"low_evidence": low(texts["evidence"]), "stated": rules.licence_family(F.expr(STATED)), "manager": static.package_manager(F.col("names"))})
+    held = once(held, texts | {"low_evidence": low(texts["evidence"]), "stated": rules.licence_family(F.expr(STATED)), "manager": static.package_manager(F.col("names"), F.col("has_manifest"))})
     in_evidence = {n: static.labels(F.col("low_evidence"), found, True) for n, found in (("stack", static.STACK), ("frontend", static.FRONTEND), ("backend", static.BACKEND), ("databases", static.DATABASES), ("services", static.SERVICES))}
     held = once(held, in_evidence | {"deprecated": static.labels(F.col("low_packages"), static.DEPRECATED, True)})
     detected = F.when(F.col("has_licence"), rules.licence_in_text(F.col("low_licence"), True)).otherwise(rules.licence_in_text(F.col("low_readme"), True))
@@ -93,16 +93,16 @@ SQL_STATED = f"CASE {' '.join(f'WHEN {sql_has(STATED, p)} THEN {q(v)}' for p, v
 SQL_FACTS = (
     "WITH a AS (SELECT " + ", ".join(f"{e} AS {c}" for c, e in FILES.items()) + f""" FROM pages), b0 AS (SELECT *, row_number() OVER (PARTITION BY repository_id ORDER BY len(string_split(path, '/')), path) AS file_rank FROM a
  WHERE NOT regexp_matches(path, '(^|/)({"|".join(s.replace(".", "[.]") for s in static.SKIPPED)})(/|$)')),
- b AS (SELECT *, lower(regexp_extract(path, '[^/]*$')) AS name, {", ".join(f"{sql_has('path', p)} AS {r}" for r, p in static.ROLES.items())}, CASE WHEN json_valid(content) AND content <> '' THEN content END AS object FROM b0 WHERE file_rank <= 8000),
+ b AS (SELECT *, lower(regexp_extract(path, '[^/]*$')) AS name, {", ".join(f"{sql_has('path', p)} AS {r}" for r, p in static.ROLES.items())}, ends_with(path, '{static.MANIFEST}') AS is_manifest, CASE WHEN json_valid(content) AND content <> '' THEN content END AS object FROM b0 WHERE file_rank <= 8000),
  s0 AS (SELECT *, row_number() OVER (PARTITION BY repository_id ORDER BY path) AS place FROM b WHERE is_manifest),
  s AS (SELECT repository_id, list_sort(flatten(list(list_transform(json_keys(object, '$.scripts'), lambda k: concat(path, ':', k, '=', json_extract_string(object, concat('$.scripts.', k))))))) AS scripts FROM s0 WHERE place <= 30 AND object IS NOT NULL AND json_extract(object, '$.scripts') IS NOT NULL GROUP BY repository_id),
  w AS (SELECT repository_id, string_agg(object, chr(10) ORDER BY path) AS packages, bool_or(coalesce(json_type(object, '$.workspaces') IN ('ARRAY', 'OBJECT'), false)) AS workspaces FROM s0 WHERE place <= 30 AND object IS NOT NULL GROUP BY repository_id),
- c0 AS (SELECT repository_id, count(*) AS n_files, sum(size) AS total_size, {", ".join(f"bool_or({r}) AS {r.replace('is_', 'has_')}" for r in static.ROLES)}, list(DISTINCT name) AS names, coalesce(arg_min(content, concat(CASE WHEN contains(path, '/') THEN '1' ELSE '0' END, path)) FILTER (is_readme), '') AS readme,
+ c0 AS (SELECT repository_id, count(*) AS n_files, sum(size) AS total_size, {", ".join(f"bool_or({r}) AS {r.replace('is_', 'has_')}" for r in (*static.ROLES, "is_manifest"))}, list(DISTINCT name) AS names, coalesce(arg_min(content, concat(CASE WHEN contains(path, '/') THEN '1' ELSE '0' END, path)) FILTER (is_readme), '') AS readme,
  coalesce(arg_min(content, path) FILTER (is_licence), '') AS licence_text, coalesce(string_agg(content, chr(10) ORDER BY path) FILTER (is_env), '') AS env_text FROM b GROUP BY repository_id),
  c AS (SELECT c0.*, coalesce(w.packages, '') AS packages, coalesce(w.workspaces, false) AS workspaces FROM c0 LEFT JOIN w USING (repository_id)),
  d AS (SELECT c.*, coalesce(s.scripts, []) AS scripts, concat(packages, chr(10), readme) AS evidence, {SQL_STATED} AS stated, CASE WHEN has_licence THEN {SQL_LICENCE("licence_text")} ELSE {SQL_LICENCE("readme")} END AS detected FROM c LEFT JOIN s USING (repository_id)),
  e AS (SELECT *, {sql_labels("evidence", static.FRONTEND)} AS frontend, {sql_labels("evidence", static.DATABASES)} AS databases, {sql_labels("evidence", static.SERVICES)} AS services, {sql_labels("packages", static.DEPRECATED)} AS deprecated,
- CASE WHEN detected IS NOT NULL AND stated IS NOT NULL THEN detected = stated ELSE NULL END AS matches, CASE {" ".join(f"WHEN list_contains(names, {q(k)}) THEN {q(m)}" for k, m in static.LOCKS)} ELSE NULL END AS manager FROM d),
+ CASE WHEN detected IS NOT NULL AND stated IS NOT NULL THEN detected = stated ELSE NULL END AS matches, CASE {" ".join(f"WHEN {'has_manifest' if k == static.MANIFEST else f'list_contains(names, {q(k)})'} THEN {q(m)}" for k, m in static.LOCKS)} ELSE NULL END AS manager FROM d),
  f AS (SELECT *, list_filter(services, lambda x: x IN ({", ".join(map(q, static.PAID))})) AS paid, has_workspace OR workspaces AS monorepo, has_test OR len(list_filter(scripts, lambda x: {sql_has("x", static.TEST_SCRIPT)})) > 0 AS tests,
  len(list_filter(scripts, lambda x: {sql_has("x", static.SUSPICIOUS)})) AS n_suspicious, len(frontend) > 0 OR {sql_has("readme", UI_WORDS)} AS ui, len(list_filter(scripts, lambda x: {sql_has("x", static.RUNTIME_SCRIPT)})) > 0 OR has_docker OR {sql_has("readme", RUNTIME_WORDS)} AS runtime FROM e),
  g AS (SELECT *, {sql_has("concat(substring(readme, 1, 5000), chr(10), packages)", LIBRARY_WORDS)} AND NOT ui AS library, {sql_has("concat(readme, chr(10), packages)", APP_WORDS)} AND runtime AND (ui OR has_docker) AS standalone FROM f),
@@ -127,6 +127,14 @@ def infrastructure_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_facts(spark, sf_dir).groupBy("decision").agg(F.count("*").alias("n"), *[F.count_if(c).alias(n) for n, c in counts.items()])
 
 
+@query(SQL_FACTS + f""", k AS (SELECT repository_id, frontend, list_concat({sql_labels("evidence", static.STACK)}, [{", ".join(f"CASE WHEN list_contains(names, {q(n)}) THEN {q(v)} END" for n, v in static.STACK_FILES.items())}]) AS stack, {sql_labels("evidence", static.BACKEND)} AS backend, services, deprecated FROM facts)
+ SELECT repository_id, {", ".join(f"array_to_string(list_sort(list_distinct(list_filter({c}, lambda x: x IS NOT NULL))), ',') AS {c}" for c in ("stack", "frontend", "backend", "services", "deprecated"))} FROM k""")
+def tree_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sets of labels of an inspection: stack, front end, back end, services and old dependencies, each sorted."""
+    sets = ("stack", "frontend", "backend", "services", "deprecated")
+    return tree_facts(spark, sf_dir).select("repository_id", *[F.array_join(F.array_sort(F.array_distinct(c)), ",").alias(c) for c in sets])
+
+
 def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Channel pages over the table `pages`: one message a page, its address and text from the row."""
     message = F.format_string(

@@ -222,3 +222,31 @@ def test_literal_index_finds_what_patterns_find(spark):
     assert df.select(*[F.count_if(a != b).alias(f"n{i}") for i, (a, b) in enumerate(counts)]).first() == tuple([0] * len(counts))
     assert LiteralIndex(["a", "", "a", "b"]).places == {"a": 0, "b": 1}
     assert df.limit(0).select(rules.has(whole, "crm", True)).count() == 0
+
+
+def test_outcomes_of_calls(spark):
+    from gleaner.functions import outcomes
+
+    calls = [(200, 5), (204, 0), (404, 0), (403, 0), (403, 3), (429, 9), (500, 0), (410, 1), (None, None)]
+    df = spark.createDataFrame([(i, *c, "m" * 3000) for i, c in enumerate(calls)], "i int, status int, remaining int, message string")
+    call = [F.col("status"), F.col("remaining")]
+    rows = df.select("i", outcomes.metadata_outcome(*call, F.col("message")).alias("m"), outcomes.readme_outcome(*call).alias("r"), outcomes.search_outcome(*call, F.col("message")).alias("s"), outcomes.stops(*call).alias("stops")).orderBy("i").collect()
+    states = [(r["m"]["state"], r["m"]["error_code"], len(r["m"]["error_message"] or ""), r["r"]["state"], r["s"]["state"], r["s"]["error_code"], len(r["s"]["error_message"] or ""), r["stops"]) for r in rows]
+    done, limited = ("ENRICHED", None, 0, "FETCHED", "COMPLETED", None, 0, False), ("RATE_LIMITED", "rate_limited", 3000, "FAILED", "RATE_LIMITED", "rate_limited", 2000, True)
+    assert states == [done, done, ("UNAVAILABLE", "404", 3000, "MISSING", "FAILED", "not_found", 2000, False), limited, ("FAILED", "http_403", 2000, "FAILED", "FAILED", "http_403", 2000, False), limited,
+                      *[("FAILED", c, 2000, "FAILED", "FAILED", c, 2000, False) for c in ("http_500", "http_410", "unknown")]]
+
+
+def test_usage_of_responses(spark):
+    from gleaner.functions import outcomes
+
+    texts = ['{"usage":{"input_tokens":7,"output_tokens":3}}', '{"usage":{"input_tokens":7}}', '{"usage":null}', "[]", "{broken", None, '{"usage":{"input_tokens":"x"}}']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    assert [tuple(r["u"]) for r in df.select("i", outcomes.usage(F.col("t")).alias("u")).orderBy("i").collect()] == [(7, 3), (7, 0), (0, 0), (0, 0), (0, 0), (0, 0), (0, 0)]
+
+
+def test_manifests_in_their_own_letter_case(spark):
+    paths = ["package.json", "a/my-package.json", "a/Package.json", "PACKAGE.JSON", "package.json.bak"]
+    assert [one(spark, static.is_manifest(F.lit(p))) for p in paths] == [True, True, False, False, False]
+    names = F.array(F.lit("my-package.json"))
+    assert one(spark, static.package_manager(names, F.lit(True))) == "npm" and one(spark, static.package_manager(names)) is None

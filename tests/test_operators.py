@@ -202,6 +202,12 @@ def test_numbers_tables_and_leaders(spark, tmp_path):
     assert keyed.require_leaders(top, ["a"], 1, "audit") is top
     with pytest.raises(ValueError, match="requires 900"):
         keyed.require_leaders(top, ["a"], 900, "audit")
+    crm = spark.createDataFrame([("CRM", i) for i in range(3)] + [("POS", 1)], "category string, id int")
+    assert keyed.require_leaders(crm.where("category = 'CRM'"), ["category"], 3, "audit", ["CRM"]).count() == 3
+    for wanted in (["CRM", "LMS"], ["POS"]):  # one has no row at all, one too few
+        with pytest.raises(ValueError, match="requires 3"):
+            keyed.require_leaders(crm, ["category"], 3, "audit", wanted)
+    assert sorted(map(tuple, keyed.leaders(crm, "category", ["CRM", "LMS", "POS"], 3).collect())) == [("CRM", 3, True), ("LMS", 0, False), ("POS", 1, False)]
 
 
 def test_reset_of_changed_rows(spark):
