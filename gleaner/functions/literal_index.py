@@ -54,16 +54,30 @@ class LiteralIndex:
 
 @dataclass
 class Indexed:
-    """A text in lower case, with what the index has found in it (`whole`), or in a text that it is part of."""
+    """A column of texts in lower case, by name, with that of what the index has found in it (`whole`), or in a text that it is part of.
 
-    text: Column
+    Conditions are SQL, so that a rule of many patterns is one expression that Spark parses, not hundreds of calls.
+    """
+
+    text: str
     index: LiteralIndex
-    seen: Column
+    seen: str
     whole: bool
 
-    def has(self, literal: str) -> Column:
+    def has(self, literal: str) -> str:
         """Whether the whole text has a literal of the index."""
-        return F.get(self.seen, F.lit(self.index.places[literal]))
+        return f"get({self.seen}, {self.index.places[literal]})"
+
+    def contains(self, literal: str) -> str:
+        return self.has(literal) if self.whole else f"({self.has(literal)} AND contains({self.text}, {quoted(literal)}))"
+
+    def rlike(self, pattern: str) -> str:
+        return f"{self.text} RLIKE {quoted(pattern)}"
+
+    def count(self, pattern: str) -> str:
+        return f"regexp_count({self.text}, {quoted(pattern)})"
+
 
-    def contains(self, literal: str) -> Column:
-        return self.has(literal) if self.whole else self.has(literal) & self.text.contains(literal)
+def quoted(text: str) -> str:
+    """A text as a literal of Spark's SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

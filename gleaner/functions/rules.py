@@ -8,13 +8,13 @@ beyond ASCII for words.
 from __future__ import annotations
 
 import re
-from functools import reduce
+from functools import cache, reduce
 from operator import add, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .literal_index import Indexed, LiteralIndex
+from .literal_index import Indexed, LiteralIndex, quoted
 
 # Licence ids and markers by class.
 PERMISSIVE = ["MIT", "APACHE-2.0", "BSD-2-CLAUSE", "BSD-3-CLAUSE", "ISC", "0BSD"]
@@ -171,6 +171,7 @@ def java(pattern: str, either_case: bool = True) -> str:
     return ("(?i)" if either_case else "") + plain
 
 
+@cache
 def alternatives(pattern: str) -> list[str]:
     """The parts between the bars that stand outside groups and classes."""
     out, depth, in_class, escaped = [""], 0, False, False
@@ -192,6 +193,7 @@ def pieces_of(part: str) -> list[tuple[str, str]]:
     return re.findall(r"(\\.|\[(?:\\.|[^\]])*\]|\((?:\?[:!=<]+)?(?:\\.|\[(?:\\.|[^\]])*\]|\([^()]*\)|[^()\[\\])*\)|[^\\\[(])([?*+]|\{\d*,?\d*\})?", part)
 
 
+@cache
 def needed(part: str) -> list[str]:
     """Texts of which an alternative needs at least one; none if it isn't known."""
     runs, groups, run = [], [], ""
@@ -219,6 +221,11 @@ def literal_index(patterns: list[str]) -> LiteralIndex:
     return LiteralIndex([x for p in patterns for part in alternatives(p) for x in needed(part)])
 
 
+def plain_text(part: str) -> bool:
+    """Whether an alternative of a pattern is a text without signs."""
+    return len(needed(part)) == 1 and re.sub(r"\\([^A-Za-z0-9])", r"\1", part) == needed(part)[0]
+
+
 def has(text: Column | Indexed, pattern: str, low: bool = False) -> Column:
     """Whether the text has the pattern, in any letter case; `low` says that the text is in lower case already, as an indexed one is.
 
@@ -226,22 +233,28 @@ def has(text: Column | Indexed, pattern: str, low: bool = False) -> Column:
     needs is there.
     """
     if isinstance(text, Indexed):
-        plain, contains, may_have = text.text, text.contains, text.has
-    else:
-        plain = text if low else lowered(text)
-        contains = may_have = plain.contains
+        return F.expr(indexed_has(text, pattern))
+    text = text if low else lowered(text)
     found = []
     for part in alternatives(pattern):
-        texts = needed(part)
-        if len(texts) == 1 and re.sub(r"\\([^A-Za-z0-9])", r"\1", part) == texts[0]:
-            found.append(contains(texts[0]))
-        elif texts:
-            found.append(reduce(or_, [may_have(x) for x in texts]) & plain.rlike(java(part, False)))
+        if plain_text(part):
+            found.append(text.contains(needed(part)[0]))
+        elif texts := needed(part):
+            found.append(reduce(or_, [text.contains(x) for x in texts]) & text.rlike(java(part, False)))
         else:
-            found.append(plain.rlike(java(part, False)))
+            found.append(text.rlike(java(part, False)))
     return F.coalesce(reduce(or_, found), F.lit(False))
 
 
+def indexed_has(text: Indexed, pattern: str) -> str:
+    """The same for an indexed text, as SQL."""
+    found = []
+    for part in alternatives(pattern):
+        some = " OR ".join(text.has(x) for x in needed(part))
+        found.append(text.contains(needed(part)[0]) if plain_text(part) else f"(({some}) AND {text.rlike(java(part, False))})" if some else text.rlike(java(part, False)))
+    return f"coalesce({' OR '.join(found)}, false)"
+
+
 def total(columns: list[Column]) -> Column:
     return reduce(add, columns)
 
@@ -403,13 +416,49 @@ def complexity(score: Column) -> Column:
 
 def matches(patterns: list[str], text: Column | Indexed) -> Column:
     """How many of the patterns the text, in lower case, has."""
+    if isinstance(text, Indexed):
+        return F.expr(" + ".join(f"CASE WHEN {indexed_has(text, p)} THEN 1 ELSE 0 END" for p in patterns))
     return total([points(has(text, p, True), 1) for p in patterns])
 
 
 def occurrences(patterns: list[str], text: Column | Indexed, most: int = 3) -> Column:
     """Places of all patterns in a text in lower case, `most` a pattern at most; only patterns that the text has are counted."""
-    plain = text.text if isinstance(text, Indexed) else text
-    return total([F.when(has(text, p, True), F.least(F.regexp_count(plain, F.lit(java(p, False))), F.lit(most))).otherwise(0) for p in patterns])
+    if isinstance(text, Indexed):
+        return F.expr(" + ".join(f"CASE WHEN {indexed_has(text, p)} THEN least({text.count(java(p, False))}, {most}) ELSE 0 END" for p in patterns))
+    return total([F.when(has(text, p, True), F.least(F.regexp_count(text, F.lit(java(p, False))), F.lit(most))).otherwise(0) for p in patterns])
+
+
+class PatternTable:
+    """Groups of patterns as one array that rows are looked up in, so that an expression stays small however many patterns there are.
+
+    An entry has the literals of the index of which the pattern needs one (none if it isn't known), its
+    text if it is plain, and its pattern for Spark. All is SQL over named columns.
+    """
+
+    def __init__(self, groups: list[list[str]], index: LiteralIndex):
+        self.groups, self.index = groups, index
+
+    def entry(self, pattern: str) -> str:
+        parts = alternatives(pattern)
+        literals = sorted({self.index.places[x] for part in parts for x in needed(part)}) if all(map(needed, parts)) else []
+        plain = quoted(needed(pattern)[0]) if len(parts) == 1 and plain_text(pattern) else "CAST(NULL AS STRING)"
+        return f"named_struct('literals', CAST(array({', '.join(map(str, literals))}) AS array<int>), 'plain', {plain}, 'pattern', {quoted(java(pattern, False))})"
+
+    def hits(self, seen: str) -> Column:
+        """The entries of each group that a text may have, by what the index has found in it."""
+        table = "array(" + ", ".join("array(" + ", ".join(map(self.entry, patterns)) + ")" for patterns in self.groups) + ")"
+        return F.expr(f"transform({table}, patterns -> filter(patterns, p -> size(p.literals) = 0 OR exists(p.literals, i -> get({seen}, i))))")
+
+    @staticmethod
+    def matches(hits: str, weights: dict[str, int]) -> Column:
+        """For each group, the weights of all texts (columns) that have a pattern, summed over its patterns."""
+        has = [f"CASE WHEN IF(p.plain IS NULL, {text} RLIKE p.pattern, contains({text}, p.plain)) THEN {n} ELSE 0 END" for text, n in weights.items()]
+        return F.expr(f"transform({hits}, patterns -> aggregate(patterns, 0, (n, p) -> n + {' + '.join(has)}))")
+
+    @staticmethod
+    def occurrences(hits: str, text: str, most: int = 3) -> Column:
+        """For each group, the places of its patterns in a text, `most` a pattern at most."""
+        return F.expr(f"transform({hits}, patterns -> aggregate(patterns, 0, (n, p) -> n + least(regexp_count({text}, p.pattern), {most})))")
 
 
 def normalized_category(category: Column) -> Column:

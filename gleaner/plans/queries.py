@@ -236,7 +236,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = once(rows, {f"low_{k}": v for k, v in rules.product_fields(F.col("name"), F.col("description"), F.col("topic_list"), homepage, readme).items()})
     index = rules.literal_index(rules.product_patterns())
     rows = rows.withColumn("literals", index.found(F.col("low_everything")))
-    fields = {k: Indexed(F.col(f"low_{k}"), index, F.col("literals"), k == "everything") for k in ("title", "identity", "readme", "everything")}
+    fields = {k: Indexed(f"low_{k}", index, "literals", k == "everything") for k in ("title", "identity", "readme", "everything")}
     rows = once(rows, {"signals": rules.product_signals(fields, homepage, readme)})
     rows = once(rows, {"kind": rules.product_kind(fields, F.col("signals.score"), F.col("signals.app_signals"))})
     product = rules.clamp(F.col("signals.score") - rules.kind_penalty(F.col("kind")))
@@ -278,21 +278,18 @@ def discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = {"name": name, "text": text, "topics": topics, "readme": readme}
     rows = once(rows, {f"d_{k}": rules.lowered(v) for k, v in parts.items()})
     rows = once(rows, {"d_combined": F.concat_ws("\n", *[f"d_{k}" for k in parts])})
-    everyone = list(rules.CATEGORIES.values())
-    index = rules.literal_index([p for patterns in (*everyone, rules.STANDALONE, rules.NEGATIVE) for p in patterns])
+    groups = [*rules.CATEGORIES.values(), rules.STANDALONE, rules.NEGATIVE]
+    index = rules.literal_index([p for patterns in groups for p in patterns])
+    table = rules.PatternTable(groups, index)
     rows = rows.withColumn("literals", index.found(F.col("d_combined")))
-    t = {k: Indexed(F.col(f"d_{k}"), index, F.col("literals"), k == "combined") for k in (*parts, "combined")}
-
-    metadata = [rules.matches(p, t["name"]) * 10 + rules.matches(p, t["text"]) * 8 + rules.matches(p, t["topics"]) * 7 for p in everyone]
-    places = [rules.occurrences(p, t["readme"]) * 2 for p in everyone]
+    rows = once(rows, {"hits": table.hits("literals")})
+    n = len(rules.CATEGORIES)
+    rows = once(rows, {"business": F.slice("hits", 1, n), "signs": table.matches(f"slice(hits, {n + 1}, 2)", {"d_combined": 1})})
     bonus = F.when(kind == "APPLICATION", 25).when(kind.isin("STARTER", "BOILERPLATE"), 12).when(kind == "UNKNOWN", 5).otherwise(0)
-    standalone = rules.matches(rules.STANDALONE, t["combined"]) * 5 + rules.points(F.coalesce("homepage", none) != "", 8) + bonus - rules.matches(rules.NEGATIVE, t["combined"]) * 20
+    standalone = F.get("signs", F.lit(0)) * 5 + rules.points(F.coalesce("homepage", none) != "", 8) + bonus - F.get("signs", F.lit(1)) * 20
     developer = rules.has(F.concat_ws(" ", "d_name", "d_text", "d_topics"), rules.DEVELOPER_ONLY, True)
     rows = once(rows, {"standalone": F.least(F.lit(100), F.greatest(F.lit(0), standalone)), "developer": developer})
-    parts = range(0, len(everyone), 4)  # a few at a time, as methods of compiled code are bounded
-    for i in parts:
-        rows = once(rows, {f"metadata{i}": F.array(*metadata[i : i + 4]), f"places{i}": F.array(*places[i : i + 4])})
-    rows = rows.withColumns({x: F.concat(*[F.col(f"{x}{i}") for i in parts]) for x in ("metadata", "places")})
+    rows = once(rows, {"metadata": table.matches("business", {"d_name": 10, "d_text": 8, "d_topics": 7}), "places": F.transform(table.occurrences("business", "d_readme"), lambda x: x * 2)})
 
     names = F.array(*map(F.lit, rules.CATEGORIES))
     scored = F.transform("metadata", lambda m, i: F.struct((-(m + F.get("places", i))).alias("minus"), i.alias("ordinal"), F.get(names, i).alias("category"), m.alias("metadata")))

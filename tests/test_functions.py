@@ -202,6 +202,7 @@ def test_manifests(spark):
 def test_literal_index_finds_what_patterns_find(spark):
     """Every pattern of the rules, on texts made of what they need, through the index of a whole text and of its parts."""
     import random
+    import re
 
     from gleaner.functions.literal_index import Indexed, LiteralIndex
 
@@ -213,11 +214,19 @@ def test_literal_index_finds_what_patterns_find(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").withColumn("head", F.substring("t", 1, 40)).withColumn("seen", index.found(F.col("t")))
     rows = df.select("t", "seen").collect()
     assert all([x in (r["t"] or "") for x in index.literals] == r["seen"] for r in rows)
-    whole, part = Indexed(F.col("t"), index, F.col("seen"), True), Indexed(F.col("head"), index, F.col("seen"), False)
+    whole, part = Indexed("t", index, "seen", True), Indexed("head", index, "seen", False)
     for at in range(0, len(patterns), 25):
         some = patterns[at : at + 25]
         pairs = [(rules.has(x, p, True), rules.has(c, p, True)) for p in some for x, c in ((whole, F.col("t")), (part, F.col("head")))]
         assert df.select(*[F.count_if(a != b).alias(f"n{i}") for i, (a, b) in enumerate(pairs)]).first() == tuple([0] * len(pairs))
+    groups = [*rules.CATEGORIES.values(), rules.STANDALONE, rules.NEGATIVE, ["[0-9]+"]]
+    table = rules.PatternTable(groups, index)
+    looked = df.where("t is not null").withColumn("hits", table.hits("seen"))
+    rows = looked.select("t", "head", table.matches("hits", {"t": 100, "head": 1}).alias("m"), table.occurrences("hits", "head").alias("o")).collect()
+    plain = lambda p: re.compile(p.replace(r"\d", "[0-9]"), re.A)
+    for r in rows:
+        assert r["m"] == [sum(100 * bool(plain(p).search(r["t"])) + bool(plain(p).search(r["head"])) for p in ps) for ps in groups]
+        assert r["o"] == [sum(min(3, len(plain(p).findall(r["head"]))) for p in ps) for ps in groups]
     counts = [(rules.occurrences([p], part), rules.occurrences([p], F.col("head"))) for p in rules.STANDALONE]
     assert df.select(*[F.count_if(a != b).alias(f"n{i}") for i, (a, b) in enumerate(counts)]).first() == tuple([0] * len(counts))
     assert LiteralIndex(["a", "", "a", "b"]).places == {"a": 0, "b": 1}
