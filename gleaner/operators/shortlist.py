@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules
@@ -104,3 +104,27 @@ def pool_fill(candidates: DataFrame, reviews: DataFrame, size: int) -> DataFrame
 def hash_sample(df: DataFrame, key: str, seed: int, n: int) -> DataFrame:
     """A sample of n rows that is the same each time, and in any engine: the first by the MD5 of key and seed."""
     return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), key).limit(n)
+
+
+def top_lists(rows: DataFrame, lists: dict[str, tuple[str, list[str], int]], id_: str) -> DataFrame:
+    """(list, place, id): the first rows of several lists, each (condition, order, most), in one scan and one shuffle.
+
+    An order has columns of numbers, each alone for ascending (nulls first) or with DESC (nulls last); the
+    last should be unique. A row stands once for each list that takes it; Spark keeps the first rows of
+    each list of a partition before the shuffle, so that a list's task gets no more than those.
+    """
+
+    def key(order: list[str]) -> Column:
+        parts = []
+        for o in order:
+            value = F.expr(o.split()[0]).cast("decimal(38,9)")
+            down = "DESC" in o
+            parts.append(F.struct((value.isNull() if down else value.isNotNull()).alias("last"), (-value if down else value).alias("value")))
+        longest = max(len(o) for _, o, _ in lists.values())
+        nothing = F.struct(F.lit(False).alias("last"), F.lit(None).cast("decimal(38,9)").alias("value"))
+        return F.array(*parts, *[nothing] * (longest - len(parts)))
+
+    held = [F.when(F.expr(condition), F.struct(F.lit(name).alias("list"), key(order).alias("key"), F.lit(most).alias("most"))) for name, (condition, order, most) in lists.items()]
+    each = rows.select(F.col(id_), F.explode(F.array_compact(F.array(*held))).alias("in")).select(F.col("in.list").alias("list"), "in.key", "in.most", id_)
+    place = F.row_number().over(Window.partitionBy("list").orderBy("key"))
+    return each.withColumn("place", place).where(F.col("place") <= max(most for *_, most in lists.values())).where("place <= most").select("list", "place", id_)

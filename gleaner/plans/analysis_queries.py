@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import outcomes, responses, rules
-from ..operators import keyed, similarity
+from ..operators import keyed, shortlist, similarity
 from ..sources import scans
 from . import view
 from .queries import DISCOVERED, EVIDENCE, NOW, PRODUCTS, SQL_TIER, discovered, once, products, q, query, read, sql_has, sql_in, sql_matches, sql_points
@@ -252,13 +252,7 @@ NEW_SCORE = "CASE WHEN repository_id % 2 = 0 THEN CAST((repository_id * 41) % 10
 def report_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lists of the reports, each the first rows by one to three keys."""
     rows = repos(spark, sf_dir).withColumn("new_score", F.expr(NEW_SCORE)).withColumn("delta", F.col("new_score") - F.col("bundle"))
-    found = None
-    for name, (condition, order, most) in LISTS.items():
-        keys = [F.expr(o.split()[0]) for o in order]
-        keys = [k.desc_nulls_last() if "DESC" in o else k.asc() for k, o in zip(keys, order, strict=True)]
-        top = rows.where(condition).orderBy(*keys).limit(most).withColumn("place", F.row_number().over(Window.orderBy(*keys))).select(F.lit(name).alias("list"), "place", "repository_id")
-        found = top if found is None else found.union(top)
-    return found
+    return shortlist.top_lists(rows, LISTS, "repository_id")
 
 
 SQL_SHORT = f"short AS (SELECT repository_id, CASE repository_id % 4 WHEN 0 THEN 'CRM' WHEN 1 THEN 'BOOKING' WHEN 2 THEN 'LMS' END AS category FROM (SELECT DISTINCT {FILES['repository_id']} AS repository_id FROM pages) WHERE repository_id % 5 <> 4)"

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from gleaner.operators import similarity
+from gleaner.operators import shortlist, similarity
 
 
 def plain_pairs(rows, per_cent=62):
@@ -104,3 +104,22 @@ def test_chains_that_meet(spark):
         assert picked(spark, ranks, edges) == visit(ranks, edges)
     assert picked(spark, {1: 1, 2: 1, 3: 2}, [(1, 2), (2, 3)]) == visit({1: 1, 2: 1, 3: 2}, [(1, 2), (2, 3)])
     assert picked(spark, {1: 1}, []) == {1: True} and picked(spark, {}, []) == {}
+
+
+def test_lists_in_one_scan(spark, tmp_path):
+    rnd = random.Random(8)
+    rows = [(i, rnd.choice([None, *range(20)]), rnd.choice([None, 1.5, 2.5, -1.0])) for i in range(3000)]
+    spark.createDataFrame(rows, "id long, a int, b double").repartition(5).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    lists = {"first": ("a is not null", ["a DESC", "id"], 40), "second": ("true", ["b", "a DESC", "id"], 90), "third": ("id % 2 = 0 and a > 100", ["id"], 5), "ids": ("id % 3 = 0", ["id DESC"], 7)}
+    low = lambda x: (x is not None, x or 0)  # noqa: E731  nulls first
+    down = lambda x: (x is None, -(x or 0))  # noqa: E731  nulls last
+    want = {
+        "first": sorted((r for r in rows if r[1] is not None), key=lambda r: (down(r[1]), r[0]))[:40], "second": sorted(rows, key=lambda r: (low(r[2]), down(r[1]), r[0]))[:90],
+        "third": [], "ids": sorted((r for r in rows if r[0] % 3 == 0), key=lambda r: -r[0])[:7],
+    }
+    found = shortlist.top_lists(df, lists, "id")
+    plan = found._jdf.queryExecution().executedPlan().toString()  # before it has run, when it is one plan
+    assert sorted(map(tuple, found.collect())) == sorted((n, p + 1, r[0]) for n, x in want.items() for p, r in enumerate(x))
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1 and "WindowGroupLimit" in plan.split("Exchange")[1]
+    assert shortlist.top_lists(df.limit(0), lists, "id").count() == 0
