@@ -60,6 +60,10 @@ distributed on an as is basis without warranties or conditions of any kind eithe
 permissions and limitations under the license"""
 UNLICENSE = """this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this
 software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means"""
+BOOST = """permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license
+the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so"""
+#: The second paragraph of notices of the GNU licences, which names no version.
+WARRANTY = "this {} is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the {} general public license for more details"
 #: Notices as projects commonly print them, opening sentences, and whole texts, with the label each stands for.
 TEMPLATES = [
     ("mit", "released under the mit license"),
@@ -77,7 +81,6 @@ TEMPLATES = [
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
-    ("lgpl", "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu lesser general public license for more details"),
     ("agpl-3", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
     ("mit", MIT),
     ("isc", ISC),
@@ -85,6 +88,19 @@ TEMPLATES = [
     ("zlib", ZLIB),
     ("apache-2", APACHE),
     ("unlicense", UNLICENSE),
+    ("mpl-2", "this source code form is incompatible with secondary licenses as defined by the mozilla public license v 2 0"),
+    ("mpl-2", "mozilla public license version 2 0 1 definitions 1 1 contributor means each individual or legal entity that creates contributes to the creation of or owns covered software"),
+    ("epl-2", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0"),
+    ("epl-1", "this program and the accompanying materials are made available under the terms of the eclipse public license v1 0 which accompanies this distribution and is available at http www eclipse org legal epl v10 html"),
+    ("boost", "distributed under the boost software license version 1 0 see accompanying file license 1 0 txt or copy at http www boost org license 1 0 txt"),
+    ("boost", BOOST),
+    ("gpl-3", "gnu general public license version 3 29 june 2007 copyright c 2007 free software foundation inc"),
+    ("gpl-2", "gnu general public license version 2 june 1991 copyright c 1989 1991 free software foundation inc"),
+    ("lgpl", "gnu lesser general public license version 3 29 june 2007 copyright c 2007 free software foundation inc"),
+    ("lgpl", "gnu lesser general public license version 2 1 february 1999 copyright c 1991 1999 free software foundation inc"),
+    ("agpl-3", "gnu affero general public license version 3 19 november 2007 copyright c 2007 free software foundation inc"),
+    *((label, f"spdx license identifier {label}") for label in ("mit", "isc", "unlicense")),  # ids of more words would meet each other
+    *((label, WARRANTY.format(thing, name)) for label, name in (("gpl", "gnu"), ("lgpl", "gnu lesser"), ("agpl-3", "gnu affero")) for thing in ("program", "library", "software")),
 ]
 #: Bytes of words stay, lower-cased; all others become spaces.
 TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 10 if b == 10 else 32 for b in range(256))

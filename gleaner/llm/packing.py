@@ -7,8 +7,8 @@ a compatible bin, or opens one. A document longer than the capacity fills bins o
 is packed like any other.
 
 Rows are dealt by a hash over shards of about `shard_rows` rows, which are packed one by one; only ids,
-lengths, sources and clusters go there. The hash takes in the place of the row in the table, so that
-repeated rows are spread like any others. Null or negative lengths count as 0 and such documents still
+lengths, sources and clusters go there. The hash takes in the number of a row among equal ones, so that
+repeated rows are spread like any others, and the same rows are packed alike whatever the partitions. Null or negative lengths count as 0 and such documents still
 get a place; null sources are one source; a null cluster conflicts with nothing. Repeated rows are each
 packed (and, sharing a cluster, never together). Of bins with equal room, the one that got there first
 is taken; of documents of equal length, the smallest id goes first. An empty table gives no rows.
@@ -91,7 +91,10 @@ def best_fit(documents: DataFrame, length: Column, cluster: Column, capacity: in
     """(doc_id, piece, shard, bin, start, n_tokens) of every piece of every document."""
     rows = documents.select("doc_id", F.greatest(F.coalesce(length.cast("long"), F.lit(0)), F.lit(0)).alias("size"), F.coalesce("source", F.lit("")).alias("source"), cluster.cast("long").alias("cluster"))
     shards = max(1, -(-documents.select("doc_id").count() // shard_rows))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "size", F.monotonically_increasing_id()), F.lit(shards)).cast("int"))
+    # Repeated rows are counted and numbered, so that their shards are the same however the table is cut.
+    rows = rows.groupBy("doc_id", "size", "source", "cluster").agg(F.count("*").alias("copies"))
+    rows = rows.withColumn("number", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies")
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "size", "number"), F.lit(shards)).cast("int"))
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["size", "doc_id", "source", "cluster"], ascending=[False, True, True, True], kind="stable", na_position="first").reset_index(drop=True)

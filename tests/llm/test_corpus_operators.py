@@ -353,3 +353,13 @@ def test_pipeline(spark):
     for members in bins.values():
         texts = [plain[i] for i in members]
         assert len(set(texts)) == len(texts) and max([sources[i] for i in members].count(sources[j]) for j in members) <= 4
+
+
+def test_packing_is_the_same_on_any_partitions(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i % 900, "s%d" % (i % 7), i % 50 if i % 3 else None, (i % 900) * 37 % 130) for i in range(1500)]  # many rows are repeated
+    df = spark.createDataFrame(rows, "doc_id long, source string, cluster long, size int")
+    pack = lambda d: sorted(map(tuple, packing.best_fit(d, F.col("size"), F.col("cluster"), capacity=100, shard_rows=100).collect()))
+    first = pack(df.coalesce(1))
+    assert first == pack(df.repartition(7)) == pack(df.orderBy(F.desc("size"))) and len({r[0] for r in first}) == 900

@@ -185,6 +185,25 @@ def test_licenses_of_one_kin_are_told_apart(spark):
     assert long == list(range(0, 120_000, 3))
 
 
+def test_notices_of_kindred_licenses_that_are_no_templates(spark):
+    warranty = "This %s is distributed in the hope that it will be useful,\n but WITHOUT ANY WARRANTY; without even the implied warranty of\n MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\n %s for more details."
+    cases = [
+        (warranty % ("program", "GNU General Public License"), ["gpl"]), (warranty % ("library", "GNU Lesser General Public License"), ["lgpl"]), (warranty % ("package", "GNU Lesser General Public License"), ["lgpl"]),
+        (warranty % ("program", "GNU Affero General Public License"), ["agpl-3"]), (warranty % ("package", "GNU General Public License"), ["gpl"]),
+        ("Exhibit B\n\n  This Source Code Form is \"Incompatible\n  With Secondary Licenses\", as defined by\n  the Mozilla Public License, v. 2.0.", ["mpl-2"]),
+        ("// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy of the MPL was not distributed with this", ["mpl-2"]),
+        (" * Copyright (c) 2020 Someone and others. This program and the accompanying materials\n * are made available under the terms of the Eclipse Public License 2.0\n * which is available at https://www.eclipse.org/legal/epl-2.0/", ["epl-2"]),
+        ("//  Distributed under the Boost Software License, Version 1.0. (See\n//  accompanying file LICENSE_1_0.txt or copy at\n//  https://www.boost.org/LICENSE_1_0.txt)", ["boost"]),
+        ("# SPDX-License-Identifier: MIT", ["mit"]), ("# SPDX-License-Identifier: CDDL-1.0", []), ("Some Public License, version 2.0", []), ("This program is useful without any warranty. See the manual for more details.", []),
+        ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\nCopyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>", ["gpl-3"]),
+        ("GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007\nCopyright (C) 2007 Free Software Foundation, Inc.", ["agpl-3"]),
+        ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\nCopyright (C) 2007 Free Software Foundation, Inc.", ["lgpl"]),
+    ]
+    docs = spark.createDataFrame([(i, "Some heading\n\n" + t + "\n\nThe end") for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(docs).collect()}
+    assert {i: got[i] for i in got} == {i: labels for i, (_, labels) in enumerate(cases)}
+
+
 def test_licenses_in_wrapped_text(spark):
     import textwrap
 
