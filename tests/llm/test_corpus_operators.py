@@ -263,7 +263,7 @@ def test_toxicity_is_calibrated_at_any_size(n):
     x = rnd.random((n, len(toxicity.FEATURES)))
     y = (rnd.random(n) < x[:, 0]).astype(float)
     y[:2] = 0, 1
-    model = toxicity.Model({}, toxicity.Boosted(x, y), toxicity.Isotonic(toxicity.crossed_margins(x, y), y), 0.5)
+    model = toxicity.Model({}, toxicity.Boosted(x, y), toxicity.Isotonic(toxicity.crossed_margins(x, y, np.arange(n)), y), 0.5)
     margin, scores = model.trees.margin(x), model.scores(x)
     order = np.argsort(margin, kind="stable")
     assert (np.diff(scores[order]) >= -1e-12).all() and ((scores >= 0.5) == (model.steps(margin) >= 0.5)).all() and abs(scores - model.steps(margin)).max() <= 0.002
@@ -363,3 +363,17 @@ def test_packing_is_the_same_on_any_partitions(spark):
     pack = lambda d: sorted(map(tuple, packing.best_fit(d, F.col("size"), F.col("cluster"), capacity=100, shard_rows=100).collect()))
     first = pack(df.coalesce(1))
     assert first == pack(df.repartition(7)) == pack(df.orderBy(F.desc("size"))) and len({r[0] for r in first}) == 900
+
+
+def test_calibration_parts_keep_copies_together():
+    """Rows of one cluster get margins of trees that saw none of them: labels by cluster alone can't be learned."""
+    rnd = np.random.default_rng(3)
+    cluster = np.repeat(np.arange(60), 5)
+    x = rnd.random((60, 2))[cluster] + rnd.random((300, 2)) * 1e-4
+    y = (rnd.random(60) < 0.5).astype(float)[cluster]
+    share = lambda m: ((m > 0) == (y > 0)).mean()
+    together, apart = toxicity.crossed_margins(x, y, cluster), toxicity.crossed_margins(x, y, np.arange(300))
+    assert share(apart) > 0.9 and share(together) < 0.7
+    assert np.array_equal(toxicity.crossed_margins(x, y, np.zeros(300, int)), toxicity.Boosted(x, y).margin(x))
+    base = "one two three four five six seven eight nine ten " * 4
+    assert toxicity.least_shingle(base) == toxicity.least_shingle(base + "one more word") and isinstance(toxicity.least_shingle(""), int)
