@@ -181,7 +181,7 @@ class Model:
         steps = self.steps(margin)
         # A little of the plain score keeps the order within a step, but never moves a score over one half.
         mixed = np.clip(0.998 * steps + 0.002 / (1 + np.exp(-margin)), 0, 1)
-        return np.where((mixed >= 0.5) == (steps >= 0.5), mixed, steps)
+        return np.where(steps >= 0.5, np.maximum(mixed, 0.5), np.minimum(mixed, np.nextafter(0.5, 0)))
 
 
 def fold(doc_id: Column) -> Column:
