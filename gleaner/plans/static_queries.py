@@ -43,8 +43,11 @@ def first_texts(files: DataFrame, flag: str, order: list[Column], most: int, nam
 
 
 def tree_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row of facts a repository, from its wanted files; contents are read of a few files by role."""
-    files = read(spark, sf_dir, "pages").selectExpr(*[f"{e} AS {c}" for c, e in FILES.items()])
+    return facts_of_files(read(spark, sf_dir, "pages").selectExpr(*[f"{e} AS {c}" for c, e in FILES.items()]))
+
+
+def facts_of_files(files: DataFrame) -> DataFrame:
+    """One row of facts a repository, from its wanted files (repository_id, path, size, content); contents are read of a few files by role."""
     known = scans.repository_files(files).select("repository_id", "path", "size", static.file_name(F.col("path")).alias("name"), *static.role_flags(F.col("path")))
     known = similarity.staged(known)  # numbers and paths, read for the facts and for what is wanted
     held = known.groupBy("repository_id").agg(*[F.bool_or(r).alias(r.replace("is_", "has_")) for r in (*static.ROLES, "is_manifest")], F.count("*").alias("n_files"), F.sum("size").alias("total_size"), F.collect_set("name").alias("names"))  # 8,000 names at most

@@ -105,6 +105,44 @@ def repository_files(files: DataFrame, most: int = 8000) -> DataFrame:
     return top_per_key(parts.drop("part", "part_rank"), ["repository_id"], order, most, "file_rank")
 
 
+# Signs that a landed tree writes otherwise, as Spark hides files whose names begin with a dot or an underscore.
+ESCAPED = {"%2E": ".", "%5F": "_", "%25": "%"}
+# Fixed value: how the names of empty files end, which have a byte, as Spark passes over files of none.
+EMPTY = "%00"
+
+
+def landed_trees(spark: SparkSession, path: str, names: str = "*") -> DataFrame:
+    """(repository_id, path, size) of the files below `path`/repository_id=<id>/ whose names the glob `names` takes; contents aren't read.
+
+    What stands behind the folder of the repository is the path in its tree. A dot or underscore at the
+    beginning of a name is landed as %2E or %5F, a percent sign as %25, and an empty file as one byte
+    under its name and %00.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", names).load(path)
+    return _places(files).select("repository_id", "path", F.when(F.col("empty"), 0).otherwise(F.col("length")).alias("size"))
+
+
+def landed_contents(spark: SparkSession, path: str, names: str, most_bytes: int) -> DataFrame:
+    """(repository_id, path, content) of such files; none of more than `most_bytes` is read, and bytes that aren't UTF-8 become replacement marks."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", names).load(path)
+    files = files.where(F.col("length") <= most_bytes)  # pushed to the source, which looks at it before it reads
+    return _places(files).select("repository_id", "path", F.when(F.col("empty"), "").otherwise(F.make_valid_utf8(F.col("content").cast("string"))).alias("content"))
+
+
+def _places(files: DataFrame) -> DataFrame:
+    parts = r"/repository_id=(\d+)/(.*)$"
+    inner = F.regexp_replace(F.regexp_extract("path", parts, 2), EMPTY + "$", "")
+    for written, sign in ESCAPED.items():
+        inner = F.replace(inner, F.lit(written), F.lit(sign))
+    found = files.where(F.col("path").rlike(parts)).withColumn("empty", F.col("path").endswith(EMPTY))
+    return found.withColumn("repository_id", F.regexp_extract("path", parts, 1).cast("long")).withColumn("path", inner)
+
+
+def landed_repository_files(spark: SparkSession, path: str, read_names: str, most_bytes: int) -> DataFrame:
+    """(repository_id, path, size, content) of landed trees, as the table of repository files has them; contents of some files by name and size, null for the others."""
+    return landed_trees(spark, path).join(landed_contents(spark, path, read_names, most_bytes), ["repository_id", "path"], "left")
+
+
 def selected_tree(tree: DataFrame) -> DataFrame:
     """(repository_id, path, size, position, with_content) of landed trees: safe paths that an inspection lists, the first of each in tree order, and which of them it reads, those least deep first."""
     from ..functions import static

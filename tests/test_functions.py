@@ -259,3 +259,39 @@ def test_manifests_in_their_own_letter_case(spark):
     assert [one(spark, static.is_manifest(F.lit(p))) for p in paths] == [True, True, False, False, False]
     names = F.array(F.lit("my-package.json"))
     assert one(spark, static.package_manager(names, F.lit(True))) == "npm" and one(spark, static.package_manager(names)) is None
+
+
+def test_landed_trees_give_the_facts_of_the_table(spark, tmp_path):
+    """A tree of all pages, written file by file, read by its folders, with contents of files by name and size."""
+    import os
+
+    from gleaner.plans import static_queries
+    from gleaner.sources import scans
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    files = pages.selectExpr(*[f"{e} AS {c}" for c, e in static_queries.FILES.items()]).withColumn("size", F.octet_length("content").cast("long"))
+    rows = [r for r in files.dropDuplicates(["repository_id", "path"]).collect()]
+    table = spark.createDataFrame(rows, files.schema)
+
+    def escaped(name):
+        name = name.replace("%", "%25")
+        return {".": "%2E", "_": "%5F"}.get(name[:1], name[:1]) + name[1:]
+
+    for r in rows:
+        place = tmp_path / "trees" / f"repository_id={r['repository_id']}" / "/".join(map(escaped, r["path"].split("/")))
+        os.makedirs(place.parent, exist_ok=True)
+        if r["content"]:
+            place.write_bytes(r["content"].encode())
+        else:
+            place.with_name(place.name + "%00").write_text("\n")
+    (tmp_path / "trees" / "stray.txt").write_text("not in a repository")
+    names = "{*[rR][eE][aA][dD][mM][eE]*,*package.json,*[eE][nN][vV]*,[lL][iI][cC][eE][nN][sS][eE]*,[cC][oO][pP][yY][iI][nN][gG]*}"
+    landed = scans.landed_repository_files(spark, f"{tmp_path}/trees", names, 250_000)
+    assert sorted(map(tuple, landed.select("repository_id", "path").collect())) == sorted((r["repository_id"], r["path"]) for r in rows)
+    want = {tuple(r) for r in static_queries.facts_of_files(table).select("repository_id", "n_files", "total_size", "detected", "score", "decision", F.array_join("variables", ","), F.array_join("install", ","), F.array_join("stack", ",")).collect()}
+    got = {tuple(r) for r in static_queries.facts_of_files(landed).select("repository_id", "n_files", "total_size", "detected", "score", "decision", F.array_join("variables", ","), F.array_join("install", ","), F.array_join("stack", ",")).collect()}
+    assert got == want and len(got) > 3
+    small = scans.landed_contents(spark, f"{tmp_path}/trees", names, 10)
+    assert small.where(F.octet_length("content") > 10).count() == 0 and "PushedFilters: [LessThanOrEqual(length,10)]" in small._jdf.queryExecution().executedPlan().toString().replace("IsNotNull(length), ", "")
+    listed = scans.landed_trees(spark, f"{tmp_path}/trees")._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in listed.split("ReadSchema")[1]
