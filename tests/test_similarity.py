@@ -52,6 +52,21 @@ def test_blocks_of_a_token_that_all_sets_have(spark):
     assert close.count() == sum(k * (k - 1) // 2 for k in n) + 2 * 1000 * 1000
 
 
+@pytest.mark.parametrize("task_pairs", [30, 10**6])
+def test_sets_are_sent_for_likely_pairs_alone(spark, monkeypatch, task_pairs):
+    """3,000 pairs meet by a rare token; signatures leave little more than the similar ones, for which sets are read."""
+    rnd = random.Random(3)
+    rows = [(i, "g", sorted({f"rare{i % 20}", *(f"w{k}" for k in rnd.sample(range(3000), rnd.choice([12, 50, 130, 300])))})) for i in range(600)]
+    rows += [(1000 + i, "g", [*x[1 + i % 3 :], f"own{i}"]) for i, (_, _, x) in enumerate(rows[:40])] + [(2000 + i, "g", x) for i, (_, _, x) in enumerate(rows[:5])]
+    df = spark.createDataFrame(rows, "id long, grp string, tokens array<string>")
+    sent, real = [], similarity.staged
+    monkeypatch.setattr(similarity, "staged", lambda t: (lambda out: (sent.append(out), out)[1])(real(t)))
+    got = {(r["a"], r["b"]) for r in similarity.similar_pairs(df, "id", "grp", "tokens", **({} if task_pairs > 1000 else {"task_pairs": task_pairs})).collect()}
+    assert got == closure(plain_pairs(rows), rows) and len(got) >= 45
+    with_sets = [t for t in sent if "set" in t.columns]
+    assert with_sets[0].count() == len(rows) and sum(t.count() for t in with_sets[1:]) <= 3 * len({i for p in got for i in p})
+
+
 def visit(ranks, edges):
     near = {}
     for a, b in edges:
