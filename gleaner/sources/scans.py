@@ -234,17 +234,23 @@ class Messages(HTMLParser):
                 m["views"].append(data)
 
 
+#: Letters of pages after which their messages are passed on.
+PARSED_CHARS = 1 << 20
+
+
 def page_messages(pages: DataFrame) -> DataFrame:
     """(page_url, MESSAGE_SCHEMA) of the messages of each page (page_url, channel, html): own channel, numeric id, the first of an id; with the page's crawled_at, if it has one."""
     timed = "crawled_at" in pages.columns
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["page_url", "channel", "message_id", "position", "text", "html", "anchors", "published", "edited", "views_text", "raw_source", *(["crawled_at"] if timed else [])]
         for batch in batches:
-            out = []
+            out, held = [], 0
             for url, channel, html, *when in zip(*(batch[c] for c in batch.columns), strict=True):
                 parser, seen = Messages(), set()
                 parser.feed(html or "")
                 parser.close()
+                held += len(html or "")
                 for position, m in enumerate(parser.found):
                     owner, slash, number = m["post"].rpartition("/")
                     if not slash or not owner or owner.lower() != (channel or "").lower() or not (number.isascii() and number.isdigit()) or len(number) > 18 or number in seen:
@@ -253,7 +259,10 @@ def page_messages(pages: DataFrame) -> DataFrame:
                     has_text = m["done"] or m["depth"]
                     text = "".join(m["text"]).replace("\xa0", " ").strip() if has_text else None
                     out.append((url, channel, int(number), position, text, "".join(m["html"]) if has_text else None, m["anchors"], m["published"] or None, m["edited"] or None, "".join(m["views"]).strip() or m["data_views"] or None, "".join(m["raw"]), *when))
-            yield pd.DataFrame(out, columns=["page_url", "channel", "message_id", "position", "text", "html", "anchors", "published", "edited", "views_text", "raw_source", *(["crawled_at"] if timed else [])])
+                if held > PARSED_CHARS:  # a batch of pages isn't held with all that is read of it
+                    yield pd.DataFrame(out, columns=names)
+                    out, held = [], 0
+            yield pd.DataFrame(out, columns=names)
 
     time = ["crawled_at"] if timed else []
     return pages.select("page_url", "channel", "html", *time).mapInPandas(read, f"page_url string, {MESSAGE_SCHEMA}{', crawled_at timestamp' if timed else ''}")

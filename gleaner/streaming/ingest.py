@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
@@ -44,6 +47,20 @@ class Progress(StreamingQueryListener):
         self.ended[str(event.runId)] = event.exception
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Bounds Arrow batches of the streams that start inside by 200 rows and 4 MB, as rows hold whole pages; bounds that the session has of its own stay."""
+    bounds = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "200"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", str(4 << 20))}
+    changed = {k: spark.conf.get(k) for k, (usual, _) in bounds.items() if spark.conf.get(k) == usual}
+    try:
+        for k in changed:
+            spark.conf.set(k, bounds[k][1])
+        yield
+    finally:
+        for k, usual in changed.items():
+            spark.conf.set(k, usual)
+
+
 def batch_counters(batch: DataFrame, known: DataFrame | None) -> DataFrame:
     """messages, links, duplicates and known of one batch, in one row."""
     flags = batch.select(*KEYS, F.size("repository_links").alias("n"))
@@ -66,7 +83,8 @@ def ingest(spark: SparkSession, landing: str, table: str, checkpoint: str, count
         target.remove_old(keep_versions)
 
     source = spark.readStream.schema(PAGES).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
-    source.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    with small_batches(spark):
+        source.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def reparsed(messages: DataFrame, strict: bool = True) -> DataFrame:

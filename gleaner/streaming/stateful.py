@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..sources.scans import page_messages, typed_messages
-from .ingest import PAGES
+from .ingest import PAGES, small_batches
 from .message_table import KEYS, MessageTable
 
 
@@ -69,11 +69,13 @@ def newest_crawls(messages: DataFrame, delay: str, keep: str) -> DataFrame:
 def ingest_first_copies(spark: SparkSession, landing: str, target: str, checkpoint: str, delay: str, files_per_trigger: int = 100) -> None:
     """Writes the first copy of each message that has landed to the folder `target`, and ends."""
     rows = first_copies(landed_messages(spark, landing, files_per_trigger), delay)
-    rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    with small_batches(spark):
+        rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def ingest_newest_crawls(spark: SparkSession, landing: str, table: str, checkpoint: str, delay: str, keep: str, files_per_trigger: int = 100) -> None:
     """Merges into a message table only what is news to it: new messages, and newer crawls of known ones."""
     target = MessageTable(spark, table)
     rows = newest_crawls(landed_messages(spark, landing, files_per_trigger), delay, keep)
-    rows.writeStream.foreachBatch(lambda batch, n: target.merge(batch, n)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    with small_batches(spark):
+        rows.writeStream.foreachBatch(lambda batch, n: target.merge(batch, n)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

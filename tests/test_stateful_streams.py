@@ -91,3 +91,19 @@ def test_state_is_given_up_by_a_timer(spark, tmp_path, progress):
     assert progress.late[last] == 1 and progress.state[last] == 3  # 0, 9 and 10; the timers of the others have fired
     got = {r["message_id"]: r["text"] for r in table.read().collect()}
     assert got == {0: "old but known", **{i: "first" for i in range(1, 6)}, 9: "other", 10: "other"}
+
+
+@pytest.mark.parametrize("way", ["ingest", "newest"])
+def test_streams_hold_few_pages_in_a_batch(spark, tmp_path, monkeypatch, way):
+    """Arrow batches of a stream are bounded by rows and bytes, and the session is left as it was."""
+    keys = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    before, seen, real = [spark.conf.get(k) for k in keys], [], MessageTable.merge
+    monkeypatch.setattr(MessageTable, "merge", lambda self, batch, n: seen.append([batch.sparkSession.conf.get(k) for k in keys]) or real(self, batch, n))
+    folder, table = f"{tmp_path}/landing", f"{tmp_path}/table"
+    land(spark, folder, [(i, f"t{i}", 1, 0) for i in range(450)])
+    if way == "ingest":
+        ingest.ingest(spark, folder, table, f"{tmp_path}/check")
+    else:
+        stateful.ingest_newest_crawls(spark, folder, table, f"{tmp_path}/check", "1 day", "2 days")
+    assert seen and all(int(rows) <= 200 and int(size) <= 4 << 20 for rows, size in seen)
+    assert [spark.conf.get(k) for k in keys] == before and MessageTable(spark, table).read().count() == 450
