@@ -84,6 +84,57 @@ def test_threshold_passes_as_many_as_are_good():
     assert (np.diff(scores[order]) >= 0).all() and scores.min() >= 0 and scores.max() <= 1
 
 
+def test_every_labelled_row_is_learned_from(spark):
+    chance = np.random.default_rng(8)
+    n = 46_000
+    good = chance.random(n) < 0.7
+    fold = np.array([zlib.crc32(str(i).encode()) % 4 for i in range(n)])
+    many = [" ".join(("Bad##" if not g and chance.random() < 0.2 else "word") + "x" * int(k) + "1" * int(k * k % 11) for k in chance.integers(0, 40, chance.integers(5, 20))) for g in good]
+    documents = spark.createDataFrame([(i, t) for i, t in enumerate(many)], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, int(g)) for i, g in enumerate(good)], "doc_id long, quality int")
+    model = ranking.fit(documents, labels)
+    x, taught, judged = ranking.features(many), fold < 2, fold == 3
+    assert (fold != 2).sum() > 34_000 and np.allclose(model.middle, x[taught].mean(axis=0), atol=1e-8) and np.allclose(model.scale, np.maximum(x[taught].std(axis=0), 1 - x.any(axis=0)), atol=1e-6)
+    strengths, k = np.sort(model.strength(x[judged])), int((~good[judged]).sum())
+    assert model.threshold == (strengths[k - 1] + strengths[k]) / 2 and strengths[k - 1] < strengths[k]
+    assert (model.scores(x[judged]) >= 0.7).sum() == good[judged].sum()
+    # In one block the tables give what the rows give in memory; blocks of 2,000 give nearly the same.
+    order = np.lexsort(x.T)
+    order = order[fold[order] != 2]
+    wanted = ranking.learned(x[order], good[order], fold[order] == 3, 0.7, 4, 1e-4)
+    one = ranking.fit(documents, labels, rows_each=n)
+    assert np.allclose(one.weights, wanted.weights, atol=1e-6) and abs(one.threshold - wanted.threshold) < 1e-5
+    assert np.corrcoef(model.strength(x), wanted.strength(x))[0, 1] > 0.999
+
+
+def test_blocks_hold_every_row_and_share_rare_ones(spark):
+    chance = np.random.default_rng(9)
+    d = len(ranking.FEATURES)
+    x = chance.random((3000, d))
+    model = ranking.Model(np.zeros(d), np.ones(d), np.zeros(d), 0.0, 0.7, 0.5)
+    for bad, wanted in ((3, 15 * 3), (1200, 1500)):
+        rows = spark.createDataFrame([(i, i >= bad, row) for i, row in enumerate(x.tolist())], "doc_id long, good boolean, x array<double>")
+        blocks = [tuple(np.frombuffer(b).reshape(-1, d) for b in r) for r in ranking.dealt(rows, 3000 - bad, bad, model, (3000 - bad) // 15).collect()]
+        assert len(blocks) == 15 and all(len(g) and len(b) for g, b in blocks)
+        assert sorted(np.concatenate([g for g, _ in blocks]).tolist()) == sorted(x[bad:].tolist())
+        shared = collections.Counter(map(tuple, np.concatenate([b for _, b in blocks]).tolist()))
+        assert set(shared) == set(map(tuple, x[:bad].tolist())) and wanted <= shared.total() < 2 * wanted + bad
+
+
+def test_quantile_is_exact(spark):
+    chance = np.random.default_rng(10)
+    d = len(ranking.FEATURES)
+    x = np.round(chance.normal(size=(500, d)), 1)
+    x[100:300] = x[7]
+    weights = np.where(np.arange(d) < 2, 1.0, 0.0)
+    model = ranking.Model(np.zeros(d), np.ones(d), weights, 0.0, 0.7, 0.5)
+    strengths = np.sort(model.strength(x))
+    rows = spark.createDataFrame([(row,) for row in x.tolist()], "x array<double>")
+    same = int(np.searchsorted(strengths, model.strength(x[7:8])[0]))
+    for k in (1, same, same + 1, same + 200, 499):
+        assert ranking.neighbours(rows, model, k) == (strengths[k - 1], strengths[k])
+
+
 def test_held_out_accuracy(spark):
     got = queries.QUERIES["op12_quality_ranking"](spark, LARGER).toPandas().set_index("doc_id")
     documents = spark.read.parquet(f"{LARGER}/documents.parquet")
