@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules, urls
-from ..operators import keyed, shortlist
+from ..operators import keyed
 from ..sources import scans
 from ..streaming import ingest
 from . import view
@@ -159,9 +159,9 @@ def reinspect_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def shortlist_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .queries import shortlist_rows
+    from .queries import shortlisted
 
-    return shortlist.diversity_shortlist(shortlist_rows(spark, sf_dir))[0].groupBy("grp").agg(F.count("*").alias("n"), F.min("final_rank").alias("best"))
+    return shortlisted(spark, sf_dir)[0].groupBy("grp").agg(F.count("*").alias("n"), F.min("final_rank").alias("best"))
 
 
 @query("""SELECT page_id, len(list_distinct(list_filter(regexp_extract_all(html, 'href="([^"]*)"', 1), lambda x: x <> ''))) AS n_links, regexp_matches(url, '^https?://[^/]+/') AS is_page FROM pages""")

@@ -395,14 +395,20 @@ def shortlist_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("repository_id").alias("id"), F.concat_ws("/", "owner", "name").alias("repository"), "grp", "bundle", "score", words.alias("tokens"))
 
 
+def shortlisted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The shortlist and its near-duplicates; texts are read from their own table, so that the join of labels sends none."""
+    tokens = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), rules.tokens(F.col("text")).alias("tokens"))
+    return shortlist.diversity_shortlist(shortlist_rows(spark, sf_dir), tokens=tokens)
+
+
 @query()
 def diversity_shortlist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shortlist.diversity_shortlist(shortlist_rows(spark, sf_dir))[0]
+    return shortlisted(spark, sf_dir)[0]
 
 
 @query()
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shortlist.diversity_shortlist(shortlist_rows(spark, sf_dir))[1]
+    return shortlisted(spark, sf_dir)[1]
 
 
 SQL_TOKENS = f"list_distinct(list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '), lambda w: length(w) >= 4 AND w NOT IN {sql_in(rules.STOP_WORDS)}))"

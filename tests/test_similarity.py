@@ -149,3 +149,22 @@ def test_shortlist_sorts_rows_without_their_tokens(spark, monkeypatch):
     targets = spark.createDataFrame([("A", 0, 1, 4)], "grp string, ordinal int, minimum int, maximum int")
     selected, near = shortlist.diversity_shortlist(df, 4, 62, targets)
     assert selected.count() == 4 and written and not any("tokens" in c for c in written)
+
+
+def test_shortlist_sends_and_tokenizes_texts_of_visited_rows_alone(spark, monkeypatch, tmp_path):
+    """Of 4,000 texts that a join with another table would send, the best rows of a group are cut out before it, and before tokens."""
+    monkeypatch.setattr(shortlist, "VISITED", 20)
+    rows = [(i, f"r{i % 7}", "AB"[i % 2], i % 7, i % 9, " ".join(f"t{(i * k) % 97}" for k in range(1, 9))) for i in range(4000)]
+    spark.createDataFrame(rows, "id long, repository string, grp string, bundle int, score int, text string").write.parquet(f"{tmp_path}/t")
+    spark.range(4000).write.parquet(f"{tmp_path}/other")
+    joined = spark.read.parquet(f"{tmp_path}/t").join(spark.read.parquet(f"{tmp_path}/other").hint("merge"), "id", "left")
+    df = joined.select("id", "repository", "grp", "bundle", "score", F.split("text", " ").alias("tokens"))
+    plans, real = [], shortlist.with_sets
+    monkeypatch.setattr(shortlist, "with_sets", lambda *a: (lambda out: (plans.append(out._jdf.queryExecution().executedPlan().toString()), out)[1])(real(*a)))
+    targets = spark.createDataFrame([("A", 0, 1, 4), ("B", 1, 2, 5)], "grp string, ordinal int, minimum int, maximum int")
+    selected, _ = shortlist.diversity_shortlist(df, 9, 62, targets)
+    assert selected.count() == 9 and plans
+    for plan in plans:
+        sent = [part for part in plan.split("Exchange hashpartitioning")[1:] if "text" in part.split("FileScan")[1]]
+        assert sent and all("LeftSemi" in part.split("FileScan")[0] for part in sent)
+        assert 0 < plan.index("xxhash64") < plan.index("LeftSemi")
