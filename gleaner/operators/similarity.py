@@ -228,7 +228,8 @@ def similar_pairs(df: DataFrame, id_: str, group: str, tokens: str, per_cent: in
     tokens; where that token stands bounds what they can still share. Sets of a token that more than
     `hot_sets` have are compared in blocks. Pairs that meet are compared by signatures of their sets, a
     few bits a token; the sets are sent only for pairs that are left, and decide. Equal sets count as one
-    class, expanded at the end by its members only. Sets are written once, and ids are unique.
+    class, expanded at the end by its members only: a copy is similar to all that its class's smallest id is
+    similar to, without a pair of its own. Sets are written once, and ids are unique.
     """
     hashed = F.array_sort(F.array_distinct(F.transform(tokens, lambda t: F.xxhash64(t))))
     rows = df.select(F.col(id_).alias("id"), F.col(group).alias("grp"), hashed.alias("set")).where((F.size("set") > 0) & F.col("grp").isNotNull())
